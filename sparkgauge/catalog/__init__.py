@@ -2,7 +2,7 @@
 
 import importlib
 
-FAMILIES: tuple[str, ...] = ()
+FAMILIES: tuple[str, ...] = ("normalisation", "filters", "joining", "shaping")
 
 
 def load_all() -> None:

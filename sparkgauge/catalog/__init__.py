@@ -2,7 +2,7 @@
 
 import importlib
 
-FAMILIES: tuple[str, ...] = ("normalisation", "filters", "joining", "shaping")
+FAMILIES: tuple[str, ...] = ("normalisation", "filters", "joining", "shaping", "timeseries", "sourcing", "incremental")
 
 
 def load_all() -> None:

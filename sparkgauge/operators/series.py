@@ -151,8 +151,8 @@ def as_arrays(series: DataFrame, by: Sequence[str], values: Sequence[str]) -> Da
     packed = series.groupBy(*by).agg(row.alias("_rows"))
     return packed.select(
         *by,
-        F.transform("_rows", lambda r: r["bin"]).alias("bins"),
-        *[F.transform("_rows", lambda r, v=v: r[v]).alias(v) for v in values],
+        F.col("_rows").getField("bin").alias("bins"),
+        *[F.col("_rows").getField(v).alias(v) for v in values],
     )
 
 

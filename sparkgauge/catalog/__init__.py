@@ -2,7 +2,7 @@
 
 import importlib
 
-FAMILIES: tuple[str, ...] = ("normalisation", "filters", "joining", "shaping", "timeseries", "sourcing", "incremental")
+FAMILIES: tuple[str, ...] = ("normalisation", "filters", "joining", "shaping", "timeseries", "sourcing", "incremental", "collecting")
 
 
 def load_all() -> None:

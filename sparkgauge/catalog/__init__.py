@@ -2,7 +2,7 @@
 
 import importlib
 
-FAMILIES: tuple[str, ...] = ("normalisation", "filters", "joining", "shaping", "timeseries", "sourcing", "incremental", "collecting")
+FAMILIES: tuple[str, ...] = ("normalisation", "filters", "joining", "shaping", "timeseries", "sourcing", "incremental", "collecting", "reporting", "checking")
 
 
 def load_all() -> None:

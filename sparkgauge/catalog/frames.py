@@ -194,8 +194,8 @@ FROM event_rows
 """
 
 FRAMES["run_status"] = """
-SELECT event_id, ts, account,
-       CASE user_id % 5 WHEN 0 THEN 'query_history' WHEN 1 THEN 'users' WHEN 2 THEN 'tasks' WHEN 3 THEN 'event_log' ELSE 'deployment' END AS plugin,
+SELECT event_id, ts, 'acc-' || CAST(CAST(floor(event_id / 2) AS BIGINT) % 3 AS STRING) AS account,
+       CASE CAST(floor(event_id / 2) AS BIGINT) % 5 WHEN 0 THEN 'query_history' WHEN 1 THEN 'users' WHEN 2 THEN 'tasks' WHEN 3 THEN 'event_log' ELSE 'deployment' END AS plugin,
        'exec-' || CAST(CAST(floor(event_id / 2) AS BIGINT) AS STRING) AS exec_id,
        'run-' || CAST(user_id % 40 AS STRING) AS run_id,
        CASE WHEN event_id % 2 = 0 THEN 'STARTED' WHEN event_type = 'error' THEN 'FAILED' ELSE 'FINISHED' END AS status,
@@ -336,7 +336,7 @@ FROM nation
 FRAMES["warehouse_log"] = """
 SELECT e.event_id, e.ts, w.account, w.name AS warehouse_name, w.size, w.scaling_policy, w.min_clusters, w.max_clusters,
        e.k % (w.max_clusters + 1) AS started_clusters, w.state, w.auto_resume,
-       w.resource_monitor, CASE WHEN e.event_type = 'error' THEN 'WARN' ELSE 'INFO' END AS loglevel
+       w.resource_monitor, CASE WHEN e.event_type IN ('error', 'view') THEN 'WARN' ELSE 'INFO' END AS loglevel
 FROM event_rows AS e JOIN warehouses AS w ON w.name = 'P' || CAST(e.user_id % 10 % 4 AS STRING) || '_WH_' || CAST(e.user_id % 10 AS STRING)
 """
 
@@ -443,7 +443,7 @@ SELECT l_orderkey * 10 + CAST(l_linenumber AS BIGINT) AS point_id, l_shipdate AS
        CASE l_partkey % 3 WHEN 0 THEN 'BASE TABLE' WHEN 1 THEN 'TRANSIENT' ELSE NULL END AS table_type,
        CAST(round(l_extendedprice * 100) AS BIGINT) AS bytes,
        CASE WHEN l_partkey % 60 = 7 THEN 0 ELSE CAST(l_quantity AS BIGINT) * 10 END AS row_count,
-       l_orderkey % 400000 AS minutes_since_ddl, l_orderkey % 90000 AS minutes_since_update,
+       l_partkey % 60 * 6000 + l_orderkey % 1000 AS minutes_since_ddl, l_orderkey % 90000 AS minutes_since_update,
        'acc-' || CAST(l_partkey % 3 AS STRING) AS account
 FROM lineitem
 """

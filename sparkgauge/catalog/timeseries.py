@@ -195,13 +195,13 @@ def _(t):
     """WITH s AS (SELECT table_name, epoch_us(date_trunc('day', ts)) // 1000000 AS bin_s, avg(bytes) AS mean_bytes FROM table_metrics GROUP BY ALL),
        l AS (SELECT table_name, epoch_us(date_trunc('day', ts)) // 1000000 AS bin_s, max(row_count) AS top_rows FROM table_metrics GROUP BY ALL),
        ok AS (SELECT table_name FROM l GROUP BY table_name HAVING min(top_rows) > 0)
-       SELECT s.table_name, s.bin_s, round(s.mean_bytes / l.top_rows, 4) AS per_row FROM s JOIN ok ON s.table_name = ok.table_name JOIN l ON l.table_name = s.table_name AND l.bin_s = s.bin_s""",
+       SELECT s.table_name, s.bin_s, round(s.mean_bytes / l.top_rows, 7) AS per_row FROM s JOIN ok ON s.table_name = ok.table_name JOIN l ON l.table_name = s.table_name AND l.bin_s = s.bin_s""",
 )
 def _(t):
     series = T.bin_summarize(t.table_metrics, "ts", ["table_name"], T.DAY, mean_bytes=F.avg("bytes"))
     rows = T.bin_summarize(t.table_metrics, "ts", ["table_name"], T.DAY, top_rows=F.max("row_count"))
     out = T.series_lookup(series, rows, "table_name", "mean_bytes", "top_rows", "per_row")
-    return out.select("table_name", at(), F.round("per_row", 4).alias("per_row"))
+    return out.select("table_name", at(), F.round("per_row", 7).alias("per_row"))
 
 
 # --- detection -----------------------------------------------------------------------------

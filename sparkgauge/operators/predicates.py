@@ -16,7 +16,7 @@ EPOCH = dt.datetime(1970, 1, 1)
 
 
 # Up to this many configured patterns become one literal condition; more are joined.
-MAX_LITERAL_PATTERNS = 1_000
+MAX_LITERAL_PATTERNS = 200
 
 
 def include_exclude(rows: DataFrame, name: str, include: DataFrame, exclude: DataFrame, pattern: str = "pattern") -> DataFrame:
@@ -46,16 +46,18 @@ def _matching(names: DataFrame, name: str, patterns: DataFrame, pattern: str) ->
     return heads.join(by_head, "_head").filter(F.like(F.col(name), F.col("_like"))).select(name).distinct()
 
 
+def any_of(conditions: Sequence[Column]) -> Column:
+    """Disjunction as a balanced tree, so that many terms do not nest deeply; false for none."""
+    terms = list(conditions) or [F.lit(False)]
+    while len(terms) > 1:
+        terms = [terms[i] | terms[i + 1] if i + 1 < len(terms) else terms[i] for i in range(0, len(terms), 2)]
+    return terms[0]
+
+
 def like_lists(name: Column, include: Sequence[str], exclude: Sequence[str] = ()) -> Column:
     """The same rule for pattern lists that are parameters of the job: no join at all."""
-    if not include:
-        return F.lit(False)
-    kept = F.lit(False)
-    for p in include:
-        kept = kept | name.like(p)
-    for p in exclude:
-        kept = kept & ~name.like(p)
-    return kept
+    kept = any_of([name.like(p) for p in include])
+    return kept & ~any_of([name.like(p) for p in exclude]) if exclude else kept
 
 
 def bound(as_of: dt.datetime, mark: dt.datetime | None, **lookback: float) -> dt.datetime:
@@ -83,11 +85,7 @@ def database_scope(
 ) -> Column:
     """Allow-list of name patterns (empty = all); names of the own family only if own or cross-tenant is on."""
     db = F.coalesce(name, F.lit(""))
-    listed = F.lit(True)
-    if allowed:
-        listed = F.lit(False)
-        for p in allowed:
-            listed = listed | db.like(p)
+    listed = any_of([db.like(p) for p in allowed]) if allowed else F.lit(True)
     return listed & (~db.like(family) | (db == own) | F.lit(cross_tenant))
 
 
@@ -190,7 +188,4 @@ def not_deleted(rows: DataFrame, deleted_on: str, since: dt.datetime | None = No
 
 def prefix_any(field: Column, prefixes: Sequence[str], separator: str = "_") -> Column:
     """The field starts with one of the prefixes and the separator."""
-    out = F.lit(False)
-    for p in prefixes:
-        out = out | field.startswith(p + separator)
-    return out
+    return any_of([field.startswith(p + separator) for p in prefixes])

@@ -1,7 +1,7 @@
 """Inventory 2.11: collectors over source tables bound to the given data.
 
 Each result shows an instrumented row as text: its times, its message, and each section
-as sorted ``key=value`` pairs. The SQL side restates filters and joins by hand and takes
+as ``key=value`` pairs. The SQL side restates filters and joins by hand and takes
 the member list from the same specification.
 """
 
@@ -47,7 +47,7 @@ def shown(rows, *ids: str):
     """Times, texts and sections of instrumented rows as plain columns."""
 
     def text(section: str):
-        entries = F.array_sort(F.map_entries(section))
+        entries = F.map_entries(section)
         value = {"metrics": lambda e: S.number_text(e["value"]), "event_timestamps": lambda e: e["value"].cast("string")}
         shown_value = value.get(section, lambda e: e["value"])
         return F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), shown_value(e))), ";").alias(section)
@@ -73,7 +73,7 @@ def spec_sql(spec: RowSpec, rows: str, columns: list[str], ids: tuple[str, ...]
         return f"to_json({e})" if e in json else e
 
     def pairs(members: dict[str, str], show) -> str:
-        items = [f"'{k}=' || {show(e)}" for k, e in sorted(members.items())]
+        items = [f"'{k}=' || {show(e)}" for k, e in members.items()]
         return f"concat_ws(';', {', '.join(items)})" if items else "''"
 
     def number(e: str) -> str:
@@ -766,7 +766,7 @@ def _(t):
         PRIVILEGE_SQL
         + """, g AS (SELECT u.user_name, c.privilege, c.granted_on, coalesce(string_agg(DISTINCT c.child, ',' ORDER BY c.child), '') AS r, list(DISTINCT granted_by ORDER BY granted_by) AS b, max(created_on) AS m
           FROM user_grants AS u LEFT JOIN closed AS c ON c.parent = u.role WHERE deleted_on IS NULL GROUP BY ALL)""",
-        "g", "concat_ws(';', 'platform.user.privilege=' || privilege || ':' || granted_on, 'platform.user.privilege.granted_by=' || to_json(b), 'platform.user.privilege.grants_on=' || r)",
+        "g", "concat_ws(';', 'platform.user.privilege=' || privilege || ':' || granted_on, 'platform.user.privilege.grants_on=' || r, 'platform.user.privilege.granted_by=' || to_json(b))",
         "'platform.user.privilege.last_altered=' || (epoch_us(m) * 1000)::VARCHAR",
     ),
 )

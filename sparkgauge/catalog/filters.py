@@ -24,14 +24,17 @@ def _(t):
 
 @query(
     "f1_include_exclude_long_lists",
-    """SELECT table_id FROM inventory WHERE EXISTS (SELECT 1 FROM (SELECT database_name || '.%_' || (table_id % 100)::VARCHAR AS pattern FROM inventory WHERE row_count > 20000) AS p WHERE full_name LIKE p.pattern)
+    r"""SELECT table_id FROM inventory WHERE EXISTS (SELECT 1 FROM (SELECT DISTINCT replace(database_name, '_', '\_') || '.%\_' || (table_id % 100)::VARCHAR AS pattern FROM inventory WHERE row_count > 20000) AS p WHERE full_name LIKE p.pattern ESCAPE '\')
        AND NOT EXISTS (SELECT 1 FROM (SELECT full_name AS pattern FROM inventory WHERE table_type = 'VIEW') AS p WHERE full_name = p.pattern)""",
 )
 def _(t):
+    def escaped(column):
+        return F.replace(column, F.lit("_"), F.lit("\\_"))
+
     include = t.inventory.filter("row_count > 20000").select(
-        F.concat(c("database_name"), F.lit(".%_"), (c("table_id") % 100).cast("string")).alias("pattern")
+        F.concat(escaped(c("database_name")), F.lit(".%\\_"), (c("table_id") % 100).cast("string")).alias("pattern")
     )
-    exclude = t.inventory.filter("table_type = 'VIEW'").select(F.replace("full_name", F.lit("_"), F.lit("\\_")).alias("pattern"))
+    exclude = t.inventory.filter("table_type = 'VIEW'").select(escaped(c("full_name")).alias("pattern"))
     return P.include_exclude(t.inventory, "full_name", include, exclude).select("table_id")
 
 

@@ -8,7 +8,6 @@ does not exist. Everything here is a column expression: no shuffle, no Python pe
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -171,12 +170,13 @@ def object_keep_null(values: Mapping[str, Column]) -> Column:
 
 
 def merge_maps(*maps: Column) -> Column:
-    """One map; where keys collide the earlier map wins. Null maps count as empty."""
+    """One map; where keys collide the earlier map wins. Null maps count as empty.
 
-    def add(left: Column, right: Column) -> Column:
-        return F.map_concat(left, F.map_filter(right, lambda k, _: ~F.array_contains(F.map_keys(left), k)))
-
-    return reduce(add, [F.coalesce(m, F.create_map().cast(TEXT_MAP)) for m in maps])
+    The last of several equal keys wins in the session (see ``session.configure``), so the
+    maps are put together from the last to the first, in one pass.
+    """
+    empty = F.create_map().cast(TEXT_MAP)
+    return F.map_concat(*[F.coalesce(m, empty) for m in reversed(maps)])
 
 
 def number_text(value: Column) -> Column:

@@ -96,11 +96,27 @@ def dedup(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFra
     return first.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
+# Groups with up to this many distinct values are left to the built-in aggregate, whose buffer
+# holds one count per distinct value.
+MAX_BUFFERED_VALUES = 100_000
 PERCENTILE_BINS = 1024
 
 
 def exact_percentile(rows: DataFrame, keys: Sequence[str], value: str, p: float, name: str) -> DataFrame:
-    """Exact percentile per group (linear interpolation) without holding a group in one task.
+    """Exact percentile per group, linear interpolation.
+
+    A first light aggregation estimates the distinct values per group; only if some group has
+    too many for one buffer, the percentile is found in bins.
+    """
+    spread = rows.groupBy(*keys).agg(F.approx_count_distinct(value).alias("_d")).agg(F.max("_d")).first()[0]
+    if (spread or 0) <= MAX_BUFFERED_VALUES:
+        found = rows.groupBy(*keys).agg(F.percentile(value, p).alias(name))
+        return found.filter(F.col(name).isNotNull())
+    return binned_percentile(rows, keys, value, p, name)
+
+
+def binned_percentile(rows: DataFrame, keys: Sequence[str], value: str, p: float, name: str) -> DataFrame:
+    """Exact percentile per group without holding a group in one task.
 
     Equal values are counted first. The value range of a group is cut into bins of equal
     width; cumulative counts over the bins say which two bins hold the two ranks needed, and

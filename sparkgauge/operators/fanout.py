@@ -42,20 +42,23 @@ class FanOut:
     timestamp_events: DataFrame
     events: DataFrame
     logs: DataFrame
-    entries: DataFrame
+    per_row: DataFrame
+
+    @property
+    def entries(self) -> DataFrame:
+        """Rows that gave any record."""
+        given = (F.col("n_metrics") > 0) | (F.col("n_times") > 0) | F.col("is_event") | F.col("is_log")
+        return self.per_row.filter(given)
 
     def counts(self) -> DataFrame:
-        """One row: entries, log_lines, metrics, events."""
-        out = None
-        for kind, frame in (
-            ("entries", self.entries),
-            ("log_lines", self.logs),
-            ("metrics", self.metrics),
-            ("events", self.events.select(F.lit(1).alias("x")).unionAll(self.timestamp_events.select(F.lit(1).alias("x")))),
-        ):
-            part = frame.agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), "n")
-            out = part if out is None else out.unionByName(part)
-        return out
+        """(kind, n) for entries, log_lines, metrics and events, in one pass over the rows."""
+        totals = self.entries.agg(
+            F.count("*").alias("entries"),
+            F.count_if("is_log").alias("log_lines"),
+            F.coalesce(F.sum("n_metrics"), F.lit(0)).alias("metrics"),
+            (F.count_if("is_event") + F.coalesce(F.sum("n_times"), F.lit(0))).alias("events"),
+        )
+        return totals.unpivot([], ["entries", "log_lines", "metrics", "events"], "kind", "n")
 
 
 def fan_out(
@@ -85,10 +88,16 @@ def fan_out(
     as_event = F.lit(report_all_as_events)
     if event_column is not None:
         as_event = as_event | event_condition(F.try_element_at(F.col("_flat"), F.lit(event_column)), event_value)
-    none = F.lit(False)
-    has_metrics = F.size("metrics") > 0 if report_metrics else none
-    recent = F.exists(F.map_values("event_timestamps"), lambda t: t >= mark_ns) if report_timestamp_events else none
+    zero = F.lit(0)
+    recent = F.filter(F.map_values("event_timestamps"), lambda t: t >= mark_ns)
     flat = flat.withColumns({"_event": as_event, "_log": ~as_event & F.lit(report_logs)})
+    per_row = flat.select(
+        row_id,
+        (F.size("metrics") if report_metrics else zero).cast("bigint").alias("n_metrics"),
+        (F.size(recent) if report_timestamp_events else zero).cast("bigint").alias("n_times"),
+        F.col("_event").alias("is_event"),
+        F.col("_log").alias("is_log"),
+    )
     log_level = level if level is not None else status_level(F.try_element_at(F.col("_flat"), F.lit("status.code")))
     body = drop_blanks(F.col("_flat"))
     return FanOut(
@@ -96,7 +105,7 @@ def fan_out(
         timestamp_events=timestamp_events(rows if report_timestamp_events else rows.limit(0), [row_id], mark_ns),
         events=flat.filter("_event").select(row_id, "message", body.alias("properties")),
         logs=flat.filter("_log").select(row_id, F.col("message").alias("content"), log_level.alias("level"), body.alias("attributes")),
-        entries=flat.filter(F.col("_event") | F.col("_log") | has_metrics | recent).select(row_id),
+        per_row=per_row,
     )
 
 

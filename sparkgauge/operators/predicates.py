@@ -38,11 +38,15 @@ def include_exclude(rows: DataFrame, name: str, include: DataFrame, exclude: Dat
 
 
 def _matching(names: DataFrame, name: str, patterns: DataFrame, pattern: str) -> DataFrame:
-    """Names LIKE some pattern: every prefix of a name meets the patterns that start with it."""
+    """Names LIKE some pattern: every prefix of a name meets the patterns that start with it.
+
+    The start of a pattern is its text before the first wildcard, escapes resolved.
+    """
     by_head = patterns.select(F.col(pattern).alias("_like")).distinct()
-    by_head = by_head.withColumn("_head", F.regexp_extract("_like", r"^([^%_\\\\]*)", 1))
+    head = F.regexp_extract("_like", r"^((?:[^%_\\]|\\.)*)", 1)
+    by_head = by_head.withColumn("_head", F.regexp_replace(head, r"\\(.)", "$1"))
     heads = names.select(name, F.explode(F.sequence(F.lit(0), F.length(name))).alias("_n"))
-    heads = heads.select(name, F.expr(f"substring(`{name}`, 1, _n)").alias("_head"))
+    heads = heads.select(name, F.substr(F.col(name), F.lit(1), F.col("_n")).alias("_head"))
     return heads.join(by_head, "_head").filter(F.like(F.col(name), F.col("_like"))).select(name).distinct()
 
 

@@ -7,8 +7,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Times are instants in UTC; adaptive execution re-plans joins and splits skewed partitions.
+# Times are instants in UTC; a key that several sections have is decided by their order, not an
+# error; adaptive execution re-plans joins and splits skewed partitions.
 SESSION_SETTINGS = {
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.inferTimestampNTZ.enabled": "false",
     "spark.sql.adaptive.enabled": "true",

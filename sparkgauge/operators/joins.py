@@ -46,12 +46,17 @@ def not_processed(rows: DataFrame, cache: DataFrame, key: str = "query_id", done
     return rows.join(finished, key, "left_anti")
 
 
-def session_for_root(rows: DataFrame, sessions: DataFrame, as_of: dt.datetime, hours: int = 24) -> DataFrame:
-    """Attach sessions of the last hours to rows without a parent; other rows keep nulls."""
+def session_for_root(
+    rows: DataFrame, sessions: DataFrame, as_of: dt.datetime, hours: float = 24, key: str = "query_id"
+) -> DataFrame:
+    """Attach sessions of the last hours to rows without a parent; other rows keep nulls.
+
+    Only the ids of parentless rows travel by session; the wide rows are joined by their own
+    id, the partitioning they already have.
+    """
     recent = sessions.filter(F.col("created_on") >= F.lit(as_of - dt.timedelta(hours=hours)))
-    keyed = rows.withColumn("_session", F.when(F.col("parent_query_id").isNull(), F.col("session_id")))
-    recent = recent.withColumnRenamed("session_id", "_session")
-    return left_join_sparse(keyed, recent, "_session", "query_id").drop("_session")
+    roots = rows.filter(F.col("parent_query_id").isNull()).select(key, "session_id").distinct()
+    return rows.join(roots.join(recent, "session_id").drop("session_id"), key, "left")
 
 
 def trace_for_query(rows: DataFrame, records: DataFrame, attributes: str, key: str) -> DataFrame:
@@ -69,15 +74,19 @@ def trace_for_query(rows: DataFrame, records: DataFrame, attributes: str, key: s
 
 
 def parent_flags(rows: DataFrame, row_id: str, parent: str) -> DataFrame:
-    """is_parent: some row names this id as its parent. is_root: the parent is null or not among the rows."""
-    parents = rows.select(F.col(parent).alias(row_id)).filter(F.col(row_id).isNotNull()).distinct()
+    """is_parent: some row names this id as its parent. is_root: the parent is null or not among the rows.
+
+    Orphans are found on (id, parent) pairs alone, so the wide rows shuffle by id only.
+    """
+    links = rows.select(row_id, parent).filter(F.col(parent).isNotNull())
+    parents = links.select(F.col(parent).alias(row_id)).distinct().withColumn("is_parent", F.lit(True))
     ids = rows.select(F.col(row_id).alias(parent)).distinct()
-    flagged = rows.join(parents.withColumn("_p", F.lit(True)), row_id, "left")
-    flagged = left_join_sparse(flagged, ids.withColumn("_known", F.lit(True)), parent, row_id)
+    orphans = links.join(ids, parent, "left_anti").select(row_id).distinct().withColumn("_orphan", F.lit(True))
+    flagged = rows.join(parents, row_id, "left").join(orphans, row_id, "left")
     return flagged.select(
         *[F.col(c) for c in rows.columns],
-        F.coalesce("_p", F.lit(False)).alias("is_parent"),
-        F.col("_known").isNull().alias("is_root"),
+        F.coalesce("is_parent", F.lit(False)).alias("is_parent"),
+        (F.col(parent).isNull() | F.coalesce("_orphan", F.lit(False))).alias("is_root"),
     )
 
 

@@ -166,7 +166,7 @@ OPEN_STATUSES = ("RUNNING", "QUEUED", "RESUMING_WAREHOUSE")
 def new_history(
     history: DataFrame, cache: DataFrame, access: DataFrame, sessions: DataFrame, records: DataFrame, as_of: dt.datetime, *, minutes: float = 120, session_hours: float = 24
 ) -> DataFrame:
-    """Finished statements of the re-read window not yet processed, with objects, session and trace.
+    """Finished statements of the re-read window not yet processed, with flags, objects, trace and session.
 
     ``access`` holds (query_id, parent_query_id, base_objects, direct_objects), ``records`` the
     event log with ``resource_attributes`` as JSON text.
@@ -177,7 +177,8 @@ def new_history(
     fresh = not_processed(recent, cache).filter(
         ~system_noise(*[F.col(c) for c in ("query_text", "user_name", "role_name", "database_name", "schema_name")])
     )
-    with_objects = fresh.join(flatten_pair_distinct(access), "query_id", "left")
+    flagged = parent_flags(fresh, "query_id", "parent_query_id")
+    with_objects = flagged.join(flatten_pair_distinct(access), "query_id", "left")
     first_table = F.get("query_tables", F.lit(0))
     named = with_objects.withColumns(
         {
@@ -187,15 +188,14 @@ def new_history(
             ),
         }
     )
-    with_session = session_for_root(named, sessions, as_of, session_hours)
-    return trace_for_query(with_session, records, "resource_attributes", "snow.query.id")
+    traced = trace_for_query(named, records, "resource_attributes", "snow.query.id")
+    return session_for_root(traced, sessions, as_of, session_hours)
 
 
 def query_history(rows: DataFrame) -> DataFrame:
     """Instrumented rows of the new history with parent and root flags."""
-    flagged = parent_flags(rows, "query_id", "parent_query_id")
     keep = ["query_id", "parent_query_id", "session_id", "span_id", "trace_id", "is_parent", "is_root"]
-    return instrument(flagged.withColumn("with_operator_stats", F.lit(False)), QUERY_HISTORY, keep)
+    return instrument(rows.withColumn("with_operator_stats", F.lit(False)), QUERY_HISTORY, keep)
 
 
 def to_analyse(rows: DataFrame, *, slow_ms: int = 10_000, limit: int = 50) -> DataFrame:

@@ -592,7 +592,7 @@ WITH k AS (SELECT *, {RUN_AT}, CASE WHEN status_json IS NULL THEN 'UNKNOWN' ELSE
 
 
 @query(
-    "c24_snowpipes",
+    "c24_pipes",
     PIPE_SQL
     + spec_sql(CT.PIPES, "k", ["pipe_name", "full_name", "database_name", "schema_name", "definition", "owner", "created_on", "run_at", "execution_state", "pending_files", "oldest_file_timestamp", "oldest_file_latency_ms", "target_table"]),
 )
@@ -612,7 +612,7 @@ source(
 
 
 @query(
-    "c25_snowpipes_copy_history",
+    "c25_pipe_copy_history",
     "WITH k AS (SELECT *, (epoch_us(last_load_time) - epoch_us(pipe_received_time)) // 1000 AS latency_ms FROM src_copies WHERE pipe_name IS NOT NULL AND last_load_time >= TIMESTAMP '1997-01-01 00:00:00')"
     + spec_sql(CT.COPY_HISTORY, "k", COLUMNS["src_copies"] + ["latency_ms"]),
 )
@@ -621,7 +621,7 @@ def _(t):
 
 
 @query(
-    "c26_snowpipes_usage_history",
+    "c26_pipe_usage_history",
     """WITH k AS (SELECT u.* EXCLUDE (files_inserted), files_inserted::BIGINT AS files_inserted, p.full_name AS resolved_full_name, split_part(coalesce(p.full_name, ''), '.', 1) AS resolved_database,
        split_part(coalesce(p.full_name, ''), '.', 2) AS resolved_schema, coalesce(p.pipe_name, u.pipe_name) AS resolved_name FROM pipe_usage AS u LEFT JOIN pipes AS p ON u.pipe_id = p.pipe_id WHERE end_time >= TIMESTAMP '1996-01-01 00:00:00')"""
     + spec_sql(CT.PIPE_USAGE, "k", ["pipe_name", "start_time", "end_time", "credits_used", "bytes_billed", "files_inserted", "resolved_full_name", "resolved_database", "resolved_schema", "resolved_name"]),

@@ -52,6 +52,16 @@ def rows_of(columns, rows):
     return sorted(columns), sorted(tuple(norm(r[i]) for i in order) for r in rows)
 
 
+SAME_TYPE = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "BOOLEAN": "boolean", "DOUBLE": "double", "FLOAT": "float"}
+
+
+def type_notes(df, description) -> str:
+    """Columns whose types differ between the two sides."""
+    mine = dict(df.dtypes)
+    notes = [f"{n}: {mine[n]} | {t}" for n, t in ((d[0], str(d[1])) for d in description) if n in mine and SAME_TYPE.get(t, t) != mine[n]]
+    return "  types " + ", ".join(notes) if notes else ""
+
+
 def main(argv):
     sf_dir, *rest = argv
     frames_only = "--frames" in rest
@@ -81,7 +91,7 @@ def main(argv):
             want = rows_of([d[0] for d in cur.description], cur.fetchall())
             if got == want:
                 note = "" if got[1] else "  (empty!)"
-                print(f"ok   {name} {len(got[1])} rows {t1 - t0:.2f}s{note}", flush=True)
+                print(f"ok   {name} {len(got[1])} rows {t1 - t0:.2f}s{note}{type_notes(df, cur.description)}", flush=True)
                 continue
             bad.append(name)
             print(f"DIFF {name}: columns {got[0]} | {want[0]}; rows {len(got[1])} | {len(want[1])}")

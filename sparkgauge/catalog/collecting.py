@@ -6,7 +6,6 @@ the member list from the same specification.
 """
 
 import datetime as dt
-import re
 
 from pyspark.sql import functions as F
 
@@ -185,6 +184,16 @@ def _(t):
     )
 
 
+@query(
+    "c1_acceleration_candidates",
+    """SELECT query_uuid AS query_id, execution_time FROM query_log WHERE execution_time > 100000 AND bytes_spilled_local = 0 AND bytes_spilled_remote = 0 AND partitions_scanned * 10 < partitions_total * 9
+       AND regexp_full_match(query_uuid, '[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}') ORDER BY execution_time DESC, query_uuid LIMIT 49""",
+)
+def _(t):
+    rows = t.query_log.withColumn("query_id", c("query_uuid"))
+    return CQ.to_estimate(rows, slow_ms=100_000).select("query_id", "execution_time")
+
+
 ACTIVE_SQL = """
 WITH r AS (SELECT * REPLACE (TIMESTAMP '2001-08-02 00:00:00' AS end_time, CASE WHEN execution_status <> 'RUNNING' THEN rows_written_to_result END AS rows_written_to_result),
     CASE WHEN execution_status = 'RUNNING' THEN greatest(epoch_us(TIMESTAMP '2001-08-02 00:00:00') // 1000 - epoch_us(start_time) // 1000, 0) END AS running_time FROM src_history WHERE execution_status = 'RUNNING'),

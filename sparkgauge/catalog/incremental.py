@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sparkgauge.catalog.base import query
 from sparkgauge.catalog.frames import FRAMES
-from sparkgauge.catalog.sourcing import FAN_SQL, fanned, instrumented_events
+from sparkgauge.catalog.sourcing import FAN_SQL, fanned
 from sparkgauge.operators import state as ST
 from sparkgauge.session import fresh_path
 from sparkgauge.streaming import jobs as SJ

@@ -16,11 +16,6 @@ from pyspark.sql import functions as F
 from sparkgauge.functions.sections import merge_maps
 
 
-def small_enough(df: DataFrame, max_rows: int) -> bool:
-    """Counted check that a side may be broadcast."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def left_join_sparse(rows: DataFrame, other: DataFrame, key: str, spread_by: str) -> DataFrame:
     """Left join on a key that many rows do not have.
 

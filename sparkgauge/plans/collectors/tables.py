@@ -8,7 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkgauge.functions import sections as S
 from sparkgauge.functions.text import compress_columns, extract_target_table
 from sparkgauge.operators.aggregates import listagg_distinct
 from sparkgauge.operators.joins import resolve_id_to_name

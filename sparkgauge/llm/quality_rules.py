@@ -157,8 +157,7 @@ def certified_cutoffs(counts: DataFrame, labels: DataFrame, risk: float = RISK,
     grid = bins.select("stratum", "rule").distinct().select("stratum", "rule", F.explode(F.sequence(F.lit(0), F.lit(CUTOFFS - 1))).alias("bin"))
     up = Window.partitionBy("stratum", "rule").orderBy(F.col("bin").desc())
     every = Window.partitionBy("stratum", "rule")
-    tests = F.lit(float(len(RULES) * (CUTOFFS - 1)))
-    strata = bins.select("stratum").distinct().agg(F.count(F.lit(1)).cast("double").alias("n_strata"))
+    strata = bins.select("stratum").distinct().count()
     at = (
         grid.join(bins, ["stratum", "rule", "bin"], "left")
         .na.fill(0, ["g", "b"])
@@ -171,10 +170,9 @@ def certified_cutoffs(counts: DataFrame, labels: DataFrame, risk: float = RISK,
             F.sum("g").over(up).alias("false_rejections"),
             F.sum("b").over(up).alias("caught"),
         )
-        .join(F.broadcast(strata))
         .filter("cutoff > 0 AND caught > 0 AND n_good > 0")
         .withColumn("bound", binomial_cdf(F.col("n_good"), F.col("false_rejections"), F.lit(risk / len(RULES))))
-        .filter(F.col("bound") <= F.lit(delta) / (tests * F.col("n_strata")))
+        .filter(F.col("bound") <= delta / max(1, strata * len(RULES) * (CUTOFFS - 1)))
         .withColumn("gain", F.round(F.col("caught") / F.col("n_bad") - F.col("false_rejections") / F.col("n_good"), 9))
     )
     best = Window.partitionBy("stratum", "rule").orderBy(F.col("gain").desc(), F.col("cutoff").desc())

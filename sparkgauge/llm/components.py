@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkgauge.llm.common import store
+from sparkgauge.llm.common import discard, store
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -35,7 +35,8 @@ def components(links: DataFrame) -> DataFrame:
         large = store(large, "links")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         moved = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = store(moved.unionByName(least.select("a", F.col("m").alias("b"))).filter("a <> b").distinct(), "links")
+        last, edges = edges, store(moved.unionByName(least.select("a", F.col("m").alias("b"))).filter("a <> b").distinct(), "links")
+        discard(last, large)
         before, state = state, _state(edges)
         if before == state:
             break

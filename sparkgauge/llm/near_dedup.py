@@ -9,11 +9,15 @@ long ones. Runs of 6 registers make 42 bands; texts that agree in a band are can
 
 Links: equal sets are one node from the start, found by a digest of the whole set. Within a
 band's bucket no all-pairs list is made: each round picks hub nodes in every bucket that
-still holds more than one component, pairs the other components' nodes with the hubs,
-drops pairs whose collision-corrected estimate is far below the threshold, and confirms the
-rest on the full sets. Then components are joined, and hubs, whose pairs are all settled,
-leave the bucket. Buckets of one component (copies, however many) are finished after the
-first round; other buckets get twice as many hubs each round.
+still holds more than one component and meets the other components' nodes with the hubs. A
+pair whose set sizes or odd sketches rule the threshold out is not formed. (The odd sketch
+has 1024 bits, each the parity of the shingles that hash to it; bits that differ between two
+texts are never more than the shingles only one of them has, so this loses no link. It
+ends the pairs of copies that are all close to one text but not to each other.) Of the rest,
+those whose collision-corrected estimate is far below the threshold are dropped, and the
+others are confirmed on the full sets. Then components are joined, and hubs, whose pairs are
+all settled, leave the bucket. Buckets of one component (copies, however many) are finished
+after the first round; the others get GROWTH times as many hubs each round.
 
 Defined results
   - null, empty or blank texts have an empty set, are linked with nothing and kept;
@@ -26,15 +30,16 @@ Defined results
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkgauge.llm.common import small, store
+from sparkgauge.llm.common import discard, small, store
 from sparkgauge.llm.components import components
 from sparkgauge.llm.shingles import ascii_words, shingle_set, word_hasher
 
@@ -46,12 +51,14 @@ MANTISSA_BITS = 9
 BORROW_TRIES = 64
 # Share of registers of two unequal sets that agree by chance of the compression.
 COLLISION = 0.169919487159739 * 2 / (1 << MANTISSA_BITS)
-# A pair goes to verification if its estimate is at most this far below the threshold (more
-# than 6 standard deviations of 200 registers), or if fewer registers than that are filled.
-MARGIN = 0.18
-TRUSTED_REGISTERS = 200
+# An estimate drops a pair if it is so many standard deviations below the threshold.
+SIGMAS = 6
+# Hubs per bucket grow by this factor each round.
+GROWTH = 64
 
-SKETCH = "doc_id long, h long, n long, digest binary, sketch binary"
+ODD_BITS = 10
+ODD = [f"s{i}" for i in range((1 << ODD_BITS) // 64)]
+SKETCH = "doc_id long, h long, n long, digest binary, sketch binary, " + ", ".join(f"{c} long" for c in ODD)
 
 
 def _borrow_order() -> np.ndarray:
@@ -84,19 +91,34 @@ def registers(shingles: np.ndarray, order: np.ndarray) -> np.ndarray:
     return values
 
 
+def odd_sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parity of the number of shingles per bit, as 64-bit numbers."""
+    place = ((shingles * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - ODD_BITS)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=1 << ODD_BITS) & 1).astype(np.uint8)).view(np.int64)
+
+
 def _sketches(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order, hashes = _borrow_order(), word_hasher()
         for batch in batches:
-            n, digests, sketches = [], [], []
+            n, digests, sketches, odd = [], [], [], []
             for text in batch.column(1):
                 s = shingle_set(hashes(ascii_words(text.as_py())), size)
                 n.append(len(s))
                 digests.append(blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                 sketches.append(registers(s, order).tobytes() if len(s) else None)
+                odd.append(odd_sketch(s))
+            odd = np.array(odd, np.int64).reshape(len(n), len(ODD))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(sketches, pa.binary())],
-                names=["doc_id", "h", "n", "digest", "sketch"],
+                [
+                    batch.column(0),
+                    batch.column(2),
+                    pa.array(n, pa.int64()),
+                    pa.array(digests, pa.binary()),
+                    pa.array(sketches, pa.binary()),
+                    *[pa.array(odd[:, i]) for i in range(len(ODD))],
+                ],
+                names=["doc_id", "h", "n", "digest", "sketch", *ODD],
             )
 
     return run
@@ -135,7 +157,7 @@ def _promising(threshold: float):
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 similarity, filled = estimate(np.frombuffer(x.as_py(), np.uint16), np.frombuffer(y.as_py(), np.uint16))
-                keep.append(filled < TRUSTED_REGISTERS or similarity >= threshold - MARGIN)
+                keep.append(similarity >= threshold - SIGMAS * math.sqrt(threshold * (1 - threshold) / max(filled, 1)))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     return run
@@ -156,21 +178,50 @@ def _confirmed(percent: int):
     return run
 
 
-def _pairs(members: DataFrame, hubs: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) of hubs and nodes of other components in the same bucket; the rows but the hubs' own."""
-    part = F.pmod(F.xxhash64("node", "key"), F.lit(hubs))
-    chosen = members.groupBy("key", part.alias("_part")).agg(F.min(F.struct("node", "component")).alias("_hub"))
-    chosen = store(chosen.select("key", F.col("_hub.node").alias("hub"), F.col("_hub.component").alias("hub_component")), "hubs")
-    met = members.join(chosen, "key").filter("component <> hub_component")
-    pairs = met.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
-    rest = members.join(chosen.select("key", F.col("hub").alias("node")), ["key", "node"], "left_anti")
+def _possible(x: str, y: str, threshold: float) -> Column:
+    """Whether two nodes can be similar enough, by their set sizes and odd sketches; true for all that are."""
+    less, more = F.least(f"{x}.n", f"{y}.n"), F.greatest(f"{x}.n", f"{y}.n")
+    apart = sum((F.bit_count(F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}"))) for c in ODD), F.lit(0))
+    return (less >= threshold * more - 1e-9) & (apart <= (1 - threshold) / (1 + threshold) * (less + more) + 1e-9)
+
+
+def _pairs(members: DataFrame, hubs: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of hubs and nodes of other components in the same bucket; the rows but the hubs' own.
+
+    Hubs are the nodes that share most buckets with others: in a group of copies of one text
+    that is the text they were made from, which is closer to each of them than they are to
+    each other, so one round joins them.
+    """
+    own = ["node", "component", "n", *ODD]
+    part = F.pmod(F.xxhash64("node"), F.lit(hubs))
+    chosen = members.groupBy("key", part.alias("part")).agg(F.max(F.struct("weight", *own)).alias("hub")).select("key", "hub.*")
+    met = members.alias("x").join(
+        chosen.alias("y"),
+        (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component")) & _possible("x", "y", threshold),
+    )
+    pairs = met.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
+    rest = members.join(chosen.select("key", "node"), ["key", "node"], "left_anti")
     return pairs, rest
 
 
 def _open_buckets(members: DataFrame) -> DataFrame:
-    """The rows of buckets that hold more than one component."""
-    several = members.groupBy("key").agg(F.min("component").alias("_l"), F.max("component").alias("_m")).filter("_l < _m")
-    return members.join(several.select("key"), "key", "left_semi")
+    """The rows of buckets that hold more than one component: key, node, component, rows (of the bucket)."""
+    several = (
+        members.groupBy("key")
+        .agg(F.min("component").alias("l"), F.max("component").alias("m"), F.count(F.lit(1)).alias("rows"))
+        .filter("l < m")
+        .select("key", "rows")
+    )
+    return store(members.select("key", "node", "component").join(several, "key"), "bands")
+
+
+def _described(shared: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of open buckets with what the join of hubs needs of their nodes.
+
+    The weight of a node is the number of rows it shares buckets with.
+    """
+    known = nodes.select("node", "n", *ODD).join(shared.groupBy("node").agg(F.sum("rows").alias("weight")), "node")
+    return store(shared.select("key", "node", "component").join(known, "node"), "bands")
 
 
 def near_duplicates(
@@ -186,27 +237,32 @@ def near_duplicates(
     # One node per distinct set: its smallest row number; rep is the smallest id of its rows.
     classes = sketches.filter("digest IS NOT NULL").groupBy("digest").agg(F.min("uid").alias("node"), F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("rows"))
     classes = store(classes, "classes")
-    nodes = sketches.select(F.col("uid").alias("node"), "sketch", "digest", "h").join(classes.select("node"), "node", "left_semi")
+    nodes = sketches.drop("doc_id").withColumnRenamed("uid", "node").join(classes.select("node"), "node", "left_semi")
     nodes = store(nodes, "nodes")
 
-    bands = nodes.select("node", F.posexplode(F.array(*[F.substring("sketch", 2 * BAND_ROWS * i + 1, 2 * BAND_ROWS) for i in range(BANDS)])).alias("i", "part"))
+    parts = [F.substring("sketch", 2 * BAND_ROWS * i + 1, 2 * BAND_ROWS) for i in range(BANDS)]
+    bands = nodes.select("node", F.posexplode(F.array(*parts)).alias("i", "part"))
     members = store(bands.select(F.xxhash64("i", "part").alias("key"), "node", F.col("node").alias("component")), "bands")
 
-    links, labels, hubs = None, None, 1
+    labels, sets, hubs = None, None, 1
     while True:
-        members = store(_open_buckets(members), "bands")
+        shared = _open_buckets(members)
+        discard(members)
+        members = _described(shared, nodes)
+        discard(shared)
         if members.isEmpty():
             break
-        pairs, members = _pairs(members, hubs)
-        found = _verified(store(pairs, "pairs"), nodes, hashed, shingle_words, threshold, percent)
-        links = found if links is None else links.unionByName(found)
-        labels = store(components(links), "components")
-        members = (
-            members.drop("component")
-            .join(labels, "node", "left")
-            .select("key", "node", F.coalesce("component", "node").alias("component"))
-        )
-        hubs *= 2
+        pairs, rest = _pairs(members, hubs, threshold)
+        links, sets = _verified(store(pairs, "pairs"), nodes, hashed, sets, shingle_words, threshold, percent)
+        if not links.isEmpty():
+            if labels is not None:
+                links = links.unionByName(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
+            labels = store(components(links), "components")
+        rest = rest.select("key", "node", F.col("component").alias("_c"))
+        rest = rest.withColumn("component", F.col("_c")) if labels is None else rest.join(labels, "node", "left")
+        last, members = members, store(rest.select("key", "node", F.coalesce("component", "_c").alias("component")), "bands")
+        discard(last)
+        hubs *= GROWTH
 
     groups = classes.select("digest", "node", "rep", "rows")
     if labels is None:
@@ -225,15 +281,13 @@ def near_duplicates(
     )
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, threshold: float, percent: int) -> DataFrame:
-    """The pairs whose full sets are similar enough: a, b."""
-    sketch = nodes.select("node", "sketch")
-    compared = (
-        pairs.join(sketch.toDF("a", "x"), "a").join(sketch.toDF("b", "y"), "b").select("a", "b", "x", "y")
-    )
-    likely = store(compared.mapInArrow(_promising(threshold), "a long, b long"), "likely")
-    ends = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    asked = store(nodes.select("node", "digest", "h").join(ends, "node", "left_semi"), "asked")
+def _with_sets(wanted: DataFrame, nodes: DataFrame, texts: DataFrame, sets: DataFrame | None, size: int) -> DataFrame:
+    """The full sets read so far and those of the wanted nodes: node, shingles."""
+    if sets is not None:
+        wanted = wanted.join(sets.select("node"), "node", "left_anti")
+    asked = store(nodes.select("node", "digest", "h").join(wanted, "node", "left_semi"), "asked")
+    if sets is not None and asked.isEmpty():
+        return sets
     full = (
         texts.select("h", "text")
         .join(small(asked), "h")
@@ -242,8 +296,24 @@ def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, t
         .dropDuplicates(["node"])
     )
     full = store(full, "sets")
-    both = likely.join(full.toDF("a", "x"), "a").join(full.toDF("b", "y"), "b").select("a", "b", "x", "y")
-    return store(both.mapInArrow(_confirmed(percent), "a long, b long"), "links")
+    discard(asked)
+    return full if sets is None else sets.unionByName(full)
+
+
+def _verified(
+    pairs: DataFrame, nodes: DataFrame, texts: DataFrame, sets: DataFrame | None, size: int, threshold: float, percent: int
+) -> tuple[DataFrame, DataFrame]:
+    """The pairs whose full sets are similar enough (a, b); all full sets read so far (node, shingles)."""
+    sketch = nodes.select("node", "sketch")
+    compared = (
+        pairs.join(sketch.toDF("a", "x"), "a").join(sketch.toDF("b", "y"), "b").select("a", "b", "x", "y")
+    )
+    likely = store(compared.mapInArrow(_promising(threshold), "a long, b long"), "likely")
+    sets = _with_sets(likely.select("a").union(likely.select("b")).distinct().toDF("node"), nodes, texts, sets, size)
+    both = likely.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
+    links = store(both.mapInArrow(_confirmed(percent), "a long, b long"), "links")
+    discard(pairs, likely)
+    return links, sets
 
 
 def without_copies(docs: DataFrame, shingle_words: int = 5, threshold: float = 0.8) -> DataFrame:

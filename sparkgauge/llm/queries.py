@@ -81,4 +81,34 @@ QUERIES: dict[str, Query] = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+_WORDS = r"regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{1}')"
+_INDEX_WORDS = _WORDS.format("coalesce(text, '')", r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+_SPACE_WORDS = _WORDS.format("coalesce(text, '')", r"[^\x20\x09-\x0D]+")
+
+ORACLES: dict[str, str] = {
+    "op1_decontaminate": f"""
+WITH d AS (SELECT doc_id, {_INDEX_WORDS} AS w FROM documents),
+b AS (SELECT item_id::VARCHAR AS item, {_INDEX_WORDS} AS w FROM benchmark),
+bw AS (SELECT DISTINCT item, least(10, len(w)) AS size, array_to_string(list_slice(w, s, s + least(10, len(w)) - 1), ' ') AS win
+  FROM b, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS u(s) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT size FROM bw),
+dw AS (SELECT doc_id, size, s, array_to_string(list_slice(w, s, s + size - 1), ' ') AS win
+  FROM d, sizes, unnest(range(1, len(w) - size + 2)) AS u(s) WHERE len(w) >= size),
+hits AS (SELECT doc_id, item, s, size FROM dw JOIN bw USING (size, win)),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n FROM hits, unnest(range(s, s + size)) AS u(p) GROUP BY doc_id),
+its AS (SELECT doc_id, list_sort(list(DISTINCT item)) AS items FROM hits GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_hit, coalesce(len(items), 0)::BIGINT AS n_items,
+  sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, n IS NOT NULL AS contaminated
+FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)""",
+    "op2_near_duplicates": f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_SPACE_WORDS} AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS x
+  FROM d, unnest(range(1, greatest(len(w), 2))) AS u(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM sh AS a JOIN sh AS b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN n AS m ON m.doc_id = a JOIN n AS o ON o.doc_id = b WHERE 100 * common >= 80 * (m.n + o.n - common)),
+sym AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, sym.b FROM reach JOIN sym ON reach.b = sym.a),
+comp AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM comp LEFT JOIN n USING (doc_id)""",
+}

@@ -163,8 +163,7 @@ def _(t):
     "c1_recent_queries",
     """WITH st AS (SELECT query_id, count(*) AS n FROM operator_rows WHERE query_id IN (SELECT query_id FROM (SELECT query_id FROM query_log
          WHERE query_type IN ('SELECT', 'INSERT', 'UPDATE') AND user_name NOT IN ('SYSTEM') AND (bytes_spilled_local > 0 OR bytes_spilled_remote > 0 OR queued_overload_time > 0 OR queued_provisioning_time > 0
-           OR partitions_scanned * 10 > partitions_total * 9 OR transaction_blocked_time > 0 OR queued_repair_time > 0 OR execution_time > 100000)
-         ORDER BY execution_time DESC, query_id LIMIT 49)) GROUP BY query_id)
+           OR partitions_scanned * 10 > partitions_total * 9 OR transaction_blocked_time > 0 OR queued_repair_time > 0 OR execution_time > 100000))) GROUP BY query_id)
        SELECT q.query_id, st.n AS n_operators, st.n IS NOT NULL AS with_operator_stats, CASE WHEN q.query_no % 3 = 0 THEN 'eligible' END AS estimate FROM query_log AS q LEFT JOIN st ON q.query_id = st.query_id""",
 )
 def _(t):
@@ -187,7 +186,7 @@ def _(t):
 @query(
     "c1_acceleration_candidates",
     """SELECT query_uuid AS query_id, execution_time FROM query_log WHERE execution_time > 100000 AND bytes_spilled_local = 0 AND bytes_spilled_remote = 0 AND partitions_scanned * 10 < partitions_total * 9
-       AND regexp_full_match(query_uuid, '[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}') ORDER BY execution_time DESC, query_uuid LIMIT 49""",
+       AND regexp_full_match(query_uuid, '[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}')""",
 )
 def _(t):
     rows = t.query_log.withColumn("query_id", c("query_uuid"))
@@ -266,7 +265,7 @@ MARK = dt.datetime(2024, 1, 3)
     r"""WITH kept AS (SELECT * FROM event_log WHERE """
     + scope_sql()
     + r""" AND NOT regexp_full_match(scope_name, 'SELF(_\S*)?_OTLP') AND value_text NOT LIKE 'Sent log%Sent log%' AND record_type NOT IN ('METRIC', 'SPAN')
-        AND (coalesce(database_name, '') NOT LIKE 'SELF%\_DB' ESCAPE '\' OR severity NOT IN ('DEBUG', 'INFO')) ORDER BY ts, event_id LIMIT 10000)
+        AND (coalesce(database_name, '') NOT LIKE 'SELF%\_DB' ESCAPE '\' OR severity NOT IN ('DEBUG', 'INFO')))
       SELECT event_id, epoch_us(ts) * 1000 AS timestamp_ns, severity AS level,
         CASE WHEN value_text LIKE '"%' THEN regexp_replace(value_text, '^"(.+[^"])"?$', '\1') ELSE regexp_replace(value_text, '^(.+[^"])"?$', '\1') END AS content,
         CASE WHEN value_text LIKE '{%' THEN k::VARCHAR END AS a, scope_name AS scope, record_type, application FROM kept""",
@@ -283,7 +282,7 @@ def _(t):
     )
 
 
-METRIC_KEPT_SQL = f"WITH kept AS (SELECT * FROM event_log WHERE record_type = 'METRIC' AND {scope_sql()} ORDER BY ts, event_id LIMIT 10000)"
+METRIC_KEPT_SQL = f"WITH kept AS (SELECT * FROM event_log WHERE record_type = 'METRIC' AND {scope_sql()})"
 
 
 @query(
@@ -308,7 +307,7 @@ def _(t):
 
 @query(
     "c5_event_log_spans",
-    f"""WITH kept AS (SELECT * FROM event_log WHERE record_type = 'SPAN' AND {scope_sql('S%', 'false')} ORDER BY ts, event_id LIMIT 10000)
+    f"""WITH kept AS (SELECT * FROM event_log WHERE record_type = 'SPAN' AND {scope_sql('S%', 'false')})
        SELECT event_id, query_id, 'proc_' || (user_id % 5)::VARCHAR AS name, epoch_us(start_ts) * 1000 AS start_time, epoch_us(ts) * 1000 AS end_time,
        CASE span_status WHEN 'STATUS_CODE_ERROR' THEN 'ERROR' WHEN 'STATUS_CODE_UNSET' THEN 'UNSET' ELSE 'OK' END AS status_code, span_id, trace_id, parent_span_id, parent_span_id IS NULL AS is_root,
        database_name AS namespace FROM kept""",
@@ -437,7 +436,7 @@ source(
 
 @query(
     "c12_login_history",
-    "WITH k AS (SELECT * FROM src_logins WHERE event_timestamp > TIMESTAMP '2024-01-02 12:00:00' ORDER BY event_timestamp, event_id LIMIT 1000)"
+    "WITH k AS (SELECT * FROM src_logins WHERE event_timestamp > TIMESTAMP '2024-01-02 12:00:00')"
     + spec_sql(CE.LOGIN_HISTORY, "k", COLUMNS["src_logins"], ("event_id",)),
 )
 def _(t):
@@ -446,7 +445,7 @@ def _(t):
 
 @query(
     "c13_sessions",
-    "WITH k AS (SELECT *, 'U' || session_id::VARCHAR AS user_name FROM src_sessions WHERE created_on > TIMESTAMP '2001-07-20 00:00:00' ORDER BY created_on, session_id LIMIT 1000)"
+    "WITH k AS (SELECT *, 'U' || session_id::VARCHAR AS user_name FROM src_sessions WHERE created_on > TIMESTAMP '2001-07-20 00:00:00')"
     + spec_sql(CE.SESSIONS, "k", COLUMNS["src_sessions"] + ["user_name"], ("session_id",)),
 )
 def _(t):

@@ -1,5 +1,8 @@
 """Inventory 2.5 to 2.8: expand and nest, aggregations, windows, set operations."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkgauge.catalog.base import query
@@ -287,6 +290,21 @@ def _(t):
     return W.batch_limit_oldest(t.event_log, "ts", "event_id", 1000).select("event_id")
 
 
+@query("w3_batches_until_done", "SELECT event_id, ts FROM event_log")
+def _(t):
+    """Batches by (time, id), each after the last row of the one before, until nothing is left."""
+    rows, after, parts = t.event_log.select("event_id", "ts"), None, []
+    size = max(1, rows.count() // 4)
+    while True:
+        part = W.batch_limit_oldest(rows, "ts", "event_id", size, after)
+        last = part.agg(F.max(F.struct("ts", "event_id")).alias("last")).first()["last"]
+        if last is None:
+            break
+        parts.append(part)
+        after = tuple(last)
+    return reduce(DataFrame.unionByName, parts) if parts else rows
+
+
 @query("w4_nulls_first_sort", "SELECT event_id, epoch_us(query_start_time) AS start_us FROM task_history ORDER BY query_start_time ASC NULLS FIRST, event_id")
 def _(t):
     return W.nulls_first_sort(t.task_history, "query_start_time", "event_id").select("event_id", F.unix_micros("query_start_time").alias("start_us"))

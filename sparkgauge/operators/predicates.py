@@ -22,10 +22,11 @@ MAX_LITERAL_PATTERNS = 200
 def include_exclude(rows: DataFrame, name: str, include: DataFrame, exclude: DataFrame, pattern: str = "pattern") -> DataFrame:
     """Keep rows whose name is LIKE some include pattern and LIKE no exclude pattern.
 
-    An empty include list keeps nothing, an empty exclude list removes nothing. Short
-    lists (checked) turn into a literal filter without any join; long ones are matched
+    An empty include list keeps nothing, an empty exclude list removes nothing, and null
+    patterns are skipped. Short lists (checked) turn into a literal filter without any join; long ones are matched
     against the distinct names by an equi-join on the text before the first wildcard.
     """
+    include, exclude = (df.filter(F.col(pattern).isNotNull()) for df in (include, exclude))
     heads = [
         [r[0] for r in df.select(pattern).distinct().limit(MAX_LITERAL_PATTERNS + 1).collect()]
         for df in (include, exclude)

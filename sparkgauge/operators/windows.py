@@ -13,14 +13,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def top_n_slowest(rows: DataFrame, metric: str, n: int, key: str) -> DataFrame:
-    """The rows ranked below n by a metric, largest first: n - 1 rows. Ties go by key."""
+def top_n_slowest(rows: DataFrame, metric: str, n: int | None, key: str) -> DataFrame:
+    """The rows ranked below n by a metric, largest first: n - 1 rows, all without n. Ties go by key."""
+    if n is None:
+        return rows
     return rows.orderBy(F.col(metric).desc_nulls_last(), F.col(key)).limit(max(n - 1, 0))
 
 
-def batch_limit_oldest(rows: DataFrame, ts: str, key: str, n: int) -> DataFrame:
-    """Oldest n rows, as the safety limit of a run."""
-    return rows.orderBy(F.col(ts), F.col(key)).limit(n)
+def batch_limit_oldest(rows: DataFrame, ts: str, key: str, n: int | None, after: tuple | None = None) -> DataFrame:
+    """The next n rows by (ts, key), all without n; after is the pair of the last row read before.
+
+    The pair decides, so rows that share the last row's time are read by the next batch. Rows
+    without a time come first.
+    """
+    if after is not None:
+        time, last = after
+        newer = (F.col(ts) > F.lit(time)) | ((F.col(ts) == F.lit(time)) & (F.col(key) > F.lit(last)))
+        if time is None:
+            newer = F.col(ts).isNotNull() | (F.col(key) > F.lit(last))
+        rows = rows.filter(newer)
+    return rows if n is None else rows.orderBy(F.col(ts).asc_nulls_first(), F.col(key)).limit(n)
 
 
 def nulls_first_sort(rows: DataFrame, ts: str, key: str) -> DataFrame:

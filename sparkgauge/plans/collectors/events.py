@@ -16,8 +16,6 @@ from sparkgauge.operators.predicates import database_scope, event_log_noise, sin
 from sparkgauge.operators.windows import batch_limit_oldest
 from sparkgauge.plans.collectors.spec import RowSpec, instrument
 
-# Safety limits of a run.
-EVENT_LOG_LIMIT, LOGIN_LIMIT = 10_000, 1_000
 # Dimensions taken from resource attributes.
 RESOURCE_DIMENSIONS = {
     "db.namespace": "snow.database.name",
@@ -98,9 +96,9 @@ def event_log(
     family: str = "SELF%\\_DB",
     own_scope: str = r"SELF(_\S*)?_OTLP",
     cross_tenant: bool = True,
-    limit: int = EVENT_LOG_LIMIT,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Log records of the event table, oldest first up to the limit, with one flat attribute map.
+    """Log records of the event table, all of them, or the oldest if a limit is given, with one flat attribute map.
 
     ``events`` holds (event_id, timestamp, start_timestamp, observed_timestamp, record_type, value
     and the maps record, record_attributes, resource_attributes, scope, trace).
@@ -139,7 +137,7 @@ def event_log(
 
 
 def event_log_metrics(
-    events: DataFrame, as_of: dt.datetime, mark: dt.datetime | None, *, hours: float = 24, databases: Sequence[str] = (), own: str = "SELF_DB", family: str = "SELF%\\_DB", cross_tenant: bool = True, limit: int = EVENT_LOG_LIMIT
+    events: DataFrame, as_of: dt.datetime, mark: dt.datetime | None, *, hours: float = 24, databases: Sequence[str] = (), own: str = "SELF_DB", family: str = "SELF%\\_DB", cross_tenant: bool = True, limit: int | None = None
 ) -> DataFrame:
     """Metric records with the same time and dimensions as one row; the last value of a name wins.
 
@@ -181,7 +179,7 @@ def metric_definitions(events: DataFrame) -> DataFrame:
 
 
 def event_log_spans(
-    events: DataFrame, as_of: dt.datetime, mark: dt.datetime | None, *, hours: float = 24, databases: Sequence[str] = (), own: str = "SELF_DB", family: str = "SELF%\\_DB", cross_tenant: bool = True, limit: int = EVENT_LOG_LIMIT
+    events: DataFrame, as_of: dt.datetime, mark: dt.datetime | None, *, hours: float = 24, databases: Sequence[str] = (), own: str = "SELF_DB", family: str = "SELF%\\_DB", cross_tenant: bool = True, limit: int | None = None
 ) -> DataFrame:
     """Closed span records with ids, kind and status."""
     scoped = _in_scope(events.filter("record_type = 'SPAN'"), as_of, mark, hours, databases, own, family, cross_tenant)
@@ -215,11 +213,11 @@ def event_usage(rows: DataFrame, as_of: dt.datetime, mark: dt.datetime | None, *
     return instrument(since_last_run(rows, "end_time", as_of, mark, hours=hours), EVENT_USAGE)
 
 
-def login_history(rows: DataFrame, as_of: dt.datetime, mark: dt.datetime | None, *, hours: float = 24, limit: int = LOGIN_LIMIT) -> DataFrame:
+def login_history(rows: DataFrame, as_of: dt.datetime, mark: dt.datetime | None, *, hours: float = 24, limit: int | None = None) -> DataFrame:
     recent = since_last_run(rows, "event_timestamp", as_of, mark, hours=hours)
     return instrument(batch_limit_oldest(recent, "event_timestamp", "event_id", limit), LOGIN_HISTORY, ["event_id"])
 
 
-def sessions(rows: DataFrame, as_of: dt.datetime, mark: dt.datetime | None, *, hours: float = 24, limit: int = LOGIN_LIMIT) -> DataFrame:
+def sessions(rows: DataFrame, as_of: dt.datetime, mark: dt.datetime | None, *, hours: float = 24, limit: int | None = None) -> DataFrame:
     recent = since_last_run(rows, "created_on", as_of, mark, hours=hours)
     return instrument(batch_limit_oldest(recent, "created_on", "session_id", limit), SESSIONS, ["session_id"])

@@ -198,13 +198,13 @@ def query_history(rows: DataFrame) -> DataFrame:
     return instrument(rows.withColumn("with_operator_stats", F.lit(False)), QUERY_HISTORY, keep)
 
 
-def to_analyse(rows: DataFrame, *, slow_ms: int = 10_000, limit: int = 50) -> DataFrame:
-    """Slowest affected statements, one fewer than the limit, whose operators are looked at."""
+def to_analyse(rows: DataFrame, *, slow_ms: int = 10_000, limit: int | None = None) -> DataFrame:
+    """Affected statements whose operators are looked at; with a limit the slowest, one fewer than it."""
     return top_n_slowest(affected_queries(rows, slow_ms), "execution_time", limit, "query_id")
 
 
-def to_estimate(rows: DataFrame, *, slow_ms: int = 10_000, limit: int = 50) -> DataFrame:
-    """Slowest candidates for acceleration, one fewer than the limit."""
+def to_estimate(rows: DataFrame, *, slow_ms: int = 10_000, limit: int | None = None) -> DataFrame:
+    """Candidates for acceleration; with a limit the slowest, one fewer than it."""
     return top_n_slowest(acceleration_candidates(rows, "query_id", slow_ms), "execution_time", limit, "query_id")
 
 

@@ -5,7 +5,8 @@ payload and a larger id exists. The payload is framed as an HTTP body in chunks;
 longer than SEGMENT_CHARS is cut into a first segment and continuation records that name
 its record id as their origin, the last of which states the total length. Spark's text
 writer puts the records into files, with the two empty lines that end a record as line
-separator, and a row limit per file, so segments bound the size of every file.
+separator, and a row limit per file, so segments bound the size of every file. Files are
+compressed with gzip.
 
 Reading: files are parsed record by record by Content-Length; continuation records are
 grouped by origin, ordered by segment number and joined, the total length is verified, the
@@ -24,6 +25,7 @@ Defined results
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 import uuid
@@ -152,6 +154,7 @@ def write_archives(pages: DataFrame, path: str, min_revisit_bytes: int = 0) -> N
         records.mapInArrow(_records, "value string")
         .write.option("lineSep", END_OF_RECORD)
         .option("maxRecordsPerFile", RECORDS_PER_FILE)
+        .option("compression", "gzip")
         .text(path)
     )
 
@@ -172,6 +175,11 @@ def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at = begin + size + 4
 
 
+def _unpacked(data: bytes) -> bytes:
+    """Content of a file, gzip (any number of members) or plain."""
+    return gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
+
+
 SEGMENT = (
     "origin string, number int, total long, type string, uri string, key string, refers_to string, digest string, "
     "length long, block binary"
@@ -184,7 +192,7 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for data in batch.column(0):
             rows = []
-            for f, block in parse_records(data.as_py()):
+            for f, block in parse_records(_unpacked(data.as_py())):
                 total, length = f.get("warc-segment-total-length"), f.get("x-payload-length")
                 rows.append(
                     (

@@ -232,7 +232,8 @@ def _(t):
     """WITH RECURSIVE x AS (SELECT span_id, parent_id, span_id AS root_id, own_trace AS trace_id, 0 AS level FROM span_rows
          WHERE parent_id IS NULL OR parent_id NOT IN (SELECT span_id FROM span_rows)
        UNION ALL SELECT s.span_id, s.parent_id, x.root_id, x.trace_id, x.level + 1 FROM span_rows AS s JOIN x ON s.parent_id = x.span_id)
-       SELECT span_id, parent_id, root_id, trace_id, level::BIGINT AS level, CASE WHEN level = 0 THEN 'SERVER' ELSE 'INTERNAL' END AS kind FROM x""",
+       SELECT span_id, parent_id, root_id, trace_id, level::BIGINT AS level, CASE WHEN level = 0 THEN 'SERVER' ELSE 'INTERNAL' END AS kind, false AS cyclic FROM x
+       UNION ALL SELECT span_id, parent_id, span_id, own_trace, 0, 'SERVER', true FROM span_rows WHERE span_id NOT IN (SELECT span_id FROM x)""",
 )
 def _(t):
     return G.span_tree(t.span_rows, "span_id", "parent_id", "own_trace")

@@ -65,7 +65,7 @@ def _(t):
     + grid_sql(
         "metric_points", "ts", ["warehouse_name"], 43200, {"clicks": "sum(value)::BIGINT"}, "0",
         "metric = 'value.click' AND account = 'acc-1' AND ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts < TIMESTAMP '2024-01-20 00:00:00'",
-        bounds="epoch_us(TIMESTAMP '2024-01-05 00:00:00') // 1000000, epoch_us(TIMESTAMP '2024-01-20 00:00:00') // 1000000",
+        bounds="epoch_us(TIMESTAMP '2024-01-05 00:00:00') // 1000000, (epoch_us(TIMESTAMP '2024-01-20 00:00:00') - 1) // 1000000 // 43200 * 43200",
     )
     + "SELECT * FROM series",
 )

@@ -96,59 +96,43 @@ def dedup(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFra
     return first.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
-# Groups with up to this many distinct values are left to the built-in aggregate, whose buffer
-# holds one count per distinct value.
-MAX_BUFFERED_VALUES = 100_000
-PERCENTILE_BINS = 1024
+# The sketch is off by at most one part in SKETCH_ACCURACY of a group; the middle band is ten times wider.
+SKETCH_ACCURACY = 10_000
+BAND = 10 / SKETCH_ACCURACY
 
 
 def exact_percentile(rows: DataFrame, keys: Sequence[str], value: str, p: float, name: str) -> DataFrame:
-    """Exact percentile per group, linear interpolation.
+    """Exact percentile per group, linear interpolation, without holding a group in one task.
 
-    A first light aggregation estimates the distinct values per group; only if some group has
-    too many for one buffer, the percentile is found in bins.
+    A mergeable sketch gives two values between which the wanted ranks lie. Rows below and above
+    them are only counted, and the values of the band, about 0.2 % of a group, are counted one
+    by one and ranked. The ranks are exact whatever the sketch says; a rank outside the band and
+    its two neighbours fails the query rather than give a wrong value. Nulls are skipped, groups
+    without values vanish.
     """
-    spread = rows.groupBy(*keys).agg(F.approx_count_distinct(value).alias("_d")).agg(F.max("_d")).first()[0]
-    if (spread or 0) <= MAX_BUFFERED_VALUES:
-        found = rows.groupBy(*keys).agg(F.percentile(value, p).alias(name))
-        return found.filter(F.col(name).isNotNull())
-    return binned_percentile(rows, keys, value, p, name)
-
-
-def binned_percentile(rows: DataFrame, keys: Sequence[str], value: str, p: float, name: str) -> DataFrame:
-    """Exact percentile per group without holding a group in one task.
-
-    Equal values are counted first. The value range of a group is cut into bins of equal
-    width; cumulative counts over the bins say which two bins hold the two ranks needed, and
-    only the distinct values of those bins are ranked.
-    """
-    counted = rows.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    span = counted.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.sum("_n").alias("_total"))
-    span = span.withColumn("_rank", F.lit(p) * (F.col("_total") - 1))
-    low, high = F.floor("_rank"), F.ceil("_rank")
-    joined = null_safe_attach(counted, span, keys, "inner")
-    width = (F.col("_hi") - F.col("_lo")).cast("double") / PERCENTILE_BINS
-    binned = joined.withColumn(
-        "_bin",
-        F.when(width == 0, F.lit(0)).otherwise(
-            F.least(F.floor((F.col(value) - F.col("_lo")) / F.nullif(width, F.lit(0.0))), F.lit(PERCENTILE_BINS - 1))
-        ),
-    )
-    sizes = binned.groupBy(*keys, "_bin").agg(F.sum("_n").alias("_size"))
-    over_bins = Window.partitionBy(*keys).orderBy("_bin")
-    sizes = sizes.withColumn("_upto", F.sum("_size").over(over_bins)).withColumn("_before", F.col("_upto") - F.col("_size"))
-    sizes = null_safe_attach(sizes, span.select(*keys, "_rank"), keys, "inner")
-    wanted = sizes.filter(
-        ((F.col("_before") <= low) & (low < F.col("_upto"))) | ((F.col("_before") <= high) & (high < F.col("_upto")))
-    ).select(*keys, "_bin", "_before")
-    candidates = null_safe_attach(binned, wanted, [*keys, "_bin"], "inner")
-    inside = Window.partitionBy(*keys, "_bin").orderBy(value)
-    placed = candidates.withColumn("_last", F.col("_before") + F.sum("_n").over(inside) - 1).withColumn(
-        "_first", F.col("_last") - F.col("_n") + 1
+    kept = rows.filter(F.col(value).isNotNull()).select(*keys, value)
+    edges = [F.lit(max(p - BAND, 0.0)), F.lit(min(p + BAND, 1.0))]
+    band = kept.groupBy(*keys).agg(*[F.percentile_approx(value, e, SKETCH_ACCURACY).alias(n) for e, n in zip(edges, ("_lo", "_hi"))])
+    zone = F.when(F.col(value) < F.col("_lo"), 0).when(F.col(value) > F.col("_hi"), 2).otherwise(1)
+    placed = null_safe_attach(kept, band, keys, "inner").withColumn("_zone", zone)
+    # One row per group for the rows below, one for those above, one per distinct value between.
+    inner = F.when(F.col("_zone") == 1, F.col(value)).alias("_value")
+    counted = placed.groupBy(*keys, "_zone", inner).agg(
+        F.count("*").alias("_n"), F.when(F.col("_zone") == 2, F.min(value)).otherwise(F.max(value)).alias("_edge")
     )
-    at = [F.max(F.when((F.col("_first") <= r) & (r <= F.col("_last")), F.col(value))) for r in (low, high)]
-    ends = placed.groupBy(*keys).agg(at[0].alias("_low_value"), at[1].alias("_high_value"), F.max("_rank").alias("_rank"))
-    share = F.col("_rank") - F.floor("_rank")
-    return ends.select(
-        *keys, (F.col("_low_value") + (F.col("_high_value") - F.col("_low_value")) * share).cast("double").alias(name)
+    totals = counted.groupBy(*keys).agg((F.lit(p) * (F.sum("_n") - 1)).alias("_rank"))
+    upto = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_zone", "_value"))
+    ranked = null_safe_attach(counted.withColumn("_upto", upto), totals, keys, "inner")
+    # Below the band the last rank is known, above it the first one.
+    first = F.when(F.col("_zone") == 0, F.col("_upto") - 1).otherwise(F.col("_upto") - F.col("_n"))
+    last = F.when(F.col("_zone") == 2, F.col("_upto") - F.col("_n")).otherwise(F.col("_upto") - 1)
+    ends = ranked.groupBy(*keys).agg(
+        *[
+            F.max(F.when((first <= rank) & (rank <= last), F.col("_edge")).cast("double")).alias(n)
+            for rank, n in ((F.floor("_rank"), "_low"), (F.ceil("_rank"), "_high"))
+        ],
+        F.max("_rank").alias("_rank"),
     )
+    found = F.col("_low") + (F.col("_high") - F.col("_low")) * (F.col("_rank") - F.floor("_rank"))
+    missed = F.raise_error(F.lit("a rank lies outside the band of the sketch")).cast("double")
+    return ends.select(*keys, F.coalesce(found, missed).alias(name))

@@ -1,7 +1,7 @@
 """One instrumented row -> metrics, timestamp events, and an event or a log record.
 
-The rows are kept in memory or on disk once (``persist``) and read by the projections;
-nothing passes through the driver but the counts.
+Every output is a projection of the rows, which the caller stores first if several are
+written; nothing passes through the driver but the counts.
 """
 
 from __future__ import annotations

@@ -1,8 +1,9 @@
 """Closures over role grants and trees over spans.
 
-Both advance one level per step. Each step joins only the frontier (rows found by the
-last step) with the edges, drops what is already known, and cuts its lineage at the
-reliable checkpoint folder. There is no depth cap: the steps end when nothing is new.
+A closure advances one level per step: the rows found by the last step meet the edges, and
+one anti-join drops what is known. A tree doubles its parent pointers, so its steps grow with
+the logarithm of the depth. Every step is written to the shared folder once. There is no
+depth cap: the steps end when nothing is new.
 """
 
 from __future__ import annotations
@@ -21,20 +22,18 @@ def role_closure(edges: DataFrame, roles: DataFrame | None = None, parent: str =
 
     Steps go breadth first, so the first depth at which a pair appears is its least one.
     """
-    direct = cut_lineage(edges.select(F.col(parent).alias("parent"), F.col(child).alias("child")).distinct())
-    step = direct.select(F.col("parent").alias("child"), F.col("child").alias("_next"))
-    levels = [direct.withColumn("depth", F.lit(1).cast("bigint"))]
+    frontier = cut_lineage(
+        edges.select(F.col(parent).alias("parent"), F.col(child).alias("child")).distinct().withColumn("depth", F.lit(1).cast("bigint"))
+    )
+    step = frontier.select(F.col("parent").alias("child"), F.col("child").alias("_next"))
+    closure = frontier
     depth = 1
-    while True:
+    while not frontier.isEmpty():
         depth += 1
-        found = levels[-1].join(step, "child").select("parent", F.col("_next").alias("child")).distinct()
-        for level in levels:
-            found = found.join(level.select("parent", "child"), ["parent", "child"], "left_anti")
-        found = cut_lineage(found.withColumn("depth", F.lit(depth).cast("bigint")))
-        if found.isEmpty():
-            break
-        levels.append(found)
-    closure = reduce(DataFrame.unionByName, levels)
+        reached = frontier.join(step, "child").select("parent", F.col("_next").alias("child")).distinct()
+        new = reached.join(closure.select("parent", "child"), ["parent", "child"], "left_anti")
+        frontier = cut_lineage(new.withColumn("depth", F.lit(depth).cast("bigint")))
+        closure = closure.unionByName(frontier)
     if roles is None:
         return closure
     own = roles.select(F.col("name").alias("parent"), F.col("name").alias("child")).distinct()
@@ -71,33 +70,48 @@ def privilege_closure(grants: DataFrame, roles: DataFrame) -> DataFrame:
 
 
 def span_tree(rows: DataFrame, span_id: str, parent_id: str, trace_id: str) -> DataFrame:
-    """Attach every row below a root: root id, level, inherited trace, span kind.
+    """Attach every row below a root: root id, level, inherited trace, span kind, cyclic.
 
     A root has no parent among the rows. Its trace passes down; the root's kind is
-    SERVER, all others are INTERNAL. One join per level takes the place of one query per
-    parent. Rows on a parent cycle hang below no root and are left out.
+    SERVER, all others are INTERNAL. Every open row points to an ancestor and takes over the
+    pointer of that ancestor, which doubles the distance per step. Rows on or below a parent
+    cycle reach no root: they are their own roots, at level 0, flagged as cyclic. Span ids are
+    unique; of a repeated one the row with the smallest parent counts.
     """
     known = rows.select(F.col(span_id).alias(parent_id)).distinct().withColumn("_known", F.lit(True))
-    linked = cut_lineage(
-        left_join_sparse(rows, known, parent_id, span_id).select(
-            F.col(span_id).alias("span_id"),
-            F.col(parent_id).alias("parent_id"),
-            F.col(trace_id).alias("_trace"),
-            F.col("_known").isNull().alias("_root"),
-        )
+    spans = left_join_sparse(rows, known, parent_id, span_id).select(
+        F.col(span_id).alias("span_id"),
+        F.col(parent_id).alias("parent_id"),
+        F.col(trace_id).alias("own_trace"),
+        F.col("_known").isNull().alias("_root"),
     )
-    levels = [
+    first = F.min(F.struct("parent_id", "own_trace", "_root")).alias("_row")
+    linked = cut_lineage(spans.groupBy("span_id").agg(first).select("span_id", "_row.*"))
+    done = [
         linked.filter("_root").select(
-            "span_id", "parent_id", F.col("span_id").alias("root_id"), F.col("_trace").alias("trace_id"),
-            F.lit(0).cast("bigint").alias("level"),
+            "span_id", "parent_id", F.col("span_id").alias("root_id"), F.col("own_trace").alias("trace_id"), F.lit(0).cast("bigint").alias("level")
         )
     ]
-    below = linked.filter("NOT _root").select("span_id", "parent_id")
+    still_open = linked.filter("NOT _root").select("span_id", "parent_id", F.col("parent_id").alias("_up"), F.lit(1).cast("bigint").alias("level"))
     while True:
-        up = levels[-1].select(F.col("span_id").alias("parent_id"), "root_id", "trace_id", (F.col("level") + 1).alias("level"))
-        found = cut_lineage(below.join(up, "parent_id").select("span_id", "parent_id", "root_id", "trace_id", "level"))
-        if found.isEmpty():
+        ends = reduce(DataFrame.unionByName, done).select(
+            F.col("span_id").alias("_up"), F.col("root_id").alias("_next"), F.col("level").alias("_more"), "trace_id", F.lit(True).alias("_done")
+        )
+        jumps = still_open.select(
+            F.col("span_id").alias("_up"), F.col("_up").alias("_next"), F.col("level").alias("_more"), F.lit(None).cast(linked.schema["own_trace"].dataType).alias("trace_id"), F.lit(False).alias("_done")
+        )
+        moved = cut_lineage(
+            still_open.join(ends.unionByName(jumps), "_up").select(
+                "span_id", "parent_id", F.col("_next").alias("_up"), (F.col("level") + F.col("_more")).alias("level"), "trace_id", "_done"
+            )
+        )
+        # Levels below a root have no gaps, so a step that ends no row leaves only cycles.
+        reached = moved.filter("_done")
+        if reached.isEmpty():
             break
-        levels.append(found)
-    tree = reduce(DataFrame.unionByName, levels)
-    return tree.withColumn("kind", F.when(F.col("level") == 0, F.lit("SERVER")).otherwise(F.lit("INTERNAL")))
+        done.append(reached.select("span_id", "parent_id", F.col("_up").alias("root_id"), "trace_id", "level"))
+        still_open = moved.filter("NOT _done").select("span_id", "parent_id", "_up", "level")
+    tree = reduce(DataFrame.unionByName, done).withColumn("cyclic", F.lit(False))
+    own = linked.select("span_id", "parent_id", F.col("span_id").alias("root_id"), F.col("own_trace").alias("trace_id"), F.lit(0).cast("bigint").alias("level"))
+    cycles = own.join(still_open.select("span_id"), "span_id", "left_semi").withColumn("cyclic", F.lit(True))
+    return tree.unionByName(cycles).withColumn("kind", F.when(F.col("level") == 0, F.lit("SERVER")).otherwise(F.lit("INTERNAL")))

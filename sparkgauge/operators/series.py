@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkgauge.operators.aggregates import null_safe_attach
+from sparkgauge.session import cut_lineage
 
 DAY, HOUR = 86_400, 3_600
 
@@ -53,8 +54,9 @@ def fill_bins(
     end: dt.datetime | None = None,
     default: float | None = None,
 ) -> DataFrame:
-    """Add the missing bins of every series between the first and the last bin of all of them.
+    """Add the missing bins of every series from the one that holds start to the one that holds end.
 
+    Without them, these are the first and the last bin of all series.
     Each point emits itself and the gap up to the next point of its series; no join is needed.
     """
     if start is None or end is None:
@@ -91,14 +93,27 @@ def make_timeseries(
     default: float | None = None,
     **aggregates: Column,
 ) -> DataFrame:
-    """Gap-free series of aggregates per key, at an interval or cut into a number of bins."""
+    """Gap-free series of aggregates per key, at an interval or cut into a number of bins.
+
+    With a start or an end only rows of [start, end) count, and the last bin is the one that
+    holds the last moment before the end. With both, nothing runs before the result; a missing
+    one is taken from the points, and a number of bins needs the range of the rows first.
+    """
+    if start is not None:
+        rows = rows.filter(F.col(time) >= F.lit(start))
+    if end is not None:
+        rows = rows.filter(F.col(time) < F.lit(end))
     if step_s is None:
         step_s = step_for_bins(rows, time, bins)
     points = bin_summarize(rows, time, by, step_s, **aggregates)
+    if start is None or end is None:
+        # The range comes from the points, so the rows are read once.
+        points = cut_lineage(points)
     keys = list(by) or ["_all"]
     if not by:
         points = points.withColumn("_all", F.lit(1))
-    filled = fill_bins(points, keys, list(aggregates), step_s, start, end, default)
+    last = None if end is None else end - dt.timedelta(microseconds=1)
+    filled = fill_bins(points, keys, list(aggregates), step_s, start, last, default)
     return filled.select(*by, "bin", *aggregates)
 
 

@@ -14,6 +14,7 @@ from sparkgauge.operators.joins import pipe_join
 from sparkgauge.operators.series import DAY, bin_summarize, fill_bins, make_timeseries, series_lookup
 from sparkgauge.operators.windows import top_k_groups, top_k_series
 from sparkgauge.plans.reports.costs import chosen
+from sparkgauge.session import cut_lineage
 
 c = F.col
 
@@ -52,7 +53,7 @@ def over_time(
     rows = rows if where is None else rows.filter(where)
     if k is None:
         return make_timeseries(rows, time, by, step_s=step_s, **aggregates)
-    points = bin_summarize(rows, time, by, step_s, **aggregates)
+    points = cut_lineage(bin_summarize(rows, time, by, step_s, **aggregates))
     span = points.agg(F.min("bin"), F.max("bin")).first()
     return fill_bins(top_k_series(points, by, weight, k), by, list(aggregates), step_s, span[0], span[1])
 

@@ -48,8 +48,10 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the frame to the reliable checkpoint folder and read on from there."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+    """Write the frame to a table of its own in the shared folder and read on from there.
+
+    The input is computed once, survives lost executors, and its size is known to the planner.
+    """
+    path = fresh_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -127,7 +127,24 @@ def test_span_tree_inherits_trace(spark):
         [("r", None, "t1"), ("m", "r", "x"), ("l", "m", "y"), ("o", "missing", "t2"), ("c1", "c2", "z"), ("c2", "c1", "z")], "id string, parent string, trace string"
     )
     got = {r["span_id"]: (r["trace_id"], r["level"], r["kind"]) for r in G.span_tree(data, "id", "parent", "trace").collect()}
-    assert got == {"r": ("t1", 0, "SERVER"), "m": ("t1", 1, "INTERNAL"), "l": ("t1", 2, "INTERNAL"), "o": ("t2", 0, "SERVER")}
+    assert got == {
+        "r": ("t1", 0, "SERVER"), "m": ("t1", 1, "INTERNAL"), "l": ("t1", 2, "INTERNAL"), "o": ("t2", 0, "SERVER"),
+        "c1": ("z", 0, "SERVER"), "c2": ("z", 0, "SERVER"),
+    }
+    assert {r["span_id"] for r in G.span_tree(data, "id", "parent", "trace").filter("cyclic").collect()} == {"c1", "c2"}
+    assert G.span_tree(data.limit(0), "id", "parent", "trace").count() == 0
+
+
+def test_deep_chain_takes_few_steps(spark, monkeypatch):
+    steps = []
+    cut = G.cut_lineage
+    monkeypatch.setattr(G, "cut_lineage", lambda df: steps.append(1) or cut(df))
+    n = 1000
+    data = spark.createDataFrame([(i, i - 1 if i else None, f"t{i}") for i in range(n)] + [(n, n + 1, "x"), (n + 1, n, "y"), (n + 2, n, "z")], "id int, parent int, trace string")
+    got = {r["span_id"]: r for r in G.span_tree(data, "id", "parent", "trace").collect()}
+    assert len(got) == n + 3 and len(steps) <= 13
+    assert all(got[i]["level"] == i and got[i]["root_id"] == 0 and got[i]["trace_id"] == "t0" for i in range(n))
+    assert all(got[i]["cyclic"] and got[i]["root_id"] == i for i in range(n, n + 3))
 
 
 # --- aggregates and windows ----------------------------------------------------------------
@@ -143,9 +160,18 @@ def test_percentile_in_bins(spark, p):
         values = [v for kk, v in data if kk == k and v is not None]
         if values:
             want[k] = float(np.percentile(values, 100 * p))
-    for fn in (A.binned_percentile, A.exact_percentile):
-        got = {r["k"]: r["x"] for r in fn(df, ["k"], "v", p, "x").collect()}
-        assert got == pytest.approx(want)
+    got = {r["k"]: r["x"] for r in A.exact_percentile(df, ["k"], "v", p, "x").collect()}
+    assert got == pytest.approx(want)
+
+
+@pytest.mark.parametrize("p", [0.0, 0.01, 0.5, 0.95, 0.9995, 1.0])
+def test_percentile_of_long_tails(spark, p):
+    # Groups of distinct values with one outlier; nearly all would fall in one bin of equal width.
+    sizes = [1, 2, 3, 9, 21, 1001, 60_000]
+    df = spark.createDataFrame([(n,) for n in sizes], "k int").select("k", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("i"))
+    df = df.select("k", F.when(F.col("i") == F.col("k") - 1, F.lit(1e15)).otherwise(F.col("i") * 1.5).alias("v"))
+    got = {r["k"]: r["x"] for r in A.exact_percentile(df, ["k"], "v", p, "x").collect()}
+    assert got == pytest.approx({n: float(np.percentile([i * 1.5 for i in range(n - 1)] + [1e15], 100 * p)) for n in sizes})
 
 
 def test_ranks_and_lags_split_by_bin(spark):
@@ -197,12 +223,21 @@ def test_gaps_are_filled_per_series(spark):
     ]
     assert T.make_timeseries(df.limit(0), "ts", ["k"], step_s=T.DAY, n=F.count("*")).count() == 0
     padded = T.make_timeseries(df.filter("k = 'b'"), "ts", step_s=T.DAY, start=DAY0, end=DAY0 + dt.timedelta(days=2), default=0, n=F.count("*"))
-    assert [r["n"] for r in padded.orderBy("bin").collect()] == [0, 1, 0]
+    assert [r["n"] for r in padded.orderBy("bin").collect()] == [0, 1]
+
+
+def test_series_range_is_half_open(spark):
+    df = spark.createDataFrame([("a", DAY0 + dt.timedelta(days=i)) for i in range(5)], "k string, ts timestamp")
+    day = lambda i: DAY0 + dt.timedelta(days=i)
+    got = T.make_timeseries(df, "ts", ["k"], step_s=T.DAY, start=day(1), end=day(3), n=F.count("*"))
+    assert [(r["bin"].day, r["n"]) for r in got.orderBy("bin").collect()] == [(2, 1), (3, 1)]
+    got = T.make_timeseries(df, "ts", ["k"], step_s=T.DAY, start=day(2), n=F.count("*"))
+    assert [(r["bin"].day, r["n"]) for r in got.orderBy("bin").collect()] == [(3, 1), (4, 1), (5, 1)]
 
 
 def test_series_window_is_bounded_by_bins(spark):
     df = spark.range(1000).select(F.lit("hot").alias("k"), F.timestamp_seconds(F.col("id") % 5 * 86400).alias("ts"))
-    text = plan(T.make_timeseries(df, "ts", ["k"], step_s=T.DAY, n=F.count("*")))
+    text = plan(T.make_timeseries(df, "ts", ["k"], step_s=T.DAY, start=DAY0, end=DAY0 + dt.timedelta(days=5), n=F.count("*")))
     assert text.rindex("Window") < text.rindex("HashAggregate")
 
 

@@ -264,7 +264,7 @@ def _(t):
 @query(
     "s13_pack_batches",
     """WITH RECURSIVE e AS (SELECT event_type AS lane_type, epoch_us(date_trunc('hour', ts)) // 1000000 AS lane_s, event_id, amount AS size,
-         row_number() OVER (PARTITION BY event_type, date_trunc('hour', ts) ORDER BY event_id) AS n FROM event_rows WHERE amount <= 9000),
+         row_number() OVER (PARTITION BY event_type, date_trunc('hour', ts) ORDER BY event_id) AS n FROM event_rows),
        p AS (SELECT lane_type, lane_s, event_id, size, n, 0 AS batch_no, size AS used, 1 AS held FROM e WHERE n = 1
          UNION ALL SELECT e.lane_type, e.lane_s, e.event_id, e.size, e.n, p.batch_no + (p.used + e.size > 9000 OR p.held >= 3)::INT,
            CASE WHEN p.used + e.size > 9000 OR p.held >= 3 THEN e.size ELSE p.used + e.size END, CASE WHEN p.used + e.size > 9000 OR p.held >= 3 THEN 1 ELSE p.held + 1 END

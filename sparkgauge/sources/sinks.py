@@ -206,12 +206,13 @@ def pack_batches(
 ) -> DataFrame:
     """Number greedy batches bounded by bytes and by count, in order within a lane.
 
-    An event larger than the limit is skipped. Lanes are packed independently: choose them
+    An event larger than the limit is a batch of its own; a null size counts as 0. Lanes are packed independently: choose them
     fine enough (a source and an hour, say) that none holds a large share of the events.
     Only two counters are carried along a partition; no lane is held in memory.
     """
     columns = [*lane, *order, size]
-    sorted_rows = events.select(*columns).filter(F.col(size) <= max_bytes).repartition(*lane).sortWithinPartitions(*lane, *order)
+    sized = events.select(*columns).withColumn(size, F.coalesce(F.col(size), F.lit(0).cast(events.schema[size].dataType)))
+    sorted_rows = sized.repartition(*lane).sortWithinPartitions(*lane, *order)
 
     def number(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         here, batch, used, held = None, 0, 0, 0

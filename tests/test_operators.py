@@ -293,15 +293,18 @@ def test_missing_bins_violate_only_when_asked(spark):
 
 def test_batches_against_brute_force(spark):
     rng = random.Random(13)
-    data = [(rng.choice("ab"), i, rng.randint(1, 60)) for i in range(500)] + [("a", 999, 5000)]
+    data = [(rng.choice("ab"), i, rng.randint(1, 60)) for i in range(500) if i != 250] + [("b", 250, 5000), ("a", 999, 5000)]
     df = spark.createDataFrame(data, "lane string, i int, size bigint")
     got = {r["i"]: r["batch_no"] for r in K.pack_batches(df, ["lane"], ["i"], "size", max_bytes=200, max_count=6).collect()}
     want = {}
     for lane in "ab":
         batch, used, held = 0, 0, 0
-        for _, i, size in sorted((r for r in data if r[0] == lane and r[2] <= 200), key=lambda r: r[1]):
+        for _, i, size in sorted((r for r in data if r[0] == lane), key=lambda r: r[1]):
             if held and (used + size > 200 or held >= 6):
                 batch, used, held = batch + 1, 0, 0
             used, held = used + size, held + 1
             want[i] = batch
-    assert got == want and 999 not in got
+    assert got == want
+    lanes = {i: lane for lane, i, _ in data}
+    for i in (250, 999):
+        assert [j for j in got if lanes[j] == lanes[i] and got[j] == got[i]] == [i]

@@ -469,9 +469,9 @@ def _(t):
     return shown(CW.resource_monitors(t.monitors, t.warehouses, EVENT_AS_OF), "is_account_level", "is_active")
 
 
-@query("c14_monitor_warnings", "SELECT 'There is no account-level resource monitor' AS content, 'ERROR' AS level FROM (SELECT 1) WHERE NOT EXISTS (SELECT 1 FROM monitors WHERE level = 'ACCOUNT' AND name LIKE 'RM%')")
+@query("c14_monitor_warnings", "SELECT 'There is no account-level resource monitor' AS content, 'ERROR' AS level FROM (SELECT 1) WHERE NOT EXISTS (SELECT 1 FROM monitors WHERE level = 'ACCOUNT')")
 def _(t):
-    return CW.monitor_warnings(t.monitors.filter("name LIKE 'RM%'"))
+    return CW.monitor_warnings(t.monitors)
 
 
 source(

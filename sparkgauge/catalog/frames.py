@@ -196,11 +196,11 @@ FROM event_rows
 FRAMES["run_status"] = """
 SELECT event_id, ts, 'acc-' || CAST(CAST(floor(event_id / 2) AS BIGINT) % 3 AS STRING) AS account,
        CASE CAST(floor(event_id / 2) AS BIGINT) % 5 WHEN 0 THEN 'query_history' WHEN 1 THEN 'users' WHEN 2 THEN 'tasks' WHEN 3 THEN 'event_log' ELSE 'deployment' END AS plugin,
-       'exec-' || CAST(CAST(floor(event_id / 2) AS BIGINT) AS STRING) AS exec_id,
+       'exec-' || CASE WHEN k = 50 THEN 'lost-' || CAST(event_id AS STRING) ELSE CAST(CAST(floor(event_id / 2) AS BIGINT) AS STRING) END AS exec_id,
        'run-' || CAST(user_id % 40 AS STRING) AS run_id,
        CASE WHEN event_id % 2 = 0 THEN 'STARTED' WHEN event_type = 'error' THEN 'FAILED' ELSE 'FINISHED' END AS status,
        'host-' || CAST(user_id % 4 AS STRING) AS host_name
-FROM event_rows WHERE k <> 50
+FROM event_rows
 """
 
 FRAMES["status_log"] = """
@@ -302,7 +302,7 @@ SELECT doc_id AS event_id, source AS scanner_id, 'Scan ' || source AS scanner_na
             WHEN 2 THEN '[{"entity_id":"' || CAST(doc_id AS STRING) || '","entity_name":"a"},{"entity_id":"7","entity_name":"b"}]'
             ELSE '[{"entity_id":"1","entity_name":"a"},{"entity_id":"2","entity_name":"b"},{"entity_id":"3","entity_name":null}]' END AS at_risk_entities,
        'acc-' || CAST(doc_id % 3 AS STRING) AS account
-FROM (SELECT d.doc_id, d.source, d.lang, d.n_chars, l.quality, l.toxic FROM documents AS d JOIN labels AS l ON d.doc_id = l.doc_id) AS f
+FROM (SELECT d.doc_id, d.source, d.lang, d.n_chars, l.quality, l.toxic FROM documents AS d LEFT JOIN labels AS l ON d.doc_id = l.doc_id) AS f
 """
 
 # --- warehouses, monitors, budgets ---------------------------------------------------------

@@ -51,14 +51,11 @@ def _(t):
 
 @query(
     "j5_parent_flags",
-    """WITH k AS (SELECT * FROM span_rows WHERE name <> 'system')
-       SELECT span_id, span_id IN (SELECT parent_id FROM k WHERE parent_id IS NOT NULL) AS is_parent,
-       parent_id IS NULL OR parent_id NOT IN (SELECT span_id FROM k) AS is_root FROM k""",
+    """SELECT span_id, span_id IN (SELECT parent_id FROM span_rows WHERE parent_id IS NOT NULL) AS is_parent,
+       parent_id IS NULL OR parent_id NOT IN (SELECT span_id FROM span_rows) AS is_root FROM span_rows""",
 )
 def _(t):
-    rows = t.span_rows
-    kept = rows.filter("name <> 'system'")
-    return J.parent_flags(kept, "span_id", "parent_id").select("span_id", "is_parent", "is_root")
+    return J.parent_flags(t.span_rows, "span_id", "parent_id").select("span_id", "is_parent", "is_root")
 
 
 @query(

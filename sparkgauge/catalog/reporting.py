@@ -211,7 +211,7 @@ def _(t):
 @query(
     "r10_slowest_queries",
     SLOW
-    + """SELECT query_id, user_name, account, warehouse_name, coalesce(monitor_name, '-') AS monitor_name, total_elapsed_time AS duration_ms, substr(query_text, 1, 15) AS query_sql
+    + """SELECT query_id, user_name, account, warehouse_name, coalesce(monitor_name, '-') AS monitor_name, total_elapsed_time AS duration_ms, query_text AS query_sql
          FROM slow ORDER BY total_elapsed_time DESC, query_id, monitor_name NULLS FIRST LIMIT 100""",
 )
 def _(t):
@@ -370,7 +370,7 @@ def _(t):
     return RD.ddl_object_types(t.ddl_events)
 
 
-@query("r19_recent_ddl", "SELECT event_no, account, object_name, operation, object_domain, user_name FROM ddl_events WHERE operation IS NOT NULL ORDER BY ts DESC, event_no DESC LIMIT 200")
+@query("r19_recent_ddl", "SELECT event_no, account, object_name, operation, object_domain, user_name FROM ddl_events WHERE operation IS NOT NULL")
 def _(t):
     return RD.recent_ddl(t.ddl_events).drop("ts", "properties")
 
@@ -643,7 +643,7 @@ def _(t):
 
 @query(
     "r32_active_long_running",
-    """SELECT query_id, run_no, epoch_us(seen_at) // 1000 - total_elapsed_time AS started_ms, total_elapsed_time AS duration_ms, user_name, warehouse_name, execution_status, substr(query_text, 1, 80) AS query, account
+    """SELECT query_id, run_no, epoch_us(seen_at) // 1000 - total_elapsed_time AS started_ms, total_elapsed_time AS duration_ms, user_name, warehouse_name, execution_status, query_text AS query, account
        FROM active_log WHERE total_elapsed_time > 60000 * 2 ORDER BY total_elapsed_time DESC, query_id, run_no LIMIT 20""",
 )
 def _(t):
@@ -655,7 +655,7 @@ def _(t):
 CARTESIAN = "ct AS (SELECT q.* FROM query_rows AS q WHERE query_id IN (SELECT query_id FROM operator_rows WHERE operator_type = 'Join' AND input_rows < output_rows))"
 
 
-@query("r33_cartesian_log", f"WITH {CARTESIAN} SELECT query_id, user_name, account, query_type, total_elapsed_time AS elapsed FROM ct ORDER BY start_time DESC, query_id DESC LIMIT 100")
+@query("r33_cartesian_log", f"WITH {CARTESIAN} SELECT query_id, user_name, account, query_type, total_elapsed_time AS elapsed FROM ct")
 def _(t):
     return RQ.cartesian_log(statement_spans(t)).select("query_id", "user_name", "account", "query_type", "elapsed")
 
@@ -746,7 +746,7 @@ def _(t):
     return RO.records_by(t.run_status, ["account", "host_name"])
 
 
-@query("r35_last_runs", "SELECT event_id, plugin, account FROM run_status ORDER BY ts DESC, event_id DESC LIMIT 50")
+@query("r35_last_runs", "SELECT event_id, plugin, account FROM run_status")
 def _(t):
     return RO.last_runs(t.run_status).drop("ts")
 
@@ -901,7 +901,7 @@ def _(t):
     return RO.admin_top(t.query_rows, "account")
 
 
-@query("r39_admin_latest", f"WITH {ADMIN} SELECT query_id, user_name, role_name, account, query_text, query_type, execution_status FROM ad ORDER BY start_time DESC, query_id DESC LIMIT 1000")
+@query("r39_admin_latest", f"WITH {ADMIN} SELECT query_id, user_name, role_name, account, query_text, query_type, execution_status FROM ad")
 def _(t):
     return RO.admin_latest(t.query_rows).drop("start_time")
 
@@ -1075,7 +1075,7 @@ def _(t):
     return RD.task_states(t.task_history).select("state", "account", at(), "n")
 
 
-@query("r45_task_failures", "SELECT event_id, account, database_name, schema_name, task_name, attempt, error_code FROM task_history WHERE state = 'FAILED' ORDER BY ts DESC, event_id DESC LIMIT 100")
+@query("r45_task_failures", "SELECT event_id, account, database_name, schema_name, task_name, attempt, error_code FROM task_history WHERE state = 'FAILED'")
 def _(t):
     return RD.task_failures(t.task_history).drop("ts")
 
@@ -1143,7 +1143,7 @@ def _(t):
 
 @query(
     "r48_refresh_history",
-    "SELECT row_no, account, full_name, state, refresh_action, refresh_trigger, state_code FROM dynamic_refreshes ORDER BY data_timestamp DESC, row_no DESC LIMIT 100",
+    "SELECT row_no, account, full_name, state, refresh_action, refresh_trigger, state_code FROM dynamic_refreshes",
 )
 def _(t):
     return RD.refresh_history(t.dynamic_refreshes).drop("data_timestamp")

@@ -128,9 +128,8 @@ def _(t):
     """SELECT event_id, CASE WHEN event_type = 'view' THEN 'old.' ELSE 'new.' END || event_type AS key, k::VARCHAR AS value FROM event_rows""",
 )
 def _(t):
-    renames = R.load_renames(t.field_renames, "old_name", "new_name")
-    section = F.create_map(F.concat(F.lit("old."), c("event_type")), c("k").cast("string"))
-    return t.event_rows.select("event_id", F.explode(R.rename_fields(section, renames)).alias("key", "value"))
+    members = t.event_rows.select("event_id", F.concat(F.lit("old."), c("event_type")).alias("key"), c("k").cast("string").alias("value"))
+    return R.rename_members(members, R.renames(t.field_renames, "old_name", "new_name"), ["event_id"])
 
 
 @query(
@@ -140,9 +139,8 @@ def _(t):
 def _(t):
     path = fresh_path(t.spark, "renames")
     t.field_renames.coalesce(1).write.csv(path, sep=";", header=True)
-    section = F.create_map(F.concat(F.lit("old."), c("event_type")), c("k").cast("string"))
-    renames = R.read_rename_csv(t.spark, path)
-    return t.event_rows.select("event_id", F.explode(F.map_keys(R.rename_fields(section, renames))).alias("key"))
+    members = t.event_rows.select("event_id", F.concat(F.lit("old."), c("event_type")).alias("key"), c("k").cast("string").alias("value"))
+    return R.rename_members(members, R.read_renames(t.spark, path), ["event_id"]).select("event_id", "key")
 
 
 LINE_TIME = "CASE WHEN ts >= TIMESTAMP '2024-01-30 23:05:00' THEN ' ' || (epoch_us(ts) // 1000)::VARCHAR ELSE '' END"
@@ -232,19 +230,22 @@ def events_of(t):
     """SELECT event_id, 'CUSTOM_INFO' AS event_type, 'New entry from ' || coalesce(database_name, '-') AS title,
        CASE WHEN ts >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 1435 MINUTE THEN epoch_us(ts) // 1000 END AS start_ms,
        CASE WHEN ts + INTERVAL 1 MINUTE >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 1435 MINUTE THEN epoch_us(ts + INTERVAL 1 MINUTE) // 1000 END AS end_ms,
-       NULL::BIGINT AS timeout, CASE WHEN k % 2 = 0 THEN ' ' ELSE severity END AS tag, 5000::BIGINT AS extra_chars FROM event_log""",
+       360::BIGINT AS timeout, true AS timeout_lowered, CASE WHEN k % 2 = 0 THEN ' ' ELSE severity END AS tag, 5000::BIGINT AS extra_chars FROM event_log""",
 )
 def _(t):
     return events_of(t).select(
-        "event_id", "event_type", "title", "start_ms", "end_ms", "timeout", c("properties")["tag"].alias("tag"),
+        "event_id", "event_type", "title", "start_ms", "end_ms", "timeout", "timeout_lowered", c("properties")["tag"].alias("tag"),
         F.length(c("properties")["extra"]).cast("bigint").alias("extra_chars"),
     )
 
 
-@query("s11_truncated_events", "SELECT event_id, 4096::BIGINT AS extra_chars, 'r1' AS run_id FROM event_log")
+@query("s11_truncated_events", "SELECT event_id, 4096::BIGINT AS extra_chars, 'extra' AS cut_names, 5000::BIGINT AS full_chars, 'r1' AS run_id FROM event_log")
 def _(t):
     out = K.truncated_events(events_of(t))
-    return out.select("event_id", F.length(c("properties")["extra"]).cast("bigint").alias("extra_chars"), c("properties")["run.id"].alias("run_id"))
+    return out.select(
+        "event_id", F.length(c("properties")["extra"]).cast("bigint").alias("extra_chars"),
+        F.array_join(F.map_keys("cut_properties"), ",").alias("cut_names"), c("cut_properties")["extra"].alias("full_chars"), c("properties")["run.id"].alias("run_id"),
+    )
 
 
 @query(

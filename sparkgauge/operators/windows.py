@@ -35,6 +35,11 @@ def batch_limit_oldest(rows: DataFrame, ts: str, key: str, n: int | None, after:
     return rows if n is None else rows.orderBy(F.col(ts).asc_nulls_first(), F.col(key)).limit(n)
 
 
+def newest(rows: DataFrame, ts: str, key: str, k: int | None = None) -> DataFrame:
+    """The k newest rows, ties by key; all rows, in no order, without k."""
+    return rows if k is None else rows.orderBy(F.col(ts).desc(), F.col(key).desc()).limit(k)
+
+
 def nulls_first_sort(rows: DataFrame, ts: str, key: str) -> DataFrame:
     return rows.orderBy(F.col(ts).asc_nulls_first(), F.col(key))
 

@@ -202,7 +202,7 @@ def slowest_queries(queries: DataFrame, monitor_log: DataFrame, slow_minutes: fl
     top = top_k_groups(seen, "total_elapsed_time", k, "query_id", "monitor_name")
     return top.select(
         "query_id", "user_name", "account", "warehouse_name", F.coalesce("monitor_name", F.lit("-")).alias("monitor_name"),
-        c("total_elapsed_time").alias("duration_ms"), F.substring("query_text", 1, 15).alias("query_sql"),
+        c("total_elapsed_time").alias("duration_ms"), c("query_text").alias("query_sql"),
     )
 
 

@@ -12,7 +12,7 @@ from sparkgauge.functions.sections import bucketize, code_of
 from sparkgauge.operators.aggregates import exact_percentile, summarize, take_first, take_last
 from sparkgauge.operators.predicates import filter_out
 from sparkgauge.operators.series import DAY, HOUR, bin_start, bin_summarize, make_timeseries, series_divide
-from sparkgauge.operators.windows import top_k_groups
+from sparkgauge.operators.windows import newest, top_k_groups
 from sparkgauge.plans.reports.costs import chosen
 
 c = F.col
@@ -69,10 +69,9 @@ def ddl_object_types(events: DataFrame, **variables) -> DataFrame:
     return summarize(rows, ["object_domain"], n=F.count("*")).orderBy(c("n").desc(), "object_domain")
 
 
-def recent_ddl(events: DataFrame, k: int = 200, **variables) -> DataFrame:
+def recent_ddl(events: DataFrame, k: int | None = None, **variables) -> DataFrame:
     rows = chosen(events, **variables).filter(c("operation").isNotNull())
-    newest = rows.orderBy(c("ts").desc(), c("event_no").desc()).limit(k)
-    return newest.select("event_no", "ts", "account", "object_name", "operation", "object_domain", "user_name", "properties")
+    return newest(rows, "ts", "event_no", k).select("event_no", "ts", "account", "object_name", "operation", "object_domain", "user_name", "properties")
 
 
 # --- shares --------------------------------------------------------------------------------
@@ -213,9 +212,9 @@ def task_states(runs: DataFrame, step_s: int = DAY, **variables) -> DataFrame:
     return make_timeseries(rows, "ts", ["state", "account"], step_s=step_s, n=F.count("*"))
 
 
-def task_failures(runs: DataFrame, k: int = 100, **variables) -> DataFrame:
+def task_failures(runs: DataFrame, k: int | None = None, **variables) -> DataFrame:
     failed = chosen(runs, **variables).filter(c("state") == "FAILED")
-    return failed.orderBy(c("ts").desc(), c("event_id").desc()).limit(k).select(
+    return newest(failed, "ts", "event_id", k).select(
         "event_id", "ts", "account", "database_name", "schema_name", "task_name", "attempt", "error_code"
     )
 
@@ -264,9 +263,9 @@ def within_target(tables: DataFrame, **variables) -> DataFrame:
     return summarize(rows, ["full_name", "account"], ratio=F.avg(c("within_points") / 100)).orderBy("ratio", "full_name", "account")
 
 
-def refresh_history(refreshes: DataFrame, k: int = 100, **variables) -> DataFrame:
+def refresh_history(refreshes: DataFrame, k: int | None = None, **variables) -> DataFrame:
     rows = chosen(refreshes, **variables).filter(c("state").isNotNull())
-    return rows.orderBy(c("data_timestamp").desc(), c("row_no").desc()).limit(k).select(
+    return newest(rows, "data_timestamp", "row_no", k).select(
         "row_no", "data_timestamp", "account", "full_name", "state", "refresh_action", "refresh_trigger", "state_code"
     )
 

@@ -12,7 +12,7 @@ from sparkgauge.operators.aggregates import summarize
 from sparkgauge.operators.predicates import filter_out
 from sparkgauge.operators.series import DAY, make_timeseries
 from sparkgauge.operators.sets import append
-from sparkgauge.operators.windows import top_k_groups
+from sparkgauge.operators.windows import newest, top_k_groups
 from sparkgauge.plans.reports.costs import chosen
 
 c = F.col
@@ -96,9 +96,9 @@ def admin_top(queries: DataFrame, key: str, k: int = 10, **options) -> DataFrame
     return top_k_groups(summarize(admin_activity(queries, **options), [key], n=F.count("*")), "n", k, key)
 
 
-def admin_latest(queries: DataFrame, k: int = 1000, **options) -> DataFrame:
+def admin_latest(queries: DataFrame, k: int | None = None, **options) -> DataFrame:
     rows = admin_activity(queries, **options).filter(c("query_text").isNotNull())
-    return rows.orderBy(c("start_time").desc(), c("query_id").desc()).limit(k).select(
+    return newest(rows, "start_time", "query_id", k).select(
         "query_id", "user_name", "role_name", "account", "query_text", "start_time", "query_type", "execution_status"
     )
 
@@ -187,8 +187,8 @@ def records_by(rows: DataFrame, by: Sequence[str], **variables) -> DataFrame:
     return summarize(chosen(rows, **variables), by, n=F.count("*"))
 
 
-def last_runs(status: DataFrame, k: int = 50, **variables) -> DataFrame:
-    return chosen(status, **variables).orderBy(c("ts").desc(), c("event_id").desc()).limit(k).select("event_id", "ts", "plugin", "account")
+def last_runs(status: DataFrame, k: int | None = None, **variables) -> DataFrame:
+    return newest(chosen(status, **variables), "ts", "event_id", k).select("event_id", "ts", "plugin", "account")
 
 
 def failed_calls(queries: DataFrame, call: str, **variables) -> DataFrame:

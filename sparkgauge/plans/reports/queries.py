@@ -12,7 +12,7 @@ from sparkgauge.operators.aggregates import summarize, take_first
 from sparkgauge.operators.expand import any_element, collect_field
 from sparkgauge.operators.joins import pipe_join
 from sparkgauge.operators.series import DAY, bin_summarize, fill_bins, make_timeseries, series_lookup
-from sparkgauge.operators.windows import top_k_groups, top_k_series
+from sparkgauge.operators.windows import newest, top_k_groups, top_k_series
 from sparkgauge.plans.reports.costs import chosen
 from sparkgauge.session import cut_lineage
 
@@ -227,7 +227,7 @@ def active_long_running(active: DataFrame, slow_minutes: int, k: int = 20, **var
     started = F.unix_millis("seen_at") - c("total_elapsed_time")
     return top.select(
         "query_id", "run_no", started.alias("started_ms"), c("total_elapsed_time").alias("duration_ms"), "user_name", "warehouse_name",
-        "execution_status", F.substring("query_text", 1, 80).alias("query"), "account",
+        "execution_status", c("query_text").alias("query"), "account",
     )
 
 
@@ -248,5 +248,5 @@ def cartesian_by(spans: DataFrame, by: Column, k: int | None = None) -> DataFram
     return top_k_groups(out, "n", k, "key") if k else out
 
 
-def cartesian_log(spans: DataFrame, k: int = 100) -> DataFrame:
-    return cartesian(spans).orderBy(c("start_time").desc(), c("query_id").desc()).limit(k)
+def cartesian_log(spans: DataFrame, k: int | None = None) -> DataFrame:
+    return newest(cartesian(spans), "start_time", "query_id", k)

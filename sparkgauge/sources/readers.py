@@ -118,28 +118,37 @@ def upsert_by_key(current: DataFrame, new: DataFrame, keys: Sequence[str]) -> Da
 
 # --- semantic names ------------------------------------------------------------------------
 
-# A mapping of field names is a configuration table; more entries than this is a mistake.
-MAX_RENAMES = 10_000
 
+def renames(table: DataFrame, old: str = "old", new: str = "new") -> DataFrame:
+    """One row (old, new) per field name that changes; the smallest new name of several."""
+    pairs = table.select(F.col(old).alias("old"), F.col(new).alias("new")).filter("old IS NOT NULL AND new IS NOT NULL AND old <> new")
+    return pairs.groupBy("old").agg(F.min("new").alias("new"))
 
-def load_renames(table: DataFrame, old: str = "old", new: str = "new") -> dict[str, str]:
-    """Old -> new field names of a mapping table, pairs without a change left out."""
-    pairs = table.select(old, new).filter(F.col(old) != F.col(new)).limit(MAX_RENAMES + 1).collect()
-    if len(pairs) > MAX_RENAMES:
-        raise ValueError("the mapping table has too many rows to be one")
-    return {r[0]: r[1] for r in pairs}
 
-
-def read_rename_csv(spark: SparkSession, path: str) -> dict[str, str]:
+def read_renames(spark: SparkSession, path: str) -> DataFrame:
     """Mapping file with a header and two columns separated by a semicolon."""
-    return load_renames(spark.read.csv(path, sep=";", header=True).toDF("old", "new"))
+    return renames(spark.read.csv(path, sep=";", header=True).toDF("old", "new"))
+
+
+def rename_members(members: DataFrame, names: DataFrame, row: Sequence[str], key: str = "key") -> DataFrame:
+    """The long form of a section, one row per member, with the names of its keys changed.
+
+    A mapping of any size is joined by name, which adaptive execution broadcasts when it is
+    small. A member that has the new name from the start wins over one renamed to it, and of
+    several renamed to one name that with the smallest old name stays.
+    """
+    joined = members.join(names.select(F.col("old").alias(key), F.col("new").alias("_new")), key, "left")
+    order = F.struct(F.col("_new").isNotNull(), F.col(key))
+    rest = [x for x in members.columns if x not in (*row, key)]
+    best = joined.groupBy(*row, F.coalesce("_new", key).alias("_name")).agg(F.min_by(F.struct(*rest), order).alias("_rest"))
+    return best.select(*row, F.col("_name").alias(key), "_rest.*")
 
 
-def rename_fields(section: Column, renames: Mapping[str, str]) -> Column:
-    """Rename the keys of a section; a member that already has the new name stays."""
-    if not renames:
+def rename_fields(section: Column, given: Mapping[str, str]) -> Column:
+    """Rename the keys of a section by names that are parameters of the job; a member that already has the new name stays."""
+    if not given:
         return section
-    names = F.create_map(*[F.lit(x) for pair in renames.items() for x in pair])
+    names = F.create_map(*[F.lit(x) for pair in given.items() for x in pair])
     kept = F.map_filter(section, lambda k, _: ~F.map_contains_key(names, k))
     moved = F.map_filter(section, lambda k, _: F.map_contains_key(names, k))
     return merge_maps(kept, F.transform_keys(moved, lambda k, _: F.element_at(names, k)))

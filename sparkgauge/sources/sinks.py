@@ -155,10 +155,12 @@ def generic_events(
     context: Mapping[str, str],
     properties: Column | None = None,
     timeout: int | None = None,
+    max_timeout: int = MAX_TIMEOUT,
 ) -> DataFrame:
     """Events: type, title (the row's message, else the given one), checked times, merged properties.
 
-    Context wins over the row, the row over extra properties. A timeout above the limit is left out.
+    Context wins over the row, the row over extra properties. A timeout above max_timeout is
+    lowered to it and the rows say so in timeout_lowered.
     """
     kind = F.lit(event_type) if isinstance(event_type, str) else event_type
     pairs = [F.lit(x) for pair in context.items() for x in pair]
@@ -170,16 +172,27 @@ def generic_events(
         normalize_timestamp_unit(start, now).alias("start_ms"),
         normalize_timestamp_unit(end, now).alias("end_ms"),
         normalize_timestamp_unit(timestamp, now).alias("timestamp_ms"),
-        F.lit(timeout if timeout is not None and timeout <= MAX_TIMEOUT else None).cast("bigint").alias("timeout"),
+        F.lit(None if timeout is None else min(timeout, max_timeout)).cast("bigint").alias("timeout"),
+        F.lit(timeout is not None and timeout > max_timeout).alias("timeout_lowered"),
         merge_maps(*parts).alias("properties"),
     )
 
 
-def truncated_events(events: DataFrame, properties: str = "properties") -> DataFrame:
-    """The same events with every property cut to the longest accepted text; empty values vanish."""
-    cut = F.transform_values(F.col(properties), lambda _, v: F.substring(v, 1, PROPERTY_CHARS))
+def truncated_events(events: DataFrame, properties: str = "properties", max_chars: int = PROPERTY_CHARS) -> DataFrame:
+    """The same events with every property cut to max_chars; empty values vanish.
+
+    cut_properties has the full length of each property that was cut, so no cut goes unseen.
+    """
+    given = F.col(properties)
+    long = F.map_filter(given, lambda _, v: F.length(v) > max_chars)
+    cut = F.transform_values(given, lambda _, v: F.substring(v, 1, max_chars))
     empty = F.array(F.lit("{}"), F.lit("[]"))
-    return events.withColumn(properties, F.map_filter(cut, lambda _, v: ~F.array_contains(empty, v)))
+    return events.withColumns(
+        {
+            properties: F.map_filter(cut, lambda _, v: ~F.array_contains(empty, v)),
+            "cut_properties": F.transform_values(long, lambda _, v: F.length(v).cast("bigint")),
+        }
+    )
 
 
 def cloud_events(

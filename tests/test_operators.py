@@ -308,3 +308,31 @@ def test_batches_against_brute_force(spark):
     lanes = {i: lane for lane, i, _ in data}
     for i in (250, 999):
         assert [j for j in got if lanes[j] == lanes[i] and got[j] == got[i]] == [i]
+
+
+def test_monitor_warning_depends_on_account_level(spark):
+    from sparkgauge.plans.collectors.warehouses import monitor_warnings
+
+    some = spark.createDataFrame([("a", "WAREHOUSE"), ("b", None)], "name string, level string")
+    assert monitor_warnings(some).count() == 1
+    assert monitor_warnings(some.limit(0)).count() == 1
+    assert monitor_warnings(some.union(spark.createDataFrame([("c", "ACCOUNT")], some.schema))).count() == 0
+
+
+def test_rename_members_joins_by_name(spark):
+    from sparkgauge.sources.readers import rename_members, renames
+
+    names = renames(spark.createDataFrame([("a", "x"), ("b", "x"), ("c", "c"), (None, "z"), ("d", None)], "old string, new string"))
+    members = spark.createDataFrame(
+        [(1, "a", "1"), (1, "b", "2"), (2, "a", "3"), (2, "x", "4"), (3, "c", "5"), (3, "d", None)], "id int, key string, value string"
+    )
+    found = {(r.id, r.key, r.value) for r in rename_members(members, names, ["id"]).collect()}
+    assert found == {(1, "x", "1"), (2, "x", "4"), (3, "c", "5"), (3, "d", None)}
+
+
+def test_cut_properties_are_marked(spark):
+    from sparkgauge.sources.sinks import truncated_events
+
+    rows = spark.sql("SELECT 1 AS id, map('a', 'abcdef', 'b', 'ab', 'c', '{}') AS properties")
+    row = truncated_events(rows, max_chars=4).first()
+    assert row.properties == {"a": "abcd", "b": "ab"} and row.cut_properties == {"a": 6}

@@ -1,13 +1,16 @@
 """Inventory 2.10: incremental state and streaming."""
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import functions as F
 
 from sparkgauge.catalog.base import query
 from sparkgauge.catalog.frames import FRAMES
-from sparkgauge.catalog.sourcing import FAN_SQL, fanned
+from sparkgauge.catalog.sourcing import FAN_SQL, fanned, instrumented_events
+from sparkgauge.operators import fanout as FO
 from sparkgauge.operators import state as ST
+from sparkgauge.plans import runs as RN
 from sparkgauge.session import fresh_path
 from sparkgauge.streaming import jobs as SJ
 
@@ -127,7 +130,8 @@ def _(t):
     "i7_fan_out",
     FAN_SQL
     + """SELECT 'entries' AS kind, count(*) AS n FROM f UNION ALL SELECT 'log_lines', count(*) FROM f WHERE NOT as_event UNION ALL SELECT 'metrics', sum(n_metrics)::BIGINT FROM f
-       UNION ALL SELECT 'events', (count(*) FILTER (WHERE as_event) + sum(n_times))::BIGINT FROM f""",
+       UNION ALL SELECT 'events', (count(*) FILTER (WHERE as_event) + sum(n_times))::BIGINT FROM f UNION ALL SELECT 'spans', count(*) FILTER (WHERE is_span) FROM f
+       UNION ALL SELECT 'span_events', sum(n_span_events)::BIGINT FROM f UNION ALL SELECT 'errors', count(*) FILTER (WHERE is_error) FROM f""",
 )
 def _(t):
     return fanned(t).counts()
@@ -150,6 +154,75 @@ def _(t):
     return fanned(t).logs.select("event_id", "content", "level")
 
 
+@query(
+    "i7_fan_out_spans",
+    """SELECT event_id, trace_id, span_id, parent_span_id, CASE WHEN parent_span_id IS NULL THEN 'SERVER' ELSE 'INTERNAL' END AS kind, 'New entry from ' || coalesce(database_name, '-') AS name,
+       epoch_us(ts) * 1000 AS start_ns, epoch_us(ts) * 1000 + k % 50 * 1000000000 AS end_ns, 'OK' AS status_code FROM event_log WHERE record_type = 'SPAN' AND k % 7 > 1""",
+)
+def _(t):
+    return fanned(t).spans.drop("attributes")
+
+
+@query(
+    "i7_fan_out_span_events",
+    """WITH s AS (SELECT * FROM event_log WHERE record_type = 'SPAN' AND k % 7 > 1)
+       SELECT event_id, span_id, 'started' AS event, epoch_us(ts) * 1000 AS event_ns FROM s WHERE k % 3 = 0 AND k % 50 = 0
+       UNION ALL SELECT event_id, span_id, 'seen', epoch_us(ts) * 1000 FROM s WHERE k % 4 = 0""",
+)
+def _(t):
+    return fanned(t).span_events.select("event_id", "span_id", "event", "event_ns")
+
+
+# --- runs ----------------------------------------------------------------------------------
+
+RUN_OPTIONS = {"event_column": "error.code", "mark_ns": 1705276800000000000, "spans": FO.SpanColumns()}
+
+
+def event_context(rows, ts, batch=None):
+    """The event rows as a context of a run; ``collect`` filters on the time column."""
+    return RN.Context("event_log", lambda since: rows if since is None else rows.filter(c(ts) >= F.lit(since)), "event_id", ts, batch=batch)
+
+
+@query(
+    "i1_runs_by_batches",
+    """SELECT event_id, 1::BIGINT AS records, (k % 5 <> 0)::BIGINT + 1 AS metrics FROM event_log""",
+)
+def _(t):
+    """Runs of a quarter of the rows until nothing is left; days as times, so that every border has ties."""
+    rows = instrumented_events(t).withColumn("day", F.date_trunc("day", F.timestamp_micros("us")))
+    context = event_context(rows, "day", batch=rows.count() // 4 + 1)
+    path = fresh_path(t.spark, "runs")
+    RN.run_until_done(t.spark, path, context, "r", EVENT_AS_OF, **RUN_OPTIONS)
+    kinds = [RN.output(t.spark, path, context, kind).select("event_id", F.lit(kind).alias("kind")) for kind in ("logs", "events", "metrics")]
+    every = reduce(lambda a, b: a.unionByName(b), kinds)
+    is_metric = c("kind") == "metrics"
+    return every.groupBy("event_id").agg(F.count_if(~is_metric).alias("records"), F.count_if(is_metric).alias("metrics"))
+
+
+@query(
+    "i1_runs_replayed",
+    FAN_SQL
+    + """, g AS (SELECT *, (ts >= TIMESTAMP '2024-01-16 00:00:00')::INT AS run FROM f)
+       SELECT run, 'logs' AS kind, count(*) FILTER (WHERE NOT as_event) AS n FROM g GROUP BY run UNION ALL SELECT run, 'events', count(*) FILTER (WHERE as_event) FROM g GROUP BY run
+       UNION ALL SELECT run, 'metrics', sum(n_metrics)::BIGINT FROM g GROUP BY run UNION ALL SELECT run, 'timestamp_events', sum(n_times)::BIGINT FROM g GROUP BY run
+       UNION ALL SELECT run, 'spans', count(*) FILTER (WHERE is_span) FROM g GROUP BY run UNION ALL SELECT run, 'span_events', sum(n_span_events)::BIGINT FROM g GROUP BY run""",
+)
+def _(t):
+    """Two runs over a growing table; each dies once before its state is written and is asked for once more after it."""
+    rows = instrumented_events(t).withColumn("ts", F.timestamp_micros("us"))
+    path = fresh_path(t.spark, "runs")
+    for seen in (rows.filter("ts < TIMESTAMP '2024-01-16 00:00:00'"), rows):
+        context = event_context(seen, "ts")
+        RN.start(t.spark, path, context, "dies", EVENT_AS_OF, **RUN_OPTIONS)
+        RN.run_once(t.spark, path, context, "lives", EVENT_AS_OF, **RUN_OPTIONS)
+        RN.run_once(t.spark, path, context, "again", EVENT_AS_OF, **RUN_OPTIONS)
+    counts = [
+        RN.output(t.spark, path, context, kind).groupBy(c("run").cast("int").alias("run")).agg(F.count("*").alias("n")).select("run", F.lit(kind).alias("kind"), "n")
+        for kind in FO.KINDS
+    ]
+    return reduce(lambda a, b: a.unionByName(b), counts)
+
+
 @query(
     "i8_event_condition",
     """SELECT event_id, error_code IS NOT NULL AS has_error, coalesce(contains(lower(error_message), 'pass'), false) AS bad_password FROM login_log""",
@@ -165,11 +238,44 @@ def _(t):
 # --- streaming twins -----------------------------------------------------------------------
 
 
+# Rows as they arrive: some an hour late, some again half an hour later, some 18 days late, which
+# is past every watermark by then.
+FRAMES["event_feed"] = """
+SELECT event_id, ts, event_type, value, props,
+       CASE WHEN event_id % 50 = 0 AND ts < TIMESTAMP '2024-01-11 00:00:00' THEN ts + INTERVAL '18' DAY
+            WHEN event_id % 7 = 3 THEN ts + INTERVAL '1' HOUR ELSE ts END AS arrival
+FROM events
+UNION ALL
+SELECT event_id, ts, event_type, value, props, ts + INTERVAL '30' MINUTE AS arrival
+FROM events WHERE event_id % 10 = 1
+"""
+IN_TIME = "NOT (event_id % 50 = 0 AND ts < TIMESTAMP '2024-01-11 00:00:00')"
+SLICE_FILES = 4
+
+
+def as_stream(spark, rows, order, borders):
+    """Rows written in slices between the borders of a column, one after the other, and read back a slice per batch."""
+    path = fresh_path(spark, "feed")
+    for low, high in zip([None, *borders], [*borders, None]):
+        part = rows
+        if low is not None:
+            part = part.filter(c(order) >= F.lit(low))
+        if high is not None:
+            part = part.filter(c(order) < F.lit(high))
+        part.repartition(SLICE_FILES).write.mode("append").parquet(path)
+    return SJ.read_stream(spark, path, "*.parquet", rows.schema, SLICE_FILES)
+
+
 def event_stream(t):
     """The event table as a file stream."""
     return SJ.read_stream(t.spark, t.sf_dir, "events.parquet", t.events.schema)
 
 
+def feed_stream(t):
+    """The event feed in six batches by arrival."""
+    return as_stream(t.spark, t.event_feed, "arrival", [dt.datetime(2024, 1, d) for d in (6, 11, 16, 21, 26)])
+
+
 @query(
     "i9_stream_windows",
     """WITH m AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 2 HOUR AS mark FROM events),
@@ -182,15 +288,15 @@ def _(t):
     return out.select(F.unix_seconds("window_start").alias("start_s"), "event_type", "n")
 
 
-@query("i2_stream_processed_once", "SELECT DISTINCT event_id - event_id % 2 AS query_no FROM events")
+@query("i2_stream_processed_once", f"SELECT event_id FROM events WHERE {IN_TIME}")
 def _(t):
-    keyed = event_stream(t).select((c("event_id") - c("event_id") % 2).alias("query_no"), "ts")
-    return SJ.materialise(SJ.processed_once(keyed, "query_no", "ts").select("query_no"), "processed")
+    return SJ.materialise(SJ.processed_once(feed_stream(t).select("event_id", "ts"), "event_id", "ts").select("event_id"), "processed")
 
 
-@query("i5_stream_late_tolerant", "SELECT event_id FROM events")
+@query("i5_stream_late_tolerant", f"SELECT event_id, event_type FROM events WHERE {IN_TIME}")
 def _(t):
-    return SJ.materialise(SJ.late_tolerant(event_stream(t).select("event_id", "ts"), "event_id", "ts").select("event_id"), "late")
+    rows = feed_stream(t).select("event_id", "event_type", "ts")
+    return SJ.materialise(SJ.late_tolerant(rows, "event_id", "ts").select("event_id", "event_type"), "late")
 
 
 @query(
@@ -198,21 +304,21 @@ def _(t):
     "SELECT DISTINCT c_nationkey, c_mktsegment FROM customer",
 )
 def _(t):
-    stream = SJ.read_stream(t.spark, t.sf_dir, "customer.parquet", t.customer.schema)
-    path = fresh_path(t.spark, "snapshots")
-    SJ.snapshot_diff_stream(stream, ["c_nationkey", "c_mktsegment"], path, path + "-checkpoint").awaitTermination()
-    return t.spark.read.parquet(path).select("c_nationkey", "c_mktsegment")
+    """Three batches of customers, in each of which most rows were seen before."""
+    last = t.customer.agg(F.max("c_custkey")).first()[0]
+    stream = as_stream(t.spark, t.customer, "c_custkey", [last // 3, 2 * last // 3])
+    return SJ.materialise(SJ.snapshot_diff_stream(stream, ["c_nationkey", "c_mktsegment"]), "snapshots")
 
 
 @query(
     "i7_stream_fan_out",
-    """SELECT 'logs' AS kind, count(*) FILTER (WHERE event_type <> 'error') AS n FROM events UNION ALL SELECT 'events', count(*) FILTER (WHERE event_type = 'error') FROM events
-       UNION ALL SELECT 'metrics', count(*) FROM events UNION ALL SELECT 'timestamp_events', count(*) FROM events""",
+    """SELECT 'logs' AS kind, count(*) FILTER (WHERE event_type <> 'error') AS n FROM event_feed UNION ALL SELECT 'events', count(*) FILTER (WHERE event_type = 'error') FROM event_feed
+       UNION ALL SELECT 'metrics', count(*) FROM event_feed UNION ALL SELECT 'timestamp_events', count(*) FROM event_feed""",
 )
 def _(t):
     from sparkgauge.functions import sections as S
 
-    rows = event_stream(t).select(
+    rows = feed_stream(t).select(
         "event_id", (F.unix_micros("ts") * 1000).alias("start_time"), F.concat(F.lit("event "), c("event_type")).alias("message"),
         S.text_section({"type": c("event_type")}).alias("dimensions"),
         S.text_section({"error.code": F.when(c("event_type") == "error", c("props"))}).alias("attributes"),

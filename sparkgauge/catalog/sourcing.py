@@ -43,6 +43,11 @@ def instrumented_events(t):
         S.text_section({"status.code": F.when(c("record_type") == "EVENT", F.lit("ERROR")), "error.code": F.when(c("record_type") == "EVENT", c("severity")), "tag": F.when(c("k") % 2 == 0, F.lit(" ")).otherwise(c("severity"))}).alias("attributes"),
         S.number_section({"amount": F.when(c("k") % 5 != 0, c("amount")), "k": c("k")}).alias("metrics"),
         S.time_section({"started": F.when(c("k") % 3 == 0, c("start_ts")), "seen": F.when(c("k") % 4 == 0, c("ts"))}).alias("event_timestamps"),
+        F.when(c("record_type") == "SPAN", c("span_id")).alias("span_id"),
+        "trace_id",
+        "parent_span_id",
+        # Some spans are still open, and some end before they start.
+        (F.unix_micros("ts") * 1000 + F.when(c("k") % 7 == 1, -1).when(c("k") % 7 != 0, c("k") % 50 * 1_000_000_000)).alias("end_time"),
     )
 
 
@@ -295,19 +300,22 @@ def _(t):
 
 FAN_SQL = """
 WITH f AS (SELECT event_id, record_type = 'EVENT' AS as_event, (k % 5 <> 0)::INT + 1 AS n_metrics,
-  (k % 3 = 0 AND start_ts >= TIMESTAMP '2024-01-15 00:00:00')::INT + (k % 4 = 0 AND ts >= TIMESTAMP '2024-01-15 00:00:00')::INT AS n_times FROM event_log)
+  (k % 3 = 0 AND start_ts >= TIMESTAMP '2024-01-15 00:00:00')::INT + (k % 4 = 0 AND ts >= TIMESTAMP '2024-01-15 00:00:00')::INT AS n_times,
+  record_type = 'SPAN' AND k % 7 > 1 AS is_span, record_type = 'SPAN' AND k % 7 < 2 AS is_error,
+  CASE WHEN record_type = 'SPAN' AND k % 7 > 1 THEN (k % 3 = 0 AND k % 50 = 0)::INT + (k % 4 = 0)::INT ELSE 0 END AS n_span_events, ts FROM event_log)
 """
 
 
 def fanned(t, **options):
-    return FO.fan_out(instrumented_events(t), "event_id", event_column="error.code", mark_ns=1705276800000000000, **options)
+    return FO.fan_out(instrumented_events(t), "event_id", event_column="error.code", mark_ns=1705276800000000000, spans=FO.SpanColumns(), **options)
 
 
 @query(
     "s14_run_report",
     FAN_SQL
     + """SELECT 'event_log' AS context, 'r1' AS run_id, '{"entries":' || count(*) || ',"log_lines":' || count(*) FILTER (WHERE NOT as_event) || ',"metrics":' || sum(n_metrics)
-       || ',"events":' || (count(*) FILTER (WHERE as_event) + sum(n_times)) || '}' AS entries_count FROM f""",
+       || ',"events":' || (count(*) FILTER (WHERE as_event) + sum(n_times)) || ',"spans":' || count(*) FILTER (WHERE is_span) || ',"span_events":' || sum(n_span_events)
+       || ',"errors":' || count(*) FILTER (WHERE is_error) || '}' AS entries_count FROM f""",
 )
 def _(t):
     return K.run_report(fanned(t).counts(), "event_log", "r1")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from sparkgauge.operators.fanout import fan_out
+from sparkgauge.operators.fanout import KINDS, fan_out
 from sparkgauge.session import fresh_path
 
 
@@ -76,27 +76,21 @@ def fan_out_stream(stream: DataFrame, row_id: str, path: str, checkpoint: str, *
     def handle(batch: DataFrame, number: int) -> None:
         rows = batch.persist()
         out = fan_out(rows, row_id, **options)
-        for kind in ("metrics", "timestamp_events", "events", "logs"):
+        kinds = KINDS if options.get("spans") else KINDS[:4]
+        for kind in kinds:
             getattr(out, kind).write.mode("overwrite").parquet(f"{path}/{kind}/batch={number}")
         rows.unpersist()
 
     return for_each_batch(stream, handle, checkpoint)
 
 
-def snapshot_diff_stream(stream: DataFrame, columns: Sequence[str], path: str, checkpoint: str) -> StreamingQuery:
-    """Report rows not seen in earlier batches; the reported rows are the state.
+def snapshot_diff_stream(stream: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows not seen in earlier batches.
 
-    State of batch n lies under its own number, so a replay compares with batches below n only.
+    The rows seen are keyed state, so a batch looks up its own rows only and reads no earlier
+    output. Equal nulls are equal.
     """
-
-    def handle(batch: DataFrame, number: int) -> None:
-        fresh = batch.select(*columns).distinct()
-        if number > 0:
-            seen = batch.sparkSession.read.parquet(path).filter(F.col("batch") < number).select(*columns)
-            fresh = fresh.subtract(seen)
-        fresh.write.mode("overwrite").parquet(f"{path}/batch={number}")
-
-    return for_each_batch(stream, handle, checkpoint)
+    return stream.select(*columns).dropDuplicates()
 
 
 def materialise(stream: DataFrame, name: str) -> DataFrame:

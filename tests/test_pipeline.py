@@ -17,6 +17,9 @@ from sparkgauge.streaming import jobs as SJ
 NOW = dt.datetime(2024, 1, 31)
 
 
+NO_SPANS = {"spans": 0, "span_events": 0, "errors": 0}
+
+
 def kinds(out):
     return {r["kind"]: r["n"] for r in out.counts().collect()}
 
@@ -28,8 +31,8 @@ def test_data_volume_counts(spark):
         "table_catalog string, table_schema string, table_name string, table_type string, row_count bigint, bytes bigint, last_altered timestamp, last_ddl timestamp, deleted timestamp",
     )
     out = tables.data_volume(rows, NOW, ["D.%"]).withColumn("id", F.col("dimensions")["db.collection.name"])
-    assert kinds(fan_out(out, "id", report_logs=False)) == {"entries": 2, "log_lines": 0, "metrics": 7, "events": 3}
-    assert kinds(fan_out(out, "id", report_metrics=False, report_timestamp_events=False)) == {"entries": 2, "log_lines": 2, "metrics": 0, "events": 0}
+    assert kinds(fan_out(out, "id", report_logs=False)) == {"entries": 2, "log_lines": 0, "metrics": 7, "events": 3} | NO_SPANS
+    assert kinds(fan_out(out, "id", report_metrics=False, report_timestamp_events=False)) == {"entries": 2, "log_lines": 2, "metrics": 0, "events": 0} | NO_SPANS
 
 
 def test_event_usage_counts(spark):
@@ -37,16 +40,16 @@ def test_event_usage_counts(spark):
 
     rows = spark.createDataFrame([(NOW, NOW, 1.5, 10), (NOW, NOW, 0.5, 20)], "start_time timestamp, end_time timestamp, credits_used double, bytes_ingested bigint")
     out = event_usage(rows, NOW + dt.timedelta(hours=1), None).withColumn("id", F.monotonically_increasing_id())
-    assert kinds(fan_out(out, "id")) == {"entries": 2, "log_lines": 2, "metrics": 4, "events": 0}
+    assert kinds(fan_out(out, "id")) == {"entries": 2, "log_lines": 2, "metrics": 4, "events": 0} | NO_SPANS
 
 
 def test_failed_rows_become_events(spark):
     spec = RowSpec(message="'m'", dimensions={"db.user": "u"}, attributes={"error.code": "e"}, timestamp="ts")
     rows = instrument(spark.createDataFrame([("a", None, NOW), ("b", "X1", NOW)], "u string, e string, ts timestamp"), spec, ["u"])
     out = fan_out(rows, "u", event_column="error.code")
-    assert kinds(out) == {"entries": 2, "log_lines": 1, "metrics": 0, "events": 1}
+    assert kinds(out) == {"entries": 2, "log_lines": 1, "metrics": 0, "events": 1} | NO_SPANS
     assert out.events.first()["u"] == "b"
-    assert kinds(fan_out(rows, "u", event_column="error.code", event_value="x2")) == {"entries": 2, "log_lines": 2, "metrics": 0, "events": 0}
+    assert kinds(fan_out(rows, "u", event_column="error.code", event_value="x2")) == {"entries": 2, "log_lines": 2, "metrics": 0, "events": 0} | NO_SPANS
 
 
 def test_events_before_the_mark_are_not_repeated(spark):
@@ -57,7 +60,7 @@ def test_events_before_the_mark_are_not_repeated(spark):
     )
     out = fan_out(rows, "id", report_logs=False, mark_ns=10)
     assert [r["trigger"] for r in out.timestamp_events.collect()] == ["new"]
-    assert kinds(fan_out(rows, "id", report_logs=False, mark_ns=11)) == {"entries": 0, "log_lines": 0, "metrics": 0, "events": 0}
+    assert kinds(fan_out(rows, "id", report_logs=False, mark_ns=11)) == {"entries": 0, "log_lines": 0, "metrics": 0, "events": 0} | NO_SPANS
 
 
 def test_absent_source_columns_are_absent_members(spark):
@@ -133,7 +136,7 @@ def test_source_string():
 def test_objects_structured_and_flat(spark):
     objects = [{"TIMESTAMP": 5, "_MESSAGE": "hi", "DIMENSIONS": {"a": "b"}, "METRICS": '{"m": 1}', "EVENT_TIMESTAMPS": {"t": 9}}, {"_message": "low", "DIMENSIONS": None}]
     rows = R.instrumented_from_json(R.read_source(spark, objects)).withColumn("id", F.monotonically_increasing_id())
-    assert kinds(custom.structured_source(rows, "id", custom.Switches())) == {"entries": 2, "log_lines": 2, "metrics": 1, "events": 1}
+    assert kinds(custom.structured_source(rows, "id", custom.Switches())) == {"entries": 2, "log_lines": 2, "metrics": 1, "events": 1} | NO_SPANS
     flat = R.flat_from_json(R.read_source(spark, {"_message": "m", "x": 1, "none": None})).first()
     assert (flat["message"], flat["flat"]) == ("m", {"x": "1"})
     quiet = custom.Switches(auto_mode=False, logs=False)
@@ -190,10 +193,46 @@ def test_ids_pass_once(spark, event_files):
 def test_stream_restart_writes_nothing_twice(spark, event_files):
     path = fresh_path(spark, "diff")
     for _ in range(2):
-        SJ.snapshot_diff_stream(stream(spark, event_files), ["id"], path, path + "-checkpoint").awaitTermination()
+        SJ.run_available(SJ.snapshot_diff_stream(stream(spark, event_files), ["id"]), path, path + "-checkpoint")
     assert sorted(r["id"] for r in spark.read.parquet(path).select("id").collect()) == [1, 2, 3, 4, 5]
 
 
 def test_shared_folder_comes_from_the_session(spark):
     assert fresh_path(spark, "x").startswith(shared_dir(spark))
     assert shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
+
+
+def test_runs_read_ties_once_and_repeat_nothing(spark, tmp_path):
+    from sparkgauge.plans import runs
+
+    rows = spark.sql(
+        "SELECT id, CASE WHEN id < 3 THEN NULL ELSE timestamp_seconds(id DIV 5) END AS at, id * 1000 AS start_time, 'm' AS message,"
+        " map('d', 'x') AS dimensions, map('a', 'y') AS attributes, map('n', 1D) AS metrics, map('e', id) AS event_timestamps FROM range(20)"
+    )
+    path = str(tmp_path / "out")
+    context = runs.Context("c", lambda since: rows, "id", "at", batch=7)
+    assert runs.run_until_done(spark, path, context, "r", NOW) == 3
+    logs = runs.output(spark, path, context, "logs").select("id").collect()
+    assert sorted(r[0] for r in logs) == list(range(20))
+    assert runs.run_once(spark, path, context, "more", NOW).is_empty
+    # What a run wrote before it died is neither read nor kept.
+    late = spark.range(20, 22).crossJoin(rows.filter("id = 19").drop("id", "at")).selectExpr("id", "timestamp_seconds(9) AS at", "* EXCEPT (id)")
+    grown = runs.Context("c", lambda since: rows.unionByName(late), "id", "at", batch=7)
+    runs.start(spark, path, grown, "dies", NOW)
+    assert runs.output(spark, path, grown, "logs").count() == 20
+    runs.run_once(spark, path, grown, "lives", NOW)
+    assert sorted(r[0] for r in runs.output(spark, path, grown, "logs").select("id").collect()) == list(range(22))
+    assert runs.status_log(spark, path, grown).agg(F.sum("entries")).first()[0] == 22
+
+
+def test_spans_without_trace_or_valid_times_are_errors(spark):
+    from sparkgauge.operators.fanout import SpanColumns
+
+    rows = spark.createDataFrame(
+        [(1, 10, 20, "s1", "t", None), (2, 10, 5, "s2", "t", "s1"), (3, 10, 20, "s3", None, "s1"), (4, 10, None, "s4", "t", "s1"), (5, 10, 20, None, "t", None), (6, None, 20, "s6", "t", "s1"), (7, 10, 10, "s7", "t", "s1")],
+        "id int, start_time bigint, end_time bigint, span_id string, trace_id string, parent_span_id string",
+    ).selectExpr("*", "'m' AS message", "map('d', 'x') AS dimensions", "map('a', 'y') AS attributes", "map('n', 1D) AS metrics", "map('in', 10L, 'out', 21L) AS event_timestamps")
+    out = fan_out(rows, "id", report_logs=False, report_timestamp_events=False, spans=SpanColumns())
+    assert kinds(out) == {"entries": 7, "log_lines": 0, "metrics": 7, "events": 0, "spans": 2, "span_events": 2, "errors": 4}
+    assert {(r.id, r.kind) for r in out.spans.collect()} == {(1, "SERVER"), (7, "INTERNAL")}
+    assert {(r.id, r.event) for r in out.span_events.collect()} == {(1, "in"), (7, "in")}

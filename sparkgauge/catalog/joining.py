@@ -92,6 +92,11 @@ def _(t):
     )
 
 
+@query("j7_monitor_warehouse_pairs", MONITORED_SQL + "SELECT monitor, warehouse FROM m")
+def _(t):
+    return J.monitor_warehouse_pairs(t.monitors, t.warehouses)
+
+
 @query(
     "j8_warehouse_to_monitor",
     """SELECT w.name, (w.resource_monitor IS NULL OR w.resource_monitor = 'null') AS is_unmonitored, m.name AS monitor_name, m.level AS monitor_level, m.credit_quota AS monitor_credit_quota

@@ -112,34 +112,42 @@ def _with_account_flag(monitors: DataFrame, name: str, level: str) -> tuple[Data
     return own, account
 
 
-def monitor_to_warehouses(
+def monitor_warehouse_pairs(
     monitors: DataFrame, warehouses: DataFrame, *, monitor: str = "resource_monitor", name: str = "name", level: str = "level"
 ) -> DataFrame:
-    """Monitors full-joined to the warehouses they watch, with the sorted warehouse names.
+    """Monitors full-joined to the warehouses they watch: one row (monitor, warehouse) per pair.
 
-    A warehouse without a monitor belongs to the account-level monitor. The names are
-    aggregated per monitor before the join, so only one row per monitor is joined.
+    A warehouse without a monitor belongs to the account-level monitors. A monitor that watches
+    none has a null warehouse, a warehouse of an unknown monitor a null monitor. Many warehouses
+    without a monitor are many rows of one key on the left side, which a skewed join splits.
     """
     kind = F.when(is_unmonitored(F.col(monitor)), F.lit("account")).otherwise(F.lit("own"))
     watched = warehouses.select(
         kind.alias("_kind"),
         F.when(is_unmonitored(F.col(monitor)), F.lit("")).otherwise(F.col(monitor)).alias("_key"),
-        F.col(name).alias("_warehouse"),
+        F.col(name).alias("warehouse"),
     )
     own, account = _with_account_flag(monitors, name, level)
-    matched = own.unionByName(account).join(watched, ["_kind", "_key"])
-    per_monitor = matched.groupBy(F.col(name)).agg(F.array_sort(F.collect_list("_warehouse")).alias("warehouses"))
-    with_names = monitors.join(per_monitor, name, "left").withColumn(
+    keyed = own.unionByName(account).select("_kind", "_key", F.col(name).alias("monitor"))
+    pairs = watched.join(keyed, ["_kind", "_key"], "left").select("monitor", "warehouse")
+    idle = monitors.select(F.col(name).alias("monitor")).join(pairs.select("monitor"), "monitor", "left_anti")
+    return pairs.unionByName(idle, allowMissingColumns=True)
+
+
+def monitor_to_warehouses(
+    monitors: DataFrame, warehouses: DataFrame, *, monitor: str = "resource_monitor", name: str = "name", level: str = "level"
+) -> DataFrame:
+    """Monitors with the sorted names of their warehouses, and one row without a monitor for all lost ones.
+
+    A list holds a monitor's warehouses; where they may be very many, use the pairs.
+    """
+    pairs = monitor_warehouse_pairs(monitors, warehouses, monitor=monitor, name=name, level=level)
+    names = F.array_sort(F.collect_list("warehouse")).alias("warehouses")
+    lists = pairs.filter(F.col("warehouse").isNotNull()).groupBy(F.col("monitor").alias(name)).agg(names)
+    with_names = monitors.join(lists, name, "left").withColumn(
         "warehouses", F.coalesce("warehouses", F.array().cast("array<string>"))
     )
-    known = own.unionByName(account).select("_kind", "_key").distinct()
-    lost = watched.join(known, ["_kind", "_key"], "left_anti")
-    orphan = (
-        lost.groupBy(F.lit(1).alias("_all"))
-        .agg(F.array_sort(F.collect_list("_warehouse")).alias("warehouses"))
-        .drop("_all")
-    )
-    return with_names.unionByName(orphan, allowMissingColumns=True)
+    return with_names.unionByName(lists.filter(F.col(name).isNull()), allowMissingColumns=True)
 
 
 def warehouse_to_monitor(

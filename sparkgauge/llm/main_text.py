@@ -4,14 +4,15 @@ A page is read as a sequence of text nodes, each with its path of tags from the
 path the text length and the punctuation of all its nodes are added up and set in relation
 to the number of nodes; the two ratios are smoothed along the page, fused by their product
 and compared with a threshold of the page itself (its standard deviation). Paths above it
-are content. Two facts of the markup decide before the ratios do: containers that cannot be
-content (menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts) are
-left out, and an article element is content as a whole. Runs page by page on Arrow batches.
+are content. Containers that cannot be content (menus, headers, footers, sidebars, notices,
+adverts, forms, comments, scripts) are left out before; a path within an article or main
+element has the page's highest ratio added to its own, so its short headings and paragraphs
+stay, while text outside is judged by the same threshold. Runs page by page on Arrow batches.
 
 Defined results
   - null, empty or markup-only pages have an empty text;
-  - a page without an article element is judged by the ratios of its remaining paths; if
-    none is above the threshold, all of them are content;
+  - a page's paths are judged with or without an article; everything in an article or main
+    that is not left out is content, and so is the path of the highest ratio, wherever it is;
   - unclosed and crossed tags are closed by their containers; cut pages end where they end;
   - repeated pages and null ids or urls give one row each; empty tables give an empty
     result; other columns are ignored, whatever their names.
@@ -48,6 +49,8 @@ CLOSED_BY = {
     "th": frozenset({"td", "th", "tr", "tbody", "tfoot"}),
     "option": frozenset({"option", "optgroup"}),
 }
+# Elements that say their text is the page's own.
+BODY_TAGS = frozenset({"article", "main"})
 # Elements, roles and words of class or id that mark what is not content.
 ASIDE_TAGS = frozenset("nav footer aside form menu dialog".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
@@ -62,11 +65,11 @@ _WORDS = re.compile(r"[a-z]+")
 
 
 class _Page(HTMLParser):
-    """Collects text nodes as [path, in an article, text pieces]; a block is one node."""
+    """Collects text nodes as [path, within article or main, text pieces]; a block is one node."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, bool]] = []  # tag, left out, within an article
+        self.open: list[tuple[str, bool, bool]] = []  # tag, left out, within article or main
         self.blocks: list[tuple[str, bool, list[str]]] = []
         self.fresh = True
 
@@ -78,9 +81,10 @@ class _Page(HTMLParser):
             self.fresh = True
         if tag in VOID:
             return
-        out, article = (self.open[-1][1], self.open[-1][2]) if self.open else (False, False)
-        out = out or tag in SILENT or tag in ASIDE_TAGS or (tag == "header" and not article) or self._marked(tag, attrs)
-        self.open.append((tag, out, article or tag == "article"))
+        out, body = (self.open[-1][1], self.open[-1][2]) if self.open else (False, False)
+        page_header = tag == "header" and not any(t == "article" for t, _, _ in self.open)
+        out = out or tag in SILENT or tag in ASIDE_TAGS or page_header or self._marked(tag, attrs)
+        self.open.append((tag, out, body or tag in BODY_TAGS))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # the slash means nothing in HTML
@@ -94,14 +98,14 @@ class _Page(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
-        path, out, article = "", False, False
+        path, out, body = "", False, False
         if self.open:
-            _, out, article = self.open[-1]
+            _, out, body = self.open[-1]
         if out:
             return
         if self.fresh or not self.blocks:
             path = "/".join(t for t, _, _ in self.open)
-            self.blocks.append((path, article, [data]))
+            self.blocks.append((path, body, [data]))
             self.fresh = False
         else:
             self.blocks[-1][2].append(data)
@@ -143,23 +147,27 @@ def _smooth(values: list[float]) -> list[float]:
     return out
 
 
-def content_paths(blocks: list[tuple[str, str]]) -> set[str]:
-    """The content paths among (path, text) in page order, by smoothed and fused ratios."""
-    totals: dict[str, list[int]] = {}
-    for path, text in blocks:
-        t = totals.setdefault(path, [0, 0, 0])
+def content_paths(blocks: list[tuple[str, bool, str]]) -> set[tuple[str, bool]]:
+    """The content paths among (path, within article or main, text) in page order, by smoothed and fused ratios."""
+    totals: dict[tuple[str, bool], list[int]] = {}
+    for path, body, text in blocks:
+        t = totals.setdefault((path, body), [0, 0, 0])
         t[0] += len(text)
         t[1] += len(_PUNCTUATION.findall(text))
         t[2] += 1
-    length = _smooth([totals[p][0] / totals[p][2] for p, _ in blocks])
-    marks = _smooth([totals[p][1] / totals[p][2] for p, _ in blocks])
+    keys = [(path, body) for path, body, _ in blocks]
+    length = _smooth([totals[k][0] / totals[k][2] for k in keys])
+    marks = _smooth([totals[k][1] / totals[k][2] for k in keys])
     fused = [a * math.log1p(b) for a, b in zip(length, marks, strict=True)]
+    # The deviation is at most half the range, so neither the highest ratio nor one with the highest added can be below it.
+    highest = max(fused, default=0.0)
+    fused = [x + highest if body else x for (_, body), x in zip(keys, fused, strict=True)]
     mean = sum(fused) / max(len(fused), 1)
     threshold = math.sqrt(sum((x - mean) ** 2 for x in fused) / max(len(fused), 1))
-    best: dict[str, float] = {}
-    for (path, _), value in zip(blocks, fused, strict=True):
-        best[path] = max(best.get(path, 0.0), value)
-    return {p for p, v in best.items() if v >= threshold} or set(totals)
+    best: dict[tuple[str, bool], float] = {}
+    for key, value in zip(keys, fused, strict=True):
+        best[key] = max(best.get(key, 0.0), value)
+    return {k for k, v in best.items() if v >= threshold * (1 - 1e-9)}
 
 
 def main_text(html: str | None) -> str:
@@ -169,12 +177,10 @@ def main_text(html: str | None) -> str:
     page = _Page()
     page.feed(html)
     page.close()
-    blocks = [(path, article, " ".join("".join(pieces).split())) for path, article, pieces in page.blocks]
+    blocks = [(path, body, " ".join("".join(pieces).split())) for path, body, pieces in page.blocks]
     blocks = [b for b in blocks if b[2]]
-    if any(article for _, article, _ in blocks):
-        return " ".join(text for _, article, text in blocks if article)
-    chosen = content_paths([(path, text) for path, _, text in blocks])
-    return " ".join(text for path, _, text in blocks if path in chosen)
+    chosen = content_paths(blocks)
+    return " ".join(text for path, body, text in blocks if (path, body) in chosen)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

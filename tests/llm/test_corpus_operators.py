@@ -220,6 +220,21 @@ def test_main_text_odd_pages(spark):
     assert main_text.extract_main_text(pages).count() == 3 and main_text.extract_main_text(pages.limit(0)).count() == 0
 
 
+LINES = [f"Paragraph {i} of the body, long enough to count; it goes on, and on, to its end." for i in range(8)]
+BODY = "".join(f"<p>{x}</p>" for x in LINES)
+
+
+def test_main_text_beside_a_teaser():
+    """A page whose body is in a div keeps it when a teaser is in an article; short text in an article stays, short text outside goes."""
+    page = f"<body><div class='page'><h1>Head</h1>{BODY}</div><article><h3>Next</h3><p>A teaser, short.</p></article></body>"
+    got = main_text.main_text(page)
+    assert all(x in got for x in LINES) and "A teaser, short." in got
+    got = main_text.main_text(f"<body><p>Top</p><span>x</span><article><h1>Head</h1>{BODY}<p>Short</p></article><ul><li>a</li><li>b</li><li>c</li><li>d</li></ul></body>")
+    assert got.startswith("Head Paragraph 0") and "Short" in got and " d" not in got
+    got = main_text.main_text(f"<body><main><h1>Head</h1>{BODY}<h2>Sub</h2></main></body>")
+    assert got == " ".join(["Head", *LINES, "Sub"])
+
+
 def test_archives_round_trip(spark):
     rows = [(1, "u", "<p>é" * 30_000), (2, "u", "same"), (3, None, "same"), (4, "u\r\nX: y", None), (5, "u", ""), (None, "u", "\r\n\r\nWARC/1.1\r\n\r\n"), (7, "u", "seven"), (7, "u", "seven")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")

@@ -7,7 +7,11 @@ and compared with a threshold of the page itself (its standard deviation). Paths
 are content. Containers that cannot be content (menus, headers, footers, sidebars, notices,
 adverts, forms, comments, scripts) are left out before; a path within an article or main
 element has the page's highest ratio added to its own, so its short headings and paragraphs
-stay, while text outside is judged by the same threshold. Runs page by page on Arrow batches.
+stay, while text outside is judged by the same threshold. Classes and ids are read as whole
+tokens. One that can also stand on a wrapper (sidebar, widget, share, notice) drops nothing:
+paths below it are counted apart, get nothing added, and the ratios decide. The others drop an
+element unless it holds a main element, the page's longest article, or, on a page with no
+article or main outside it, most of the page's text. Runs page by page on Arrow batches.
 
 Defined results
   - null, empty or markup-only pages have an empty text;
@@ -24,6 +28,7 @@ import math
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -52,25 +57,71 @@ CLOSED_BY = {
 # Elements that say their text is the page's own.
 BODY_TAGS = frozenset({"article", "main"})
 # Elements, roles and words of class or id that mark what is not content.
-ASIDE_TAGS = frozenset("nav footer aside form menu dialog".split())
+ASIDE_TAGS = frozenset("nav footer aside menu dialog".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
 ASIDE_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies "
-    "discussion disqus footer gdpr masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup "
-    "promo promoted related reply replies respond share sharing sidebar signup social sponsor sponsored subscribe "
-    "subscription toolbar widget".split()
+    "ad ads advert adverts advertisement advertising breadcrumb breadcrumbs comment comments consent cookie cookies disqus "
+    "footer gdpr masthead menu modal nav navbar navigation newsletter pager pagination popup promoted related reply replies "
+    "respond sponsored subscribe".split()
+)
+# Words that also stand on wrappers of the body: the ratios decide.
+DOUBTFUL_WORDS = frozenset(
+    "banner discussion notice notices promo share sharing sidebar signup social sponsor subscription toolbar widget".split()
+)
+# Words that may stand beside one of the above in a token with hyphens or underscores (top-menu, cookie-box).
+PLAIN_WORDS = frozenset(
+    "area bar block bottom box buttons container global left links list main primary right secondary section site top wrap wrapper".split()
 )
 _PUNCTUATION = re.compile(r"[.,;:!?()\"'…。，、；：！？«»“”„¿¡-]")
-_WORDS = re.compile(r"[a-z]+")
+_PARTS = re.compile(r"[-_]+")
+
+
+def word_kind(value: str) -> str:
+    """Of a class or id: 'aside', 'doubtful' or '', by tokens all of whose parts are known words."""
+    kind = ""
+    for token in value.lower().split():
+        parts = [x for x in _PARTS.split(token) if x]
+        own = [x for x in parts if x not in PLAIN_WORDS]
+        if own and all(x in ASIDE_WORDS or x in DOUBTFUL_WORDS for x in own):
+            if any(x in ASIDE_WORDS for x in own):
+                return "aside"
+            kind = "doubtful"
+    return kind
+
+
+class _Open(NamedTuple):
+    """An open element and what holds below it."""
+
+    tag: str
+    name: str  # the tag in paths, marked if the paths below are counted apart
+    out: bool
+    body: bool  # within article or main
+    asides: tuple[int, ...]  # numbers of the enclosing elements that are dropped unless they hold the body
+    articles: tuple[int, ...]
+
+
+class _Block(NamedTuple):
+    path: str
+    body: bool
+    asides: tuple[int, ...]
+    articles: tuple[int, ...]
+    in_main: bool
+    pieces: list[str]
+
+
+_ROOT = _Open("", "", False, False, (), ())
 
 
 class _Page(HTMLParser):
-    """Collects text nodes as [path, within article or main, text pieces]; a block is one node."""
+    """Collects text nodes with their path and the elements that may drop them; a block is one node."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, bool]] = []  # tag, left out, within article or main
-        self.blocks: list[tuple[str, bool, list[str]]] = []
+        self.open: list[_Open] = []
+        self.blocks: list[_Block] = []
+        self.articles: list[tuple[int, ...]] = []  # per article the asides around it
+        self.n_asides = 0
+        self.with_main: set[int] = set()  # asides that hold a main element
         self.fresh = True
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -81,10 +132,23 @@ class _Page(HTMLParser):
             self.fresh = True
         if tag in VOID:
             return
-        out, body = (self.open[-1][1], self.open[-1][2]) if self.open else (False, False)
-        page_header = tag == "header" and not any(t == "article" for t, _, _ in self.open)
-        out = out or tag in SILENT or tag in ASIDE_TAGS or page_header or self._marked(tag, attrs)
-        self.open.append((tag, out, body or tag in BODY_TAGS))
+        above = self.open[-1] if self.open else _ROOT
+        name, body, asides, articles = tag, above.body, above.asides, above.articles
+        out = above.out or tag in SILENT or tag in ASIDE_TAGS or self._hidden(tag, attrs)
+        if not out:
+            kind = self._marked(tag, attrs) or ("aside" if tag == "form" or (tag == "header" and not articles) else "")
+            if kind:
+                name, body = f"{tag}.{kind}", False
+            if kind == "aside":
+                asides = (*asides, self.n_asides)
+                self.n_asides += 1
+            if tag == "article":
+                articles = (*articles, len(self.articles))
+                self.articles.append(asides)
+            elif tag == "main":
+                self.with_main.update(asides)
+            body = body or tag in BODY_TAGS
+        self.open.append(_Open(tag, name, out, body, asides, articles))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # the slash means nothing in HTML
@@ -93,27 +157,26 @@ class _Page(HTMLParser):
         if tag in BLOCK:
             self.fresh = True
         for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
+            if self.open[i].tag == tag:
                 del self.open[i:]
                 return
 
     def handle_data(self, data: str) -> None:
-        path, out, body = "", False, False
-        if self.open:
-            _, out, body = self.open[-1]
-        if out:
+        above = self.open[-1] if self.open else _ROOT
+        if above.out:
             return
         if self.fresh or not self.blocks:
-            path = "/".join(t for t, _, _ in self.open)
-            self.blocks.append((path, body, [data]))
+            path = "/".join(e.name for e in self.open)
+            in_main = any(e.tag == "main" for e in self.open)
+            self.blocks.append(_Block(path, above.body, above.asides, above.articles, in_main, [data]))
             self.fresh = False
         else:
-            self.blocks[-1][2].append(data)
+            self.blocks[-1].pieces.append(data)
 
     def _close_within(self, kind: str) -> None:
         """Close the innermost open element of the kind if no other container lies between."""
         for i in range(len(self.open) - 1, -1, -1):
-            tag = self.open[i][0]
+            tag = self.open[i].tag
             if tag == kind:
                 del self.open[i:]
                 return
@@ -121,13 +184,12 @@ class _Page(HTMLParser):
                 return
 
     @staticmethod
-    def _marked(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    def _hidden(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+        """Whether the element is not shown or its role says that it is no content."""
         if tag in ("html", "body", "article", "main"):
             return False
         for name, value in attrs:
             value = (value or "").lower()
-            if name in ("class", "id") and not ASIDE_WORDS.isdisjoint(_WORDS.findall(value)):
-                return True
             if name == "role" and value in ASIDE_ROLES:
                 return True
             if name == "hidden" or (name == "aria-hidden" and value == "true"):
@@ -136,6 +198,33 @@ class _Page(HTMLParser):
                 return True
         return False
 
+    @staticmethod
+    def _marked(tag: str, attrs: list[tuple[str, str | None]]) -> str:
+        if tag in ("html", "body", "article", "main"):
+            return ""
+        kinds = {word_kind(value or "") for name, value in attrs if name in ("class", "id")}
+        return "aside" if "aside" in kinds else "doubtful" if "doubtful" in kinds else ""
+
+    def shown(self) -> list[tuple[str, bool, str]]:
+        """(path, within article or main, text) of the blocks with text that no aside drops."""
+        blocks = [(b, text) for b in self.blocks if (text := " ".join("".join(b.pieces).split()))]
+        if self.n_asides:
+            sizes, held = [0] * len(self.articles), [0] * self.n_asides
+            for b, text in blocks:
+                for i in b.articles:
+                    sizes[i] += len(text)
+                for i in b.asides:
+                    held[i] += len(text)
+            total = sum(len(text) for _, text in blocks)
+            kept = set(self.with_main)
+            longest = max(sizes, default=0)
+            kept.update(i for asides, n in zip(self.articles, sizes, strict=True) if n == longest for i in asides)
+            for i, n in enumerate(held):
+                if 2 * n > total and not any((b.articles or b.in_main) and i not in b.asides for b, _ in blocks):
+                    kept.add(i)
+            blocks = [(b, text) for b, text in blocks if kept.issuperset(b.asides)]
+        return [(b.path, b.body, text) for b, text in blocks]
+
 
 def _smooth(values: list[float]) -> list[float]:
     """Gaussian window of two neighbours on each side."""
@@ -177,8 +266,7 @@ def main_text(html: str | None) -> str:
     page = _Page()
     page.feed(html)
     page.close()
-    blocks = [(path, body, " ".join("".join(pieces).split())) for path, body, pieces in page.blocks]
-    blocks = [b for b in blocks if b[2]]
+    blocks = page.shown()
     chosen = content_paths(blocks)
     return " ".join(text for path, body, text in blocks if (path, body) in chosen)
 

@@ -235,6 +235,20 @@ def test_main_text_beside_a_teaser():
     assert got == " ".join(["Head", *LINES, "Sub"])
 
 
+@pytest.mark.parametrize(
+    "attrs",
+    ["class='content no-sidebar'", "class='layout has-sidebar'", "class='elementor-widget elementor-widget-theme-post-content'", "class='post has-comments'",
+     "id='share-price-report'", "class='widget'", "class='sidebar'", "class='menu'", "id='comments'"],
+)
+def test_main_text_in_marked_wrappers(attrs):
+    """A wrapper with a word of asides in its class or id keeps the body, with and without an article; true asides go."""
+    rest = "<div id='top-menu'>Home, and more</div><div class='ad'>Buy, now.</div><section class='related'><article>Other, short.</article></section>"
+    assert main_text.main_text(f"<body>{rest}<div {attrs}><article>{BODY}<p>Short</p></article></div></body>") == " ".join([*LINES, "Short"])
+    assert main_text.main_text(f"<body>{rest[:-len('<article>Other, short.</article></section>')]}</section><div {attrs}>{BODY}</div></body>") == " ".join(LINES)
+    assert main_text.main_text(f"<body><form id='f'><main {attrs}>{BODY}</main></form></body>") == " ".join(LINES)
+    assert main_text.main_text(f"<body><article>{BODY}<div class='comments'>{BODY * 2}</div></article></body>") == " ".join(LINES)
+
+
 def test_archives_round_trip(spark):
     rows = [(1, "u", "<p>é" * 30_000), (2, "u", "same"), (3, None, "same"), (4, "u\r\nX: y", None), (5, "u", ""), (None, "u", "\r\n\r\nWARC/1.1\r\n\r\n"), (7, "u", "seven"), (7, "u", "seven")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")

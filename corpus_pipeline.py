@@ -20,7 +20,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the corpus's languages; texts without a letter go."""
+    """Documents in one of the corpus's languages; texts without a letter or unlike the predicted language go."""
     configure(spark)
     return language.in_languages(docs)
 

@@ -6,10 +6,17 @@ within the family, one machine per pair of languages votes; the sum of margins d
 equal votes. Families of known languages are fixed values; any other label is a family of
 its own. Training reads at most SAMPLE_ROWS texts per language, spread by a hash of the id.
 
+The machines always choose one of the learned languages, so the filter (in_languages) also
+asks whether a text is like that language at all: the mean logarithm of the frequencies its
+runs have in the language must reach what all but LOST_SHARE of the labelled texts of about
+its length reach, each measured against the frequencies of the others.
+
 Defined results
   - null texts and texts without a letter are `und` with score 0;
   - with one learned language every text with a letter gets it, with score 1; with none
     every text is `und`;
+  - the filter keeps every document if nothing is learned; it does not ask for likeness where
+    fewer than FIT_ROWS texts of a language are labelled, or fewer than FIT_LEAST in all;
   - rows with a null id are not held out; rows without a language are not learned from;
     repeated rows are judged row by row; empty tables give an empty result;
   - other columns are ignored, whatever their names; lang, source and ids are no input of a
@@ -33,6 +40,11 @@ BUCKETS = 1 << BUCKET_BITS
 RUNS = (1, 2, 3, 4)
 SAMPLE_ROWS = 400
 HOLD_OUT = (5, 0)  # rows with crc32(id) mod 5 = 0 are held out
+FIT_ROWS = 20
+FIT_LEAST = 100
+FIT_GROUP = 400  # labelled texts of about the same length that set a least likeness
+LOST_SHARE = 0.005
+FIT_SLACK = 0.3  # below the least likeness, for texts that are not among the labelled ones
 EPOCHS = 30
 RATE = 2.0
 DECAY = 1e-4
@@ -79,6 +91,10 @@ def row_of(text: str) -> np.ndarray:
     return np.sqrt(np.bincount(buckets(text), minlength=BUCKETS).astype(np.float32) / max(1, len(text.encode("utf-8", "surrogatepass")) * len(RUNS)))
 
 
+def _size(text: str) -> int:
+    return len(text.encode("utf-8", "surrogatepass"))
+
+
 def _machine(x: np.ndarray, positive: np.ndarray) -> tuple[np.ndarray, float]:
     """Weights and bias of a linear support vector machine (averaged subgradients, classes weigh the same)."""
     y = np.where(positive, 1.0, -1.0)
@@ -103,10 +119,21 @@ def _machine(x: np.ndarray, positive: np.ndarray) -> tuple[np.ndarray, float]:
     return (w_sum / steps).astype(np.float32), b_sum / steps
 
 
+def _shares(x: np.ndarray) -> np.ndarray:
+    """Frequencies of the buckets, of sum 1, from rows of their square roots."""
+    shares = np.square(x.astype(np.float32))
+    return shares / np.maximum(shares.sum(axis=1, keepdims=True), 1e-9)
+
+
+def _logs(shares: np.ndarray) -> np.ndarray:
+    """Logarithms of frequencies, a hundredth of which is given to all buckets alike."""
+    return np.log(0.99 * np.maximum(shares, 0) + 0.01 / BUCKETS)
+
+
 class Hierarchy:
     """Machines per family and per pair of languages; predicts from rows of frequencies."""
 
-    def __init__(self, x: np.ndarray, langs: np.ndarray) -> None:
+    def __init__(self, x: np.ndarray, langs: np.ndarray, sizes: np.ndarray | None = None) -> None:
         self.langs = sorted(set(langs))
         self.families: dict[str, list[str]] = {}
         for lang in self.langs:
@@ -119,6 +146,39 @@ class Hierarchy:
             for a, b in itertools.combinations(members, 2):
                 two = (langs == a) | (langs == b)
                 self.pairs[a, b] = _machine(x[two], langs[two] == a)
+        self.logs: dict[str, np.ndarray] = {}
+        self.least = (np.zeros(0), np.zeros(0))  # sizes up to which a least likeness holds, and the likeness
+        if sizes is not None:
+            self._measure(x, langs, sizes)
+
+    def _measure(self, x: np.ndarray, langs: np.ndarray, sizes: np.ndarray) -> None:
+        """Frequencies by language, and the least likeness by size from rows compared with the other rows."""
+        likeness, of_size = [], []
+        for lang in self.langs:
+            own = _shares(x[langs == lang])
+            if len(own) < FIT_ROWS:
+                continue
+            total = own.sum(axis=0)
+            self.logs[lang] = _logs(total / len(own))
+            likeness.append(np.array([r @ _logs((total - r) / (len(own) - 1)) for r in own]))
+            of_size.append(sizes[langs == lang])
+        if sum(map(len, likeness)) < FIT_LEAST:
+            return
+        likeness, of_size = np.concatenate(likeness), np.concatenate(of_size)
+        order = np.argsort(of_size, kind="stable")
+        groups = np.array_split(order, max(1, len(order) // FIT_GROUP))
+        self.least = (
+            np.array([of_size[g[-1]] for g in groups], float),
+            np.array([np.quantile(likeness[g], LOST_SHARE, method="lower") - FIT_SLACK for g in groups]),
+        )
+
+    def fits(self, x: np.ndarray, langs: list[str], sizes: np.ndarray) -> np.ndarray:
+        """Whether each row is as like its language as labelled texts of about its size are."""
+        ends, least = self.least
+        if not len(ends):
+            return np.ones(len(x), bool)
+        at = np.minimum(np.searchsorted(ends, sizes), len(ends) - 1)
+        return np.array([v not in self.logs or r @ self.logs[v] >= least[k] for r, v, k in zip(_shares(x), langs, at, strict=True)], bool)
 
     def predict(self, x: np.ndarray) -> list[tuple[str, float]]:
         """Language and score (0 to 1) of every row."""
@@ -158,7 +218,8 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = [x.as_py() for x in batch.column(0)]
         rows = [(row_of(t) * SCALE).astype(np.float16).tobytes() if t and _LETTER.search(t) else None for t in texts]
-        yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(rows, pa.binary())], names=["lang", "x"])
+        sizes = [_size(t) if t else 0 for t in texts]
+        yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(rows, pa.binary()), pa.array(sizes, pa.int64())], names=["lang", "x", "size"])
 
 
 def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Hierarchy:
@@ -174,18 +235,18 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Hierarchy:
     data = (
         learn.filter(place < parts[F.col("lang")])
         .select("text", "lang")
-        .mapInArrow(_rows, "lang string, x binary")
+        .mapInArrow(_rows, "lang string, x binary, size long")
         .filter("x IS NOT NULL")
         .limit(sample_rows * len(counts) * 3 // 2)
         .collect()
     )
     data.sort(key=lambda r: (r[0], bytes(r[1])))
     x = np.array([np.frombuffer(r[1], np.float16) for r in data], np.float32).reshape(len(data), BUCKETS)
-    return Hierarchy(x, np.array([r[0] for r in data], object))
+    return Hierarchy(x, np.array([r[0] for r in data], object), np.array([r[2] for r in data], np.int64))
 
 
-def identify(docs: DataFrame, model: Hierarchy, text_col: str = "text") -> DataFrame:
-    """The documents (all columns) with lang_pred and score of their text."""
+def identify(docs: DataFrame, model: Hierarchy, text_col: str = "text", reject: bool = False) -> DataFrame:
+    """The documents (all columns) with lang_pred and score of their text; with reject, und and 0 if it is unlike the language."""
     columns = [c for c in docs.columns if c not in ("lang_pred", "score")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = columns.index(text_col)
@@ -199,8 +260,11 @@ def identify(docs: DataFrame, model: Hierarchy, text_col: str = "text") -> DataF
             for k in range(0, len(with_letters), 256):
                 part = with_letters[k : k + 256]
                 x = np.stack([row_of(texts[i]) for i in part]) * np.float32(SCALE)
-                for i, result in zip(part, shared.value.predict(x), strict=True):
-                    found[i] = result
+                results = shared.value.predict(x)
+                fit = shared.value.fits(x, [r[0] for r in results], np.array([_size(texts[i]) for i in part])) if reject else [True] * len(part)
+                for i, result, ok in zip(part, results, fit, strict=True):
+                    if ok:
+                        found[i] = result
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
                 names=[*columns, "lang_pred", "score"],
@@ -221,9 +285,12 @@ def language_id(docs: DataFrame) -> DataFrame:
 def in_languages(docs: DataFrame, wanted: list[str] | None = None) -> DataFrame:
     """The documents in one of the wanted languages (all learned ones if none are named), with all columns.
 
-    Texts without a letter are in none and go.
+    Texts without a letter and texts unlike the language predicted for them are in none and go. If no
+    language is learned, nothing can be told and all documents stay.
     """
     model = train(docs)
+    if not model.langs:
+        return docs
     wanted = [x for x in model.langs if wanted is None or x in wanted]
-    found = identify(docs.select("*"), model)
+    found = identify(docs.select("*"), model, reject=True)
     return found.filter(F.col("lang_pred").isin(wanted)).select(*[F.col(f"`{c}`") for c in docs.columns])

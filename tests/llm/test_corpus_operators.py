@@ -361,3 +361,72 @@ def test_pipeline_stages(spark):
     left = docs.join(out.select("doc_id"), "doc_id", "left_semi")
     benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
     assert decontaminate.decontaminate(left, benchmark).filter("contaminated").count() == 0
+
+
+FOREIGN = {
+    "it": "Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura, che la diritta via era smarrita. Quanto a dir qual era è cosa dura, questa selva selvaggia e aspra e forte.",
+    "nl": "Het was een koude dag in het begin van april en de klokken sloegen dertien. Hij liep snel door de glazen deuren van het gebouw, maar niet snel genoeg om het stof buiten te houden.",
+    "pl": "Dawno temu w małej wiosce na skraju lasu mieszkała dziewczynka, która każdego ranka chodziła zbierać grzyby i jagody, a wieczorem słuchała opowieści przy ogniu.",
+    "ru": "Давным-давно в маленькой деревне на краю леса жила девочка, которая каждое утро ходила собирать грибы и ягоды, а вечером слушала сказки у огня.",
+    "fi": "Olipa kerran pieni tyttö, joka asui metsän reunalla mökissä isoäitinsä kanssa. Joka aamu hän lähti poimimaan marjoja ja sieniä metsästä.",
+}
+
+
+def with_foreign(docs):
+    """The documents and two texts of each foreign language, short and long, with ids from 10**9 and no label."""
+    rows = [(10**9 + i, t * n, None, "planted", len(t) * n) for i, (t, n) in enumerate(itertools.product(FOREIGN.values(), (1, 6)))]
+    return docs.unionByName(docs.sparkSession.createDataFrame(rows, docs.select("doc_id", "text", "lang", "source", "n_chars").schema))
+
+
+def test_foreign_texts_are_rejected(spark, odd):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    lettered = {r["doc_id"] for r in docs.collect() if r["text"] and re.search(r"[^\W\d_]", r["text"])}
+    kept = {r["doc_id"] for r in language.in_languages(with_foreign(docs)).collect()}
+    assert not {i for i in kept if i >= 10**9}
+    assert kept <= lettered and len(kept) >= 0.985 * len(lettered)
+    only = {r["lang"] for r in language.in_languages(docs, ["de"]).filter("lang IS NOT NULL").groupBy("lang").count().filter("count > 5").collect()}
+    assert only == {"de"}
+    # Nothing is learned without a label: all rows stay.
+    assert language.in_languages(docs.selectExpr("doc_id", "text", "CAST(NULL AS STRING) AS lang")).count() == docs.count()
+    assert language.in_languages(odd.limit(0)).count() == 0
+
+
+def test_stages_equal_brute_force(spark):
+    """Each stage keeps what brute force keeps of the documents it gets, planted foreign texts among them."""
+    import corpus_pipeline
+
+    folder = "/root/testdata/sf0.01"
+    stages = dict(corpus_pipeline.STAGES)
+    ids = lambda df: sorted(r["doc_id"] for r in df.select("doc_id").collect())
+    docs = with_foreign(spark.read.parquet(f"{folder}/documents.parquet")).cache()
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+
+    got = stages["quality classifier"](spark, docs, folder)
+    assert ids(got) == ids(quality_model.classify(docs, labels).filter("predicted = 1"))
+    got = stages["language ID"](spark, docs, folder)
+    assert max(ids(got)) < 10**9 and got.columns == docs.columns
+
+    few = docs.filter("doc_id < 300 OR doc_id >= 1000000000").cache()
+    words = {r["doc_id"]: re.findall(r"[^\x20\x09-\x0D]+", (r["text"] or "").translate(LOWER)) for r in few.collect()}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set() for i, w in words.items()}
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in itertools.combinations(sorted(sets), 2):
+        common = len(sets[a] & sets[b])
+        if common and 100 * common >= 80 * (len(sets[a]) + len(sets[b]) - common):
+            a, b = sorted((find(a), find(b)))
+            root[b] = a
+    assert ids(stages["near-dedup"](spark, few, folder)) == sorted(i for i in root if find(i) == i)
+
+    split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(LOWER))
+    grams = lambda w, n: {tuple(w[k : k + n]) for k in range(len(w) - n + 1)}
+    items = [w for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect() if (w := split(r["text"]))]
+    windows = {n: set().union(*(grams(w, n) for w in items if min(10, len(w)) == n)) for n in {min(10, len(w)) for w in items}}
+    clean = sorted(r["doc_id"] for r in docs.collect() if not any(x & grams(split(r["text"]), n) for n, x in windows.items()))
+    assert ids(stages["decontamination"](spark, docs, folder)) == clean
+    assert ids(stages["mixing"](spark, docs, folder)) == ids(docs)

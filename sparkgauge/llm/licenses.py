@@ -1,8 +1,8 @@
 """Licence scan by sentence rules.
 
 A text is cut into sentences, which are normalised (lower case, words and version numbers
-only, names and years of copyright holders taken out) and looked up among known licence
-sentences. The identifiers found, in text order, are matched against rules: ordered
+only, names and years of copyright holders taken out; usual subjects, verbs and holders made
+one) and looked up among known licence sentences. The identifiers found, in text order, are matched against rules: ordered
 sequences of identifiers that stand for a licence. Longer rules win over shorter ones that
 begin at the same sentence; matched sentences are used up. Sentences that are known but
 belong to no matched rule are reported as such, so nothing found is dropped.
@@ -58,6 +58,33 @@ SENTENCES = {
     "following disclaimer",
     "bsd-binary": "redistributions in binary form must reproduce the above copyright notice this list of conditions and the "
     "following disclaimer in the documentation and/or other materials provided with the distribution",
+    "bsd-neither": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission",
+    "bsd-disclaimer": "this software is provided by the copyright holders and contributors as is and any express or implied "
+    "warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
+    "bsd-liability": "in no event shall the copyright holder or contributors be liable for any direct indirect incidental special "
+    "exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or "
+    "profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort "
+    "including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage",
+    "mit-disclaimer": "the software is provided as is without warranty of any kind express or implied including but not limited to the "
+    "warranties of merchantability fitness for a particular purpose and noninfringement",
+    "mit-liability": "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in "
+    "an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software",
+    "isc-disclaimer": "the software is provided as is and the author disclaims all warranties with regard to this software including all "
+    "implied warranties of merchantability and fitness",
+    "isc-liability": "in no event shall the author be liable for any special direct indirect or consequential damages or any damages "
+    "whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising "
+    "out of or in connection with the use or performance of this software",
+    "lgpl-see": "see the gnu lesser general public license for more details",
+    "agpl-see": "see the gnu affero general public license for more details",
+    "mpl-2.0-copy": "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla.org/mpl/2.0",
+    "epl-2.0-grant": "this program and the accompanying materials are made available under the terms of the eclipse public license 2.0 "
+    "which is available at",
+    "epl-1.0-grant": "all rights reserved this program and the accompanying materials are made available under the terms of the eclipse "
+    "public license v1.0 which accompanies this distribution and is available at",
+    "unlicense-grant": "this is free and unencumbered software released into the public domain",
+    "unlicense-use": "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or "
+    "as a compiled binary for any purpose commercial or non-commercial and by any means",
     "isc-grant": "permission to use copy modify and/or distribute this software for any purpose with or without fee is hereby "
     "granted provided that the above copyright notice and this permission notice appear in all copies",
     "mpl-2.0-grant": "this source code form is subject to the terms of the mozilla public license v 2.0",
@@ -66,6 +93,39 @@ SENTENCES = {
     "cc-by-sa-4.0-short": "licensed under cc by-sa 4.0",
     "cc0-short": "this work is dedicated to the public domain under cc0 1.0",
 }
+# GNU notices differ by family and version only.
+for _key, _family in (("lgpl", "lesser general"), ("agpl", "affero general")):
+    for _v in ("2.1", "3"):
+        if (_key, _v) != ("agpl", "2.1"):
+            _tail = f"under the terms of the gnu {_family} public license as published by the free software foundation"
+            SENTENCES[f"{_key}-{_v}-grant"] = (
+                f"this program is free software you can redistribute it and/or modify it {_tail} either version {_v} of the license "
+                "or at your option any later version"
+            )
+            SENTENCES[f"{_key}-{_v}-only-grant"] = f"this program is free software you can redistribute it and/or modify it {_tail} version {_v} of the license"
+# Names after "licensed under": SPDX identifier by the wordings of a short notice.
+SHORT_NAMES = {
+    "MIT": "mit license|mit",
+    "Apache-2.0": "apache license 2.0|apache-2.0|apache-2.0 license|apache 2.0 license",
+    "BSD-2-Clause": "bsd 2-clause license|bsd-2-clause|bsd-2-clause license|2-clause bsd license",
+    "BSD-3-Clause": "bsd 3-clause license|bsd-3-clause|bsd-3-clause license|3-clause bsd license",
+    "ISC": "isc license|isc",
+    "MPL-2.0": "mozilla public license version 2.0|mozilla public license 2.0|mpl-2.0|mpl 2.0",
+    "EPL-1.0": "eclipse public license version 1.0|eclipse public license 1.0|epl-1.0",
+    "EPL-2.0": "eclipse public license version 2.0|eclipse public license 2.0|eclipse public license v2.0|epl-2.0",
+    "Unlicense": "unlicense",
+    "GPL-2.0-only": "gnu general public license version 2|gpl-2.0-only",
+    "GPL-3.0-only": "gpl-3.0-only",
+    "LGPL-2.1-only": "gnu lesser general public license version 2.1|lgpl-2.1-only",
+    "LGPL-3.0-only": "gnu lesser general public license version 3|lgpl-3.0-only",
+    "AGPL-3.0-only": "gnu affero general public license version 3|agpl-3.0-only",
+    "CC-BY-4.0": "cc-by-4.0|creative commons attribution 4.0 international license",
+    "CC-BY-SA-4.0": "cc-by-sa-4.0|creative commons attribution-sharealike 4.0 international license",
+    "CC-BY-NC-4.0": "cc-by-nc-4.0|creative commons attribution-noncommercial 4.0 international license",
+    "CC-BY-ND-4.0": "cc by-nd 4.0|cc-by-nd-4.0|creative commons attribution-noderivatives 4.0 international license",
+    "CC-BY-NC-SA-4.0": "cc by-nc-sa 4.0|cc-by-nc-sa-4.0|creative commons attribution-noncommercial-sharealike 4.0 international license",
+    "CC-BY-NC-ND-4.0": "cc by-nc-nd 4.0|cc-by-nc-nd-4.0|creative commons attribution-noncommercial-noderivatives 4.0 international license",
+}
 # Rules as ordered identifiers and the licence they stand for.
 RULES = {
     ("apache-2.0-grant", "apache-2.0-use", "apache-2.0-copy", "apache-2.0-as-is", "apache-2.0-see"): "Apache-2.0",
@@ -86,15 +146,59 @@ RULES = {
     ("cc-by-4.0-short",): "CC-BY-4.0",
     ("cc-by-sa-4.0-short",): "CC-BY-SA-4.0",
     ("cc0-short",): "CC0-1.0",
+    ("mit-name", "mit-grant", "mit-notice", "mit-disclaimer", "mit-liability"): "MIT",
+    ("mit-grant", "mit-notice", "mit-disclaimer", "mit-liability"): "MIT",
+    ("bsd-grant", "bsd-source", "bsd-binary", "bsd-disclaimer", "bsd-liability"): "BSD-2-Clause",
+    ("bsd-grant", "bsd-source", "bsd-binary", "bsd-neither"): "BSD-3-Clause",
+    ("bsd-grant", "bsd-source", "bsd-binary", "bsd-neither", "bsd-disclaimer", "bsd-liability"): "BSD-3-Clause",
+    ("isc-grant", "isc-disclaimer", "isc-liability"): "ISC",
+    ("mpl-2.0-grant", "mpl-2.0-copy"): "MPL-2.0",
+    ("epl-1.0-grant",): "EPL-1.0",
+    ("epl-2.0-grant",): "EPL-2.0",
+    ("unlicense-grant", "unlicense-use"): "Unlicense",
+    ("unlicense-grant",): "Unlicense",
 }
+for _key, _v, _name in (("lgpl", "2.1", "LGPL-2.1"), ("lgpl", "3", "LGPL-3.0"), ("agpl", "3", "AGPL-3.0")):
+    for _grant, _end in (("grant", "or-later"), ("only-grant", "only")):
+        for _rest in ((), ("gpl-warranty", f"{_key}-see")):
+            RULES[(f"{_key}-{_v}-{_grant}", *_rest)] = f"{_name}-{_end}"
+for _name, _wordings in SHORT_NAMES.items():
+    for _i, _wording in enumerate(_wordings.split("|")):
+        _id = f"{_name.lower()}-named" + (f"-{_i}" if _i else "")
+        SENTENCES[_id] = f"licensed under the {_wording}"
+        RULES[(_id,)] = _name
 _BREAK = re.compile(r"(?<=[.!?:;])\s+|\n+")
 _TOKEN = re.compile(r"[a-z0-9]+(?:[./-][a-z0-9]+)*")
 _HOLDER = re.compile(r"^copyright\b.*")
 
-_BY_TEXT = {text: name for name, text in SENTENCES.items()}
+# What a notice is about, and the verbs that mean the same; both are made one on either side of the comparison.
+_SUBJECT = re.compile(
+    r"^(?:(?:this|the) )?(?:(?:project|software|work|file|code|source code|program|library|package|repository|document|text|content|module) )?"
+    r"(?:is |are )?(?:(?:released|licensed|distributed|available|made available|published) under|licensed under the terms of)(?: the terms of)?(?: (?:the|a))? "
+)
+_PROGRAM = re.compile(r"^(?:(?:this|the) )?[a-z0-9]+ (?=is free software\b|is distributed in the hope\b)")
+_NEITHER = re.compile(r"^neither the names? of .{1,200}? nor the names of (?:its|the|their) (?:contributors|authors) may be used")
+_PROVIDER = re.compile(r"^this software is provided by .{1,200}? as is and any express")
+
+
+_SUFFIX = re.compile(r"^(licensed under the .+?) see (?:the )?\S+ (?:file )?for (?:more |the full )?(?:details|information|text)$")
+# Beginnings whose wording is made one only when more of the sentence is there.
+_OPEN = re.compile(r"^(?:neither the names? of\b|this software is provided by\b|(?:this|the) [a-z]+(?: code)? is (?:released|licensed|distributed|available|made)\b)")
+_OPEN_WORDS = 40
+
+
+def _alike(words: str) -> str:
+    words = _SUFFIX.sub(r"\1", _SUBJECT.sub("licensed under the ", words))
+    words = _PROGRAM.sub("this program ", words)
+    words = _NEITHER.sub("neither the name of the copyright holder nor the names of its contributors may be used", words)
+    return _PROVIDER.sub("this software is provided by the copyright holders and contributors as is and any express", words)
+
+
+SENTENCES = {name: _alike(text) for name, text in SENTENCES.items()}
+_BY_TEXT = {text: name for name, text in reversed(SENTENCES.items())}
 # First two words of the known sentences; a text without any of them is not cut at all.
 _STARTS = sorted({" ".join(t.split()[:2]) for t in _BY_TEXT})
-_ANY_START = re.compile("|".join(r"\b" + re.escape(a) + r"\W+" + re.escape(b) + r"\b" for a, b in (s.split() for s in _STARTS)))
+_ANY_START = re.compile(r"\b(?:released|distributed|available|published)\W+under\b|\bis\W+free\W+software\b|" + "|".join(r"\b" + re.escape(a) + r"\W+" + re.escape(b) + r"\b" for a, b in (s.split() for s in _STARTS)))
 _PREFIXES = {" ".join(t.split()[:k]) for t in _BY_TEXT for k in range(1, len(t.split()) + 1)}
 
 
@@ -120,15 +224,16 @@ def sentence_ids(text: str | None) -> list[tuple[int, str]]:
         pieces.append((at, normalise(low[at : cut.start()])))
         at = cut.end()
     pieces.append((at, normalise(low[at:])))
-    pieces = [(o, re.sub(r"^(?:\d+|[a-z])\s+(?=redistributions)", "", p)) for o, p in pieces if p]
+    pieces = [(o, re.sub(r"^(?:\d+|[a-z])\s+(?=redistributions|neither)", "", p)) for o, p in pieces if p]
     found, i = [], 0
     while i < len(pieces):
         joined, best = "", None
         for k in range(i, len(pieces)):
             joined = f"{joined} {pieces[k][1]}".strip()
-            if joined in _BY_TEXT:
-                best = (k, _BY_TEXT[joined])
-            if joined not in _PREFIXES:
+            known = _alike(joined)
+            if known in _BY_TEXT:
+                best = (k, _BY_TEXT[known])
+            if known not in _PREFIXES and not (_OPEN.match(joined) and joined.count(" ") < _OPEN_WORDS):
                 break
         if best:
             found.append((pieces[i][0], best[1]))

@@ -281,6 +281,52 @@ def test_license_rules(spark, odd):
     assert found >= sum(bool(re.search(r"^(Licensed under (CC BY-NC 4.0|the Apache License, Version 2.0)|Released under the MIT License)\.$", t, re.M)) for t in texts(spark).values())
 
 
+BSD = """Copyright (c) 2020, Foo Inc. All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+THIRD = """3. Neither the name of Foo Inc. nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+GNU = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU {0} General Public
+License as published by the Free Software Foundation; either
+version {1} of the License, or (at your option) any later version.
+
+This library is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU
+{0} General Public License for more details.
+"""
+
+
+@pytest.mark.parametrize(
+    "text,licence",
+    [
+        (BSD, "BSD-2-Clause"),
+        (BSD + THIRD, "BSD-3-Clause"),
+        (GNU.format("Lesser", "2.1"), "LGPL-2.1-or-later"),
+        (GNU.format("Affero", "3"), "AGPL-3.0-or-later"),
+        ("Intro.\nThis project is licensed under the MIT License.", "MIT"),
+        ("This project is licensed under the MIT License - see the LICENSE file for details.", "MIT"),
+        ("This software is released under the Apache License, Version 2.0.", "Apache-2.0"),
+        ("This work is licensed under CC BY-ND 4.0.", "CC-BY-ND-4.0"),
+        ("The code is licensed\nunder the Eclipse Public License 2.0.", "EPL-2.0"),
+        ("This is free and unencumbered software released into the public domain.", "Unlicense"),
+    ],
+)
+def test_license_texts(text, licence):
+    assert licenses.match_rules([n for _, n in licenses.sentence_ids(text)]) == ([licence], [])
+
+
 def test_linear_time_interactions_equal_pairs():
     rng = np.random.RandomState(0)
     model = quality_model.FactorisationMachine(0.3)

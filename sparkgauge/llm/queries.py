@@ -5,9 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sparkgauge import configure
-from sparkgauge.llm import decontaminate, language, licenses, main_text, mix, near_dedup, quality_model, quality_rules, token_counts, warc
+from sparkgauge.llm import (
+    decontaminate,
+    language,
+    licenses,
+    main_text,
+    merkle,
+    mix,
+    near_dedup,
+    packing,
+    quality_model,
+    quality_rules,
+    token_alignment,
+    token_counts,
+    warc,
+)
 from sparkgauge.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +80,22 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return packing.packed_digests(table(spark, sf_dir, "documents"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return token_alignment.alignment_measures(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    docs = table(spark, sf_dir, "documents")
+    return merkle.verify(docs, merkle.tampered(F.col("text"), F.col("doc_id")))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -78,6 +109,9 @@ QUERIES: dict[str, Query] = {
         op8_language_id,
         op9_token_counts,
         op10_mix,
+        op11_packing,
+        op12_token_alignment,
+        op13_merkle_manifest,
     )
 }
 

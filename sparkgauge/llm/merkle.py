@@ -37,7 +37,6 @@ from pyspark.sql.window import Window
 from sparkgauge.llm.common import ascii_lower, small, store
 
 FANOUT, BLOCK_LEVELS = 8, 3
-BLOCK = FANOUT**BLOCK_LEVELS
 HEX = 64
 MEMBERS = ("doc_id", "source", "lang", "n_chars", "text")
 _PATH = "array<struct<left:string,right:string>>"
@@ -103,10 +102,10 @@ class Parent:
         return self.children[HEX * (slot + 1) :]
 
 
-def block_tree(leaves: list[bytes], total: int) -> tuple[list[list[Parent]], bytes]:
+def block_tree(leaves: list[bytes], total: int, high: int) -> tuple[list[list[Parent]], bytes]:
     """Parents of a block by level, and its top."""
     tree = []
-    for _ in range(min(BLOCK_LEVELS, levels(total))):
+    for _ in range(min(high, levels(total))):
         parents = [Parent(leaves[i : i + FANOUT]) for i in range(0, len(leaves), FANOUT)]
         tree.append(parents)
         leaves = [p.digest for p in parents]
@@ -131,46 +130,55 @@ def _sorted(table: pa.Table) -> tuple[pa.Table, list[bytes], int]:
     return table, [d.encode() for d in table.column("digest").to_pylist()], table.column("total")[0].as_py()
 
 
-def _tops(table: pa.Table) -> pa.Table:
-    table, leaves, total = _sorted(table)
-    _, top = block_tree(leaves, total)
-    return pa.table(
-        {
-            "scope": pa.array([table.column("scope")[0].as_py()], pa.string()),
-            "idx": pa.array([table.column("block")[0].as_py()], pa.int64()),
-            "digest": pa.array([top.decode()], pa.string()),
-            "total": pa.array([-(-total // BLOCK)], pa.int64()),
-        }
-    )
+def _tops(high: int):
+    """A block's top, as a node of the next tier."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table, leaves, total = _sorted(table)
+        _, top = block_tree(leaves, total, high)
+        return pa.table(
+            {
+                "scope": pa.array([table.column("scope")[0].as_py()], pa.string()),
+                "idx": pa.array([table.column("block")[0].as_py()], pa.int64()),
+                "digest": pa.array([top.decode()], pa.string()),
+                "total": pa.array([-(-total // FANOUT**high)], pa.int64()),
+            }
+        )
+
+    return run
 
 
 _PATH_TYPE = pa.list_(pa.struct([("left", pa.string()), ("right", pa.string())]))
 
 
-def _paths(table: pa.Table, above: pa.Table) -> pa.Table:
+def _paths(high: int):
     """Path of every node of a block: its siblings level by level, then those above the block."""
-    table, leaves, total = _sorted(table)
-    tree, _ = block_tree(leaves, total)
-    up = above.column("path")[0].as_py()
-    paths = [[{"left": p.left(s).decode(), "right": p.right(s).decode()} for p, s in _steps(tree, i)] + up for i in range(len(leaves))]
-    n = len(leaves)
-    return pa.table(
-        {
-            "scope": table.column("scope"),
-            "block": table.column("idx"),
-            "path": pa.array(paths, _PATH_TYPE),
-            "subroot": pa.array(above.column("subroot").to_pylist() * n, pa.string()),
-            "root": pa.array(above.column("root").to_pylist() * n, pa.string()),
-        }
-    )
+
+    def run(table: pa.Table, above: pa.Table) -> pa.Table:
+        table, leaves, total = _sorted(table)
+        tree, _ = block_tree(leaves, total, high)
+        up = above.column("path")[0].as_py()
+        paths = [[{"left": p.left(s).decode(), "right": p.right(s).decode()} for p, s in _steps(tree, i)] + up for i in range(len(leaves))]
+        n = len(leaves)
+        return pa.table(
+            {
+                "scope": table.column("scope"),
+                "block": table.column("idx"),
+                "path": pa.array(paths, _PATH_TYPE),
+                "subroot": pa.array(above.column("subroot").to_pylist() * n, pa.string()),
+                "root": pa.array(above.column("root").to_pylist() * n, pa.string()),
+            }
+        )
+
+    return run
 
 
-def _folds(id_type: pa.DataType):
+def _folds(id_type: pa.DataType, high: int):
     """Every leaf of a block: its proof, and the root recomputed from what it is now."""
 
     def run(table: pa.Table, above: pa.Table) -> pa.Table:
         table, leaves, total = _sorted(table)
-        tree, _ = block_tree(leaves, total)
+        tree, _ = block_tree(leaves, total, high)
         up = [(s["left"].encode(), s["right"].encode()) for s in above.column("path")[0].as_py()]
         states = [hashlib.sha256(left) for left, _ in up]
         beyond = b"".join(left + right for left, right in up)
@@ -203,17 +211,26 @@ def _folds(id_type: pa.DataType):
 # --- trees as tables -----------------------------------------------------------------------
 
 
-def blocks(nodes: DataFrame):
+_NODE = ["scope", "idx", "total", "digest"]
+_ABOVE = f"scope string, block long, path {_PATH}, subroot string, root string"
+
+
+def blocks(nodes: DataFrame, high: int):
     """Nodes (scope, idx, total, digest) dealt out by block."""
-    return nodes.withColumn("block", F.expr(f"idx DIV {BLOCK}")).groupBy("scope", "block")
+    return nodes.withColumn("block", F.expr(f"idx DIV {FANOUT**high}")).groupBy("scope", "block")
+
+
+def under(nodes: DataFrame, above: DataFrame, high: int) -> DataFrame:
+    """Paths of nodes from the paths of their blocks; a node is the block of that number one tier down."""
+    return blocks(nodes.select(_NODE), high).cogroup(above.groupBy("scope", "block")).applyInArrow(_paths(high), _ABOVE)
 
 
-def grow(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+def grow(nodes: DataFrame, high: int) -> tuple[list[DataFrame], DataFrame]:
     """Tiers of nodes of all scopes, and each scope's top: scope, digest, tier (of its last block)."""
     tiers, tops = [nodes], []
     while True:
-        narrow = tiers[-1].select("scope", "idx", "total", "digest")
-        found = store(blocks(narrow).applyInArrow(_tops, "scope string, idx long, digest string, total long"), "block-tops")
+        found = blocks(tiers[-1].select(_NODE), high).applyInArrow(_tops(high), "scope string, idx long, digest string, total long")
+        found = store(found, "block-tops")
         tops.append(found.filter("total = 1").select("scope", "digest", F.lit(len(tiers) - 1).alias("tier")))
         rest = found.filter("total > 1")
         if rest.isEmpty():
@@ -221,25 +238,21 @@ def grow(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
         tiers.append(rest)
 
 
-def descend(tiers: list[DataFrame], ends: DataFrame) -> DataFrame:
+def descend(tiers: list[DataFrame], ends: DataFrame, high: int) -> DataFrame:
     """Paths of the blocks of the lowest tier: scope, block, path, subroot, root.
 
     ends has the path above each scope's top and the tier in which it ends.
     """
-    columns = ["scope", "block", "path", "subroot", "root"]
     above = None
     for tier in reversed(range(len(tiers))):
-        ending = ends.filter(F.col("tier") == tier).withColumn("block", F.lit(0).cast("long")).select(columns)
+        ending = ends.filter(F.col("tier") == tier).selectExpr("scope", "0L AS block", "path", "subroot", "root")
         above = ending if above is None else above.unionByName(ending)
         if tier:
-            narrow = tiers[tier].select("scope", "idx", "total", "digest")
-            above = blocks(narrow).cogroup(above.groupBy("scope", "block")).applyInArrow(
-                _paths, f"scope string, block long, path {_PATH}, subroot string, root string"
-            )
+            above = under(tiers[tier], above, high)
     return store(above, "block-paths")
 
 
-def verify(docs: DataFrame, now: Column | None = None) -> DataFrame:
+def verify(docs: DataFrame, now: Column | None = None, block_levels: int = BLOCK_LEVELS) -> DataFrame:
     """Manifest of the rows, and whether each row still folds to its root.
 
     now is the row's text at the time of verification (default: unchanged). Columns: doc_id,
@@ -248,25 +261,23 @@ def verify(docs: DataFrame, now: Column | None = None) -> DataFrame:
     members = [F.col(c) for c in MEMBERS]
     changed = F.lit(None).cast("string") if now is None else F.when(~now.eqNullSafe(F.col("text")), leaf(*members[:-1], now))
     rows = docs.select(scope_of(F.col("lang")).alias("scope"), "doc_id", leaf(*members).alias("digest"), changed.alias("now"))
-    tiers, subroots = grow(ranked(rows, ["doc_id", "digest"]))
-
-    langs = subroots.select(F.lit("").alias("scope"), F.expr("CASE WHEN scope <> '-' THEN substr(scope, 2) END").alias("lang"), "digest", F.col("scope").alias("of"), "tier")
-    langs = ranked(langs.withColumnRenamed("tier", "of_tier"), ["lang"])
-    top_tiers, tops = grow(langs)
-    ends = tops.select("scope", "tier", F.expr(f"CAST(array() AS {_PATH})").alias("path"), F.lit("").alias("subroot"), F.col("digest").alias("root"))
-    above = descend(top_tiers, ends)
-    over_langs = (
-        blocks(langs.select("scope", "idx", "total", "digest"))
-        .cogroup(above.groupBy("scope", "block"))
-        .applyInArrow(_paths, f"scope string, block long, path {_PATH}, subroot string, root string")
+    tiers, subroots = grow(ranked(rows, ["doc_id", "digest"]), block_levels)
+
+    # The languages' subroots are the leaves of one more tree, whose scope has no name.
+    lang = F.expr("CASE WHEN scope <> '-' THEN substr(scope, 2) END").alias("lang")
+    langs = ranked(subroots.select(F.lit("").alias("scope"), lang, "digest", F.col("scope").alias("of"), F.col("tier").alias("of_tier")), ["lang"])
+    top_tiers, top = grow(langs, block_levels)
+    ends = top.selectExpr("scope", "tier", f"CAST(array() AS {_PATH}) AS path", "'' AS subroot", "digest AS root")
+    over = under(langs, descend(top_tiers, ends, block_levels), block_levels)
+    ends = langs.select("idx", F.col("of").alias("scope"), F.col("of_tier").alias("tier"), F.col("digest").alias("subroot")).join(
+        over.select(F.col("block").alias("idx"), "path", "root"), "idx"
     )
-    own = langs.select("idx", "of", "of_tier", "digest").join(over_langs.select(F.col("block").alias("idx"), "path", "root"), "idx")
-    ends = own.select(F.col("of").alias("scope"), F.col("of_tier").alias("tier"), "path", F.col("digest").alias("subroot"), "root")
 
-    paths = descend(tiers, store(ends, "subroot-paths"))
+    paths = descend(tiers, store(ends, "subroot-paths"), block_levels)
     id_type = docs.schema["doc_id"].dataType
     schema = StructType([StructField("doc_id", id_type), *(StructField(n, StringType()) for n in ("leaf", "subroot", "root", "proof_sha256", "folded_root"))])
-    folded = blocks(tiers[0]).cogroup(paths.groupBy("scope", "block")).applyInArrow(_folds(to_arrow_type(id_type)), schema)
+    folds = _folds(to_arrow_type(id_type), block_levels)
+    folded = blocks(tiers[0], block_levels).cogroup(paths.groupBy("scope", "block")).applyInArrow(folds, schema)
     return folded.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 

@@ -145,4 +145,43 @@ sym AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, sym.b FROM reach JOIN sym ON reach.b = sym.a),
 comp AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM comp LEFT JOIN n USING (doc_id)""",
+    "op13_merkle_manifest": """
+WITH RECURSIVE d AS (
+  SELECT doc_id, lang, source, n_chars, text,
+    list_reduce([4294967295::UBIGINT] || list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ascii(substr(doc_id::VARCHAR, i, 1))::UBIGINT),
+      lambda c, x: list_reduce([xor(c, x)] || list_transform(range(8), lambda i: 0::UBIGINT), lambda r, k: xor(r >> 1, 3988292384::UBIGINT * (r & 1::UBIGINT)))) AS r
+  FROM documents),
+p AS (
+  SELECT doc_id, lang, coalesce(xor(r, 4294967295::UBIGINT) % 3 = 0, false) AS tampered,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id::VARCHAR, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+      || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars::VARCHAR, '-') AS head, text,
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM d),
+leaves AS (
+  SELECT doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(head || CASE WHEN tampered THEN coalesce(strlen(low) || ':' || low, '-') ELSE coalesce(strlen(text) || ':' || text, '-') END) AS now FROM p),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY lang) AS n FROM leaves),
+nodes AS (
+  SELECT lang, 0 AS level, idx, leaf AS h, n FROM placed
+  UNION ALL
+  SELECT lang, level + 1, idx // 8, sha256(string_agg(h, '' ORDER BY idx)), (any_value(n) + 7) // 8 FROM nodes WHERE n > 1 GROUP BY lang, level, idx // 8),
+subroots AS (SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS idx, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, idx, h, n FROM subroots
+  UNION ALL
+  SELECT level + 1, idx // 8, sha256(string_agg(h, '' ORDER BY idx)), (any_value(n) + 7) // 8 FROM tops WHERE n > 1 GROUP BY level, idx // 8),
+low AS (
+  SELECT doc_id, leaf, lang, 0 AS level, idx, now AS h, '' AS proof, n FROM placed
+  UNION ALL
+  SELECT any_value(f.doc_id), f.leaf, f.lang, f.level + 1, any_value(f.idx) // 8, sha256(string_agg(CASE WHEN s.idx = f.idx THEN f.h ELSE s.h END, '' ORDER BY s.idx)),
+    any_value(f.proof) || coalesce(string_agg(s.h, '' ORDER BY s.idx) FILTER (WHERE s.idx <> f.idx), ''), (any_value(f.n) + 7) // 8
+  FROM low AS f JOIN nodes AS s ON s.lang IS NOT DISTINCT FROM f.lang AND s.level = f.level AND s.idx // 8 = f.idx // 8 WHERE f.n > 1 GROUP BY f.leaf, f.lang, f.level),
+up AS (
+  SELECT l.doc_id, l.leaf, 0 AS level, s.idx, l.h, l.proof, s.h AS subroot, s.n FROM low AS l JOIN subroots AS s ON s.lang IS NOT DISTINCT FROM l.lang WHERE l.n = 1
+  UNION ALL
+  SELECT any_value(f.doc_id), f.leaf, f.level + 1, any_value(f.idx) // 8, sha256(string_agg(CASE WHEN s.idx = f.idx THEN f.h ELSE s.h END, '' ORDER BY s.idx)),
+    any_value(f.proof) || coalesce(string_agg(s.h, '' ORDER BY s.idx) FILTER (WHERE s.idx <> f.idx), ''), any_value(f.subroot), (any_value(f.n) + 7) // 8
+  FROM up AS f JOIN tops AS s ON s.level = f.level AND s.idx // 8 = f.idx // 8 WHERE f.n > 1 GROUP BY f.leaf, f.level)
+SELECT u.doc_id, u.leaf, u.subroot, r.h AS root, sha256(u.proof) AS proof_sha256, u.h AS folded_root, u.h = r.h AS verified
+FROM up AS u, (SELECT h FROM tops WHERE n = 1) AS r WHERE u.n = 1""",
 }

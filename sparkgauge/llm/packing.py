@@ -27,7 +27,8 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
-from itertools import count
+from functools import cache
+from itertools import chain, count
 from typing import NamedTuple
 
 import numpy as np
@@ -38,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
+from sparkgauge.llm.chunks import Chunks, slices
 from sparkgauge.llm.token_counts import TOKENIZERS
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -45,33 +47,38 @@ CAPACITY = 2048
 END_OF_DOCUMENT = 1
 # Part of a bin that pieces kept whole may leave unused, as its reciprocal.
 SLACK = 64
-_CACHED_CHUNKS, _CACHED_BYTES, _OUT_PIECES = 300_000, 48, 1_000
+_OUT_PIECES = 1_000
 
 
-def chunk_encoder(path: str):
-    """Text -> its token ids as little-endian 32-bit numbers, for a vocabulary that drops white space.
+@cache
+def chunk_ids(path: str) -> Chunks:
+    """Chunk (UTF-8) -> its token ids as little-endian 32-bit numbers; a worker process keeps it between tasks.
 
-    No token of such a vocabulary reaches over white space, and normalising composes nothing
-    across it, so a text's ids are those of its chunks between ASCII white space; frequent
-    chunks are encoded once.
+    The vocabulary drops white space: no token reaches over it and normalising composes nothing
+    across it, so a text's ids are those of its chunks between ASCII white space.
     """
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, normalizers
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    tokenizer = Tokenizer.from_file(path)
+    whole, lowered = Tokenizer.from_file(path), Tokenizer.from_file(path)
+    lowered.normalizer = normalizers.Sequence([])
 
-    class Memo(dict):
-        def __missing__(self, chunk: bytes) -> bytes:
-            ids = tokenizer.encode(chunk.decode(), add_special_tokens=False).ids
-            found = np.array(ids, "<u4").tobytes()
-            if len(chunk) <= _CACHED_BYTES:
-                if len(self) >= _CACHED_CHUNKS:
-                    self.clear()
-                self[chunk] = found
-            return found
+    def work(chunks: list[bytes]) -> Iterator[bytes]:
+        texts = [c.decode() for c in chunks]
+        # Characters below the combining marks are composed already; all that normalising does is lower them.
+        simple = [max(t) < "\u0300" and "<|" not in t for t in texts]
+        done = iter(lowered.encode_batch_fast([t.lower() for t, x in zip(texts, simple) if x], add_special_tokens=False))
+        rest = iter(whole.encode_batch_fast([t for t, x in zip(texts, simple) if not x], add_special_tokens=False))
+        return (np.array(next(done if x else rest).ids, "<u4").tobytes() for x in simple)
 
-    known = Memo()
-    return lambda text: b"".join(map(known.__getitem__, text.encode().split()))
+    return Chunks(work)
+
+
+def encoded(path: str, texts: list[str]) -> Iterator[bytes]:
+    """Token ids of texts."""
+    split = [t.encode().split() for t in texts]
+    ids = chunk_ids(path).values(chain.from_iterable(split))
+    return (b"".join(map(ids.__getitem__, chunks)) for chunks in split)
 
 
 class Piece(NamedTuple):
@@ -128,7 +135,7 @@ def end_to_end(pieces: list[Piece], capacity: int) -> Iterator[list[Piece]]:
 
 def _pack(path: str, capacity: int, slack: int, end: int, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, ending = chunk_encoder(path), np.array([end], "<u4").tobytes()
+        ending = np.array([end], "<u4").tobytes()
         sequence = count(TaskContext.get().partitionId() << 40)
         open_bins: dict[int, list[Piece]] = {}
         rows: list[tuple] = []
@@ -146,11 +153,12 @@ def _pack(path: str, capacity: int, slack: int, end: int, id_type: pa.DataType):
             rows.clear()
             return pa.RecordBatch.from_arrays(out, names=_NAMES)
 
+        texts = ((d.as_py(), t.as_py() or "") for b in batches for d, t in zip(b.column(0), b.column(1)))
         serial = 0
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
-                tokens = encode(text.as_py() or "") + ending
-                doc, at = (doc_id.as_py(), len(tokens) // 4), 0
+        for part in slices(texts, 1):
+            for (doc_id, _), ids in zip(part, encoded(path, [t for _, t in part])):
+                tokens = ids + ending
+                doc, at = (doc_id, len(tokens) // 4), 0
                 for n in cuts(doc[1], capacity, slack):
                     per_bin = capacity // n
                     bin_ = open_bins.setdefault(per_bin, [])

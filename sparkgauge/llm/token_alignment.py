@@ -6,6 +6,8 @@ occurs. The measures of a text are joined back to its documents on a digest of t
 
 Two tokens are linked where their byte ranges overlap. Between neighbouring ends of tokens of
 either side lies exactly one link, and offsets where both sides end cut the tokens into groups.
+Neither vocabulary has a token across a single space between two words, so both sides end
+before it: a text is aligned chunk by chunk, and frequent chunks are tokenised and aligned once.
 
 Defined results
   - null and empty texts, and texts one of the tokenizers does not give back byte by byte (with
@@ -19,7 +21,10 @@ from __future__ import annotations
 
 import json
 import os
+import re
+from array import array
 from collections.abc import Iterator
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -28,12 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from sparkgauge.llm.chunks import SLICE_CHARS, Chunks, slices
 from sparkgauge.llm.common import discard, small, store
 from sparkgauge.llm.token_counts import TOKENIZERS
 
 BYTE_VOCABULARY, PIECE_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
-# Texts are tokenised in slices of about so many bytes, which bounds a task's memory.
-SLICE_BYTES = 1 << 20
+# Before a space with a word on either side.
+CHUNKS = re.compile(r"(?<=\S)(?= \S)")
 ALIGNED = "text_key string, copies long, n_a long, n_b long, n_groups long, groups string, pairs array<struct<a:int,b:int,n:long>>"
 
 
@@ -45,12 +51,14 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class Side:
-    """One tokenizer: ids of texts, bytes of an id."""
+    """One tokenizer: ids of texts that begin with a space, bytes of an id."""
 
     def __init__(self, encode, values: list[bytes]):
         self.encode, self.values = encode, values
-        self.sizes = np.fromiter(map(len, values), np.int64, len(values))
-        self.names = [str(i) for i in range(len(values))]
+        self.sizes = list(map(len, values))
+
+    def gives_back(self, ids: list[int], text: str) -> bool:
+        return b"".join(map(self.values.__getitem__, ids)) == text.encode()
 
 
 def byte_side(path: str) -> Side:
@@ -68,7 +76,7 @@ def byte_side(path: str) -> Side:
         values[i] = bytes(map(alphabet.__getitem__, piece))
 
     def encode(texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     return Side(encode, values)
 
@@ -82,86 +90,91 @@ def piece_side(path: str) -> Side:
         piece = model.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if model.is_byte(i) else piece.replace("▁", " ").encode()
 
-    return Side(lambda texts: model.encode(texts, num_threads=1), [value(i) for i in range(model.get_piece_size())])
-
-
-def align(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ids of both sides per link, and the ends of the groups."""
-    borders = np.union1d(ends_a, ends_b)
-    left, right = a[np.searchsorted(ends_a, borders)], b[np.searchsorted(ends_b, borders)]
-    return left, right, np.intersect1d(ends_a, ends_b, assume_unique=True)
-
-
-def groups_text(a: list[str], b: list[str], stops_a: list[int], stops_b: list[int]) -> str:
-    """`a1,a2|b1;a3|b2,b3` of ids as text and the numbers of tokens up to each group's end."""
-    out, i, j = [], 0, 0
-    for x, y in zip(stops_a, stops_b):
-        out.append((a[i] if x == i + 1 else ",".join(a[i:x])) + "|" + (b[j] if y == j + 1 else ",".join(b[j:y])))
-        i, j = x, y
-    return ";".join(out)
-
-
-def _aligned(side_a: Side, side_b: Side, text: str, ids_a: list[int], ids_b: list[int]) -> tuple:
-    whole = b" " + text.encode()
-    if b"".join(map(side_a.values.__getitem__, ids_a)) != whole or b"".join(map(side_b.values.__getitem__, ids_b)) != whole:
-        return 0, 0, 0, "", None
-    a, b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
-    ends_a, ends_b = np.cumsum(side_a.sizes[a]), np.cumsum(side_b.sizes[b])
-    left, right, stops = align(a, b, ends_a, ends_b)
-    names_a, names_b = [side_a.names[i] for i in ids_a], [side_b.names[i] for i in ids_b]
-    groups = groups_text(names_a, names_b, (np.searchsorted(ends_a, stops) + 1).tolist(), (np.searchsorted(ends_b, stops) + 1).tolist())
-    return len(a), len(b), len(stops), groups, np.unique(left << 32 | right, return_counts=True)
-
-
-def _align(path_a: str, path_b: str, slice_bytes: int):
-    def out(keys: list, copies: list, found: list[tuple]) -> pa.RecordBatch:
-        pairs = [f[4] for f in found]
-        packed = np.concatenate([p[0] for p in pairs if p] or [np.empty(0, np.int64)])
-        times = np.concatenate([p[1] for p in pairs if p] or [np.empty(0, np.int64)])
-        struct = pa.StructArray.from_arrays(
-            [pa.array((packed >> 32).astype(np.int32)), pa.array((packed & 0xFFFFFFFF).astype(np.int32)), pa.array(times.astype(np.int64))], names=["a", "b", "n"]
-        )
-        offsets = np.cumsum([0, *(len(p[0]) if p else 0 for p in pairs)]).astype(np.int32)
-        columns = [pa.array([f[i] for f in found], pa.int64()) for i in range(3)]
-        groups = pa.array([f[3] for f in found], pa.string())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.string()), pa.array(copies, pa.int64()), *columns, groups, pa.ListArray.from_arrays(pa.array(offsets), struct)],
-            names=["text_key", "copies", "n_a", "n_b", "n_groups", "groups", "pairs"],
-        )
+    # The model adds the space itself.
+    return Side(lambda texts: model.encode([t[1:] for t in texts], num_threads=1), [value(i) for i in range(model.get_piece_size())])
+
+
+def align(ids_a: list[int], ids_b: list[int], sizes_a: list[int], sizes_b: list[int]) -> tuple[int, str, bytes]:
+    """Number of groups, groups as `a1,a2|b1;a3|b2,b3`, and the links as packed pairs of ids."""
+    links, groups = array("q"), []
+    i = j = start_a = start_b = 0
+    end_a, end_b = sizes_a[ids_a[0]], sizes_b[ids_b[0]]
+    while True:
+        links.append(ids_a[i] << 32 | ids_b[j])
+        step_a, step_b = end_a <= end_b, end_b <= end_a
+        i, j = i + step_a, j + step_b
+        if step_a and step_b:
+            groups.append(",".join(map(str, ids_a[start_a:i])) + "|" + ",".join(map(str, ids_b[start_b:j])))
+            start_a, start_b = i, j
+            if i == len(ids_a):
+                return len(groups), ";".join(groups), links.tobytes()
+        if step_a:
+            end_a += sizes_a[ids_a[i]]
+        if step_b:
+            end_b += sizes_b[ids_b[j]]
+
+
+NOTHING = (0, 0, 0, "", b"")
+
+
+@cache
+def chunk_alignments(path_a: str, path_b: str) -> Chunks:
+    """Chunk -> n_a, n_b, n_groups, groups, links; NOTHING if a side does not give it back. Kept between tasks."""
+    a, b = byte_side(path_a), piece_side(path_b)
+
+    def work(chunks: list[str]) -> Iterator[tuple]:
+        for chunk, ids_a, ids_b in zip(chunks, a.encode(chunks), b.encode(chunks)):
+            if a.gives_back(ids_a, chunk) and b.gives_back(ids_b, chunk):
+                yield len(ids_a), len(ids_b), *align(ids_a, ids_b, a.sizes, b.sizes)
+            else:
+                yield NOTHING
+
+    return Chunks(work)
+
+
+def alignments(path_a: str, path_b: str, texts: list[str]) -> Iterator[tuple]:
+    """Per text: n_a, n_b, n_groups, groups, (packed pairs, links of each)."""
+    known = chunk_alignments(path_a, path_b)
+    split = [CHUNKS.split(" " + t) for t in texts]
+    found = known.values(chain.from_iterable(split))
+    for chunks in split:
+        parts = list(map(found.__getitem__, chunks))
+        # A text has no tokens if any part of it is not given back.
+        n_a, n_b, n_groups, groups, links = zip(*([NOTHING] if NOTHING in parts else parts))
+        yield sum(n_a), sum(n_b), sum(n_groups), ";".join(groups), np.unique(np.frombuffer(b"".join(links), np.int64), return_counts=True)
 
+
+def _align(path_a: str, path_b: str, slice_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = byte_side(path_a), piece_side(path_b)
-        rows = chain.from_iterable(zip(x.column(0), x.column(1), x.column(2)) for x in batches)
-        done = False
-        while not done:
-            keys, copies, texts, size = [], [], [], 0
-            for key, n, text in rows:
-                keys.append(key.as_py())
-                copies.append(n.as_py())
-                texts.append(text.as_py())
-                size += len(texts[-1])
-                if size >= slice_bytes:
-                    break
-            else:
-                done = True
-            if texts:
-                yield out(keys, copies, [_aligned(a, b, *x) for x in zip(texts, a.encode(texts), b.encode(texts))])
+        rows = ((k.as_py(), n.as_py(), t.as_py()) for x in batches for k, n, t in zip(*x.columns))
+        for part in slices(rows, 2, slice_chars):
+            keys, copies, texts = zip(*part)
+            n_a, n_b, n_groups, groups, pairs = zip(*alignments(path_a, path_b, texts))
+            packed, times = (np.concatenate(x) for x in zip(*pairs))
+            ids = [pa.array(x.astype(np.int32)) for x in (packed >> 32, packed & 0xFFFFFFFF)]
+            offsets = np.cumsum([0, *(len(x) for x, _ in pairs)]).astype(np.int32)
+            struct = pa.StructArray.from_arrays([*ids, pa.array(times.astype(np.int64))], names=["a", "b", "n"])
+            columns = [pa.array(keys, pa.string()), *(pa.array(x, pa.int64()) for x in (copies, n_a, n_b, n_groups)), pa.array(groups, pa.string())]
+            yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(offsets), struct)], names=_ALIGNED_NAMES)
 
     return run
 
 
+_ALIGNED_NAMES = ["text_key", "copies", "n_a", "n_b", "n_groups", "groups", "pairs"]
+
+
 def align_texts(
     docs: DataFrame,
     folder: str = TOKENIZERS,
     byte_vocabulary: str = BYTE_VOCABULARY,
     piece_vocabulary: str = PIECE_VOCABULARY,
-    slice_bytes: int = SLICE_BYTES,
+    slice_chars: int = SLICE_CHARS,
 ) -> DataFrame:
     """Per distinct text: text_key, copies, n_a, n_b, n_groups, groups (as text), pairs (a, b, n links)."""
     texts = docs.select(F.col("text").cast("string").alias("text")).filter("text <> ''")
     distinct = texts.groupBy("text").agg(F.count(F.lit(1)).alias("copies"))
     rows = distinct.select(F.sha2("text", 256).alias("text_key"), "copies", "text")
-    return rows.mapInArrow(_align(f"{folder}/{byte_vocabulary}", f"{folder}/{piece_vocabulary}", slice_bytes), ALIGNED)
+    return rows.mapInArrow(_align(f"{folder}/{byte_vocabulary}", f"{folder}/{piece_vocabulary}", slice_chars), ALIGNED)
 
 
 def pair_counts(aligned: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkgauge.llm import merkle, packing, token_alignment
+from sparkgauge.llm.chunks import Chunks
 from sparkgauge.llm.token_counts import TOKENIZERS
 
 FOLDER = "/root/testdata/sf0.001"
@@ -62,8 +63,21 @@ def words():
 
 @pytest.mark.parametrize("text", [*STRANGE, LONG, "", " "])
 def test_chunks_give_the_ids_of_the_whole_text(words, text):
-    encode = packing.chunk_encoder(f"{TOKENIZERS}/{packing.WORD_VOCABULARY}")
-    assert np.frombuffer(encode(text), "<u4").tolist() == words(text)[:-1]
+    (ids,) = packing.encoded(f"{TOKENIZERS}/{packing.WORD_VOCABULARY}", [text])
+    assert np.frombuffer(ids, "<u4").tolist() == words(text)[:-1]
+
+
+def test_chunks_are_forgotten_by_generations():
+    asked = []
+
+    def work(chunks):
+        asked.extend(chunks)
+        return [c.upper() for c in chunks]
+
+    known = Chunks(work, remembered=500)
+    for i in range(20):
+        assert known.values(["often", f"rare{i}"])["often"] == "OFTEN" and len(known.young) <= 4
+    assert asked.count("often") == 1 and known.values(["rare0"])["rare0"] == "RARE0" and asked.count("rare0") == 2
 
 
 def test_cuts_are_few_and_fill_their_bins():
@@ -192,10 +206,25 @@ COLUMNS = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
 
 def test_alignment_matches_brute_force(spark, odd):
     short = [r for r in ODD if not r[1] or len(r[1]) < 10_000]
-    got = token_alignment.alignment_measures(odd.filter("text IS NULL OR length(text) < 10000"), slice_bytes=40)
+    got = token_alignment.alignment_measures(odd.filter("text IS NULL OR length(text) < 10000"), slice_chars=40)
     assert collections.Counter(tuple(r[c] for c in COLUMNS) for r in got.collect()) == brute_alignment(short)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_chunks_align_like_whole_texts(seed):
+    """Random mixtures of words, spaces of all kinds, marks and symbols."""
+    rng = np.random.default_rng(seed)
+    parts = ["word", "it's", "'ll", " ", "  ", "\n", "\t", "\u00a0", "\u2003", "\x1c", "\u0301", "é", "123", "3.14", "!?", "▁", "🙂", "日本", "ﬁ", "A", "<s>"]
+    texts = ["".join(rng.choice(parts, 40, p=[0.2, *[0.8 / (len(parts) - 1)] * (len(parts) - 1)]).tolist()) for _ in range(300)]
+    paths = (f"{TOKENIZERS}/{token_alignment.BYTE_VOCABULARY}", f"{TOKENIZERS}/{token_alignment.PIECE_VOCABULARY}")
+    a, b = token_alignment.byte_side(paths[0]), token_alignment.piece_side(paths[1])
+    spaced = [" " + t for t in texts]
+    for text, ids_a, ids_b, found in zip(spaced, a.encode(spaced), b.encode(spaced), token_alignment.alignments(*paths, texts)):
+        whole = a.gives_back(ids_a, text) and b.gives_back(ids_b, text)
+        want = (len(ids_a), len(ids_b), *token_alignment.align(ids_a, ids_b, a.sizes, b.sizes)[:2]) if whole else (0, 0, 0, "")
+        assert found[:4] == want
+
+
 def test_alignment_of_the_table(spark):
     docs = read(spark).filter("length(text) < 3000")
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]

@@ -49,5 +49,13 @@ def ascii_lower(text: Column) -> Column:
     )
 
 
+def free_name(name: str, columns: list[str]) -> str:
+    """The name, with as many underscores before it as it takes to clash with no column."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -9,8 +9,8 @@ grouped by term, so a word that a third of the corpus consists of is no hot key.
 
 Defined results
   - null or wordless texts have no words, no postings and no hits (n_words 0);
-  - items without words never occur; items with equal ids count once per id; items
-    without an id are left out, since they cannot be named;
+  - items without words never occur; items with equal ids count once per id; what an item
+    without an id covers is hit, but the item is not named or counted;
   - repeated documents, equal ids with different texts and null ids give one row each;
   - empty tables give an empty result, or documents without hits;
   - other columns of either table are ignored, whatever their names.
@@ -33,7 +33,9 @@ NO_ID = -(2**63)
 END = ""
 
 DOC = ["id", "h"]
-ITEM = ["item_id", "ih"]
+# An item's id as a join key: a mark for null, else the id behind another mark.
+ITEM = ["item", "ih"]
+UNNAMED = "-"
 
 
 def words(text: Column) -> Column:
@@ -42,11 +44,11 @@ def words(text: Column) -> Column:
 
 
 def item_terms(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """One row per distinct item and word: item_id, ih, m (words of the item), j (offset), term."""
+    """One row per distinct item and word: item, ih, m (words of the item), j (offset), term."""
     return (
         items.select(F.col(id_col).cast("string").alias("item_id"), F.col(text_col).alias("text"))
-        .filter("item_id IS NOT NULL")
-        .select("item_id", F.xxhash64("text").alias("ih"), words(F.col("text")).alias("w"))
+        .withColumn("item", F.coalesce(F.concat(F.lit("+"), "item_id"), F.lit(UNNAMED)))
+        .select("item", F.xxhash64("text").alias("ih"), words(F.col("text")).alias("w"))
         .dropDuplicates(ITEM)
         .select(*ITEM, F.size("w").alias("m"), F.posexplode("w").alias("j", "term"))
     )
@@ -142,7 +144,7 @@ def _matches(index: DataFrame, terms: DataFrame, window: int, slack: int) -> Dat
     return (
         found.withColumn("starts", starts)
         .filter(F.size("starts") > 0)
-        .select(*DOC, "item_id", F.array_sort(F.transform(inside, lambda p: p["pos"])).alias("covered"))
+        .select(*DOC, F.expr(f"CASE WHEN item <> '{UNNAMED}' THEN substr(item, 2) END AS item_id"), F.array_sort(F.transform(inside, lambda p: p["pos"])).alias("covered"))
     )
 
 
@@ -154,9 +156,10 @@ def decontaminate(
     index = build_index(docs, terms.select("term"), id_col, text_col)
     hits = (
         _matches(index, terms, window, slack)
+        .select(*DOC, "item_id", F.explode("covered").alias("pos"))
         .groupBy(*DOC)
         .agg(
-            F.size(F.array_distinct(F.flatten(F.collect_list("covered")))).cast("long").alias("n_hit"),
+            F.count_distinct("pos").alias("n_hit"),
             F.sort_array(F.collect_set("item_id")).alias("items"),
         )
     )

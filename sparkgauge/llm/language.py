@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkgauge.llm.common import free_name
+
 UNKNOWN = "und"
 BUCKET_BITS = 12
 BUCKETS = 1 << BUCKET_BITS
@@ -245,9 +247,14 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Hierarchy:
     return Hierarchy(x, np.array([r[0] for r in data], object), np.array([r[2] for r in data], np.int64))
 
 
-def identify(docs: DataFrame, model: Hierarchy, text_col: str = "text", reject: bool = False) -> DataFrame:
-    """The documents (all columns) with lang_pred and score of their text; with reject, und and 0 if it is unlike the language."""
-    columns = [c for c in docs.columns if c not in ("lang_pred", "score")]
+def identify(
+    docs: DataFrame, model: Hierarchy, text_col: str = "text", reject: bool = False, names: tuple[str, str] = ("lang_pred", "score")
+) -> DataFrame:
+    """The documents (all columns but those of the two names) with the language predicted for their text and its score.
+
+    With reject, the prediction is und and 0 if the text is unlike the language.
+    """
+    columns = [c for c in docs.columns if c not in names]
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = columns.index(text_col)
 
@@ -267,12 +274,12 @@ def identify(docs: DataFrame, model: Hierarchy, text_col: str = "text", reject:
                         found[i] = result
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
-                names=[*columns, "lang_pred", "score"],
+                names=[*columns, *names],
             )
 
     kept = docs.select(*[F.col(f"`{c}`") for c in columns])
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return kept.mapInArrow(run, f"{schema}, lang_pred string, score double")
+    return kept.mapInArrow(run, f"{schema}, `{names[0]}` string, `{names[1]}` double")
 
 
 def language_id(docs: DataFrame) -> DataFrame:
@@ -292,5 +299,6 @@ def in_languages(docs: DataFrame, wanted: list[str] | None = None) -> DataFrame:
     if not model.langs:
         return docs
     wanted = [x for x in model.langs if wanted is None or x in wanted]
-    found = identify(docs.select("*"), model, reject=True)
-    return found.filter(F.col("lang_pred").isin(wanted)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    names = (free_name("_lang_pred", docs.columns), free_name("_lang_score", docs.columns))
+    found = identify(docs, model, reject=True, names=names)
+    return found.filter(F.col(names[0]).isin(wanted)).select(*[F.col(f"`{c}`") for c in docs.columns])

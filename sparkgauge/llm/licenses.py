@@ -177,14 +177,15 @@ _SUBJECT = re.compile(
     r"(?:is |are )?(?:(?:released|licensed|distributed|available|made available|published) under|licensed under the terms of)(?: the terms of)?(?: (?:the|a))? "
 )
 _PROGRAM = re.compile(r"^(?:(?:this|the) )?[a-z0-9]+ (?=is free software\b|is distributed in the hope\b)")
-_NEITHER = re.compile(r"^neither the names? of .{1,200}? nor the names of (?:its|the|their) (?:contributors|authors) may be used")
-_PROVIDER = re.compile(r"^this software is provided by .{1,200}? as is and any express")
+_NEITHER = re.compile(r"^neither the names? of .+? nor the names of (?:its|the|their) (?:contributors|authors) may be used")
+_PROVIDER = re.compile(r"^this software is provided by .+? as is and any express")
 
 
 _SUFFIX = re.compile(r"^(licensed under the .+?) see (?:the )?\S+ (?:file )?for (?:more |the full )?(?:details|information|text)$")
-# Beginnings whose wording is made one only when more of the sentence is there.
+# Beginnings whose wording is made one only when the sentence has come to its closing words.
 _OPEN = re.compile(r"^(?:neither the names? of\b|this software is provided by\b|(?:this|the) [a-z]+(?: code)? is (?:released|licensed|distributed|available|made)\b)")
-_OPEN_WORDS = 40
+_CLOSING = re.compile(r"\bmay be used\b|\bas is and any express\b|\bunder\b")
+_ASCII_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 
 def _alike(words: str) -> str:
@@ -216,7 +217,8 @@ def sentence_ids(text: str | None) -> list[tuple[int, str]]:
     """
     if not text:
         return []
-    low = text.lower()
+    # Offsets are the text's own: only A-Z change here, and nothing changes its length.
+    low = text.translate(_ASCII_LOWER)
     if not _ANY_START.search(low):
         return []
     pieces, at = [], 0
@@ -227,13 +229,20 @@ def sentence_ids(text: str | None) -> list[tuple[int, str]]:
     pieces = [(o, re.sub(r"^(?:\d+|[a-z])\s+(?=redistributions|neither)", "", p)) for o, p in pieces if p]
     found, i = [], 0
     while i < len(pieces):
-        joined, best = "", None
+        parts, best, closed = [], None, False
         for k in range(i, len(pieces)):
-            joined = f"{joined} {pieces[k][1]}".strip()
-            known = _alike(joined)
+            if k > i and not closed and _OPEN.match(pieces[k][1]):
+                break
+            parts.append(pieces[k][1])
+            # A holder's name may be of any length: nothing is compared before the closing words.
+            if not closed and _OPEN.match(" ".join(parts[:3])):
+                closed = bool(_CLOSING.search(" ".join(parts[-4:])))
+                if not closed:
+                    continue
+            known = _alike(" ".join(parts))
             if known in _BY_TEXT:
                 best = (k, _BY_TEXT[known])
-            if known not in _PREFIXES and not (_OPEN.match(joined) and joined.count(" ") < _OPEN_WORDS):
+            if known not in _PREFIXES:
                 break
         if best:
             found.append((pieces[i][0], best[1]))

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkgauge.llm.common import free_name
 from sparkgauge.llm.shingles import mix64, word_hasher
 
 WORD_BITS = 15
@@ -173,26 +174,30 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         both = [features(x.as_py(), hasher) for x in batch.column(0)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(1), pa.array([i.tobytes() for i, _ in both], pa.binary()), pa.array([v.tobytes() for _, v in both], pa.binary())],
-            names=["label", "ids", "x"],
+            [
+                batch.column(1),
+                pa.array([i.tobytes() for i, _ in both], pa.binary()),
+                pa.array([v.tobytes() for _, v in both], pa.binary()),
+                batch.column(2),
+            ],
+            names=["label", "ids", "x", "place"],
         )
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> FactorisationMachine:
-    """Fit on at most sample_rows labelled rows, chosen by a hash of the id over all of them."""
+    """Fit on at most sample_rows labelled rows: those with the smallest hashes of the id, whatever the task order."""
     marks = labels.select(F.col("doc_id").alias("_id"), (F.col("quality") == 1).cast("int").alias("label")).filter(
         F.col("_id").isNotNull() & F.col("label").isNotNull() & ~held_out(F.col("_id"))
     )
-    rows = marks.distinct()
-    total = rows.count()
-    # A part of them that has sample_rows rows on average, cut to the bound.
-    part = min(1.0, sample_rows / max(total, 1))
-    chosen = rows.filter(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < int(part * 1_000_000)) if part < 1 else rows
+    place = [F.xxhash64("_id"), F.col("_id"), F.col("label")]
+    chosen = marks.distinct().orderBy(*place).limit(sample_rows)
     data = (
         docs.select(F.col("doc_id").alias("_id"), "text")
         .join(chosen, "_id")
-        .select("text", "label")
-        .mapInArrow(_featured, "label int, ids binary, x binary")
+        .select("text", "label", F.xxhash64("_id").alias("place"))
+        .mapInArrow(_featured, "label int, ids binary, x binary, place long")
+        # An id may have several texts; the bound holds for them too.
+        .orderBy("place", "ids", "x", "label")
         .limit(sample_rows)
         .collect()
     )
@@ -241,4 +246,5 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents the classifier accepts, with all their columns."""
     model = train(docs, labels)
-    return score(docs, model, name="_score").filter(F.col("_score") >= threshold).drop("_score")
+    own = free_name("_score", docs.columns)
+    return score(docs, model, name=own).filter(F.col(own) >= threshold).drop(own)

@@ -70,7 +70,7 @@ def text_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def _repeated_words(rows: DataFrame) -> DataFrame:
     """n_repeat_words from the word hashes _h, which are dropped.
 
-    A 3-word window becomes one number, its hash above its position. Sorted, equal windows are
+    A 3-word window becomes its whole hash with its position. Sorted, equal windows are
     neighbours; the positions of windows with an equal neighbour, sorted again, say how many
     words they cover.
     """
@@ -80,19 +80,18 @@ def _repeated_words(rows: DataFrame) -> DataFrame:
             "CASE WHEN size(_h) > 2 THEN transform(sequence(0, size(_h) - 3),"
             " i -> xxhash64(get(_h, i), get(_h, i + 1), get(_h, i + 2))) ELSE CAST(array() AS array<bigint>) END"
         ),
-    ).withColumn("_b", F.expr("CAST(ceil(log2(size(_h) + 1)) + 1 AS INT)"))
-    ordered = hashed.withColumn("_s", F.expr("sort_array(transform(_t, (h, i) -> shiftleft(h, _b) | CAST(i AS BIGINT)))"))
+    )
+    ordered = hashed.withColumn("_s", F.expr("sort_array(transform(_t, (h, i) -> named_struct('h', h, 'i', CAST(i AS BIGINT))))"))
     twice = ordered.withColumn(
         "_p",
         F.expr(
             "sort_array(transform(filter(_s, (x, i) ->"
-            " coalesce(shiftright(x, _b) = shiftright(get(_s, i - 1), _b), false)"
-            " OR coalesce(shiftright(x, _b) = shiftright(get(_s, i + 1), _b), false)),"
-            " x -> x & (shiftleft(1L, _b) - 1)))"
+            " coalesce(x.h = get(_s, i - 1).h, false) OR coalesce(x.h = get(_s, i + 1).h, false)),"
+            " x -> x.i))"
         ),
     )
     covered = "aggregate(transform(_p, (p, i) -> least(3L, coalesce(get(_p, i + 1) - p, 3L))), 0L, (a, x) -> a + x)"
-    return twice.withColumn("n_repeat_words", F.expr(covered)).drop("_h", "_t", "_b", "_s", "_p")
+    return twice.withColumn("n_repeat_words", F.expr(covered)).drop("_h", "_t", "_s", "_p")
 
 
 def ratios() -> dict[str, Column]:

@@ -130,7 +130,7 @@ dw AS (SELECT doc_id, size, s, array_to_string(list_slice(w, s, s + size - 1), '
   FROM d, sizes, unnest(range(1, len(w) - size + 2)) AS u(s) WHERE len(w) >= size),
 hits AS (SELECT doc_id, item, s, size FROM dw JOIN bw USING (size, win)),
 pos AS (SELECT doc_id, count(DISTINCT p) AS n FROM hits, unnest(range(s, s + size)) AS u(p) GROUP BY doc_id),
-its AS (SELECT doc_id, list_sort(list(DISTINCT item)) AS items FROM hits GROUP BY doc_id)
+its AS (SELECT doc_id, list_sort(list(DISTINCT item) FILTER (WHERE item IS NOT NULL)) AS items FROM hits GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_hit, coalesce(len(items), 0)::BIGINT AS n_items,
   sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, n IS NOT NULL AS contaminated
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)""",

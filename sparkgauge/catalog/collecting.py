@@ -802,7 +802,8 @@ def structured_objects(t):
 @query(
     "c37_custom_source_structured",
     """SELECT 'entries' AS kind, count(*) AS n FROM event_rows UNION ALL SELECT 'log_lines', count(*) FROM event_rows UNION ALL SELECT 'metrics', count(*) FROM event_rows
-       UNION ALL SELECT 'events', count(*) FROM event_rows WHERE k % 2 = 0""",
+       UNION ALL SELECT 'events', count(*) FROM event_rows WHERE k % 2 = 0
+       UNION ALL SELECT kind, 0 FROM (VALUES ('spans'), ('span_events'), ('errors')) AS v(kind)""",
 )
 def _(t):
     return CU.structured_source(structured_objects(t), "event_id", CU.Switches()).counts()

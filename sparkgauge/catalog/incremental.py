@@ -235,6 +235,70 @@ def _(t):
     )
 
 
+def feed_records(rows):
+    """Instrumented rows of the event feed."""
+    from sparkgauge.functions import sections as S
+
+    return rows.select(
+        "event_id", "ts", "arrival", (F.unix_micros("ts") * 1000).alias("start_time"), F.concat(F.lit("event "), c("event_type")).alias("message"),
+        S.text_section({"type": c("event_type")}).alias("dimensions"),
+        S.text_section({"error.code": F.when(c("event_type") == "error", c("props"))}).alias("attributes"),
+        S.number_section({"value": c("value")}).alias("metrics"), S.time_section({"seen": c("ts")}).alias("event_timestamps"),
+    )
+
+
+FEED_BORDERS = [dt.datetime(2024, 1, 11), dt.datetime(2024, 1, 21)]
+
+
+@query(
+    "i5_runs_with_late_rows",
+    """SELECT event_id, epoch_us(ts) AS us, 1::BIGINT AS records, 1::BIGINT AS metrics, 1::BIGINT AS times FROM events WHERE NOT (event_id % 50 = 0 AND ts < TIMESTAMP '2024-01-11 00:00:00')""",
+)
+def _(t):
+    """Runs over the feed as it arrives: late rows within two hours are taken once, repeated ones never again.
+
+    A run dies before its state is written, and the last one is asked for once more after it.
+    """
+    rows, path = feed_records(t.event_feed), fresh_path(t.spark, "runs")
+    options = {"event_column": "error.code"}
+    for border in [*FEED_BORDERS, None]:
+        seen = rows if border is None else rows.filter(c("arrival") < F.lit(border))
+
+        def collect(since, seen=seen):
+            return seen if since is None else seen.filter(c("ts") >= F.lit(since))
+
+        context = RN.Context("events", collect, "event_id", "ts", reread=dt.timedelta(hours=2))
+        if border == FEED_BORDERS[1]:
+            RN.start(t.spark, path, context, "dies", EVENT_AS_OF, **options)
+        RN.run_once(t.spark, path, context, "lives", EVENT_AS_OF, **options)
+    RN.run_once(t.spark, path, context, "again", EVENT_AS_OF, **options)
+    kinds = [RN.output(t.spark, path, context, kind).select("event_id", F.lit(kind).alias("kind")) for kind in ("logs", "events", "metrics", "timestamp_events")]
+    every = reduce(lambda a, b: a.unionByName(b), kinds)
+    counted = every.groupBy("event_id").agg(
+        F.count_if(c("kind").isin("logs", "events")).alias("records"), F.count_if(c("kind") == "metrics").alias("metrics"), F.count_if(c("kind") == "timestamp_events").alias("times")
+    )
+    return counted.join(t.events.select("event_id", "ts"), "event_id").select("event_id", F.unix_micros("ts").alias("us"), "records", "metrics", "times")
+
+
+@query(
+    "i5_runs_with_late_rows_by_batches",
+    """SELECT event_id, 1::BIGINT AS records FROM events WHERE NOT (event_id % 50 = 0 AND ts < TIMESTAMP '2024-01-11 00:00:00')""",
+)
+def _(t):
+    """The same in runs of a bounded number of rows, until nothing is left of what has arrived."""
+    rows, path = feed_records(t.event_feed), fresh_path(t.spark, "runs")
+    batch = rows.count() // 3 + 1
+    for border in [dt.datetime(2024, 1, 16), None]:
+        seen = rows if border is None else rows.filter(c("arrival") < F.lit(border))
+
+        def collect(since, seen=seen):
+            return seen if since is None else seen.filter(c("ts") >= F.lit(since))
+
+        context = RN.Context("events", collect, "event_id", "ts", batch=batch, reread=dt.timedelta(hours=2))
+        RN.run_until_done(t.spark, path, context, "r", EVENT_AS_OF)
+    return RN.output(t.spark, path, context, "logs").groupBy("event_id").agg(F.count("*").alias("records"))
+
+
 # --- streaming twins -----------------------------------------------------------------------
 
 

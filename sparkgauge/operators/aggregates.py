@@ -7,10 +7,13 @@ on the map side before its array is put together.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkgauge.session import cut_lineage
+
 
 def group_all_arrays(rows: DataFrame, keys: Sequence[str], columns: Mapping[str, Column]) -> DataFrame:
     """Sorted distinct arrays per group, nulls skipped."""
@@ -96,43 +99,77 @@ def dedup(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFra
     return first.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
-# The sketch is off by at most one part in SKETCH_ACCURACY of a group; the middle band is ten times wider.
+# The sketch is off by at most one part in SKETCH_ACCURACY of a group.
 SKETCH_ACCURACY = 10_000
-BAND = 10 / SKETCH_ACCURACY
+# Values of a group that are put in order at once; a larger interval is narrowed first.
+ORDERED_VALUES = 10_000
 
 
 def exact_percentile(rows: DataFrame, keys: Sequence[str], value: str, p: float, name: str) -> DataFrame:
     """Exact percentile per group, linear interpolation, without holding a group in one task.
 
-    A mergeable sketch gives two values between which the wanted ranks lie. Rows below and above
-    them are only counted, and the values of the band, about 0.2 % of a group, are counted one
-    by one and ranked. The ranks are exact whatever the sketch says; a rank outside the band and
-    its two neighbours fails the query rather than give a wrong value. Nulls are skipped, groups
-    without values vanish.
+    Every group has an interval that holds the two wanted ranks. While intervals hold too many
+    rows, a mergeable sketch cuts them into three zones whose rows are counted; the zone of
+    the ranks is the next interval, whichever it is, so a sketch that is off costs a round and
+    never a wrong value. What is left of a group, a fixed number of values at most, is ordered.
+    Nulls are skipped, groups without values vanish.
     """
-    kept = rows.filter(F.col(value).isNotNull()).select(*keys, value)
-    edges = [F.lit(max(p - BAND, 0.0)), F.lit(min(p + BAND, 1.0))]
-    band = kept.groupBy(*keys).agg(*[F.percentile_approx(value, e, SKETCH_ACCURACY).alias(n) for e, n in zip(edges, ("_lo", "_hi"))])
-    zone = F.when(F.col(value) < F.col("_lo"), 0).when(F.col(value) > F.col("_hi"), 2).otherwise(1)
-    placed = null_safe_attach(kept, band, keys, "inner").withColumn("_zone", zone)
-    # One row per group for the rows below, one for those above, one per distinct value between.
-    inner = F.when(F.col("_zone") == 1, F.col(value)).alias("_value")
-    counted = placed.groupBy(*keys, "_zone", inner).agg(
-        F.count("*").alias("_n"), F.when(F.col("_zone") == 2, F.min(value)).otherwise(F.max(value)).alias("_edge")
-    )
-    totals = counted.groupBy(*keys).agg((F.lit(p) * (F.sum("_n") - 1)).alias("_rank"))
-    upto = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_zone", "_value"))
-    ranked = null_safe_attach(counted.withColumn("_upto", upto), totals, keys, "inner")
-    # Below the band the last rank is known, above it the first one.
-    first = F.when(F.col("_zone") == 0, F.col("_upto") - 1).otherwise(F.col("_upto") - F.col("_n"))
-    last = F.when(F.col("_zone") == 2, F.col("_upto") - F.col("_n")).otherwise(F.col("_upto") - 1)
-    ends = ranked.groupBy(*keys).agg(
-        *[
-            F.max(F.when((first <= rank) & (rank <= last), F.col("_edge")).cast("double")).alias(n)
-            for rank, n in ((F.floor("_rank"), "_low"), (F.ceil("_rank"), "_high"))
-        ],
-        F.max("_rank").alias("_rank"),
+    kept = cut_lineage(rows.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v")))
+    total = F.count(F.lit(1))
+    state = kept.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), total.alias("_held"), (F.lit(p) * (total - 1)).alias("_rank"))
+    state = state.withColumn("_below", F.lit(0).cast("bigint"))
+    state = cut_lineage(state.select(*keys, "_lo", "_hi", "_held", "_rank", "_below"))
+    small, found = [], []
+    while True:
+        large = state.filter((F.col("_held") > ORDERED_VALUES) & (F.col("_lo") < F.col("_hi")))
+        small.append(state.filter((F.col("_held") <= ORDERED_VALUES) | (F.col("_lo") == F.col("_hi"))))
+        if large.isEmpty():
+            break
+        state, ends = _narrowed(kept, keys, large)
+        found.append(ends)
+    left = reduce(DataFrame.unionByName, small)
+    # An interval of one value needs no order; its rows are left out of the lists.
+    one = (F.col("_lo") == F.col("_hi"))
+    found.append(left.filter(one).select(*keys, F.col("_lo").alias("_low"), F.col("_lo").alias("_high"), "_rank"))
+    inner = _inside(kept, keys, left.filter(~one))
+    lists = inner.groupBy(*keys, "_rank", "_below").agg(F.sort_array(F.collect_list("_v")).alias("_l"))
+    at = [F.get("_l", (r - F.col("_below")).cast("int")) for r in (F.floor("_rank"), F.ceil("_rank"))]
+    found.append(lists.select(*keys, at[0].alias("_low"), at[1].alias("_high"), "_rank"))
+    low, high = F.col("_low").cast("double"), F.col("_high").cast("double")
+    return reduce(DataFrame.unionByName, found).select(*keys, (low + (high - low) * (F.col("_rank") - F.floor("_rank"))).alias(name))
+
+
+def _inside(kept: DataFrame, keys: Sequence[str], intervals: DataFrame) -> DataFrame:
+    return null_safe_attach(kept, intervals, keys, "inner").filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+
+
+def _narrowed(kept: DataFrame, keys: Sequence[str], state: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The next intervals, and the values of groups whose two ranks lie in neighbouring zones."""
+    inside = cut_lineage(_inside(kept, keys, state))
+    # Where the ranks stand within the interval is the same for all rows of a group; the sketch needs
+    # fixed shares, so the interval's values are sketched whole and the edges picked from the list.
+    shares = [i / GRID for i in range(GRID + 1)]
+    sketch = inside.groupBy(*keys, "_rank", "_below", "_held").agg(F.percentile_approx("_v", shares, SKETCH_ACCURACY).alias("_q"))
+    place = (F.col("_rank") - F.col("_below")) / F.col("_held") * GRID
+    first = F.greatest(F.floor(place - 1), F.lit(0)).cast("int")
+    last = F.least(F.ceil(place + 1), F.lit(GRID)).cast("int")
+    edges = sketch.select(*keys, F.get("_q", first).alias("_a"), F.get("_q", last).alias("_b"))
+    zone = F.when(F.col("_v") < F.col("_a"), 0).when(F.col("_v") > F.col("_b"), 2).otherwise(1)
+    zones = (
+        null_safe_attach(inside, edges, keys, "inner")
+        .groupBy(*keys, "_rank", "_below", zone.alias("_zone"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     )
-    found = F.col("_low") + (F.col("_high") - F.col("_low")) * (F.col("_rank") - F.floor("_rank"))
-    missed = F.raise_error(F.lit("a rank lies outside the band of the sketch")).cast("double")
-    return ends.select(*keys, F.coalesce(found, missed).alias(name))
+    # Three rows per group.
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(*keys).orderBy("_zone").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    zones = cut_lineage(zones.withColumn("_below", F.col("_below") + before))
+    holds = [(r >= F.col("_below")) & (r < F.col("_below") + F.col("_n")) for r in (F.floor("_rank"), F.ceil("_rank"))]
+    following = zones.filter(holds[0] & holds[1]).select(*keys, "_lo", "_hi", F.col("_n").alias("_held"), "_rank", "_below")
+    # A rank that is the last of its zone has the zone's largest value, the next one the smallest of the next zone.
+    split = zones.filter(holds[0] != holds[1]).groupBy(*keys, "_rank")
+    ends = split.agg(F.max(F.when(holds[0], F.col("_hi"))).alias("_low"), F.max(F.when(holds[1], F.col("_lo"))).alias("_high"))
+    return following, ends.select(*keys, "_low", "_high", "_rank")
+
+
+# Shares at which an interval is sketched; the zone of a rank is about two of these steps wide.
+GRID = 500

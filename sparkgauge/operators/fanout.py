@@ -146,8 +146,8 @@ def fan_out(
     log_level = level if level is not None else status_level(F.try_element_at(F.col("_flat"), F.lit("status.code")))
     body = drop_blanks(F.col("_flat"))
     return FanOut(
-        metrics=metric_records(rows if report_metrics else rows.limit(0), [row_id], start),
-        timestamp_events=timestamp_events(rows if report_timestamp_events else rows.limit(0), [row_id], mark_ns),
+        metrics=metric_records(rows if report_metrics else rows.filter(F.lit(False)), [row_id], start),
+        timestamp_events=timestamp_events(rows if report_timestamp_events else rows.filter(F.lit(False)), [row_id], mark_ns),
         events=flat.filter("_event").select(row_id, "message", body.alias("properties")),
         logs=flat.filter("_log").select(row_id, F.col("message").alias("content"), log_level.alias("level"), body.alias("attributes")),
         spans=span_rows.select(

@@ -1,9 +1,8 @@
 """Closures over role grants and trees over spans.
 
-A closure advances one level per step: the rows found by the last step meet the edges, and
-one anti-join drops what is known. A tree doubles its parent pointers, so its steps grow with
-the logarithm of the depth. Every step is written to the shared folder once. There is no
-depth cap: the steps end when nothing is new.
+Closures and trees double the depth they have reached, so their steps grow with the logarithm
+of the depth. Every step is written to the shared folder once. There is no depth cap: the
+steps end when nothing is new.
 """
 
 from __future__ import annotations
@@ -20,20 +19,21 @@ from sparkgauge.session import cut_lineage
 def role_closure(edges: DataFrame, roles: DataFrame | None = None, parent: str = "parent", child: str = "child") -> DataFrame:
     """Every role reachable from a role with its least depth, plus each role itself at depth 0.
 
-    Steps go breadth first, so the first depth at which a pair appears is its least one.
+    A step doubles the depth reached: a pair whose least depth lies above d and up to 2 d has on
+    its way a role at depth d exactly, from which the rest is known. So only the pairs at depth d
+    meet the known ones, a step makes little more rows than are new, and the number of steps
+    grows with the logarithm of the depth; cycles end by themselves.
     """
-    frontier = cut_lineage(
-        edges.select(F.col(parent).alias("parent"), F.col(child).alias("child")).distinct().withColumn("depth", F.lit(1).cast("bigint"))
-    )
-    step = frontier.select(F.col("parent").alias("child"), F.col("child").alias("_next"))
-    closure = frontier
+    first = edges.select(F.col(parent).alias("parent"), F.col(child).alias("child")).distinct()
+    closure = border = cut_lineage(first.withColumn("depth", F.lit(1).cast("bigint")))
     depth = 1
-    while not frontier.isEmpty():
-        depth += 1
-        reached = frontier.join(step, "child").select("parent", F.col("_next").alias("child")).distinct()
-        new = reached.join(closure.select("parent", "child"), ["parent", "child"], "left_anti")
-        frontier = cut_lineage(new.withColumn("depth", F.lit(depth).cast("bigint")))
-        closure = closure.unionByName(frontier)
+    while not border.isEmpty():
+        rest = closure.select(F.col("parent").alias("child"), F.col("child").alias("_next"), F.col("depth").alias("_more"))
+        reached = border.join(rest, "child").groupBy("parent", F.col("_next").alias("child")).agg((F.min("_more") + depth).alias("depth"))
+        new = cut_lineage(reached.join(closure.select("parent", "child"), ["parent", "child"], "left_anti"))
+        closure = closure.unionByName(new)
+        depth *= 2
+        border = new.filter(F.col("depth") == depth)
     if roles is None:
         return closure
     own = roles.select(F.col("name").alias("parent"), F.col("name").alias("child")).distinct()

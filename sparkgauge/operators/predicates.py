@@ -12,43 +12,70 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkgauge.session import cut_lineage
+
 EPOCH = dt.datetime(1970, 1, 1)
 
 
-# Up to this many configured patterns become one literal condition; more are joined.
-MAX_LITERAL_PATTERNS = 200
+# Literal text is looked up by pieces of so many characters; shorter text by all of it.
+GRAM = 3
 
 
 def include_exclude(rows: DataFrame, name: str, include: DataFrame, exclude: DataFrame, pattern: str = "pattern") -> DataFrame:
     """Keep rows whose name is LIKE some include pattern and LIKE no exclude pattern.
 
-    An empty include list keeps nothing, an empty exclude list removes nothing, and null
-    patterns are skipped. Short lists (checked) turn into a literal filter without any join; long ones are matched
-    against the distinct names by an equi-join on the text before the first wildcard.
+    An empty include list keeps nothing, an empty exclude list removes nothing, null patterns
+    are skipped, and a row without a name is LIKE none. Lists of any length are matched against
+    the distinct names by an index of character n-grams; no name meets all patterns.
     """
-    include, exclude = (df.filter(F.col(pattern).isNotNull()) for df in (include, exclude))
-    heads = [
-        [r[0] for r in df.select(pattern).distinct().limit(MAX_LITERAL_PATTERNS + 1).collect()]
-        for df in (include, exclude)
-    ]
-    if all(len(h) <= MAX_LITERAL_PATTERNS for h in heads):
-        return rows.filter(like_lists(F.col(name), *heads))
-    names = rows.select(name).distinct()
-    kept = rows.join(_matching(names, name, include, pattern), name, "left_semi")
-    return kept.join(_matching(names, name, exclude, pattern), name, "left_anti")
-
-
-def _matching(names: DataFrame, name: str, patterns: DataFrame, pattern: str) -> DataFrame:
-    """Names LIKE some pattern: every prefix of a name meets the patterns that start with it.
-
-    The start of a pattern is its text before the first wildcard, escapes resolved.
+    names = cut_lineage(rows.select(F.col(name).alias("_name")).filter(F.col("_name").isNotNull()).distinct())
+    listed = include.select(F.col(pattern).alias("_like"), F.lit(True).alias("_in")).unionByName(
+        exclude.select(F.col(pattern).alias("_like"), F.lit(False).alias("_in"))
+    )
+    verdict = like_any(names, listed).groupBy("_name").agg(F.bool_and("_in").alias("_kept"))
+    return rows.join(verdict.filter("_kept"), rows[name] == F.col("_name"), "left_semi")
+
+
+def like_any(names: DataFrame, patterns: DataFrame) -> DataFrame:
+    """Names (_name) with the flag (_in) of every pattern (_like) they are LIKE; pairs may repeat.
+
+    A pattern meets only the names that hold its rarest literal n-gram and is verified there. A
+    pattern of wildcards alone is a condition on the length of a name.
     """
-    by_head = patterns.select(F.col(pattern).alias("_like")).distinct()
-    head = F.regexp_extract("_like", r"^((?:[^%_\\]|\\.)*)", 1)
-    by_head = by_head.withColumn("_head", F.regexp_replace(head, r"\\(.)", "$1"))
-    heads = names.select(name, F.explode(F.sequence(F.lit(0), F.length(name))).alias("_n"))
-    heads = heads.select(name, F.substr(F.col(name), F.lit(1), F.col("_n")).alias("_head"))
-    return heads.join(by_head, "_head").filter(F.like(F.col(name), F.col("_like"))).select(name).distinct()
+    # Literal texts between wildcards, escapes resolved.
+    parts = F.regexp_extract_all(F.col("_like"), F.lit(r"((?:[^%_\\]|\\.)+)"), F.lit(1))
+    literal = F.transform(parts, lambda x: F.regexp_replace(x, r"\\(.)", "$1"))
+    listed = patterns.filter(F.col("_like").isNotNull()).distinct().withColumn("_texts", literal)
+    texts = listed.filter(F.size("_texts") > 0).select("_like", "_in", F.explode("_texts").alias("_text"))
+    starts = F.explode(F.sequence(F.lit(1), F.greatest(F.length("_text") - GRAM + 1, F.lit(1)))).alias("_at")
+    wanted = texts.select("_like", "_in", "_text", starts).select("_like", "_in", F.substr("_text", "_at", F.lit(GRAM)).alias("_gram"))
+    wanted = wanted.distinct()
+    grams = wanted.select("_gram").distinct()
+
+    # Only grams that some pattern has are kept of the names; of three sizes at most, those in use.
+    sizes = sorted(r[0] for r in grams.select(F.length("_gram")).distinct().collect())
+    places = names.filter("length(_name) > 0").select("_name", F.explode(F.sequence(F.lit(1), F.length("_name"))).alias("_at"))
+    pieces = [F.when(F.col("_at") + n - 1 <= F.length("_name"), F.substr("_name", "_at", F.lit(n))) for n in sizes]
+    held = places.select("_name", F.explode(F.array(*pieces) if pieces else F.array().cast("array<string>")).alias("_gram"))
+    index = cut_lineage(held.join(grams, "_gram", "left_semi").distinct())
+    counts = index.groupBy("_gram").agg(F.count("*").alias("_n"))
+    # A gram that no name holds is the rarest: its pattern is LIKE nothing and finds nothing.
+    rarest = (
+        wanted.join(counts, "_gram", "left")
+        .groupBy("_like", "_in")
+        .agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_gram").alias("gram"))).alias("_r"))
+        .select("_like", "_in", F.col("_r.gram").alias("_gram"))
+    )
+    found = index.join(rarest, "_gram").filter(F.like(F.col("_name"), F.col("_like"))).select("_name", "_in")
+
+    wild = listed.filter(F.size("_texts") == 0).select("_in", F.length(F.regexp_replace("_like", "%", "")).alias("_n"), F.contains("_like", F.lit("%")).alias("_open"))
+    sized = names.withColumn("_n", F.length("_name"))
+    exact = sized.join(wild.filter("NOT _open").select("_in", "_n").distinct(), "_n").select("_name", "_in")
+    # Of the open ones the shortest decides; two numbers reach the driver.
+    least = {r["_in"]: r["_n"] for r in wild.filter("_open").groupBy("_in").agg(F.min("_n").alias("_n")).collect()}
+    for flag, n in least.items():
+        exact = exact.unionByName(sized.filter(F.col("_n") >= n).select("_name", F.lit(flag).alias("_in")))
+    return found.unionByName(exact)
 
 
 def any_of(conditions: Sequence[Column]) -> Column:

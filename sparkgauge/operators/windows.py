@@ -12,6 +12,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkgauge.session import cut_lineage
+
+# A range with no more rows than this is sorted; a larger one is counted in this many parts.
+SORTED_ROWS, PARTS = 10_000, 1_024
+
 
 def top_n_slowest(rows: DataFrame, metric: str, n: int | None, key: str) -> DataFrame:
     """The rows ranked below n by a metric, largest first: n - 1 rows, all without n. Ties go by key."""
@@ -24,7 +29,8 @@ def batch_limit_oldest(rows: DataFrame, ts: str, key: str, n: int | None, after:
     """The next n rows by (ts, key), all without n; after is the pair of the last row read before.
 
     The pair decides, so rows that share the last row's time are read by the next batch. Rows
-    without a time come first.
+    without a time come first. The last pair of the batch is looked up beforehand, so the batch
+    is a plain filter and no task ever holds n rows.
     """
     if after is not None:
         time, last = after
@@ -32,7 +38,58 @@ def batch_limit_oldest(rows: DataFrame, ts: str, key: str, n: int | None, after:
         if time is None:
             newer = F.col(ts).isNotNull() | (F.col(key) > F.lit(last))
         rows = rows.filter(newer)
-    return rows if n is None else rows.orderBy(F.col(ts).asc_nulls_first(), F.col(key)).limit(n)
+    if n is None:
+        return rows
+    last = nth_pair(rows, ts, key, n)
+    if last is None:
+        return rows
+    time, row_id = last
+    if time is None:
+        return rows.filter(F.col(ts).isNull() & (F.col(key) <= F.lit(row_id)))
+    return rows.filter(F.col(ts).isNull() | (F.col(ts) < F.lit(time)) | ((F.col(ts) == F.lit(time)) & (F.col(key) <= F.lit(row_id))))
+
+
+def nth_pair(rows: DataFrame, ts: str, key: str, n: int) -> tuple | None:
+    """The n-th (ts, key) of the rows, rows without a time first; None if there are not more than n rows.
+
+    The time range is counted in equal parts, then the part that holds the n-th row, until few
+    rows or a single time are left. Ties of one time are ranked over range partitions.
+    """
+    pairs = cut_lineage(rows.select(F.col(ts).alias("t"), F.col(key).alias("k")))
+    total, timeless, low, high = pairs.agg(F.count("*"), F.count_if(F.col("t").isNull()), F.min(F.unix_micros("t")), F.max(F.unix_micros("t"))).first()
+    if total <= n:
+        return None
+    if n <= timeless:
+        return _nth_in(pairs.filter("t IS NULL"), timeless, n)
+    held, n = total - timeless, n - timeless
+    us = F.unix_micros("t")
+
+    def inside() -> DataFrame:
+        return pairs.filter(F.col("t").between(F.timestamp_micros(F.lit(low)), F.timestamp_micros(F.lit(high))))
+
+    while held > SORTED_ROWS and low < high:
+        width = -(-(high - low + 1) // PARTS)
+        counts = inside().groupBy(F.expr(f"(unix_micros(t) - {low}L) DIV {width}L").alias("part")).agg(F.count("*").alias("n"), F.min(us).alias("low"), F.max(us).alias("high"))
+        for part in sorted(counts.collect()):
+            if n <= part["n"]:
+                held, low, high = part["n"], part["low"], part["high"]
+                break
+            n -= part["n"]
+    return _nth_in(inside(), held, n)
+
+
+def _nth_in(pairs: DataFrame, held: int, n: int) -> tuple:
+    """The n-th of so many pairs (t, k): by a bounded sort, or by rank over range partitions if there are many."""
+    if held <= SORTED_ROWS:
+        return tuple(pairs.orderBy("t", "k").offset(n - 1).limit(1).first())
+    placed = pairs.repartitionByRange("t", "k").sortWithinPartitions("t", "k").withColumn("at", F.monotonically_increasing_id())
+    placed = cut_lineage(placed)
+    part = F.shiftrightunsigned("at", 33)
+    for run in sorted(placed.groupBy(part.alias("part")).agg(F.count("*").alias("n"), F.min("at").alias("first")).collect()):
+        if n <= run["n"]:
+            return tuple(placed.filter(F.col("at") == run["first"] + n - 1).select("t", "k").first())
+        n -= run["n"]
+    raise AssertionError("fewer rows than were counted")
 
 
 def newest(rows: DataFrame, ts: str, key: str, k: int | None = None) -> DataFrame:

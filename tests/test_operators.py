@@ -37,9 +37,8 @@ def test_long_pattern_lists_equal_short_ones(spark, monkeypatch):
     data = spark.createDataFrame([(n,) for n in names], "name string")
     inc = spark.createDataFrame([(p,) for p in patterns[:20]], "pattern string")
     exc = spark.createDataFrame([(p,) for p in patterns[20:]], "pattern string")
-    short = rows(P.include_exclude(data, "name", inc, exc), "name")
-    monkeypatch.setattr(P, "MAX_LITERAL_PATTERNS", 0)
-    assert rows(P.include_exclude(data, "name", inc, exc), "name") == short
+    want = rows(data.filter(P.like_lists(F.col("name"), patterns[:20], patterns[20:])), "name")
+    assert rows(P.include_exclude(data, "name", inc, exc), "name") == want
 
 
 def test_empty_lists(spark):
@@ -336,3 +335,82 @@ def test_cut_properties_are_marked(spark):
     rows = spark.sql("SELECT 1 AS id, map('a', 'abcdef', 'b', 'ab', 'c', '{}') AS properties")
     row = truncated_events(rows, max_chars=4).first()
     assert row.properties == {"a": "abcd", "b": "ab"} and row.cut_properties == {"a": 6}
+
+
+# --- whole lists, groups, batches and chains -------------------------------------------------
+
+
+def test_patterns_of_wildcards_and_escapes(spark):
+    names = ["", "a", "ab", "abc", "a_b", "a%b", "x.y.z", "日本語", None]
+    lists = [["%"], ["__", "%y%", ""], ["a\\_b", "a\\%%"], ["%本_", "_%_", None], []]
+    data = spark.createDataFrame([(n,) for n in names], "name string")
+    none = spark.createDataFrame([], "pattern string")
+    for patterns in lists:
+        inc = spark.createDataFrame([(p,) for p in patterns], "pattern string")
+        known = [p for p in patterns if p is not None]
+        want = rows(data.filter(P.like_lists(F.col("name"), known)), "name")
+        assert rows(P.include_exclude(data, "name", inc, none), "name") == want, patterns
+        every = spark.createDataFrame([("%",)], "pattern string")
+        gone = rows(data.filter(P.like_lists(F.col("name"), ["%"], known)), "name")
+        assert rows(P.include_exclude(data, "name", every, inc), "name") == gone, patterns
+
+
+def test_leading_wildcards_meet_few_names(spark):
+    names = spark.range(2000).select(F.concat(F.lit("DB.SCHEMA_"), F.col("id") % 7, F.lit(".T"), F.col("id")).alias("_name"))
+    patterns = spark.range(2000).select(F.concat(F.lit("%.T1"), F.col("id")).alias("_like"), F.lit(True).alias("_in"))
+    found = P.like_any(names, patterns)
+    assert {r[0].rpartition(".T")[2] for r in found.select("_name").collect()} == {str(i) for i in range(2000) if str(i)[0] == "1" and len(str(i)) > 1 and not (str(i)[1] == "0" and len(str(i)) > 2)}
+    assert not any(x in plan(found) for x in ("CartesianProduct", "NestedLoop"))
+
+
+def test_batches_are_plain_filters(spark, monkeypatch):
+    rng = random.Random(11)
+    times = [None, DAY0, DAY0 + dt.timedelta(microseconds=1), *(DAY0 + dt.timedelta(seconds=rng.randint(0, 10**6)) for _ in range(300)), DAY0 + dt.timedelta(days=9999)]
+    data = [(rng.choice(times[:3] + times), i) for i in range(1500)]
+    df = spark.createDataFrame(data, "ts timestamp, id long").repartition(5)
+    ordered = sorted(data, key=lambda r: (r[0] is not None, r[0] or DAY0, r[1]))
+    for few in (3, 50, 10_000):
+        monkeypatch.setattr(W, "SORTED_ROWS", few)
+        monkeypatch.setattr(W, "PARTS", 16)
+        for n in (1, 2, 400, 1499):
+            part = W.batch_limit_oldest(df, "ts", "id", n)
+            assert {r["id"] for r in part.collect()} == {i for _, i in ordered[:n]}
+            assert "Limit" not in plan(part) and "Sort" not in plan(part)
+        after = ordered[600]
+        assert {r["id"] for r in W.batch_limit_oldest(df, "ts", "id", 77, after).collect()} == {i for _, i in ordered[601:678]}
+        assert W.batch_limit_oldest(df, "ts", "id", 1500).count() == 1500
+
+
+@pytest.mark.parametrize("p", [0.0, 0.3, 0.95, 1.0])
+def test_percentile_narrows_large_groups(spark, monkeypatch, p):
+    monkeypatch.setattr(A, "ORDERED_VALUES", 40)
+    rng = random.Random(13)
+    data = [("ties", rng.choice([1.0, 1.0, 1.0, 2.0, 5.5])) for _ in range(3000)] + [("tail", 1.5 ** rng.randint(0, 80)) for _ in range(3000)]
+    data += [("small", float(i)) for i in range(7)] + [("same", 4.0)] * 500 + [(None, float(rng.randint(-9, 9))) for _ in range(200)]
+    df = spark.createDataFrame(data, "k string, v double")
+    want = {k: float(np.percentile([v for kk, v in data if kk == k], 100 * p)) for k in {k for k, _ in data}}
+    assert {r["k"]: r["x"] for r in A.exact_percentile(df, ["k"], "v", p, "x").collect()} == pytest.approx(want)
+
+
+def test_percentile_with_a_sketch_that_is_off(spark, monkeypatch):
+    monkeypatch.setattr(A, "ORDERED_VALUES", 40)
+    monkeypatch.setattr(A, "SKETCH_ACCURACY", 3)
+    values = [float(i * i % 7919) for i in range(4000)]
+    df = spark.createDataFrame([("k", v) for v in values], "k string, v double")
+    for p in (0.1, 0.5, 0.95):
+        assert A.exact_percentile(df, ["k"], "v", p, "x").first()["x"] == pytest.approx(float(np.percentile(values, 100 * p)))
+
+
+def test_deep_chains_take_few_steps(spark, monkeypatch):
+    steps = []
+    cut = G.cut_lineage
+    monkeypatch.setattr(G, "cut_lineage", lambda df: steps.append(1) or cut(df))
+    n = 1000
+    chain = spark.range(n).selectExpr("'r' || id AS parent", "'r' || (id + 1) AS child")
+    got = G.role_closure(chain)
+    assert got.count() == n * (n + 1) // 2 and len(steps) <= 12
+    assert got.filter("CAST(substr(child, 2) AS INT) - CAST(substr(parent, 2) AS INT) <> depth").count() == 0
+    m = 60
+    ring = spark.range(m).selectExpr("'c' || id AS parent", f"'c' || ((id + 1) % {m}) AS child")
+    got = G.role_closure(ring)
+    assert got.count() == m * m and got.agg(F.max("depth")).first()[0] == m

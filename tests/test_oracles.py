@@ -1,10 +1,8 @@
 """Registered queries against their SQL on DuckDB, on the smallest data folder.
 
-By default every third query of each family runs, to keep the suite short; set
-ORACLE_ALL=1 to run all of them (``tools/compare.py`` does the same with more detail).
+``tools/compare.py`` does the same with more detail.
 """
 
-import os
 import sys
 from pathlib import Path
 
@@ -23,8 +21,6 @@ FOLDER = "/root/testdata/sf0.001"
 
 load_all()
 CHECKED = sorted(ORACLES)
-if not os.environ.get("ORACLE_ALL"):
-    CHECKED = CHECKED[::3]
 
 
 @pytest.fixture(scope="module")

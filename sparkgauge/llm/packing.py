@@ -26,6 +26,7 @@ Defined results
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterator
 from functools import cache
 from itertools import chain, count
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
-from sparkgauge.llm.chunks import Chunks, slices
+from sparkgauge.llm.chunks import REMEMBERED, Chunks, slices
 from sparkgauge.llm.token_counts import TOKENIZERS
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -57,21 +58,39 @@ def chunk_ids(path: str) -> Chunks:
     The vocabulary drops white space: no token reaches over it and normalising composes nothing
     across it, so a text's ids are those of its chunks between ASCII white space.
     """
-    from tokenizers import Tokenizer, normalizers
+    from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    whole, lowered = Tokenizer.from_file(path), Tokenizer.from_file(path)
-    lowered.normalizer = normalizers.Sequence([])
+    whole, lowered, letters = (Tokenizer.from_file(path) for _ in range(3))
+    lowered.normalizer = letters.normalizer = normalizers.Sequence([])
+    letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+
+    def ids(tokenizer: Tokenizer, texts: list[str]) -> Iterator[bytes]:
+        return (array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False))
+
+    def of_words(words: list[str]) -> Iterator[bytes]:
+        plain = [w.isalpha() for w in words]
+        done, rest = ids(letters, [w for w, x in zip(words, plain) if x]), ids(lowered, [w for w, x in zip(words, plain) if not x])
+        return (next(done if x else rest) for x in plain)
+
+    known = Chunks(of_words, remembered=REMEMBERED // 4)
+
+    def cut(text: str) -> tuple[str, ...] | None:
+        """Lower-case words of a simple chunk; a mark after letters is a word of its own."""
+        # Characters below the combining marks are composed already; all that normalising does is lower them.
+        if max(text) >= "\u0300" or "<|" in text:
+            return None
+        text = text.lower()
+        return (text[:-1], text[-1]) if not text[-1].isalnum() and text[:-1].isalpha() else (text,)
 
     def work(chunks: list[bytes]) -> Iterator[bytes]:
         texts = [c.decode() for c in chunks]
-        # Characters below the combining marks are composed already; all that normalising does is lower them.
-        simple = [max(t) < "\u0300" and "<|" not in t for t in texts]
-        done = iter(lowered.encode_batch_fast([t.lower() for t, x in zip(texts, simple) if x], add_special_tokens=False))
-        rest = iter(whole.encode_batch_fast([t for t, x in zip(texts, simple) if not x], add_special_tokens=False))
-        return (np.array(next(done if x else rest).ids, "<u4").tobytes() for x in simple)
+        parts = [cut(t) for t in texts]
+        found = known.values({w for p in parts if p for w in p})
+        rest = ids(whole, [t for t, p in zip(texts, parts) if p is None])
+        return (next(rest) if p is None else b"".join(map(found.__getitem__, p)) for p in parts)
 
-    return Chunks(work)
+    return Chunks(work, remembered=REMEMBERED // 2)
 
 
 def encoded(path: str, texts: list[str]) -> Iterator[bytes]:

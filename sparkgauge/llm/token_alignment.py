@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sparkgauge.llm.chunks import SLICE_CHARS, Chunks, slices
+from sparkgauge.llm.chunks import REMEMBERED, SLICE_CHARS, Chunks, slices
 from sparkgauge.llm.common import discard, small, store
 from sparkgauge.llm.token_counts import TOKENIZERS
 
@@ -129,7 +129,8 @@ def chunk_alignments(path_a: str, path_b: str) -> Chunks:
             else:
                 yield NOTHING
 
-    return Chunks(work)
+    # An alignment takes more memory than its chunk.
+    return Chunks(work, remembered=REMEMBERED // 2)
 
 
 def alignments(path_a: str, path_b: str, texts: list[str]) -> Iterator[tuple]:

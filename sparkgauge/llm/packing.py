@@ -73,7 +73,7 @@ def chunk_ids(path: str) -> Chunks:
         done, rest = ids(letters, [w for w, x in zip(words, plain) if x]), ids(lowered, [w for w, x in zip(words, plain) if not x])
         return (next(done if x else rest) for x in plain)
 
-    known = Chunks(of_words, remembered=REMEMBERED // 4)
+    known = Chunks(of_words, remembered=REMEMBERED)
 
     def cut(text: str) -> tuple[str, ...] | None:
         """Lower-case words of a simple chunk; a mark after letters is a word of its own."""
@@ -90,7 +90,7 @@ def chunk_ids(path: str) -> Chunks:
         rest = ids(whole, [t for t, p in zip(texts, parts) if p is None])
         return (next(rest) if p is None else b"".join(map(found.__getitem__, p)) for p in parts)
 
-    return Chunks(work, remembered=REMEMBERED // 2)
+    return Chunks(work)
 
 
 def encoded(path: str, texts: list[str]) -> Iterator[bytes]:

@@ -319,22 +319,18 @@ def _verified(
 def without_copies(docs: DataFrame, shingle_words: int = 5, threshold: float = 0.8) -> DataFrame:
     """One document of each group of near duplicates (that with the smallest id), with all columns.
 
-    If several rows of a group have its smallest id, the one with the smallest hash of the text
-    stays, and any one of those with an equal text. Rows without an id are told apart by text only.
+    Of rows equal in id and text one stays. Rows of a group that share its smallest id and differ in
+    text all stay.
     """
     verdicts = near_duplicates(docs, shingle_words, threshold)
     gone = verdicts.filter(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).distinct()
-    # Groups whose smallest id stands on several rows: few, so only their rows are shuffled with their texts.
-    first = F.min("h").alias("_first")
-    several = verdicts.filter("kept AND n_shingles > 0").groupBy(F.col("component_id").alias("_id")).agg(first, F.count(F.lit(1)).alias("_n"))
-    several = store(several.filter("_n > 1").drop("_n"), "same-ids")
+    # Rows equal in id and text: few, so only they are shuffled with their texts.
+    i, h = free_name("_id", docs.columns), free_name("_h", docs.columns)
+    several = verdicts.filter("kept AND n_shingles > 0").groupBy(F.col("doc_id").alias(i), F.col("h").alias(h)).agg(F.count(F.lit(1)).alias("_n"))
+    several = store(several.filter("_n > 1").drop("_n"), "equal-rows")
     left = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["_id"]) & F.xxhash64(docs["text"]).eqNullSafe(gone["_h"]), "left_anti")
     if several.isEmpty():
         return left
-    same = left["doc_id"].cast("long").eqNullSafe(several["_id"])
-    h = free_name("_h", docs.columns)
-    alike = left.join(several, same).withColumn(h, F.xxhash64("text")).filter(F.col(h) == F.col("_first"))
-    alike = alike.dropDuplicates(["_id", h]).select(*[left[c] for c in docs.columns])
-    # An empty text has no group; it stays whatever its id.
-    empty = left.join(several, same & (F.coalesce(F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " ")), F.lit("")) == ""), "left_semi")
-    return left.join(several, same, "left_anti").unionByName(alike).unionByName(empty)
+    same = left["doc_id"].cast("long").eqNullSafe(several[i]) & (F.xxhash64(left["text"]) == several[h])
+    one = left.join(several, same).dropDuplicates([i, h]).select(*[left[c] for c in docs.columns])
+    return left.join(several, same, "left_anti").unionByName(one)

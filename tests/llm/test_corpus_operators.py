@@ -110,7 +110,7 @@ def test_near_duplicates_odd_rows(spark, odd):
     assert by[2] == {(0, 2, True)} and by[3] == {(0, 3, True)} and by[8] == {(1, 7, False)}
     assert by[6] == {(978, 5, False)} and by[5] == {(977, 5, True)}
     assert near_dedup.near_duplicates(odd.limit(0)).count() == 0
-    assert near_dedup.without_copies(odd, 2).count() == len(ODD) - 2
+    assert near_dedup.without_copies(odd, 2).count() == len(ODD) - 3
 
 
 def test_group_of_near_copies_equals_brute_force(spark):

@@ -10,6 +10,7 @@ from sparkgauge.catalog.frames import FRAMES
 from sparkgauge.catalog.sourcing import FAN_SQL, fanned, instrumented_events
 from sparkgauge.operators import fanout as FO
 from sparkgauge.operators import state as ST
+from sparkgauge.operators.keyed import KeyedState
 from sparkgauge.plans import runs as RN
 from sparkgauge.session import fresh_path
 from sparkgauge.streaming import jobs as SJ
@@ -103,6 +104,16 @@ def _(t):
     return ST.retention(t.event_log, EVENT_AS_OF, 200).select("event_id")
 
 
+@query("i4_retention_by_day", "SELECT event_id FROM event_log WHERE ts >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 200 HOUR")
+def _(t):
+    """Events kept by day: expiry removes the folders of whole days, a read leaves out the rest of the border day."""
+    rows = t.event_log.select("event_id", "ts", F.to_date("ts").alias("day"))
+    state = KeyedState(t.spark, fresh_path(t.spark, "events"), rows.schema, ["event_id"], day="day", buckets=2)
+    state.merge(rows)
+    state.expire((EVENT_AS_OF - dt.timedelta(hours=200)).date())
+    return ST.retention(state.read(), EVENT_AS_OF, 200).select("event_id")
+
+
 @query(
     "i5_late_window",
     """SELECT query_id FROM query_log WHERE end_time >= TIMESTAMP '2001-08-02 00:00:00' - INTERVAL 700000 MINUTE AND query_id NOT IN (SELECT query_id FROM processed_ids WHERE processed_time IS NOT NULL)""",

@@ -11,6 +11,8 @@ from sparkgauge.operators import aggregates as A
 from sparkgauge.operators import expand as E
 from sparkgauge.operators import sets as U
 from sparkgauge.operators import windows as W
+from sparkgauge.operators.keyed import KeyedState
+from sparkgauge.session import fresh_path
 
 c = F.col
 
@@ -375,6 +377,19 @@ def _(t):
     return U.snapshot_except(t.user_snapshot.select("user_id", "login_name", "default_role"), t.user_seen)
 
 
+@query(
+    "u3_snapshots_in_turn",
+    """SELECT 1 AS snapshot, * FROM (SELECT DISTINCT user_id, login_name, default_role FROM user_seen)
+       UNION ALL SELECT 2, * FROM (SELECT user_id, login_name, default_role FROM user_snapshot EXCEPT SELECT user_id, login_name, default_role FROM user_seen)""",
+)
+def _(t):
+    """What each of three snapshots adds to a stored state; the last one repeats the second."""
+    users = t.user_snapshot.select("user_id", "login_name", "default_role")
+    state = KeyedState(t.spark, fresh_path(t.spark, "users"), users.schema, users.columns)
+    added = [state.add(s).withColumn("snapshot", F.lit(n)) for n, s in enumerate((t.user_seen, users, users), 1)]
+    return added[0].unionByName(added[1]).unionByName(added[2])
+
+
 @query(
     "u4_append",
     "SELECT event_id, user_name, NULL AS database_name FROM login_log UNION ALL SELECT event_id, NULL, database_name FROM event_log",

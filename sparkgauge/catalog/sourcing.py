@@ -6,6 +6,7 @@ from sparkgauge.catalog.base import query
 from sparkgauge.catalog.frames import EVENT_NOW, FRAMES
 from sparkgauge.functions import sections as S
 from sparkgauge.operators import fanout as FO
+from sparkgauge.operators.keyed import KeyedState
 from sparkgauge.session import fresh_path
 from sparkgauge.sources import readers as R
 from sparkgauge.sources import sinks as K
@@ -128,6 +129,23 @@ def _(t):
     return R.upsert_by_key(t.config_rows.select("path", "value"), new, ["path"])
 
 
+@query(
+    "s5_upsert_by_merges",
+    """WITH n AS (SELECT DISTINCT 'plugins.' || lower(p_type) || '.limit_' || (p_size + 5)::VARCHAR AS path,
+         CASE WHEN p_size <= 10 OR p_size > 40 THEN 'third' WHEN p_size <= 20 THEN 'second' ELSE 'first' END AS value FROM part WHERE p_size <= 30 OR p_size > 40)
+       SELECT path, value FROM config_rows WHERE path NOT IN (SELECT path FROM n) UNION ALL SELECT path, value FROM n""",
+)
+def _(t):
+    """Three merges into a stored state, of which each rewrites the buckets it touches."""
+    start = t.config_rows.select("path", "value")
+    state = KeyedState(t.spark, fresh_path(t.spark, "configuration"), start.schema, ["path"])
+    state.merge(start)
+    path = F.concat(F.lit("plugins."), F.lower("p_type"), F.lit(".limit_"), (c("p_size") + 5).cast("string"))
+    for value, rows in (("first", "p_size <= 30"), ("second", "p_size <= 20"), ("third", "p_size <= 10 OR p_size > 40")):
+        state.merge(t.part.filter(rows).select(path.alias("path")).distinct().withColumn("value", F.lit(value)))
+    return state.read()
+
+
 @query(
     "s6_rename_fields",
     """SELECT event_id, CASE WHEN event_type = 'view' THEN 'old.' ELSE 'new.' END || event_type AS key, k::VARCHAR AS value FROM event_rows""",

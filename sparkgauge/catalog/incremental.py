@@ -385,6 +385,39 @@ def _(t):
     return SJ.materialise(SJ.snapshot_diff_stream(stream, ["c_nationkey", "c_mktsegment"]), "snapshots")
 
 
+@query(
+    "i3_stream_daily_report",
+    """WITH e AS (SELECT DISTINCT user_id, event_type, ts, date_trunc('day', ts)::DATE AS day FROM events),
+       r AS (SELECT *, max(day) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING) AS before,
+         max(day) OVER (PARTITION BY user_id, event_type ORDER BY ts RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING) AS alike FROM e)
+       SELECT user_id, event_type, epoch_us(ts) AS us, CASE WHEN before IS NULL OR day > before THEN 'full' ELSE 'changed' END AS report
+       FROM r WHERE before IS NULL OR day > before OR alike IS NULL OR alike < day - 3""",
+)
+def _(t):
+    """Sightings of users in six batches, their kind of event as what may change; versions are kept for 3 days."""
+    borders = [dt.datetime(2024, 1, d, 9) for d in (6, 11, 16, 21, 26)]
+    stream = as_stream(t.spark, t.events.select("user_id", "event_type", "ts"), "ts", borders)
+    out = SJ.materialise(SJ.daily_diff_stream(stream, ["user_id"], ["event_type"], "ts", keep_days=3), "reports")
+    return out.select("user_id", "event_type", F.unix_micros("ts").alias("us"), "report")
+
+
+@query(
+    "j20_stream_still_open",
+    """WITH d AS (SELECT query_id, start_time, end_time FROM query_log WHERE execution_status = 'SUCCESS'),
+       m AS (SELECT least((SELECT max(start_time) FROM query_log), (SELECT max(end_time) FROM d)) - INTERVAL 2 HOUR AS mark)
+       SELECT query_id FROM query_log, m WHERE start_time + INTERVAL 20 SECOND < mark
+         AND query_id NOT IN (SELECT query_id FROM d WHERE end_time <= start_time + INTERVAL 20 SECOND)""",
+)
+def _(t):
+    """Statements that had no finish 20 seconds after their start, from two feeds; every third finish arrives late."""
+    borders = [dt.datetime(1993, 1, 1), dt.datetime(1995, 1, 1), dt.datetime(1997, 1, 1)]
+    started = as_stream(t.spark, t.query_log.select("query_id", "start_time"), "start_time", borders)
+    done = t.query_log.filter("execution_status = 'SUCCESS'")
+    arrival = c("end_time") + F.when(c("query_no") % 3 == 0, F.expr("INTERVAL 50 MINUTES")).otherwise(F.expr("INTERVAL 0 MINUTES"))
+    finished = as_stream(t.spark, done.select("query_id", "end_time", arrival.alias("arrival")), "arrival", borders)
+    return SJ.materialise(SJ.still_open_stream(started, finished, "query_id", "start_time", "end_time", within="20 seconds").select("query_id"), "open")
+
+
 @query(
     "i7_stream_fan_out",
     """SELECT 'logs' AS kind, count(*) FILTER (WHERE event_type <> 'error') AS n FROM event_feed UNION ALL SELECT 'events', count(*) FILTER (WHERE event_type = 'error') FROM event_feed

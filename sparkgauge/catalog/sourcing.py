@@ -302,6 +302,21 @@ def _(t):
     return K.pack_batches(rows, ["lane_type", "lane_s"], ["event_id"], "size", max_bytes=9000, max_count=3)
 
 
+@query(
+    "s13_pack_one_lane",
+    """WITH RECURSIVE e AS (SELECT event_id, amount AS size, row_number() OVER (ORDER BY event_id) AS n FROM event_rows),
+       p AS (SELECT event_id, size, n, 0 AS batch_no, size AS used, 1 AS held FROM e WHERE n = 1
+         UNION ALL SELECT e.event_id, e.size, e.n, p.batch_no + (p.used + e.size > 20000 OR p.held >= 7)::INT,
+           CASE WHEN p.used + e.size > 20000 OR p.held >= 7 THEN e.size ELSE p.used + e.size END, CASE WHEN p.used + e.size > 20000 OR p.held >= 7 THEN 1 ELSE p.held + 1 END
+         FROM p JOIN e ON e.n = p.n + 1)
+       SELECT event_id, size, batch_no::BIGINT AS batch_no FROM p""",
+)
+def _(t):
+    """All events in one lane, spread over blocks of 500."""
+    rows = t.event_rows.select(F.lit("all").alias("lane"), "event_id", c("amount").alias("size"))
+    return K.pack_long_lanes(rows, ["lane"], ["event_id"], "size", max_bytes=20_000, max_count=7, block_rows=500).drop("lane")
+
+
 @query(
     "s13_batch_payloads",
     """SELECT lane_s, batch_no, '[' || string_agg('{"id":' || event_id::VARCHAR || '}', ',' ORDER BY event_id) || ']' AS payload

@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkgauge.functions.sections import (
     TEXT_MAP,
@@ -21,6 +23,7 @@ from sparkgauge.functions.sections import (
     telemetry_times,
 )
 from sparkgauge.functions.text import escape_value
+from sparkgauge.session import cut_lineage
 
 # Payload limits per kind (bytes, records).
 METRIC_BYTES = 1_000_000
@@ -244,6 +247,116 @@ def pack_batches(
     return sorted_rows.mapInPandas(number, schema)
 
 
+BLOCK_ROWS = 50_000
+
+
+def pack_long_lanes(
+    events: DataFrame, lane: Sequence[str], order: Sequence[str], size: str, *, max_bytes: int, max_count: int, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """The batches of ``pack_batches`` where one lane may hold any share of the events.
+
+    A lane is cut into blocks of equal length. A batch that begins in a block ends within ``max_count``
+    events, so for each of the first ``max_count`` places a batch may begin at, the block alone says how many
+    batches begin in it and where the first one of the next block does. These maps are composed
+    over the blocks by doubling; then each block numbers its events. Sizes are whole numbers from 0 on,
+    and the order is unique within a lane.
+    """
+    length = max(max_count, block_rows)
+    names = [f"_lane{i}" for i in range(len(lane))]
+    sized = events.select(*lane, *order, F.coalesce(F.col(size), F.lit(0).cast(events.schema[size].dataType)).alias(size))
+    placed = _places(sized, lane, order).withColumn("_block", F.expr(f"_at DIV {length}L"))
+    placed = cut_lineage(placed)
+    keyed = placed.select(*[F.col(c).alias(n) for c, n in zip(lane, names)], "_block", "_at", F.col(size).cast("bigint").alias("_size"))
+    # The events a batch of the block before may run into go there as well.
+    ahead = keyed.filter((F.col("_block") > 0) & (F.col("_at") % length <= max_count)).withColumn("_block", F.col("_block") - 1)
+    by = [*names, "_block"]
+    map_schema = T.StructType([*[keyed.schema[c] for c in by], *[T.StructField(c, T.LongType()) for c in ("_from", "_to", "_n")]])
+
+    def entries(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("_at")
+        first = int(part["_block"].iat[0]) * length
+        inside = int((part["_at"] < first + length).sum())
+        leave, passed = _leaves(_next_starts(part["_size"].to_numpy(), max_bytes, max_count), inside)
+        count = min(inside, max_count) if first else 1
+        keys = {c: [part[c].iat[0]] * count for c in by}
+        return pd.DataFrame({**keys, "_from": np.arange(count), "_to": leave[:count] - inside, "_n": passed[:count]})
+
+    hops = cut_lineage(keyed.unionByName(ahead).groupBy(*by).applyInPandas(entries, map_schema))
+    starts = _entries_of_blocks(hops, names)
+    joined = placed.join(
+        starts.withColumnRenamed("_block", "_its_block"),
+        [F.col("_block") == F.col("_its_block"), *[F.col(c).eqNullSafe(F.col(n)) for c, n in zip(lane, names)]],
+    ).select(*lane, *order, size, "_block", "_at", "_entry", "_before")
+    out = T.StructType([*sized.schema.fields, T.StructField("batch_no", T.LongType())])
+
+    def number(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("_at")
+        after = _next_starts(part[size].to_numpy().astype("int64"), max_bytes, max_count)
+        begins = np.zeros(len(part), dtype="int64")
+        at = int(part["_entry"].iat[0])
+        while at < len(part):  # once per batch
+            begins[at] = 1
+            at = int(after[at])
+        part["batch_no"] = part["_before"] - 1 + begins.cumsum()
+        return part[out.names]
+
+    return joined.groupBy(*lane, "_block").applyInPandas(number, out)
+
+
+def _places(rows: DataFrame, lane: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Rows with their place (from 0) in their lane: a range sort, and the sizes of earlier parts."""
+    run = cut_lineage(rows.repartitionByRange(*lane, *order).sortWithinPartitions(*lane, *order).withColumn("_id", F.monotonically_increasing_id()))
+    run = run.withColumn("_part", F.shiftrightunsigned("_id", 33))
+    parts = run.groupBy(*lane, "_part").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
+    w = Window.partitionBy(*lane).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select(
+        *[F.col(c).alias(f"_o{i}") for i, c in enumerate(lane)], F.col("_part").alias("_its"), (F.coalesce(F.sum("_n").over(w), F.lit(0)) - F.col("_first")).alias("_shift")
+    )
+    same = [F.col("_part") == F.col("_its"), *[F.col(c).eqNullSafe(F.col(f"_o{i}")) for i, c in enumerate(lane)]]
+    return run.join(offsets, same).select(*rows.columns, (F.col("_id") + F.col("_shift")).alias("_at"))
+
+
+def _next_starts(sizes: np.ndarray, max_bytes: int, max_count: int) -> np.ndarray:
+    """For a batch that begins at each event, where the next one begins."""
+    total = np.concatenate([[0], np.cumsum(sizes, dtype="int64")])
+    here = np.arange(len(sizes))
+    fits = np.searchsorted(total, total[:-1] + max_bytes, side="right") - 1
+    return np.minimum(np.maximum(fits, here + 1), here + max_count)
+
+
+def _leaves(after: np.ndarray, inside: int) -> tuple[np.ndarray, np.ndarray]:
+    """From each event of a block: the first start past its end, and the batches begun before, by doubling."""
+    to = np.minimum(after[:inside], len(after))
+    to = np.concatenate([to, np.arange(inside, len(after) + 1)])
+    n = np.concatenate([np.ones(inside, dtype="int64"), np.zeros(len(after) + 1 - inside, dtype="int64")])
+    while (to[:inside] < inside).any():
+        n, to = n + n[to], to[to]
+    return to[:inside], n[:inside]
+
+
+def _entries_of_blocks(hops: DataFrame, lane: Sequence[str]) -> DataFrame:
+    """Where the first batch of each block begins and how many began before, from the maps of single blocks.
+
+    Known are the entries of a lane's first blocks; composed maps over as many blocks carry them on,
+    so both double in every round.
+    """
+    def same(a: str, b: str) -> list[Column]:
+        return [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in lane]
+
+    known = hops.filter("_block = 0").select(*lane, "_block", F.col("_from").alias("_entry"), F.lit(0).cast("bigint").alias("_before"))
+    last = hops.agg(F.max("_block")).first()[0] or 0
+    step = 1
+    while step <= last:
+        carried = known.alias("k").join(hops.alias("h"), [*same("k", "h"), F.expr("k._block = h._block AND k._entry = h._from")])
+        carried = carried.select(*[F.col(f"k.{c}") for c in lane], (F.col("k._block") + step).alias("_block"), F.col("_to").alias("_entry"), (F.col("_before") + F.col("_n")).alias("_before"))
+        known = cut_lineage(known.unionByName(carried))
+        if 2 * step <= last:
+            two = hops.alias("a").join(hops.alias("b"), [*same("a", "b"), F.expr(f"b._block = a._block + {step} AND b._from = a._to")])
+            hops = cut_lineage(two.select(*[F.col(f"a.{c}") for c in lane], "a._block", "a._from", "b._to", (F.col("a._n") + F.col("b._n")).alias("_n")))
+        step *= 2
+    return known
+
+
 def batch_payloads(packed: DataFrame, lane: Sequence[str], order: Sequence[str], payload: str) -> DataFrame:
     """One JSON array per batch; the batch limits bound its size."""
     items = F.array_sort(F.collect_list(F.struct(*order, payload)))

@@ -1,17 +1,22 @@
 """Structured Streaming twins of the stateful operators.
 
-Each takes a streaming frame and returns one, or starts a query that writes files. All
-state is bounded by a watermark; checkpoints go to the shared folder of the session.
+Each takes a streaming frame and returns one, or starts a query that writes files. State is
+bounded by a watermark, but for ``snapshot_diff_stream``, which keeps every row it has seen;
+checkpoints go to the shared folder of the session.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import datetime as dt
+from collections.abc import Callable, Iterator, Sequence
+from itertools import groupby
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from sparkgauge.operators.fanout import KINDS, fan_out
 from sparkgauge.session import fresh_path
@@ -88,11 +93,72 @@ def snapshot_diff_stream(stream: DataFrame, columns: Sequence[str]) -> DataFrame
     """Rows not seen in earlier batches.
 
     The rows seen are keyed state, so a batch looks up its own rows only and reads no earlier
-    output. Equal nulls are equal.
+    output. Equal nulls are equal. All rows seen are kept; ``daily_diff_stream`` forgets.
     """
     return stream.select(*columns).dropDuplicates()
 
 
+DAY_MS = 86_400_000
+
+
+def daily_diff_stream(
+    stream: DataFrame, keys: Sequence[str], columns: Sequence[str], ts: str, *, keep_days: int = 30, late: dt.timedelta = dt.timedelta(hours=2)
+) -> DataFrame:
+    """Sightings to report: all of a key's first instant of a day (``full``), later ones of the day if new (``changed``).
+
+    A version of the columns is new if the key had none like it in the last ``keep_days`` days before
+    the row's day, or earlier on that day. A key not seen for so long leaves the state by a timer of
+    event time; when it returns, its day starts with a full report anyway, so nothing is lost by it.
+    Repeated sightings of one instant count once. State per key: its versions of these days.
+    """
+    late_days = -(-late // dt.timedelta(days=1))
+    marked = stream.select(*keys, *columns, ts).withColumns(
+        {"_day": F.unix_date(F.to_date(ts)), "_version": F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)}
+    )
+    out = T.StructType([*[f for f in marked.schema if not f.name.startswith("_")], T.StructField("report", T.StringType())])
+
+    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        last, versions, days = state.get if state.exists else (None, [], [])
+        known = dict(zip(versions, days))
+        rows = pd.concat(list(parts)).sort_values([ts, "_version"]).drop_duplicates([ts, "_version"])
+        reports: list[str | None] = []
+        for _, instant in groupby(zip(rows[ts], rows["_day"].tolist(), rows["_version"]), key=lambda r: r[0]):
+            seen = list(instant)
+            day = seen[0][1]
+            full = last is None or day > last
+            reports += ["full" if full else None if known.get(v, day - keep_days - 1) >= day - keep_days else "changed" for _, _, v in seen]
+            known |= {v: max(day, known.get(v, day)) for _, _, v in seen}
+            last = day if last is None else max(day, last)
+        known = {v: d for v, d in known.items() if d >= last - keep_days - late_days}
+        state.update((last, list(known), list(known.values())))
+        state.setTimeoutTimestamp((last + keep_days + 1) * DAY_MS)
+        rows["report"] = reports
+        if rows["report"].notna().any():
+            yield rows.loc[rows["report"].notna(), out.names]
+
+    return (
+        marked.withWatermark(ts, f"{int(late.total_seconds())} seconds")
+        .filter(F.col(ts).isNotNull())
+        .groupBy(*keys)
+        .applyInPandasWithState(step, out, "last int, versions array<string>, days array<int>", "append", GroupStateTimeout.EventTimeTimeout)
+    )
+
+
+def still_open_stream(
+    started: DataFrame, finished: DataFrame, key: str, start: str, finish: str, *, within: str, late: str = "2 hours"
+) -> DataFrame:
+    """Items without a finish in the given time after their start, once no such finish can come any more.
+
+    Both sides are forgotten as the watermarks pass them; repeated finishes change nothing.
+    """
+    ends = finished.select(F.col(key).alias("_key"), F.col(finish).alias("_finish")).withWatermark("_finish", late)
+    in_time = (F.col(key) == F.col("_key")) & F.col("_finish").between(F.col(start), F.col(start) + F.expr(f"INTERVAL {within}"))
+    return started.withWatermark(start, late).join(ends, in_time, "left_outer").filter(F.col("_finish").isNull()).select(*started.columns)
+
+
 def materialise(stream: DataFrame, name: str) -> DataFrame:
     """Run a streaming frame over the available files and read its output back."""
     spark = stream.sparkSession

@@ -37,6 +37,21 @@ class Chunks:
         self.size += sum(map(len, new)) + OVERHEAD * len(new)
         return self.young
 
+    def each(self, chunks: list) -> list:
+        """The values of chunks none of which is there twice, in their order; one look-up per known chunk."""
+        if self.size > self.remembered:
+            self.old, self.young, self.size = self.young, {}, 0
+        out = list(map(self.young.get, chunks))
+        at = [i for i, v in enumerate(out) if v is None]
+        new = [chunks[i] for i in at]
+        again = list(map(self.old.get, new))
+        fresh = [c for c, v in zip(new, again) if v is None]
+        made = iter(self.work(fresh))
+        for i, c, v in zip(at, new, again):
+            out[i] = self.young[c] = next(made) if v is None else v
+        self.size += sum(map(len, new)) + OVERHEAD * len(new)
+        return out
+
 
 def slices(rows: Iterable[tuple], text_at: int, chars: int = SLICE_CHARS) -> Iterator[list[tuple]]:
     """Rows in runs of about so many characters of text, so that a task holds the tokens of one run."""

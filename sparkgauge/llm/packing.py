@@ -29,11 +29,12 @@ import os
 from array import array
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain, count
+from itertools import count
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,13 +52,14 @@ SLACK = 64
 _OUT_PIECES = 1_000
 
 
-@cache
-def chunk_ids(path: str) -> Chunks:
-    """Chunk (UTF-8) -> its token ids as little-endian 32-bit numbers; a worker process keeps it between tasks.
+# Chunks of these characters are composed already, and lower case has one character for each.
+_SIMPLE = r"^[\x00-\x{12F}\x{131}-\x{2FF}]*$"
+_LETTERS_AND_MARK = r"^\pL+[^\pL\pN]$"
 
-    The vocabulary drops white space: no token reaches over it and normalising composes nothing
-    across it, so a text's ids are those of its chunks between ASCII white space.
-    """
+
+@cache
+def word_ids(path: str) -> Chunks:
+    """Word -> its token ids as little-endian 32-bit numbers; a worker process keeps it between tasks."""
     from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -65,39 +67,58 @@ def chunk_ids(path: str) -> Chunks:
     lowered.normalizer = letters.normalizer = normalizers.Sequence([])
     letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
 
-    def ids(tokenizer: Tokenizer, texts: list[str]) -> Iterator[bytes]:
-        return (array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False))
-
     def of_words(words: list[str]) -> Iterator[bytes]:
-        plain = [w.isalpha() for w in words]
-        done, rest = ids(letters, [w for w, x in zip(words, plain) if x]), ids(lowered, [w for w, x in zip(words, plain) if not x])
-        return (next(done if x else rest) for x in plain)
-
-    known = Chunks(of_words, remembered=REMEMBERED)
+        """Simple words are in lower case; letters alone need no splitting either."""
+        simple = [w.isascii() or (max(w) < "\u0300" and "\u0130" not in w) for w in words]
+        use = [letters if s and w.isalpha() else lowered if s and "<|" not in w else whole for w, s in zip(words, simple)]
+        found = {}
+        for t in (whole, lowered, letters):
+            some = t.encode_batch_fast([w for w, u in zip(words, use) if u is t], add_special_tokens=False)
+            found[id(t)] = (array("I", e.ids).tobytes() for e in some)
+        return (next(found[id(u)]) for u in use)
 
-    def cut(text: str) -> tuple[str, ...] | None:
-        """Lower-case words of a simple chunk; a mark after letters is a word of its own."""
-        # Characters below the combining marks are composed already; all that normalising does is lower them.
-        if max(text) >= "\u0300" or "<|" in text:
-            return None
-        text = text.lower()
-        return (text[:-1], text[-1]) if not text[-1].isalnum() and text[:-1].isalpha() else (text,)
+    return Chunks(of_words, remembered=REMEMBERED)
 
-    def work(chunks: list[bytes]) -> Iterator[bytes]:
-        texts = [c.decode() for c in chunks]
-        parts = [cut(t) for t in texts]
-        found = known.values({w for p in parts if p for w in p})
-        rest = ids(whole, [t for t, p in zip(texts, parts) if p is None])
-        return (next(rest) if p is None else b"".join(map(found.__getitem__, p)) for p in parts)
 
-    return Chunks(work)
+def taken(pool: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of a pool at these places, end to end, and where each begins and the last ends."""
+    n = sizes[at]
+    ends = np.cumsum(n)
+    places = np.repeat((np.cumsum(sizes) - sizes)[at] - (ends - n), n)
+    places += np.arange(len(places))
+    return pool[places], np.concatenate([[0], ends])
 
 
 def encoded(path: str, texts: list[str]) -> Iterator[bytes]:
-    """Token ids of texts."""
-    split = [t.encode().split() for t in texts]
-    ids = chunk_ids(path).values(chain.from_iterable(split))
-    return (b"".join(map(ids.__getitem__, chunks)) for chunks in split)
+    """Token ids of texts.
+
+    The vocabulary drops white space: no token reaches over it and normalising composes nothing
+    across it, so a text's ids are those of its chunks between ASCII white space. A simple chunk is
+    lowered, and a mark after letters is a word of its own. Each distinct word is looked up once; the
+    ids of its places are gathered by position.
+    """
+    split = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+    coded = split.flatten().dictionary_encode()
+    chunks = coded.dictionary
+    simple = pc.and_not(pc.match_substring_regex(chunks, _SIMPLE), pc.match_substring(chunks, "<|"))
+    chunks = pc.if_else(simple, pc.utf8_lower(chunks), chunks)
+    marked = pc.and_(simple, pc.match_substring_regex(chunks, _LETTERS_AND_MARK))
+    stems = pc.if_else(marked, pc.utf8_slice_codeunits(chunks, 0, -1), chunks)
+    marks = pc.utf8_slice_codeunits(chunks.filter(marked), -1)
+    words = pa.chunked_array([stems, marks]).combine_chunks().dictionary_encode()
+
+    found = word_ids(path).each(words.dictionary.to_pylist())
+    pool = np.frombuffer(b"".join(found), "<u4")
+    sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+    numbers, marked = words.indices.to_numpy(), marked.to_numpy(zero_copy_only=False)
+    last = np.cumsum(1 + marked)  # where the words of a chunk end
+    in_order = np.empty(len(numbers), numbers.dtype)
+    in_order[last - 1 - marked] = numbers[: len(chunks)]
+    in_order[last[marked] - 1] = numbers[len(chunks) :]
+    pool, borders = taken(pool, sizes, in_order)
+    ids, borders = taken(pool, np.diff(borders[np.concatenate([[0], last])]), coded.indices.to_numpy())
+    ends = borders[split.offsets.to_numpy()].tolist()
+    return (ids[a:b].tobytes() for a, b in zip(ends, ends[1:]))
 
 
 class Piece(NamedTuple):

@@ -69,7 +69,7 @@ def test_chunks_give_the_ids_of_the_whole_text(words, text):
 
 def test_random_texts_give_the_ids_of_the_whole_text(words):
     rng = np.random.default_rng(3)
-    parts = ["word", "Éa", "it's", "'ll", " ", " ", " ", "\n", "\u00a0", "\x85", "\x1c", "\u0301", "ª", "²", "12", "3.", "!", ",", "_", "İ", "日本", "ﬁ", "Σ", "<|", "<|ENDOFTEXT|>", "<|endoftext|>"]
+    parts = ["word", "Éa", "it's", "'ll", " ", " ", " ", "\n", "\u00a0", "\x85", "\x1c", "\u0301", "ª", "²", "12", "3.", "!", ",", "_", "İ", "日本", "ﬁ", "Σ", "Ⱥ", "ß,", "½", "<|", "<|ENDOFTEXT|>", "<|endoftext|>"]
     texts = ["".join(rng.choice(parts, 40).tolist()) for _ in range(400)]
     for text, ids in zip(texts, packing.encoded(f"{TOKENIZERS}/{packing.WORD_VOCABULARY}", texts)):
         assert np.frombuffer(ids, "<u4").tolist() == words(text)[:-1], text

@@ -5,6 +5,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from sparkgauge.catalog import timeseries as TS
 from sparkgauge.catalog.base import query
 from sparkgauge.catalog.frames import FRAMES
 from sparkgauge.catalog.sourcing import FAN_SQL, fanned, instrumented_events
@@ -418,6 +419,35 @@ def _(t):
     return SJ.materialise(SJ.still_open_stream(started, finished, "query_id", "start_time", "end_time", within="20 seconds").select("query_id"), "open")
 
 
+SILENT_SQL = (
+    TS.ADAPTIVE_SQL.replace("marked AS", "every_bin AS")
+    + """, given AS (SELECT metric, account, min(bin_s) AS first_s FROM every_bin WHERE v IS NOT NULL GROUP BY ALL),
+    mark AS (SELECT max(bin_s) - 86400 AS mark_s FROM every_bin WHERE v IS NOT NULL),
+    marked AS (SELECT e.* FROM every_bin AS e JOIN given AS g ON g.metric = e.metric AND g.account IS NOT DISTINCT FROM e.account CROSS JOIN mark
+      WHERE e.bin_s >= g.first_s AND e.bin_s <= mark_s)"""
+    + TS.alerts_sql("metric, account", 3, 2, 3)
+)
+
+
+@query(
+    "t11_stream_alerts",
+    SILENT_SQL
+    + """SELECT metric, account, 'raised' AS kind, start_s, NULL::BIGINT AS end_s, NULL::BIGINT AS samples, NULL::BIGINT AS violations FROM alerts
+       UNION ALL SELECT metric, account, 'closed', start_s, end_s, samples, violations FROM alerts WHERE NOT is_open""",
+)
+def _(t):
+    """Six-hour bins in six batches against learned thresholds; some are half a day late, some repeated, missing ones violate."""
+    bins = TS.adaptive(t).filter(c("v").isNotNull())
+    place = F.unix_seconds("bin") / 21600
+    lag = F.when(place % 5 == 2, F.expr("INTERVAL 12 HOURS")).when(place % 7 == 3, F.expr("INTERVAL 18 HOURS")).otherwise(F.expr("INTERVAL 0 HOURS"))
+    feed = bins.select("metric", "account", "bin", "violation", (c("bin") + lag).alias("arrival"))
+    again = feed.filter(place % 4 == 1).withColumn("arrival", c("bin") + F.expr("INTERVAL 6 HOURS"))
+    stream = as_stream(t.spark, feed.unionByName(again), "arrival", [dt.datetime(2024, 1, d) for d in (6, 11, 16, 21, 26)])
+    alerts = SJ.alert_stream(stream, ["metric", "account"], "bin", step_s=21600, window=3, violating=2, dealerting=3, missing=True, late=dt.timedelta(days=1))
+    out = SJ.materialise(alerts, "alerts")
+    return out.select("metric", "account", "kind", F.unix_seconds("start_at").alias("start_s"), F.unix_seconds("end_at").alias("end_s"), "samples", "violations")
+
+
 @query(
     "i7_stream_fan_out",
     """SELECT 'logs' AS kind, count(*) FILTER (WHERE event_type <> 'error') AS n FROM event_feed UNION ALL SELECT 'events', count(*) FILTER (WHERE event_type = 'error') FROM event_feed

@@ -159,6 +159,69 @@ def still_open_stream(
     return started.withWatermark(start, late).join(ends, in_time, "left_outer").filter(F.col("_finish").isNull()).select(*started.columns)
 
 
+def alert_stream(
+    points: DataFrame, by: Sequence[str], ts: str, *, step_s: int, window: int, violating: int, dealerting: int, missing: bool = False, late: dt.timedelta = dt.timedelta(hours=2)
+) -> DataFrame:
+    """Alerts over samples (keys, time, ``violation``): a row when one is raised, one when it is closed.
+
+    Twin of ``alert_windows``: raised at ``violating`` of the last ``window`` bins, closed after
+    ``dealerting`` clean bins in a row, ``end_at`` being the last bin before that. A bin is judged once
+    the watermark has passed its end, by data or by a timer of event time, so late samples are in their
+    place and a key that falls silent is judged too: a bin without a sample is a violation if
+    ``missing``, else clean. A key's bins begin with its first sample; repeated samples of a bin violate
+    if any does. State per key: the last bins, the alert that is on and samples not yet due; without
+    ``missing`` a key whose last bins are clean is forgotten until its next sample.
+    """
+    width, size = step_s * 1_000_000, max(window, dealerting)
+    at = F.floor(F.unix_micros(ts) / F.lit(width)).cast("bigint") * F.lit(width)
+    marked = points.filter(F.col(ts).isNotNull()).select(*by, "violation", at.alias("_at"), F.timestamp_micros(at + F.lit(width)).alias("_end"))
+    keys = [marked.schema[k] for k in by]
+    out = T.StructType(keys).add("kind", "string").add("start_at", "timestamp").add("end_at", "timestamp").add("samples", "long").add("violations", "long")
+
+    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        following, ring, on, start, samples, violations, *held = state.get if state.exists else (None, [], False, 0, 0, 0, [], [])
+        waiting = dict(zip(*held))
+        if not state.hasTimedOut:
+            for place, bad in pd.concat(list(parts)).groupby("_at")["violation"].any().items():
+                if following is None or place >= following:
+                    waiting[place] = bool(bad) or waiting.get(place, False)
+        watermark = state.getCurrentWatermarkMs()
+        changes: list[tuple] = []
+
+        def next_bin() -> int | None:
+            if following is not None and (missing or on or any(ring)):
+                return following
+            return min(waiting, default=None)
+
+        while (place := next_bin()) is not None and place + width <= watermark * 1000:
+            hit = waiting.pop(place, missing)
+            ring = [*ring, hit][-size:]
+            now = sum(ring[-window:]) >= violating or (on and (any(ring[-dealerting:]) or len(ring) < dealerting))
+            if now and not on:
+                start, samples, violations = place, 0, 0
+                changes.append(("raised", place, None, None, None))
+            elif on and not now:
+                changes.append(("closed", start, following - width, samples, violations))
+            if now:
+                samples, violations = samples + 1, violations + hit
+            on, following = now, place + width
+        if place is None:
+            state.remove()
+        else:
+            state.update((following, ring, on, start, samples, violations, list(waiting), list(waiting.values())))
+            state.setTimeoutTimestamp(max((place + width) // 1000 - 1, watermark + 1))
+        if changes:
+            rows = pd.DataFrame([(*key, *c) for c in changes], columns=out.names)
+            yield rows.assign(**{c: pd.to_datetime(rows[c], unit="us") for c in ("start_at", "end_at")})
+
+    kept = "following bigint, ring array<boolean>, on boolean, start bigint, samples bigint, violations bigint, bins array<bigint>, bad array<boolean>"
+    return (
+        marked.withWatermark("_end", f"{int(late.total_seconds())} seconds")
+        .groupBy(*by)
+        .applyInPandasWithState(step, out, kept, "append", GroupStateTimeout.EventTimeTimeout)
+    )
+
+
 def materialise(stream: DataFrame, name: str) -> DataFrame:
     """Run a streaming frame over the available files and read its output back."""
     spark = stream.sparkSession

@@ -5,6 +5,7 @@ import random
 
 import pytest
 
+from sparkgauge.operators.detect import alert_windows
 from sparkgauge.session import fresh_path
 from sparkgauge.sources.sinks import pack_batches, pack_long_lanes
 from sparkgauge.streaming import jobs as SJ
@@ -74,3 +75,33 @@ def test_long_lanes_are_packed_greedily(spark, max_bytes, max_count, block_rows)
 def test_no_events_no_batches(spark):
     events = spark.createDataFrame([], "lane string, id long, size long")
     assert pack_long_lanes(events, ["lane"], ["id"], "size", max_bytes=1, max_count=1).isEmpty()
+
+
+@pytest.mark.parametrize("missing", [True, False])
+def test_alert_stream_equals_alert_windows(spark, missing):
+    """Late, missing and repeated samples, silent keys; a last sample far ahead makes all earlier bins due."""
+    rng, hours = random.Random(7), 120
+    samples = {(k, h): rng.random() < 0.45 for k in ("a", "b", None) for h in range(hours) if rng.random() < 0.75 and not (k == "b" and h > 40)}
+    for k in ("a", "b", None):
+        samples[(k, 0)] = True
+
+    def at(h):
+        return DAY0 + dt.timedelta(hours=h, minutes=rng.randrange(60))
+
+    arrivals = sorted((h + rng.choice([0, 0, 3, 9]), str(k), k, h, v) for (k, h), v in samples.items())
+    batches = [[(k, at(h), v) for a, _, k, h, v in arrivals if low <= a < low + 20] for low in range(0, hours + 20, 20)]
+    batches[2] += batches[1][:5]
+    batches += [[("x", DAY0 + dt.timedelta(hours=hours + 11), False)], [("a", DAY0 + dt.timedelta(hours=3), True)]]
+    stream = SJ.alert_stream(
+        feed(spark, "k string, t timestamp, violation boolean", batches), ["k"], "t", step_s=3600, window=4, violating=2, dealerting=3, missing=missing, late=dt.timedelta(hours=10)
+    )
+    got, state = run(stream, f"alerts_{missing}")
+
+    grid = [(k, DAY0 + dt.timedelta(hours=h), samples.get((k, h), missing)) for k in ("a", "b", None) for h in range(hours + 1)]
+    want = []
+    for r in alert_windows(spark.createDataFrame(grid, "k string, bin timestamp, violation boolean"), ["k"], 4, 2, 3).collect():
+        want.append((r["k"], "raised", r["start_at"], None, None, None))
+        if not r["is_open"]:
+            want.append((r["k"], "closed", r["start_at"], r["end_at"], r["samples"], r["violations"]))
+    assert got == sorted(want, key=str) and len(want) > 12
+    assert state[0]["numRowsTotal"] == (4 if missing else 1 + sum(1 for k in ("a", "b", None) if any(samples.get((k, h)) for h in range(hours - 3, hours))))

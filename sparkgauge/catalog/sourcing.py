@@ -1,5 +1,7 @@
 """Inventory 2.1: sources, sinks and batches."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from sparkgauge.catalog.base import query
@@ -8,10 +10,13 @@ from sparkgauge.functions import sections as S
 from sparkgauge.operators import fanout as FO
 from sparkgauge.operators.keyed import KeyedState
 from sparkgauge.session import fresh_path
+from sparkgauge.sources import feeds as FD
 from sparkgauge.sources import readers as R
 from sparkgauge.sources import sinks as K
+from sparkgauge.streaming.jobs import run_available
 
 c = F.col
+EVENT_BORDERS = [dt.datetime(2024, 1, 11), dt.datetime(2024, 1, 21)]
 
 FRAMES["json_inventory"] = """
 SELECT event_id, '[{"name":"b_' || CAST(k AS STRING) || '","created":' || CAST(1704067200000 + event_id * 1000 AS STRING)
@@ -146,6 +151,28 @@ def _(t):
     return state.read()
 
 
+@query(
+    "s1_ordered_rows",
+    "SELECT source, event_id, epoch_us(ts) AS us, event_type FROM events, (VALUES ('batch'), ('stream')) AS s(source)",
+)
+def _(t):
+    """Events of a folder by a batch query, and by a stream that stops and starts again after more of them are there."""
+    FD.register(t.spark)
+    folder, out = fresh_path(t.spark, "ordered"), fresh_path(t.spark, "streamed")
+    options = {"folder": folder, "time": "ts", "id": "event_id"}
+    rows = t.events.select("event_id", "ts", "event_type", "props")
+    schema = rows.select("event_id", "ts", "event_type").schema
+    for low, high in zip([None, *EVENT_BORDERS], [*EVENT_BORDERS, None]):
+        part = rows if low is None else rows.filter(c("ts") >= F.lit(low))
+        (part if high is None else part.filter(c("ts") < F.lit(high))).write.mode("append").parquet(folder)
+        stream = t.spark.readStream.format("ordered_rows").schema(schema).options(**options).load()
+        run_available(stream, out, out + "-checkpoint")
+    batch = t.spark.read.format("ordered_rows").schema(schema).options(**options).load()
+    streamed = t.spark.read.schema(schema).parquet(out)
+    both = batch.withColumn("source", F.lit("batch")).unionByName(streamed.withColumn("source", F.lit("stream")))
+    return both.select("source", "event_id", F.unix_micros("ts").alias("us"), "event_type")
+
+
 @query(
     "s6_rename_fields",
     """SELECT event_id, CASE WHEN event_type = 'view' THEN 'old.' ELSE 'new.' END || event_type AS key, k::VARCHAR AS value FROM event_rows""",
@@ -180,6 +207,23 @@ def _(t):
     return K.metric_lines(instrumented_events(t), ["event_id"], context={"run.plugin": "event_log"}, now=event_now())
 
 
+@query(
+    "s7_written_lines",
+    f"""WITH d AS (SELECT *, 'run.plugin="event_log"' || CASE WHEN database_name IS NOT NULL THEN ',db.namespace="' || database_name || '"' ELSE '' END
+          || CASE WHEN scope_name IS NOT NULL THEN ',scope="' || scope_name || '"' ELSE '' END AS dims, {LINE_TIME} AS tail FROM event_log),
+       w AS (SELECT 'amount,' || dims || ' ' || amount::VARCHAR || tail AS line FROM d WHERE k % 5 <> 0 UNION ALL SELECT 'k,' || dims || ' ' || k::VARCHAR || tail FROM d)
+       SELECT line, (SELECT count(*) FROM w) AS counted FROM w""",
+)
+def _(t):
+    """Lines written by the sink and read back, next to the count its commit left; the run is written a second time."""
+    FD.register(t.spark)
+    lines = K.metric_lines(instrumented_events(t), ["event_id"], context={"run.plugin": "event_log"}, now=event_now()).select("line")
+    folder = fresh_path(t.spark, "lines")
+    for _ in range(2):
+        lines.write.format("metric_lines").option("run", "r1").mode("overwrite").save(folder)
+    return FD.read_lines(t.spark, folder, "r1").select("line", F.lit(sum(FD.written(folder, "r1").values())).cast("bigint").alias("counted"))
+
+
 @query(
     "s7_composite_metric_lines",
     """SELECT user_id, 'amount' AS metric, 'amount,user="u\\"' || user_id::VARCHAR || '" ' || CASE WHEN count(*) % 2 = 0 THEN 'gauge,min=' || min(amount)::VARCHAR || ',max=' || max(amount)::VARCHAR || ',sum=' || sum(amount)::VARCHAR || ',count=' || count(*)::VARCHAR

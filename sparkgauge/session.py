@@ -13,6 +13,8 @@ SESSION_SETTINGS = {
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.inferTimestampNTZ.enabled": "false",
+    # Times with statistics: filters on them reach the row groups of files the jobs write.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

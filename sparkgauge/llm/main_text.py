@@ -7,11 +7,15 @@ and compared with a threshold of the page itself (its standard deviation). Paths
 are content. Containers that cannot be content (menus, headers, footers, sidebars, notices,
 adverts, forms, comments, scripts) are left out before; a path within an article or main
 element has the page's highest ratio added to its own, so its short headings and paragraphs
-stay, while text outside is judged by the same threshold. Classes and ids are read as whole
-tokens. One that can also stand on a wrapper (sidebar, widget, share, notice) drops nothing:
-paths below it are counted apart, get nothing added, and the ratios decide. The others drop an
-element unless it holds a main element, the page's longest article, or, on a page with no
-article or main outside it, most of the page's text. Runs page by page on Arrow batches.
+stay, while text outside is judged by the same threshold. A container (the
+innermost div, section, table cell, article or main around a block) most of whose text is content is
+content whole, with its headings and lists, on pages without an article too. Classes and ids are read
+as whole tokens. Text under one that can also stand on a wrapper (sidebar, widget, share, notice) is
+left out where the page has an article or main outside it and all such text together is not most of
+the page; else paths below it are counted apart, get nothing added, and the ratios decide. The others
+drop an element unless it holds a main element, the page's longest article, or, on a page with no
+article or main outside it, most of the page's text; one named after readers' comments stays only
+for a main element, or if it holds most of the page's text and at most one article. Runs page by page on Arrow batches.
 
 Defined results
   - null, empty or markup-only pages have an empty text;
@@ -68,21 +72,31 @@ ASIDE_WORDS = frozenset(
 DOUBTFUL_WORDS = frozenset(
     "banner discussion notice notices promo share sharing sidebar signup social sponsor subscription toolbar widget".split()
 )
+# Of the first kind, those that name what readers wrote.
+READER_WORDS = frozenset("comment comments disqus reply replies respond".split())
+# Whole tokens that mark the frame of a site; a header or footer of another name may be an article's own.
+SITE_TOKENS = frozenset("site-header site-footer site-masthead page-footer global-header global-footer".split())
+# Elements that lay a page out; the innermost one around a block is its container.
+LAYOUT = frozenset("article div main section td".split())
 # Words that may stand beside one of the above in a token with hyphens or underscores (top-menu, cookie-box).
 PLAIN_WORDS = frozenset(
-    "area bar block bottom box buttons container global left links list main primary right secondary section site top wrap wrapper".split()
+    "area bar block bottom box buttons container global left links list main primary right secondary section site slot top wrap wrapper".split()
 )
 _PUNCTUATION = re.compile(r"[.,;:!?()\"'…。，、；：！？«»“”„¿¡-]")
 _PARTS = re.compile(r"[-_]+")
 
 
 def word_kind(value: str) -> str:
-    """Of a class or id: 'aside', 'doubtful' or '', by tokens all of whose parts are known words."""
+    """Of a class or id: 'readers', 'aside', 'doubtful' or '', by tokens all of whose parts are known words."""
     kind = ""
     for token in value.lower().split():
+        if token.replace("_", "-") in SITE_TOKENS:
+            return "aside"
         parts = [x for x in _PARTS.split(token) if x]
         own = [x for x in parts if x not in PLAIN_WORDS]
         if own and all(x in ASIDE_WORDS or x in DOUBTFUL_WORDS for x in own):
+            if any(x in READER_WORDS for x in own):
+                return "readers"
             if any(x in ASIDE_WORDS for x in own):
                 return "aside"
             kind = "doubtful"
@@ -98,6 +112,7 @@ class _Open(NamedTuple):
     body: bool  # within article or main
     asides: tuple[int, ...]  # numbers of the enclosing elements that are dropped unless they hold the body
     articles: tuple[int, ...]
+    container: int  # number of the innermost layout element, 0 if there is none
 
 
 class _Block(NamedTuple):
@@ -106,10 +121,11 @@ class _Block(NamedTuple):
     asides: tuple[int, ...]
     articles: tuple[int, ...]
     in_main: bool
+    container: int
     pieces: list[str]
 
 
-_ROOT = _Open("", "", False, False, (), ())
+_ROOT = _Open("", "", False, False, (), (), 0)
 
 
 class _Page(HTMLParser):
@@ -121,6 +137,9 @@ class _Page(HTMLParser):
         self.blocks: list[_Block] = []
         self.articles: list[tuple[int, ...]] = []  # per article the asides around it
         self.n_asides = 0
+        self.readers: set[int] = set()  # asides of what readers wrote
+        self.doubtful: set[int] = set()
+        self.n_containers = 0
         self.with_main: set[int] = set()  # asides that hold a main element
         self.fresh = True
 
@@ -139,8 +158,11 @@ class _Page(HTMLParser):
             kind = self._marked(tag, attrs) or ("aside" if tag == "form" or (tag == "header" and not articles) else "")
             if kind:
                 name, body = f"{tag}.{kind}", False
-            if kind == "aside":
                 asides = (*asides, self.n_asides)
+                if kind == "readers":
+                    self.readers.add(self.n_asides)
+                elif kind == "doubtful":
+                    self.doubtful.add(self.n_asides)
                 self.n_asides += 1
             if tag == "article":
                 articles = (*articles, len(self.articles))
@@ -148,7 +170,11 @@ class _Page(HTMLParser):
             elif tag == "main":
                 self.with_main.update(asides)
             body = body or tag in BODY_TAGS
-        self.open.append(_Open(tag, name, out, body, asides, articles))
+        container = above.container
+        if tag in LAYOUT:
+            self.n_containers += 1
+            container = self.n_containers
+        self.open.append(_Open(tag, name, out, body, asides, articles, container))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # the slash means nothing in HTML
@@ -168,7 +194,7 @@ class _Page(HTMLParser):
         if self.fresh or not self.blocks:
             path = "/".join(e.name for e in self.open)
             in_main = any(e.tag == "main" for e in self.open)
-            self.blocks.append(_Block(path, above.body, above.asides, above.articles, in_main, [data]))
+            self.blocks.append(_Block(path, above.body, above.asides, above.articles, in_main, above.container, [data]))
             self.fresh = False
         else:
             self.blocks[-1].pieces.append(data)
@@ -203,27 +229,33 @@ class _Page(HTMLParser):
         if tag in ("html", "body", "article", "main"):
             return ""
         kinds = {word_kind(value or "") for name, value in attrs if name in ("class", "id")}
-        return "aside" if "aside" in kinds else "doubtful" if "doubtful" in kinds else ""
+        return next((kind for kind in ("readers", "aside", "doubtful") if kind in kinds), "")
 
-    def shown(self) -> list[tuple[str, bool, str]]:
-        """(path, within article or main, text) of the blocks with text that no aside drops."""
+    def shown(self) -> list[tuple[str, bool, str, int]]:
+        """(path, within article or main, text, container) of the blocks with text that no aside drops."""
         blocks = [(b, text) for b in self.blocks if (text := " ".join("".join(b.pieces).split()))]
         if self.n_asides:
             sizes, held = [0] * len(self.articles), [0] * self.n_asides
+            total = doubted = 0
             for b, text in blocks:
+                total += len(text)
+                doubted += len(text) * (not self.doubtful.isdisjoint(b.asides))
                 for i in b.articles:
                     sizes[i] += len(text)
                 for i in b.asides:
                     held[i] += len(text)
-            total = sum(len(text) for _, text in blocks)
             kept = set(self.with_main)
-            longest = max(sizes, default=0)
-            kept.update(i for asides, n in zip(self.articles, sizes, strict=True) if n == longest for i in asides)
+            if 2 * doubted > total or not any((b.articles or b.in_main) and self.doubtful.isdisjoint(b.asides) for b, _ in blocks):
+                kept |= self.doubtful
+            remarks = {i for i in self.readers if 2 * held[i] <= total or sum(i in asides for asides in self.articles) > 1}
+            longest = [(n, asides) for n, asides in zip(sizes, self.articles, strict=True) if remarks.isdisjoint(asides)]
+            most = max((n for n, _ in longest), default=0)
+            kept.update(i for n, asides in longest if n == most for i in asides)
             for i, n in enumerate(held):
-                if 2 * n > total and not any((b.articles or b.in_main) and i not in b.asides for b, _ in blocks):
+                if 2 * n > total and i not in remarks and not any((b.articles or b.in_main) and i not in b.asides for b, _ in blocks):
                     kept.add(i)
             blocks = [(b, text) for b, text in blocks if kept.issuperset(b.asides)]
-        return [(b.path, b.body, text) for b, text in blocks]
+        return [(b.path, b.body, text, b.container) for b, text in blocks]
 
 
 def _smooth(values: list[float]) -> list[float]:
@@ -267,8 +299,13 @@ def main_text(html: str | None) -> str:
     page.feed(html)
     page.close()
     blocks = page.shown()
-    chosen = content_paths(blocks)
-    return " ".join(text for path, body, text in blocks if (path, body) in chosen)
+    paths = content_paths([b[:3] for b in blocks])
+    chosen = [(path, body) in paths for path, body, _, _ in blocks]
+    shares: dict[int, int] = {}
+    for (_, _, text, container), content in zip(blocks, chosen):
+        shares[container] = shares.get(container, 0) + (len(text) if content else -len(text))
+    mostly = {c for c, n in shares.items() if c and n > 0}
+    return " ".join(b[2] for b, content in zip(blocks, chosen) if content or b[3] in mostly)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -249,6 +249,25 @@ def test_main_text_in_marked_wrappers(attrs):
     assert main_text.main_text(f"<body><article>{BODY}<div class='comments'>{BODY * 2}</div></article></body>") == " ".join(LINES)
 
 
+def test_main_text_leaves_out_readers_comments():
+    """Comments that are articles of their own, beside a body in a div: many short ones, one, and more text than the body."""
+    for remarks in (["Nice, thanks!"] * 9, ["Nice, thanks!"], [f"I disagree, and {x}" for x in LINES * 2]):
+        section = "<section id='comments'><h2>Comments</h2>" + "".join(f"<article><p>{x}</p></article>" for x in remarks) + "</section>"
+        assert main_text.main_text(f"<body><div class='page'>{BODY}</div>{section}</body>") == " ".join(LINES)
+
+
+def test_main_text_keeps_headings_and_lists_of_a_div():
+    page = f"<body><div><ul><li>Home</li><li>News</li><li>About</li></ul></div><div class='page'><h1>Head</h1>{BODY}<h2>Sub</h2><ul><li>one</li><li>two</li></ul></div><div><span>x</span></div></body>"
+    assert main_text.main_text(page) == " ".join(["Head", *LINES, "Sub", "one", "two"])
+
+
+def test_main_text_leaves_out_marked_parts_of_main():
+    parts = "<div class='site-header'><p>Site, and name.</p></div><div class='ads-slot'><p>Buy, now.</p></div><div class='notice'><p>We use, well, things.</p></div>"
+    assert main_text.main_text(f"<body><main>{parts}<h1>Head</h1>{BODY}</main></body>") == " ".join(["Head", *LINES])
+    widgets = "".join(f"<div class='widget'><p>{x}</p></div>" for x in LINES)
+    assert main_text.main_text(f"<body><main><h1>Head</h1>{widgets}</main></body>").endswith(" ".join(LINES))
+
+
 def test_archives_round_trip(spark):
     rows = [(1, "u", "<p>é" * 30_000), (2, "u", "same"), (3, None, "same"), (4, "u\r\nX: y", None), (5, "u", ""), (None, "u", "\r\n\r\nWARC/1.1\r\n\r\n"), (7, "u", "seven"), (7, "u", "seven")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")

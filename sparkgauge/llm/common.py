@@ -10,6 +10,9 @@ from sparkgauge.session import fresh_path
 # A side of a join is broadcast only up to so many rows, counted first; rows are a few short columns.
 BROADCAST_ROWS = 200_000
 
+# A stored frame of few rows has at least so many partitions a core.
+PARTS_A_CORE = 2
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -42,6 +45,14 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def packed(df: DataFrame, rows: int, rows_a_part: int) -> DataFrame:
+    """The frame in no more partitions than its rows need, so few rows do not make a task and a file each.
+
+    rows is a count or an upper bound. Only neighbouring partitions are put together, after all joins.
+    """
+    return df.coalesce(max(PARTS_A_CORE * df.sparkSession.sparkContext.defaultParallelism, -(-rows // rows_a_part)))
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else; plain ASCII texts take the built-in's fast path."""
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkgauge.llm.common import discard, store
+from sparkgauge.llm.common import discard, packed, store
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+# Rows of two ids that a partition holds at least, where their number bounds the partitions.
+PART_ROWS = 50_000
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -19,26 +19,26 @@ def components(links: DataFrame) -> DataFrame:
     each a minimum per node joined back to the node's links: larger neighbours move to the
     smallest neighbour, then smaller ones do. The links end as stars around the smallest
     node of each component, after a number of rounds that grows with the logarithm of the
-    size. A hub with many links is a hot key of a join, which adaptive execution splits;
-    no neighbours are collected.
+    size. Links are such stars when no node with a smaller neighbour has another one. A hub
+    with many links is a hot key of a join, which adaptive execution splits; no neighbours
+    are collected.
     """
-    edges = store(
-        links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "links"
-    )
-    state = _state(edges)
-    while state[0]:
+    edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
+    edges = store(edges, "links")
+    n = edges.count()
+    while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count(F.lit(1)).alias("n"))
+        if least.filter("m < a AND n > 1").isEmpty():
+            break
         large = (
             both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
         )
-        large = store(large, "links")
+        large = store(packed(large, n, PART_ROWS), "links")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         moved = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        last, edges = edges, store(moved.unionByName(least.select("a", F.col("m").alias("b"))).filter("a <> b").distinct(), "links")
+        moved = moved.unionByName(least.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
+        last, edges = edges, store(packed(moved, 2 * n, PART_ROWS), "links")
         discard(last, large)
-        before, state = state, _state(edges)
-        if before == state:
-            break
     ends = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return ends.unionByName(ends.select(F.col("component").alias("node"), "component").distinct())

@@ -15,9 +15,10 @@ has 1024 bits, each the parity of the shingles that hash to it; bits that differ
 texts are never more than the shingles only one of them has, so this loses no link. It
 ends the pairs of copies that are all close to one text but not to each other.) Of the rest,
 those whose collision-corrected estimate is far below the threshold are dropped, and the
-others are confirmed on the full sets. Then components are joined, and hubs, whose pairs are
-all settled, leave the bucket. Buckets of one component (copies, however many) are finished
-after the first round; the others get GROWTH times as many hubs each round.
+others are confirmed on the full sets. Then components are joined by the links between them, and
+hubs, whose pairs are all settled, leave the bucket. Buckets of one component (copies, however
+many) are finished after the first round; the others get GROWTH times as many hubs each round,
+and one that has no more rows than that makes hubs of all of them and is finished too.
 
 Defined results
   - null, empty or blank texts have an empty set, are linked with nothing and kept;
@@ -39,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkgauge.llm.common import discard, free_name, small, store
+from sparkgauge.llm.common import discard, free_name, packed, small, store
 from sparkgauge.llm.components import components
 from sparkgauge.llm.shingles import ascii_words, shingle_set, word_hasher
 
@@ -55,6 +56,8 @@ COLLISION = 0.169919487159739 * 2 / (1 << MANTISSA_BITS)
 SIGMAS = 6
 # Hubs per bucket grow by this factor each round.
 GROWTH = 64
+# Pairs with sketches or sets that a partition holds at least, where their number bounds the partitions.
+PART_PAIRS = 2_000
 
 ODD_BITS = 10
 ODD = [f"s{i}" for i in range((1 << ODD_BITS) // 64)]
@@ -150,30 +153,30 @@ def estimate(x: np.ndarray, y: np.ndarray) -> tuple[float, int]:
 
 
 def _promising(threshold: float):
-    """Pairs a, b with their sketches -> the pairs worth a full comparison."""
+    """Pairs a, b, components p, q, sketches -> the pairs worth a full comparison."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+            for x, y in zip(batch.column(4), batch.column(5), strict=True):
                 similarity, filled = estimate(np.frombuffer(x.as_py(), np.uint16), np.frombuffer(y.as_py(), np.uint16))
                 keep.append(similarity >= threshold - SIGMAS * math.sqrt(threshold * (1 - threshold) / max(filled, 1)))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select([0, 1, 2, 3]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
 def _confirmed(percent: int):
-    """Pairs a, b with their full sets -> the pairs with 100 * common >= percent * union."""
+    """Pairs a, b, components p, q, full sets -> the pairs with 100 * common >= percent * union."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+            for x, y in zip(batch.column(4), batch.column(5), strict=True):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select([0, 1, 2, 3]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
@@ -186,33 +189,36 @@ def _possible(x: str, y: str, threshold: float) -> Column:
 
 
 def _pairs(members: DataFrame, hubs: int, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) of hubs and nodes of other components in the same bucket; the rows but the hubs' own.
+    """Pairs of hubs and nodes of other components in the same bucket; the rows but the hubs' own.
 
-    Hubs are the nodes that share most buckets with others: in a group of copies of one text
-    that is the text they were made from, which is closer to each of them than they are to
-    each other, so one round joins them.
+    A pair is a, b (nodes, the larger first) and p, q (their components). Hubs are the nodes that
+    share most buckets with others: in a group of copies of one text that is the text they were
+    made from, which is closer to each of them than they are to each other, so one round joins
+    them. A bucket has at most so many hubs as asked for; all rows are, if they are no more.
     """
     own = ["node", "component", "n", *ODD]
-    part = F.pmod(F.xxhash64("node"), F.lit(hubs))
+    part = F.when(F.col("rows") <= hubs, F.col("node")).otherwise(F.pmod(F.xxhash64("node"), F.lit(hubs)))
     chosen = members.groupBy("key", part.alias("part")).agg(F.max(F.struct("weight", *own)).alias("hub")).select("key", "hub.*")
     met = members.alias("x").join(
         chosen.alias("y"),
         (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component")) & _possible("x", "y", threshold),
     )
-    pairs = met.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
+    sides = [F.struct(F.col(f"{s}.node"), F.col(f"{s}.component")) for s in "xy"]
+    met = met.select(F.greatest(*sides).alias("x"), F.least(*sides).alias("y"))
+    pairs = met.selectExpr("x.node AS a", "y.node AS b", "x.component AS p", "y.component AS q").distinct()
     rest = members.join(chosen.select("key", "node"), ["key", "node"], "left_anti")
     return pairs, rest
 
 
 def _open_buckets(members: DataFrame) -> DataFrame:
-    """The rows of buckets that hold more than one component: key, node, component, rows (of the bucket)."""
+    """The rows of buckets that hold more than one component, with the number of rows of their bucket."""
     several = (
         members.groupBy("key")
         .agg(F.min("component").alias("l"), F.max("component").alias("m"), F.count(F.lit(1)).alias("rows"))
         .filter("l < m")
         .select("key", "rows")
     )
-    return store(members.select("key", "node", "component").join(several, "key"), "bands")
+    return store(members.join(several, "key"), "bands")
 
 
 def _described(shared: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -221,7 +227,15 @@ def _described(shared: DataFrame, nodes: DataFrame) -> DataFrame:
     The weight of a node is the number of rows it shares buckets with.
     """
     known = nodes.select("node", "n", *ODD).join(shared.groupBy("node").agg(F.sum("rows").alias("weight")), "node")
-    return store(shared.select("key", "node", "component").join(known, "node"), "bands")
+    return store(shared.join(known, "node"), "bands")
+
+
+def _renamed(rows: DataFrame, joined: DataFrame | None) -> DataFrame:
+    """The rows with the component that theirs (components' names being nodes) has been joined to."""
+    if joined is None:
+        return rows
+    new = joined.select(F.col("node").alias("component"), F.col("component").alias("_new"))
+    return rows.join(small(new), "component", "left").withColumn("component", F.coalesce("_new", "component")).drop("_new")
 
 
 def near_duplicates(
@@ -244,23 +258,26 @@ def near_duplicates(
     bands = nodes.select("node", F.posexplode(F.array(*parts)).alias("i", "part"))
     members = store(bands.select(F.xxhash64("i", "part").alias("key"), "node", F.col("node").alias("component")), "bands")
 
+    shared = _open_buckets(members)
+    discard(members)
+    members = _described(shared, nodes)
+    discard(shared)
     labels, sets, hubs = None, None, 1
-    while True:
-        shared = _open_buckets(members)
-        discard(members)
-        members = _described(shared, nodes)
-        discard(shared)
-        if members.isEmpty():
-            break
+    while not members.isEmpty():
         pairs, rest = _pairs(members, hubs, threshold)
         links, sets = _verified(store(pairs, "pairs"), nodes, hashed, sets, shingle_words, threshold, percent)
+        joined = None
         if not links.isEmpty():
-            if labels is not None:
-                links = links.unionByName(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
-            labels = store(components(links), "components")
-        rest = rest.select("key", "node", F.col("component").alias("_c"))
-        rest = rest.withColumn("component", F.col("_c")) if labels is None else rest.join(labels, "node", "left")
-        last, members = members, store(rest.select("key", "node", F.coalesce("component", "_c").alias("component")), "bands")
+            joined = store(components(links.select(F.col("p").alias("a"), F.col("q").alias("b"))), "components")
+            if labels is None:
+                labels = joined
+            else:
+                alone = joined.join(labels.select("node"), "node", "left_anti")
+                last, labels = labels, store(_renamed(labels, joined).select("node", "component").unionByName(alone), "components")
+                discard(last)
+        last, members = members, store(_renamed(rest, joined).drop("rows"), "bands")
+        discard(last)
+        last, members = members, _open_buckets(members)
         discard(last)
         hubs *= GROWTH
 
@@ -286,7 +303,8 @@ def _with_sets(wanted: DataFrame, nodes: DataFrame, texts: DataFrame, sets: Data
     if sets is not None:
         wanted = wanted.join(sets.select("node"), "node", "left_anti")
     asked = store(nodes.select("node", "digest", "h").join(wanted, "node", "left_semi"), "asked")
-    if sets is not None and asked.isEmpty():
+    n = asked.count()
+    if sets is not None and not n:
         return sets
     full = (
         texts.select("h", "text")
@@ -295,7 +313,7 @@ def _with_sets(wanted: DataFrame, nodes: DataFrame, texts: DataFrame, sets: Data
         .mapInArrow(_sets(size), "node long, shingles binary")
         .dropDuplicates(["node"])
     )
-    full = store(full, "sets")
+    full = store(packed(full, n, PART_PAIRS), "sets")
     discard(asked)
     return full if sets is None else sets.unionByName(full)
 
@@ -303,15 +321,14 @@ def _with_sets(wanted: DataFrame, nodes: DataFrame, texts: DataFrame, sets: Data
 def _verified(
     pairs: DataFrame, nodes: DataFrame, texts: DataFrame, sets: DataFrame | None, size: int, threshold: float, percent: int
 ) -> tuple[DataFrame, DataFrame]:
-    """The pairs whose full sets are similar enough (a, b); all full sets read so far (node, shingles)."""
-    sketch = nodes.select("node", "sketch")
-    compared = (
-        pairs.join(sketch.toDF("a", "x"), "a").join(sketch.toDF("b", "y"), "b").select("a", "b", "x", "y")
-    )
-    likely = store(compared.mapInArrow(_promising(threshold), "a long, b long"), "likely")
+    """The pairs whose full sets are similar enough (a, b, p, q); all full sets read so far (node, shingles)."""
+    names, kept = ["a", "b", "p", "q"], "a long, b long, p long, q long"
+    sketch, n = nodes.select("node", "sketch"), pairs.count()
+    compared = pairs.join(sketch.toDF("a", "x"), "a").join(sketch.toDF("b", "y"), "b").select(*names, "x", "y")
+    likely = store(packed(compared, n, PART_PAIRS).mapInArrow(_promising(threshold), kept), "likely")
     sets = _with_sets(likely.select("a").union(likely.select("b")).distinct().toDF("node"), nodes, texts, sets, size)
-    both = likely.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
-    links = store(both.mapInArrow(_confirmed(percent), "a long, b long"), "links")
+    both = likely.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select(*names, "x", "y")
+    links = store(packed(both, n, PART_PAIRS).mapInArrow(_confirmed(percent), kept), "links")
     discard(pairs, likely)
     return links, sets
 

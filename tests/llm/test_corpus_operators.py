@@ -18,6 +18,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[2] / "tools"))
 from compare import rows_of
 
 from sparkgauge.llm import decontaminate, language, licenses, main_text, mix, near_dedup, quality_model, quality_rules, queries, token_counts, warc
+from sparkgauge.llm import components as near_components
 from sparkgauge.llm.components import components
 
 FOLDER = "/root/testdata/sf0.001"
@@ -159,6 +160,41 @@ def test_components_of_a_chain(spark):
     assert got == {**{i: 0 for i in range(101)}, 500: 500, 501: 500}
 
 
+def test_components_of_random_links_and_of_stars(spark, monkeypatch):
+    rng = np.random.RandomState(3)
+    links = [tuple(map(int, rng.randint(0, 300, 2))) for _ in range(220)]
+    parent = list(range(300))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        parent[b] = a
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {x: find(x) for a, b in links if a != b for x in (a, b)}
+
+    # Stars are final: their links are written once and not rewired.
+    stored, store = [], near_components.store
+    monkeypatch.setattr(near_components, "store", lambda df, name: stored.append(name) or store(df, name))
+    stars = spark.createDataFrame([(i % 5, i) for i in range(5, 100)] + [(5, 0), (200, 201)], "a long, b long")
+    got = {r["node"]: r["component"] for r in components(stars).collect()}
+    assert got == {**{i: i % 5 for i in range(100)}, 200: 200, 201: 200} and stored == ["links"]
+
+
+def test_a_bucket_of_no_more_rows_than_hubs_is_finished(spark):
+    odd = [f"0L AS {c}" for c in near_dedup.ODD]
+    rows = spark.range(60).selectExpr("'k' AS key", "id AS node", "id DIV 2 AS component", "60L AS rows", "10L AS n", "id AS weight", *odd)
+    pairs, rest = near_dedup._pairs(rows, 64, 0.8)
+    assert rest.isEmpty()
+    assert {tuple(r) for r in pairs.collect()} == {(a, b, a // 2, b // 2) for a in range(60) for b in range(a) if a // 2 != b // 2}
+    # With fewer hubs than rows the hubs alone meet the others and leave.
+    pairs, rest = near_dedup._pairs(rows, 1, 0.8)
+    assert rest.count() == 59 and {tuple(r) for r in pairs.collect()} == {(59, b, 29, b // 2) for b in range(58)}
+
+
 # --- quality rules -------------------------------------------------------------------------
 
 

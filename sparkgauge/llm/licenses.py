@@ -176,21 +176,25 @@ _SUBJECT = re.compile(
     r"^(?:(?:this|the) )?(?:(?:project|software|work|file|code|source code|program|library|package|repository|document|text|content|module) )?"
     r"(?:is |are )?(?:(?:released|licensed|distributed|available|made available|published) under|licensed under the terms of)(?: the terms of)?(?: (?:the|a))? "
 )
-_PROGRAM = re.compile(r"^(?:(?:this|the) )?[a-z0-9]+ (?=is free software\b|is distributed in the hope\b)")
+# Beginnings of these count as well: lines may break anywhere in them.
+_PROGRAM = re.compile(
+    r"^(?:(?:this|the) )?[a-z0-9]+(?= is free software\b| is distributed in the hope\b|(?: is(?: free| distributed(?: in(?: the)?)?)?)?$)"
+)
 _NEITHER = re.compile(r"^neither the names? of .+? nor the names of (?:its|the|their) (?:contributors|authors) may be used")
 _PROVIDER = re.compile(r"^this software is provided by .+? as is and any express")
 
 
 _SUFFIX = re.compile(r"^(licensed under the .+?) see (?:the )?\S+ (?:file )?for (?:more |the full )?(?:details|information|text)$")
 # Beginnings whose wording is made one only when the sentence has come to its closing words.
-_OPEN = re.compile(r"^(?:neither the names? of\b|this software is provided by\b|(?:this|the) [a-z]+(?: code)? is (?:released|licensed|distributed|available|made)\b)")
+_OPEN = re.compile(r"^(?:neither the names? of\b|this software is provided by\b|(?:this|the) [a-z]+(?: code)? is (?:released|licensed|distributed(?! in the hope\b)|available|made)\b)")
+OPEN_PIECES = 8  # More pieces than such a beginning or closing has words.
 _CLOSING = re.compile(r"\bmay be used\b|\bas is and any express\b|\bunder\b")
 _ASCII_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 
 def _alike(words: str) -> str:
     words = _SUFFIX.sub(r"\1", _SUBJECT.sub("licensed under the ", words))
-    words = _PROGRAM.sub("this program ", words)
+    words = _PROGRAM.sub("this program", words)
     words = _NEITHER.sub("neither the name of the copyright holder nor the names of its contributors may be used", words)
     return _PROVIDER.sub("this software is provided by the copyright holders and contributors as is and any express", words)
 
@@ -235,8 +239,8 @@ def sentence_ids(text: str | None) -> list[tuple[int, str]]:
                 break
             parts.append(pieces[k][1])
             # A holder's name may be of any length: nothing is compared before the closing words.
-            if not closed and _OPEN.match(" ".join(parts[:3])):
-                closed = bool(_CLOSING.search(" ".join(parts[-4:])))
+            if not closed and _OPEN.match(" ".join(parts[:OPEN_PIECES])):
+                closed = bool(_CLOSING.search(" ".join(parts[-OPEN_PIECES:])))
                 if not closed:
                     continue
             known = _alike(" ".join(parts))

@@ -382,6 +382,14 @@ def test_license_texts(text, licence):
     assert licenses.match_rules([n for _, n in licenses.sentence_ids(text)]) == ([licence], [])
 
 
+@pytest.mark.parametrize("width", [1, 2, 3, 4, 5, 7, 200])
+def test_license_texts_with_lines_of_any_length(width):
+    words = GNU.format("Lesser", "2.1").split()
+    text = "\n".join(" ".join(words[i : i + width]) for i in range(0, len(words), width))
+    text += "\nThe code is distributed by us.\n" + " ".join(GNU.format("Affero", "3").split())
+    assert licenses.match_rules([n for _, n in licenses.sentence_ids(text)]) == (["LGPL-2.1-or-later", "AGPL-3.0-or-later"], [])
+
+
 def test_linear_time_interactions_equal_pairs():
     rng = np.random.RandomState(0)
     model = quality_model.FactorisationMachine(0.3)

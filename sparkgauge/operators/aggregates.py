@@ -109,9 +109,11 @@ def exact_percentile(rows: DataFrame, keys: Sequence[str], value: str, p: float,
     """Exact percentile per group, linear interpolation, without holding a group in one task.
 
     Every group has an interval that holds the two wanted ranks. While intervals hold too many
-    rows, a mergeable sketch cuts them into three zones whose rows are counted; the zone of
-    the ranks is the next interval, whichever it is, so a sketch that is off costs a round and
-    never a wrong value. What is left of a group, a fixed number of values at most, is ordered.
+    rows, two edges from a mergeable sketch cut them into five zones whose rows are counted:
+    below, at and above the edges. The zone of the ranks is the next interval, whichever it is,
+    so a sketch that is off costs a round and never a wrong value. An edge has a zone of its own
+    because ranks may stand where one value ends and the next begins, however often either is
+    there. What is left of a group, a fixed number of values at most, is ordered.
     Nulls are skipped, groups without values vanish.
     """
     kept = cut_lineage(rows.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v")))
@@ -119,14 +121,15 @@ def exact_percentile(rows: DataFrame, keys: Sequence[str], value: str, p: float,
     state = kept.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), total.alias("_held"), (F.lit(p) * (total - 1)).alias("_rank"))
     state = state.withColumn("_below", F.lit(0).cast("bigint"))
     state = cut_lineage(state.select(*keys, "_lo", "_hi", "_held", "_rank", "_below"))
-    small, found = [], []
+    small, found, accuracy = [], [], SKETCH_ACCURACY
     while True:
         large = state.filter((F.col("_held") > ORDERED_VALUES) & (F.col("_lo") < F.col("_hi")))
         small.append(state.filter((F.col("_held") <= ORDERED_VALUES) | (F.col("_lo") == F.col("_hi"))))
         if large.isEmpty():
             break
-        state, ends = _narrowed(kept, keys, large)
+        state, ends = _narrowed(kept, keys, large, accuracy)
         found.append(ends)
+        accuracy = max(accuracy, min(4 * accuracy, 10 * GRID))
     left = reduce(DataFrame.unionByName, small)
     # An interval of one value needs no order; its rows are left out of the lists.
     one = (F.col("_lo") == F.col("_hi"))
@@ -143,24 +146,27 @@ def _inside(kept: DataFrame, keys: Sequence[str], intervals: DataFrame) -> DataF
     return null_safe_attach(kept, intervals, keys, "inner").filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
 
 
-def _narrowed(kept: DataFrame, keys: Sequence[str], state: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _narrowed(kept: DataFrame, keys: Sequence[str], state: DataFrame, accuracy: int) -> tuple[DataFrame, DataFrame]:
     """The next intervals, and the values of groups whose two ranks lie in neighbouring zones."""
     inside = cut_lineage(_inside(kept, keys, state))
     # Where the ranks stand within the interval is the same for all rows of a group; the sketch needs
     # fixed shares, so the interval's values are sketched whole and the edges picked from the list.
     shares = [i / GRID for i in range(GRID + 1)]
-    sketch = inside.groupBy(*keys, "_rank", "_below", "_held").agg(F.percentile_approx("_v", shares, SKETCH_ACCURACY).alias("_q"))
+    sketch = inside.groupBy(*keys, "_rank", "_below", "_held", "_lo", "_hi").agg(F.percentile_approx("_v", shares, accuracy).alias("_q"))
     place = (F.col("_rank") - F.col("_below")) / F.col("_held") * GRID
     first = F.greatest(F.floor(place - 1), F.lit(0)).cast("int")
     last = F.least(F.ceil(place + 1), F.lit(GRID)).cast("int")
-    edges = sketch.select(*keys, F.get("_q", first).alias("_a"), F.get("_q", last).alias("_b"))
-    zone = F.when(F.col("_v") < F.col("_a"), 0).when(F.col("_v") > F.col("_b"), 2).otherwise(1)
+    # The sketch works on doubles: an edge may be rounded out of the interval.
+    a, b = [F.least(F.greatest(F.get("_q", i), F.col("_lo")), F.col("_hi")) for i in (first, last)]
+    edges = sketch.select(*keys, a.alias("_a"), b.alias("_b"))
+    zone = F.when(F.col("_v") < F.col("_a"), 0).when(F.col("_v") == F.col("_a"), 1).when(F.col("_v") < F.col("_b"), 2)
+    zone = zone.when(F.col("_v") == F.col("_b"), 3).otherwise(4)
     zones = (
         null_safe_attach(inside, edges, keys, "inner")
         .groupBy(*keys, "_rank", "_below", zone.alias("_zone"))
         .agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     )
-    # Three rows per group.
+    # Five rows per group.
     before = F.coalesce(F.sum("_n").over(Window.partitionBy(*keys).orderBy("_zone").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     zones = cut_lineage(zones.withColumn("_below", F.col("_below") + before))
     holds = [(r >= F.col("_below")) & (r < F.col("_below") + F.col("_n")) for r in (F.floor("_rank"), F.ceil("_rank"))]

@@ -392,6 +392,15 @@ def test_percentile_narrows_large_groups(spark, monkeypatch, p):
     assert {r["k"]: r["x"] for r in A.exact_percentile(df, ["k"], "v", p, "x").collect()} == pytest.approx(want)
 
 
+def test_percentile_between_two_frequent_values(spark, monkeypatch):
+    # The lower rank is the last of the ones, the upper rank the first of the twos.
+    monkeypatch.setattr(A, "ORDERED_VALUES", 40)
+    large = 2**60 + 100
+    df = spark.createDataFrame([(k, v) for k, low in (("a", 1), ("b", large)) for v in [low] * 100 + [low + 1] * 100], "k string, v long")
+    got = {r["k"]: r["x"] for r in A.exact_percentile(df, ["k"], "v", 0.5, "x").collect()}
+    assert got == {"a": 1.5, "b": float(large)}
+
+
 def test_percentile_with_a_sketch_that_is_off(spark, monkeypatch):
     monkeypatch.setattr(A, "ORDERED_VALUES", 40)
     monkeypatch.setattr(A, "SKETCH_ACCURACY", 3)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,8 +18,9 @@ from sparkgauge.session import cut_lineage
 EPOCH = dt.datetime(1970, 1, 1)
 
 
-# Literal text is looked up by pieces of so many characters; shorter text by all of it.
+# Literal text within a name is first met by so many of its characters; shorter text by all of it.
 GRAM = 3
+KEY = ["_head", "_tail", "_text"]
 
 
 def include_exclude(rows: DataFrame, name: str, include: DataFrame, exclude: DataFrame, pattern: str = "pattern") -> DataFrame:
@@ -26,56 +28,133 @@ def include_exclude(rows: DataFrame, name: str, include: DataFrame, exclude: Dat
 
     An empty include list keeps nothing, an empty exclude list removes nothing, null patterns
     are skipped, and a row without a name is LIKE none. Lists of any length are matched against
-    the distinct names by an index of character n-grams; no name meets all patterns.
+    the distinct names by their literal texts; no name meets all patterns.
     """
     names = cut_lineage(rows.select(F.col(name).alias("_name")).filter(F.col("_name").isNotNull()).distinct())
     listed = include.select(F.col(pattern).alias("_like"), F.lit(True).alias("_in")).unionByName(
         exclude.select(F.col(pattern).alias("_like"), F.lit(False).alias("_in"))
     )
     verdict = like_any(names, listed).groupBy("_name").agg(F.bool_and("_in").alias("_kept"))
-    return rows.join(verdict.filter("_kept"), rows[name] == F.col("_name"), "left_semi")
+    kept = cut_lineage(verdict.filter("_kept").select("_name"))
+    return rows.join(kept, rows[name] == F.col("_name"), "left_semi")
 
 
 def like_any(names: DataFrame, patterns: DataFrame) -> DataFrame:
     """Names (_name) with the flag (_in) of every pattern (_like) they are LIKE; pairs may repeat.
 
-    A pattern meets only the names that hold its rarest literal n-gram and is verified there. A
-    pattern of wildcards alone is a condition on the length of a name.
+    A pattern without wildcards is equal to its names. Any other has keys: its two ends (text before
+    the first and after the last wildcard) and each whole text between wildcards. It meets only the names
+    that hold the key fewest names hold and is verified there. A pattern of wildcards alone is a
+    condition on the length of a name.
     """
-    # Literal texts between wildcards, escapes resolved.
-    parts = F.regexp_extract_all(F.col("_like"), F.lit(r"((?:[^%_\\]|\\.)+)"), F.lit(1))
-    literal = F.transform(parts, lambda x: F.regexp_replace(x, r"\\(.)", "$1"))
-    listed = patterns.filter(F.col("_like").isNotNull()).distinct().withColumn("_texts", literal)
-    texts = listed.filter(F.size("_texts") > 0).select("_like", "_in", F.explode("_texts").alias("_text"))
-    starts = F.explode(F.sequence(F.lit(1), F.greatest(F.length("_text") - GRAM + 1, F.lit(1)))).alias("_at")
-    wanted = texts.select("_like", "_in", "_text", starts).select("_like", "_in", F.substr("_text", "_at", F.lit(GRAM)).alias("_gram"))
-    wanted = wanted.distinct()
-    grams = wanted.select("_gram").distinct()
-
-    # Only grams that some pattern has are kept of the names; of three sizes at most, those in use.
-    sizes = sorted(r[0] for r in grams.select(F.length("_gram")).distinct().collect())
+    listed = cut_lineage(parsed(patterns))
+    ended = (F.col("_head") != "") | (F.col("_tail") != "")
+    # Lengths only: no set is longer than the longest pattern.
+    lengths = listed.filter("_whole IS NULL").agg(
+        F.collect_set(F.when(F.col("_head") != "", F.length("_head"))).alias("heads"),
+        F.collect_set(F.when((F.col("_head") == "") & (F.col("_tail") != ""), F.length("_tail"))).alias("tails"),
+        F.array_distinct(F.flatten(F.collect_set(F.transform("_texts", lambda x: F.least(F.length(x), F.lit(GRAM)))))).alias("grams"),
+        *[
+            make(F.when(F.col("_wild") & (F.col("_in") == flag) & (F.contains("_like", F.lit("%")) == many), F.length(F.regexp_replace("_like", "%", "")))).alias(f"{kind}_{flag}")
+            for flag in (True, False)
+            for kind, many, make in (("least", True, F.min), ("fixed", False, F.collect_set))
+        ],
+    ).first()
+
+    equal = names.join(listed.filter("_whole IS NOT NULL").select(F.col("_whole").alias("_name"), "_in"), "_name").select("_name", "_in")
+    wanted = listed.filter("_whole IS NULL").filter(ended).select("_like", "_in", "_head", "_tail", F.lit("").alias("_text"))
+    wanted = wanted.unionByName(
+        listed.filter("_whole IS NULL").select("_like", "_in", F.lit("").alias("_head"), F.lit("").alias("_tail"), F.explode("_texts").alias("_text"))
+    )
+    # Written, so that few keys are known to be few and the names stay where they are.
+    wanted = cut_lineage(wanted)
+    keys = wanted.select(*KEY).distinct()
+    held = [f(names, keys, sorted(lengths[k])) for f, k in ((held_heads, "heads"), (held_tails, "tails"), (held_texts, "grams")) if lengths[k]]
+    found = equal
+    if held:
+        index = cut_lineage(reduce(DataFrame.unionByName, held))
+        counts = index.groupBy(*KEY).agg(F.count("*").alias("_n"))
+        # A key that no name holds is the rarest: its pattern is LIKE nothing and finds nothing.
+        rarest = (
+            wanted.join(counts, KEY, "left")
+            .groupBy("_like", "_in")
+            .agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), *KEY)).alias("_r"))
+            .select("_like", "_in", *[F.col(f"_r.{k}") for k in KEY])
+        )
+        found = found.unionByName(index.join(rarest, KEY).filter(F.like(F.col("_name"), F.col("_like"))).select("_name", "_in"))
+
+    # Of the open ones the shortest decides, of the others their lengths.
+    n = F.length("_name")
+    for flag in (True, False):
+        least, fixed = lengths[f"least_{flag}"], lengths[f"fixed_{flag}"]
+        if least is not None or fixed:
+            met = n.isin(*fixed) | (n >= least if least is not None else F.lit(False))
+            found = found.unionByName(names.filter(met).select("_name", F.lit(flag).alias("_in")))
+    return found
+
+
+def parsed(patterns: DataFrame) -> DataFrame:
+    """Distinct patterns with their literal texts, escapes resolved.
+
+    _whole is the text of one without wildcards, else null; _head and _tail are the texts before the
+    first and after the last wildcard, _texts those between, and _wild marks wildcards alone.
+    """
+
+    def resolved(text):
+        return F.regexp_replace(text, r"(?s)\\(.)", "$1")
+
+    def literal(text):
+        return ~text.rlike("^[%_]")
+
+    def end(at):
+        return F.when(literal(at), resolved(at)).otherwise("")
+
+    # Runs of wildcards and of literal characters take turns.
+    tokens = F.regexp_extract_all(F.col("_like"), F.lit(r"(?s)((?:[^%_\\]++|\\.)++|[%_]++)"), F.lit(1))
+    runs, size = F.col("_runs"), F.size("_runs")
+    return (
+        patterns.filter(F.col("_like").isNotNull())
+        .select("_like", "_in")
+        .distinct()
+        .withColumn("_runs", tokens)
+        .select(
+            "_like",
+            "_in",
+            F.when(F.col("_like").rlike(r"\A(?:[^%_\\]++|\\[%_\\])*+\z"), resolved(F.col("_like"))).alias("_whole"),
+            F.when(size > 0, end(F.get(runs, F.lit(0)))).otherwise("").alias("_head"),
+            F.when(size > 1, end(F.get(runs, size - 1))).otherwise("").alias("_tail"),
+            F.array_distinct(F.transform(F.filter(F.slice(runs, 2, F.greatest(size - 2, F.lit(0))), literal), resolved)).alias("_texts"),
+            ((size == 1) & ~literal(F.get(runs, F.lit(0)))).alias("_wild"),
+        )
+    )
+
+
+def held_heads(names: DataFrame, keys: DataFrame, sizes: Sequence[int]) -> DataFrame:
+    """Names with the ends they hold of those that have a head: a head found tells the lengths of its tails."""
+    heads = keys.filter("_head <> ''").groupBy("_head").agg(F.collect_set(F.length("_tail")).alias("_sizes"))
+    starts = names.select("_name", F.explode(F.lit(list(sizes))).alias("_n")).filter("_n <= length(_name)")
+    begun = starts.select("_name", F.left("_name", "_n").alias("_head")).join(heads, "_head")
+    ends = begun.select("_name", "_head", F.explode("_sizes").alias("_n")).filter("length(_head) + _n <= length(_name)")
+    return ends.select("_name", "_head", F.right("_name", "_n").alias("_tail"), F.lit("").alias("_text")).join(keys, KEY, "left_semi").select("_name", *KEY)
+
+
+def held_tails(names: DataFrame, keys: DataFrame, sizes: Sequence[int]) -> DataFrame:
+    """Names with the tails they hold of patterns that begin with a wildcard."""
+    ends = names.select("_name", F.explode(F.lit(list(sizes))).alias("_n")).filter("_n <= length(_name)")
+    ends = ends.select("_name", F.lit("").alias("_head"), F.right("_name", "_n").alias("_tail"), F.lit("").alias("_text"))
+    return ends.join(keys, KEY, "left_semi").select("_name", *KEY)
+
+
+def held_texts(names: DataFrame, keys: DataFrame, sizes: Sequence[int]) -> DataFrame:
+    """Names with the whole texts they hold: the first characters found tell the lengths of the texts they begin."""
+    texts = keys.filter("_text <> ''")
+    grams = texts.groupBy(F.left("_text", F.lit(GRAM)).alias("_gram")).agg(F.collect_set(F.length("_text")).alias("_sizes"))
     places = names.filter("length(_name) > 0").select("_name", F.explode(F.sequence(F.lit(1), F.length("_name"))).alias("_at"))
     pieces = [F.when(F.col("_at") + n - 1 <= F.length("_name"), F.substr("_name", "_at", F.lit(n))) for n in sizes]
-    held = places.select("_name", F.explode(F.array(*pieces) if pieces else F.array().cast("array<string>")).alias("_gram"))
-    index = cut_lineage(held.join(grams, "_gram", "left_semi").distinct())
-    counts = index.groupBy("_gram").agg(F.count("*").alias("_n"))
-    # A gram that no name holds is the rarest: its pattern is LIKE nothing and finds nothing.
-    rarest = (
-        wanted.join(counts, "_gram", "left")
-        .groupBy("_like", "_in")
-        .agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_gram").alias("gram"))).alias("_r"))
-        .select("_like", "_in", F.col("_r.gram").alias("_gram"))
-    )
-    found = index.join(rarest, "_gram").filter(F.like(F.col("_name"), F.col("_like"))).select("_name", "_in")
-
-    wild = listed.filter(F.size("_texts") == 0).select("_in", F.length(F.regexp_replace("_like", "%", "")).alias("_n"), F.contains("_like", F.lit("%")).alias("_open"))
-    sized = names.withColumn("_n", F.length("_name"))
-    exact = sized.join(wild.filter("NOT _open").select("_in", "_n").distinct(), "_n").select("_name", "_in")
-    # Of the open ones the shortest decides; two numbers reach the driver.
-    least = {r["_in"]: r["_n"] for r in wild.filter("_open").groupBy("_in").agg(F.min("_n").alias("_n")).collect()}
-    for flag, n in least.items():
-        exact = exact.unionByName(sized.filter(F.col("_n") >= n).select("_name", F.lit(flag).alias("_in")))
-    return found.unionByName(exact)
+    begun = places.select("_name", "_at", F.explode(F.array(*pieces)).alias("_gram")).join(grams, "_gram")
+    whole = begun.select("_name", "_at", F.explode("_sizes").alias("_n")).filter("_at + _n - 1 <= length(_name)")
+    whole = whole.select("_name", F.lit("").alias("_head"), F.lit("").alias("_tail"), F.substr("_name", "_at", "_n").alias("_text"))
+    return whole.join(texts, KEY, "left_semi").select("_name", *KEY).distinct()
 
 
 def any_of(conditions: Sequence[Column]) -> Column:

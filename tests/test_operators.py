@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import re
 
 import numpy as np
 import pytest
@@ -363,6 +364,35 @@ def test_leading_wildcards_meet_few_names(spark):
     assert not any(x in plan(found) for x in ("CartesianProduct", "NestedLoop"))
 
 
+def test_patterns_meet_only_names_that_hold_their_whole_texts(spark, monkeypatch):
+    met = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def counted(name, like):
+        met.add(1)
+        return re.fullmatch(like.replace("\\_", "\0").replace("%", ".*").replace("\0", "_"), name) is not None
+
+    n = 2000
+    names = spark.range(n).select(F.concat(F.lit("DB"), F.col("id") % 7, F.lit(".LONG_NAME_"), F.col("id"), F.lit(".PART_"), F.col("id") % 10).alias("_name"))
+    flagged = [(f"DB{i % 7}.LONG\\_NAME\\_{i}.PART\\_{i % 10}", False) for i in range(n)]
+    flagged += [(f"DB{i}.%\\_{j}", True) for i in range(7) for j in range(20)] + [(f"%NAME\\_{i}.%", True) for i in range(0, n, 2)]
+    monkeypatch.setattr(P.F, "like", counted)
+    got = [tuple(r) for r in P.like_any(names, spark.createDataFrame(flagged, "_like string, _in boolean")).collect()]
+    listed = [f"DB{i % 7}.LONG_NAME_{i}.PART_{i % 10}" for i in range(n)]
+    assert sorted(got) == sorted([(x, False) for x in listed] + [(x, True) for x in listed] + [(x, True) for x in listed[::2]])
+    # Names equal to a pattern are not verified; of the others, each pair met is a match.
+    assert met.value == n + n // 2
+
+
+def test_long_texts_escapes_and_ends_overlapping(spark):
+    names = ["abcabc", "abc", "abcd", "a%c", "a_b.c", "a\\b", "ab\nc", "xabcdefy", "abcdef", "日本語日本", "日本"]
+    likes = ["abc%abc", "abc%c", "a\\%c", "a\\_b_c", "a\\\\%", "%\\\\b", "ab\nc", "ab%c", "%bcdef%", "x%cde%y", "%abcdef_", "日本%日本", "%本語_%", "a_c%", "%%c_", "abc"]
+    data = spark.createDataFrame([(n,) for n in names], "_name string")
+    wanted = spark.createDataFrame([(p, i % 2 == 0) for i, p in enumerate(likes)], "_like string, _in boolean")
+    want = data.crossJoin(wanted).filter(F.like("_name", F.col("_like"))).select("_name", "_in").distinct()
+    assert rows(P.like_any(data, wanted).distinct(), "_name", "_in") == rows(want, "_name", "_in")
+
+
 def test_batches_are_plain_filters(spark, monkeypatch):
     rng = random.Random(11)
     times = [None, DAY0, DAY0 + dt.timedelta(microseconds=1), *(DAY0 + dt.timedelta(seconds=rng.randint(0, 10**6)) for _ in range(300)), DAY0 + dt.timedelta(days=9999)]

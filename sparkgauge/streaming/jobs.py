@@ -99,6 +99,7 @@ def snapshot_diff_stream(stream: DataFrame, columns: Sequence[str]) -> DataFrame
 
 
 DAY_MS = 86_400_000
+EPOCH_ORDINAL = dt.date(1970, 1, 1).toordinal()
 
 
 def daily_diff_stream(
@@ -112,10 +113,8 @@ def daily_diff_stream(
     Repeated sightings of one instant count once. State per key: its versions of these days.
     """
     late_days = -(-late // dt.timedelta(days=1))
-    marked = stream.select(*keys, *columns, ts).withColumns(
-        {"_day": F.unix_date(F.to_date(ts)), "_version": F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)}
-    )
-    out = T.StructType([*[f for f in marked.schema if not f.name.startswith("_")], T.StructField("report", T.StringType())])
+    marked = stream.select(*keys, *columns, ts).withColumn("_version", F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256))
+    out = T.StructType([*marked.schema, T.StructField("report", T.StringType())])
 
     def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -123,27 +122,33 @@ def daily_diff_stream(
             return
         last, versions, days = state.get if state.exists else (None, [], [])
         known = dict(zip(versions, days))
-        rows = pd.concat(list(parts)).sort_values([ts, "_version"]).drop_duplicates([ts, "_version"])
-        reports: list[str | None] = []
-        for _, instant in groupby(zip(rows[ts], rows["_day"].tolist(), rows["_version"]), key=lambda r: r[0]):
-            seen = list(instant)
-            day = seen[0][1]
+        chunks = [*parts]
+        rows = chunks[0] if len(chunks) == 1 else pd.concat(chunks)
+        # A key has few rows a batch: for them lists cost far less than operations on frames.
+        times = rows[ts].to_numpy("datetime64[us]").tolist()
+        reports: dict[int, str] = {}
+        for at, instant in groupby(sorted(zip(times, rows["_version"].tolist(), range(len(rows)))), key=lambda r: r[0]):
+            day = at.toordinal() - EPOCH_ORDINAL
             full = last is None or day > last
-            reports += ["full" if full else None if known.get(v, day - keep_days - 1) >= day - keep_days else "changed" for _, _, v in seen]
-            known |= {v: max(day, known.get(v, day)) for _, _, v in seen}
+            for version, alike in groupby(instant, key=lambda r: r[1]):
+                if full or known.get(version, day - keep_days - 1) < day - keep_days:
+                    reports[next(alike)[2]] = "full" if full else "changed"
+                known[version] = max(day, known.get(version, day))
             last = day if last is None else max(day, last)
         known = {v: d for v, d in known.items() if d >= last - keep_days - late_days}
         state.update((last, list(known), list(known.values())))
         state.setTimeoutTimestamp((last + keep_days + 1) * DAY_MS)
-        rows["report"] = reports
-        if rows["report"].notna().any():
-            yield rows.loc[rows["report"].notna(), out.names]
+        if reports:
+            found = rows.take(list(reports))
+            found["report"] = list(reports.values())
+            yield found
 
     return (
         marked.withWatermark(ts, f"{int(late.total_seconds())} seconds")
         .filter(F.col(ts).isNotNull())
         .groupBy(*keys)
         .applyInPandasWithState(step, out, "last int, versions array<string>, days array<int>", "append", GroupStateTimeout.EventTimeTimeout)
+        .select(*[n for n in out.names if not n.startswith("_")])
     )
 
 

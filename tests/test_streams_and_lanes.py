@@ -3,7 +3,9 @@
 import datetime as dt
 import random
 
+import pandas as pd
 import pytest
+from pyspark.sql import GroupedData
 
 from sparkgauge.operators.detect import alert_windows
 from sparkgauge.session import fresh_path
@@ -48,6 +50,64 @@ def test_daily_report_and_expired_keys(spark):
     assert state[0]["numRowsTotal"] == 1  # only the key of the last day is left
 
 
+def test_daily_report_of_odd_rows(spark):
+    """Two versions at a day's first instant, rows that come twice, a late row of an earlier day, rows without a time, key or version."""
+    def at(day, hour):
+        return DAY0 + dt.timedelta(days=day, hours=hour)
+
+    batches = [
+        [(1, "b", at(1, 1)), (1, "a", at(1, 1)), (1, "b", at(1, 1)), (1, "a", at(1, 2)), (1, "c", at(1, 0)), (1, "x", None), (None, None, None)],
+        [(1, "d", at(0, 23)), (1, "d", at(0, 23)), (1, "d", at(1, 3)), (None, None, at(1, 1)), (None, None, at(1, 2)), (None, "a", at(1, 2))],
+        [(1, "b", at(2, 1)), (1, "e", at(2, 2)), (1, "e", at(2, 2)), (1, "d", at(2, 3))],
+    ]
+    stream = SJ.daily_diff_stream(feed(spark, "id int, role string, ts timestamp", batches), ["id"], ["role"], "ts", keep_days=3)
+    got, _ = run(stream, "daily_odd")
+    want = [
+        (1, "c", at(1, 0), "full"), (1, "a", at(1, 1), "changed"), (1, "b", at(1, 1), "changed"), (1, "d", at(0, 23), "changed"),
+        (None, None, at(1, 1), "full"), (None, "a", at(1, 2), "changed"), (1, "b", at(2, 1), "full"), (1, "e", at(2, 2), "changed"),
+    ]
+    assert got == sorted(want, key=str)
+    assert stream.columns == ["id", "role", "ts", "report"]
+
+
+def test_daily_report_does_not_sort_or_join_a_frame_per_key(spark, monkeypatch):
+    """Frame operations of each key were most of the job's time; a key's rows in one chunk are taken as they are."""
+    taken = {}
+
+    def keep(grouped, step, out, *_):
+        taken.update(step=step)
+        return spark.createDataFrame([], out)
+
+    monkeypatch.setattr(GroupedData, "applyInPandasWithState", keep)
+    SJ.daily_diff_stream(feed(spark, "id int, role string, ts timestamp", [[(1, "a", DAY0)]]), ["id"], ["role"], "ts", keep_days=3)
+
+    def refuse(*_, **__):
+        raise AssertionError("an operation on the frame of one key")
+
+    class State:
+        exists = hasTimedOut = False
+
+        def update(self, kept):
+            self.kept = kept
+
+        def setTimeoutTimestamp(self, at):
+            self.at = at
+
+    hour, day = pd.Timedelta(hours=1), (DAY0 - dt.datetime(1970, 1, 1)).days
+    rows = pd.DataFrame({"id": [1, 1, 1], "role": ["b", "a", "a"], "ts": [DAY0 + 2 * hour, DAY0 + hour, DAY0 + hour], "_version": ["vb", "va", "va"]})
+    with monkeypatch.context() as m:
+        for name in ("sort_values", "drop_duplicates"):
+            m.setattr(pd.DataFrame, name, refuse)
+        m.setattr(pd, "concat", refuse)
+        state = State()
+        found = list(taken["step"]((1,), iter([rows]), state))
+    assert found[0][["role", "report"]].values.tolist() == [["a", "full"], ["b", "changed"]]
+    assert state.kept == (day, ["va", "vb"], [day, day]) and state.at == (day + 4) * SJ.DAY_MS
+
+    halves = list(taken["step"]((1,), iter([rows[:2], rows[2:]]), State()))
+    assert halves[0][["role", "report"]].values.tolist() == [["a", "full"], ["b", "changed"]]
+
+
 def test_open_items_appear_when_no_finish_can_come(spark):
     def at(minute):
         return DAY0 + dt.timedelta(minutes=minute)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +33,22 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, given: dict[str, str]) -> Iterator[None]:
+    """Settings of the session within a block, as they were after it."""
+    before = {key: spark.conf.get(key, None) for key in given}
+    try:
+        for key, value in given.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors reach: the session's checkpoint folder.
 

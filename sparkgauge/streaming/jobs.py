@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from sparkgauge.operators.fanout import KINDS, fan_out
-from sparkgauge.session import fresh_path
+from sparkgauge.session import fresh_path, settings
 
 
 def read_stream(spark: SparkSession, folder: str, pattern: str, schema: T.StructType, files_per_batch: int = 100) -> DataFrame:
@@ -52,16 +52,22 @@ def late_tolerant(stream: DataFrame, key: str, ts: str, late: str = "2 hours") -
     return processed_once(stream, key, ts, late)
 
 
+# Counting the rows of a state store costs a look-up before each write and removal.
+NO_ROW_COUNT = {"spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false"}
+
+
 def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
-    """Process what is there, write parquet, and stop."""
-    query = (
+    """Process what is there, write parquet, and stop. Nobody watches its progress, so rows of state are not counted."""
+    writer = (
         stream.writeStream.format("parquet")
         .outputMode(mode)
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
+    # A query takes its settings when it starts.
+    with settings(stream.sparkSession, NO_ROW_COUNT):
+        query = writer.start()
     query.awaitTermination()
 
 

@@ -6,6 +6,7 @@ import random
 import pandas as pd
 import pytest
 from pyspark.sql import GroupedData
+from pyspark.sql.streaming import DataStreamWriter
 
 from sparkgauge.operators.detect import alert_windows
 from sparkgauge.session import fresh_path
@@ -120,6 +121,31 @@ def test_open_items_appear_when_no_finish_can_come(spark):
     assert got == [("b", at(1)), ("d", at(300))]
 
 
+def test_runs_to_the_end_do_not_count_the_rows_of_their_state(spark, monkeypatch):
+    """Same rows of odd items, among them none, repeated and null keys, with fewer look-ups in the state; settings are as before afterwards."""
+    def at(minute):
+        return DAY0 + dt.timedelta(minutes=minute)
+
+    starts = [[("a", at(0)), ("a", at(0)), ("b", at(1)), (None, at(1)), ("c", at(2)), ("n", None)], [("d", at(300)), ("a", at(301))], [("e", at(600))]]
+    ends = [[("a", at(5)), ("a", at(6)), (None, at(1)), ("b", at(0))], [("c", None), ("d", at(300)), ("d", at(310))], [("x", at(600))]]
+
+    def items():
+        started = feed(spark, "id string, began timestamp", starts)
+        return SJ.still_open_stream(started, feed(spark, "id string, ended timestamp", ends), "id", "began", "ended", within="10 minutes", late="1 hour")
+
+    def look_ups(query):
+        return sum(op["customMetrics"]["rocksdbGetCount"] for p in query.recentProgress for op in p["stateOperators"])
+
+    begun, begin = [], DataStreamWriter.start
+    monkeypatch.setattr(DataStreamWriter, "start", lambda self, *a, **b: begun.append(begin(self, *a, **b)) or begun[-1])
+    watched, _ = run(items(), "watched_items")
+    key = next(iter(SJ.NO_ROW_COUNT))
+    before = spark.conf.get(key, None)
+    assert sorted(map(tuple, SJ.materialise(items(), "unwatched").collect()), key=str) == watched == sorted([("a", at(301)), ("b", at(1)), ("c", at(2)), (None, at(1))], key=str)
+    assert 0 < look_ups(begun[1]) < 0.8 * look_ups(begun[0])
+    assert spark.conf.get(key, None) == before
+
+
 @pytest.mark.parametrize("max_bytes,max_count,block_rows", [(50, 4, 1), (50, 4, 10), (50, 1, 3), (0, 3, 5), (10_000, 7, 8), (10_000, 500, 16)])
 def test_long_lanes_are_packed_greedily(spark, max_bytes, max_count, block_rows):
     rng = random.Random(max_count * 31 + block_rows)

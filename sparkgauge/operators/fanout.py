@@ -6,6 +6,7 @@ written; nothing passes through the driver but the counts.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -70,9 +71,9 @@ class FanOut:
         """Rows that gave any record."""
         return self.per_row.filter(gave_any())
 
-    def counts(self) -> DataFrame:
-        """(kind, n) of all kinds, in one pass over the rows; errors are spans that cannot be written."""
-        totals = self.per_row.agg(
+    def totals(self) -> list[Column]:
+        """Aggregates of ``per_row``: how many records of each kind; errors are spans that cannot be written."""
+        return [
             F.count_if(gave_any()).alias("entries"),
             F.count_if("is_log").alias("log_lines"),
             F.coalesce(F.sum("n_metrics"), F.lit(0)).alias("metrics"),
@@ -80,7 +81,11 @@ class FanOut:
             F.count_if("is_span").alias("spans"),
             F.coalesce(F.sum("n_span_events"), F.lit(0)).alias("span_events"),
             F.count_if("is_error").alias("errors"),
-        )
+        ]
+
+    def counts(self, totals: DataFrame | None = None) -> DataFrame:
+        """(kind, n) of all kinds, in one pass over the rows, or from the row of ``totals`` if there is one already."""
+        totals = self.per_row.agg(*self.totals()) if totals is None else totals
         return totals.unpivot([], ["entries", "log_lines", "metrics", "events", "spans", "span_events", "errors"], "kind", "n")
 
 
@@ -98,6 +103,7 @@ def fan_out(
     start: str = "start_time",
     mark_ns: int = 0,
     spans: SpanColumns | None = None,
+    keep: Sequence[Column] = (),
 ) -> FanOut:
     """Split instrumented rows by kind of record.
 
@@ -107,7 +113,7 @@ def fan_out(
 
     With ``spans``, a row with a span id is a span as well, with its event timestamps from the
     start to the end of the span as span events. One without a trace or a valid time range
-    cannot be written; it counts as an error.
+    cannot be written; it counts as an error. ``keep`` are further columns of ``per_row``.
     """
     flat = rows.withColumn(
         "_flat",
@@ -131,6 +137,7 @@ def fan_out(
     span_rows = marked.filter("_span")
     per_row = marked.select(
         row_id,
+        *keep,
         (F.size("metrics") if report_metrics else zero).cast("bigint").alias("n_metrics"),
         (F.size(recent) if report_timestamp_events else zero).cast("bigint").alias("n_times"),
         F.col("_event").alias("is_event"),

@@ -19,10 +19,10 @@ from sparkgauge.operators.predicates import EPOCH, bound
 # --- high-water marks ----------------------------------------------------------------------
 
 
-def high_water_marks(status_log: DataFrame) -> DataFrame:
-    """Last processed (time, id) per source: ties at the last time are told apart by the id."""
-    last = status_log.groupBy("source").agg(F.max(F.struct("last_timestamp", "last_id")).alias("_m"))
-    return last.select("source", F.col("_m.last_timestamp").alias("last_timestamp"), F.col("_m.last_id").alias("last_id"))
+def high_water_marks(status_log: DataFrame, *more: Column) -> DataFrame:
+    """Last processed (time, id) per source: ties at the last time are told apart by the id; ``more`` aggregates of the same pass."""
+    last = status_log.groupBy("source").agg(F.max(F.struct("last_timestamp", "last_id")).alias("_m"), *more)
+    return last.select("source", F.col("_m.last_timestamp").alias("last_timestamp"), F.col("_m.last_id").alias("last_id"), *last.columns[2:])
 
 
 def high_water_mark(status_log: DataFrame, source: str) -> dt.datetime:
@@ -31,15 +31,15 @@ def high_water_mark(status_log: DataFrame, source: str) -> dt.datetime:
     return found or EPOCH
 
 
-def mark_of(rows: DataFrame, source: str, ts: Column, row_id: Column, run_at: dt.datetime) -> DataFrame:
-    """The status-log row of a run: greatest (time, id) of the rows it read and how many there were."""
-    top = rows.agg(F.max(F.struct(ts.alias("t"), row_id.alias("i"))).alias("_m"), F.count("*").alias("entries"))
+def mark_of(rows: DataFrame, source: str, ts: Column, row_id: Column, run_at: dt.datetime, *more: Column) -> DataFrame:
+    """The status-log row of a run: greatest (time, id) of the rows it read and how many there were; ``more`` aggregates of the same pass."""
+    top = rows.agg(F.max(F.struct(ts.alias("t"), row_id.alias("i"))).alias("_m"), F.count("*").alias("entries"), *more)
     return top.select(
         F.lit(source).alias("source"),
         F.lit(run_at).cast("timestamp").alias("run_at"),
         F.col("_m.t").alias("last_timestamp"),
         F.col("_m.i").alias("last_id"),
-        "entries",
+        *top.columns[1:],
     )
 
 

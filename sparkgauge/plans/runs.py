@@ -33,6 +33,9 @@ from sparkgauge.session import cut_lineage
 from sparkgauge.sources.sinks import run_report
 
 
+RUN_TS = "_run_ts"  # the time of a row beside what it gave
+
+
 @dataclass(frozen=True)
 class Context:
     """What a run reads and how: ``collect`` gives instrumented rows at or after a time (None = all).
@@ -122,10 +125,7 @@ class Run:
     run_id: str
     run_at: dt.datetime
     attempt: str
-
-    @property
-    def is_empty(self) -> bool:
-        return self.rows.isEmpty()
+    is_empty: bool
 
     def commit(self) -> None:
         """Write the ids taken, then the state row: from here on the run's rows are done. An empty run leaves no row."""
@@ -140,8 +140,10 @@ class Run:
             )
             # A file per day and bucket, however many tasks hold the rows.
             ids.repartition("day", "bucket").write.mode("append").partitionBy("day", "bucket").parquet(f"{self.path}/processed/{self.context.name}")
-        mark = mark_of(self.rows, self.context.name, F.col(self.context.ts), F.col(self.context.row_id), self.run_at)
-        counts = run_report(self.outputs.counts(), self.context.name, self.run_id).first()["entries_count"]
+        # Mark and counts come from one pass over the rows.
+        totals = F.struct(*self.outputs.totals()).alias("totals")
+        mark = cut_lineage(mark_of(self.outputs.per_row, self.context.name, F.col(RUN_TS), F.col(self.context.row_id), self.run_at, totals))
+        counts = run_report(self.outputs.counts(mark.select("totals.*")), self.context.name, self.run_id).first()["entries_count"]
         schema = _status_schema(self.context)
         given = {"run_no": F.lit(self.number), "run_id": F.lit(self.run_id), "entries_count": F.lit(counts), "attempt": F.lit(self.attempt)}
         typed = mark.withColumns(given).select(*[F.col(f.name).cast(f.dataType) for f in schema])
@@ -154,8 +156,8 @@ def start(spark: SparkSession, path: str, context: Context, run_id: str, run_at:
     Without a re-read window these are the rows after the last (time, id). An empty run writes nothing.
     """
     done = status_log(spark, path, context)
-    last = high_water_marks(done).first()
-    number = done.agg(F.coalesce(F.max("run_no") + 1, F.lit(0))).first()[0]
+    last = high_water_marks(done, F.max("run_no").alias("run_no")).first()
+    number = last["run_no"] + 1 if last else 0
     after = (last["last_timestamp"], last["last_id"]) if last else None
     if context.reread is None:
         new = context.collect(after[0] if after else None)
@@ -164,11 +166,12 @@ def start(spark: SparkSession, path: str, context: Context, run_id: str, run_at:
         new = _not_taken(spark, path, context, after[0] if after else None)
         rows = batch_limit_oldest(new if context.batch is None else cut_lineage(new), context.ts, context.row_id, context.batch)
     rows = cut_lineage(rows)
-    outputs = fan_out(rows, context.row_id, **options)
-    if not rows.isEmpty():
+    outputs = fan_out(rows, context.row_id, keep=[F.col(context.ts).alias(RUN_TS)], **options)
+    is_empty = rows.isEmpty()
+    if not is_empty:
         for kind in KINDS:
             getattr(outputs, kind).write.mode("overwrite").parquet(f"{path}/{kind}/run={number}")
-    return Run(context, path, number, rows, outputs, run_id, run_at, uuid.uuid4().hex)
+    return Run(context, path, number, rows, outputs, run_id, run_at, uuid.uuid4().hex, is_empty)
 
 
 def drop_expired(spark: SparkSession, path: str, context: Context, before: dt.date) -> int:
@@ -200,6 +203,6 @@ def run_until_done(spark: SparkSession, path: str, context: Context, run_id: str
 
 def output(spark: SparkSession, path: str, context: Context, kind: str) -> DataFrame:
     """Records of a kind of all committed runs, with the number of the run; what a dead run left is not read."""
-    last = status_log(spark, path, context).agg(F.max("run_no")).first()[0]
-    rows = spark.read.parquet(f"{path}/{kind}")
-    return rows.filter(F.col("run") <= last) if last is not None else rows.limit(0)
+    last = status_log(spark, path, context).agg(F.max("run_no"))
+    # As a subquery, the state is read once by a plan over several kinds.
+    return spark.read.parquet(f"{path}/{kind}").filter(F.col("run") <= last.scalar())

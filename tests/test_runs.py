@@ -1,9 +1,12 @@
-"""Runs with a re-read window: late rows once, and only the window's folders of ids are read."""
+"""Runs with a re-read window: late rows once, and only the window's folders of ids are read. What a run reads for its state."""
 
 import datetime as dt
+import json
+from functools import reduce
 
 from pyspark.sql import functions as F
 
+from sparkgauge.operators.fanout import KINDS
 from sparkgauge.plans import runs as RN
 
 DAY0 = dt.datetime(2024, 1, 1)
@@ -39,3 +42,34 @@ def test_late_and_repeated_rows_are_taken_once(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(day" in (shown := known._jdf.queryExecution().executedPlan().toString()) and "day#" in shown and "2024-01-05" in shown
     assert RN.drop_expired(spark, path, grown, dt.date(2024, 1, 4)) == 3
     assert RN.processed_ids(spark, path, grown, None).count() == 102 - 72
+
+
+def test_a_run_reads_its_rows_once_for_its_state(spark, tmp_path, monkeypatch):
+    """Rows without a time or with the id of another are counted; a state of no runs gives no records."""
+    path = str(tmp_path / "runs")
+    empty = context(instrumented(spark, []))
+    assert RN.run_once(spark, path, empty, "none", DAY0).is_empty
+    rows = instrumented(spark, [(1, DAY0), (1, DAY0), (2, None), (3, DAY0), (None, DAY0)]).withColumn("metrics", F.expr("IF(id = 3, NULL, map('n', 1D))"))
+    run = RN.start(spark, path, context(rows), "a", DAY0)
+    assert all(RN.output(spark, path, run.context, kind).isEmpty() for kind in KINDS)
+
+    spark.sparkContext.setJobGroup("asked", "is it empty")
+    assert not run.is_empty
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("asked")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+    stored, store = [], RN.cut_lineage
+    monkeypatch.setattr(RN, "cut_lineage", lambda df: stored.append(df) or store(df))
+    run.commit()
+    assert len(stored) == 1 and str(stored[0]._jdf.queryExecution().executedPlan()).count("FileScan") == 1
+    state = RN.status_log(spark, path, run.context).first()
+    counts = {r["kind"]: r["n"] for r in run.outputs.counts().collect()}
+    assert json.loads(state["entries_count"]) == counts and counts["metrics"] in (3, 4) and counts["log_lines"] == 5
+    assert (state["run_no"], state["last_timestamp"], state["last_id"], state["entries"]) == (0, DAY0, 3, 5)
+
+    second = RN.run_once(spark, path, context(rows.unionByName(instrumented(spark, [(7, DAY0 + dt.timedelta(days=1))]))), "b", DAY0)
+    assert second.number == 1
+    kinds = [RN.output(spark, path, run.context, kind).groupBy("run").count().withColumn("kind", F.lit(kind)) for kind in KINDS]
+    both = reduce(lambda a, b: a.unionByName(b), kinds)
+    assert {(r["run"], r["kind"], r["count"]) for r in both.collect()} == {(0, "logs", 5), (0, "metrics", 4), (1, "logs", 1)}
+    assert "ReusedSubquery" in str(both._jdf.queryExecution().executedPlan())
